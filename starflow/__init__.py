@@ -37,7 +37,7 @@ from starflow.operators.quality import (
     row_count,
 )
 from starflow.operators.rank import dense_rank_in_group, top_in_group
-from starflow.plans.sales import SalesRun, SalesSpec, run_sales, sales_spec
+from starflow.plans.sales import SalesRun, SalesSpec, run_sales, run_sales_files, sales_spec
 from starflow.plans.star import StarSpec, build_star, join_star, table_counts
 from starflow.sources.contract import (
     SchemaContract,

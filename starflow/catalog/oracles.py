@@ -172,11 +172,20 @@ def _widths() -> str:
     )
 
 
-METRICS = f"""SELECT (SELECT count(*) FROM flat) AS rows_before, count(*) AS rows_after,
- (SELECT count(*) FROM flat) - count(*) AS duplicates_removed,
+def metrics(rows: str = "flat", distinct: str = "uniq") -> str:
+    return f"""SELECT (SELECT count(*) FROM {rows}) AS rows_before, count(*) AS rows_after,
+ (SELECT count(*) FROM {rows}) - count(*) AS duplicates_removed,
  CAST(0 AS BIGINT) AS rows_dropped, {invalid('value_sales')} AS invalid_value_sales,
  {invalid('units_sales')} AS invalid_units_sales,
- count(*) FILTER (WHERE warehouse_id IS NULL) AS filled_warehouse_id FROM uniq"""
+ count(*) FILTER (WHERE warehouse_id IS NULL) AS filled_warehouse_id FROM {distinct}"""
+
+
+def summary(written: int, set_aside: str) -> str:
+    return f"""SELECT rows_before AS rows_loaded, rows_after, duplicates_removed, rows_dropped,
+ filled_warehouse_id AS nulls_filled, invalid_value_sales + invalid_units_sales
+ AS invalid_numbers, CAST(6 AS INT) AS dimension_tables, CAST(1 AS INT) AS fact_tables,
+ CAST({written} AS INT) AS tables_written, CAST({set_aside} AS BIGINT) AS rows_quarantined
+ FROM metrics"""
 
 UNMATCHED = """SELECT 'dim_warehouse' AS dim, count(*) AS rows, {n} AS unmatched_rows FROM flat
 UNION ALL SELECT 'dim_supplier', count(*), CAST(0 AS BIGINT) FROM flat"""
@@ -228,7 +237,7 @@ ORACLES: dict[str, str] = {
     "standardize_strings": ON_FLAT
     + "SELECT trim(category, ' ') AS category, count(*) AS rows FROM flat GROUP BY 1",
     "clean_sales": ON_CELLS + "SELECT * FROM clean",
-    "cleaning_metrics": ON_FLAT + METRICS,
+    "cleaning_metrics": ON_FLAT + metrics(),
     "calendar_features": ON_FLAT + f"SELECT DISTINCT year, month_num, {CALENDAR} FROM flat",
     "price_per_unit": ON_CELLS + f"SELECT {IDS}, {PRICE} FROM cells",
     "category_sales_rank": ON_CELLS
@@ -284,12 +293,11 @@ ORACLES: dict[str, str] = {
     "curated_roundtrip": ON_STAR + "SELECT * FROM fact",
     "curated_roundtrip_csv": ON_STAR + "SELECT * FROM fact",
     "export_manifest": ON_STAR + table_rows(", true AS has_bytes"),
-    "run_summary": ON_FLAT
-    + f", metrics AS ({METRICS}) "
-    + """SELECT rows_before AS rows_loaded, rows_after, duplicates_removed, rows_dropped,
- filled_warehouse_id AS nulls_filled, invalid_value_sales + invalid_units_sales
- AS invalid_numbers, CAST(6 AS INT) AS dimension_tables, CAST(1 AS INT) AS fact_tables,
- CAST(7 AS INT) AS tables_written FROM metrics""",
+    "run_summary": ON_FLAT + f", metrics AS ({metrics()}) " + summary(7, "0"),
+    "run_summary_from_csv": ON_FLAT
+    + f""", good AS (SELECT {CSV_CELLS} FROM keyed WHERE l_orderkey % 97 NOT IN (0, 1)),
+ good_uniq AS (SELECT DISTINCT * FROM good), metrics AS ({metrics('good', 'good_uniq')}) """
+    + summary(0, "(SELECT count(*) FROM flat) - (SELECT count(*) FROM good)"),
     # From the flat rows, not through keys: category is that of the product, the quarter
     # that of the date.
     "star_rollup": ON_ENRICHED

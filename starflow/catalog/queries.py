@@ -11,7 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starflow.operators import cleaning, dimensions, facts, features, quality, rank
-from starflow.plans.sales import COPIES, ROW_ID, run_sales, sales_spec, stage_distinct
+from starflow.operators.quality import COPIES
+from starflow.plans.sales import (
+    ROW_ID,
+    run_sales,
+    run_sales_files,
+    sales_spec,
+    stage_distinct,
+)
 from starflow.plans.star import build_star, join_star, table_counts
 from starflow.sources import contract as con
 from starflow.sources import files
@@ -88,8 +95,7 @@ def normalize_columns(spark, sf_dir):
     return con.normalize_columns(messy)
 
 
-@query
-def quarantine_malformed(spark, sf_dir):
+def _dirty_lines(spark: SparkSession, sf_dir: str) -> str:
     """CSV lines, some cut short and some with text in a number column."""
     rows = flat_sales(spark, sf_dir, order_key=True)
     cells = [
@@ -104,6 +110,12 @@ def quarantine_malformed(spark, sf_dir):
     )
     path = Workspace(spark).folder("lines")
     rows.select(line.alias("value")).write.text(path)
+    return path
+
+
+@query
+def quarantine_malformed(spark, sf_dir):
+    path = _dirty_lines(spark, sf_dir)
     _, bad = files.read_contract(spark, path, CONTRACT, header=False)
     return bad.groupBy("batch_number", "lot_number").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -245,8 +257,8 @@ def inventory_risk_flag(spark, sf_dir):
 
 @query
 def enrich_sales(spark, sf_dir):
-    rows = cleaning.clean(flat_sales(spark, sf_dir), SPEC.cleaning)
-    return features.enrich(rows, SPEC.features)
+    staged = stage_distinct(flat_sales(spark, sf_dir), Workspace(spark)).drop(COPIES, ROW_ID)
+    return features.enrich(cleaning.clean_distinct(staged, SPEC.cleaning), SPEC.features)
 
 
 # --- dimensions -------------------------------------------------------------------
@@ -387,6 +399,13 @@ def run_summary(spark, sf_dir):
     return _run(spark, sf_dir).summary
 
 
+@query
+def run_summary_from_csv(spark, sf_dir):
+    """The whole run, from text lines with malformed ones among them."""
+    run = run_sales_files(spark, _dirty_lines(spark, sf_dir), SPEC, CONTRACT, header=False)
+    return run.summary
+
+
 @query
 def star_rollup(spark, sf_dir):
     """Sales by category and quarter, through the surrogate keys only."""

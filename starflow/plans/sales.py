@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starflow.functions.columns import ref
 from starflow.operators import features as feat
 from starflow.operators.cleaning import CleaningSpec, clean_distinct, metric_exprs
 from starflow.operators.dimensions import DimensionSpec
@@ -22,7 +23,8 @@ from starflow.operators.quality import (
     with_verdict,
 )
 from starflow.plans.star import StarSpec, build_star
-from starflow.sources.contract import column_names
+from starflow.sources.contract import SchemaContract, column_names, sales_contract
+from starflow.sources.files import CORRUPT, require_rows, scan_csv
 from starflow.sources.tables import write_tables
 from starflow.sources.workspace import Workspace
 
@@ -118,7 +120,11 @@ def sales_spec(
 
 @dataclass
 class SalesRun:
-    """What a run leaves behind: ``summary`` and ``quality`` have one row each."""
+    """What a run leaves behind.
+
+    ``quality``, ``cleaning`` and ``summary`` have one row each. ``quarantine`` holds
+    the distinct malformed rows with their text and how often each occurred.
+    """
 
     tables: dict[str, DataFrame]
     quality: DataFrame
@@ -126,6 +132,7 @@ class SalesRun:
     manifest: DataFrame | None
     summary: DataFrame
     staging: DataFrame = field(repr=False)
+    quarantine: DataFrame | None = None
 
 
 def stage_distinct(raw: DataFrame, workspace: Workspace) -> DataFrame:
@@ -162,7 +169,8 @@ def run_sales(
     """Profile, deduplicate, clean, enrich, model and, given ``out_dir``, write.
 
     ``on_breach="fail"`` raises ``QualityError`` if a column holds too many NULLs;
-    ``"warn"`` leaves that to the report. With ``out_dir`` the tables of the result
+    ``"warn"`` leaves that to the report. Rows with a text in ``_corrupt_record``, if
+    ``raw`` has that column, are set aside. With ``out_dir`` the tables of the result
     are read back from what was written.
     """
     if on_breach not in ("warn", "fail"):
@@ -172,6 +180,12 @@ def run_sales(
     workspace = workspace or Workspace(spark)
 
     staged = stage_distinct(raw, workspace)
+    quarantine = None
+    set_aside = F.lit(0).cast("bigint")
+    if CORRUPT in raw.columns:
+        quarantine = staged.where(ref(CORRUPT).isNotNull()).drop(ROW_ID)
+        set_aside = quarantine.agg(F.coalesce(F.sum(COPIES), F.lit(0))).scalar()
+        staged = staged.where(ref(CORRUPT).isNull()).drop(CORRUPT)
     metrics = workspace.store(intake_metrics(staged, spec, max_null_pct), "metrics")
     quality = metrics.select(
         "total_rows", "duplicate_rows", "nulls", "breaching_columns", "n_breaching", "passed"
@@ -209,6 +223,7 @@ def run_sales(
         F.lit(len(spec.star.dimensions)).alias("dimension_tables"),
         F.lit(1).alias("fact_tables"),
         F.lit(len(tables) if manifest is not None else 0).alias("tables_written"),
+        set_aside.alias("rows_quarantined"),
     )
     return SalesRun(
         tables=tables,
@@ -217,7 +232,34 @@ def run_sales(
         manifest=manifest,
         summary=summary,
         staging=enriched,
+        quarantine=quarantine,
+    )
+
+
+def run_sales_files(
+    spark: SparkSession,
+    path: str,
+    spec: SalesSpec | None = None,
+    contract: SchemaContract | None = None,
+    *,
+    header: bool = True,
+    on_malformed: str = "quarantine",
+    **options,
+) -> SalesRun:
+    """``run_sales`` over CSV files under a contract.
+
+    Malformed rows are found by the same scan that feeds the deduplication, which
+    parses every column: the files are read once. ``on_malformed="keep"`` leaves such
+    rows in, with NULL in the bad cells.
+    """
+    if on_malformed not in ("quarantine", "keep"):
+        raise ValueError(f"on_malformed is 'quarantine' or 'keep', not {on_malformed!r}")
+    corrupt = CORRUPT if on_malformed == "quarantine" else None
+    raw = scan_csv(
+        spark, path, contract or sales_contract(), header=header, corrupt_record=corrupt
     )
+    require_rows(raw, path)
+    return run_sales(raw, spec, **options)
 
 
 def _read_back(df: DataFrame, path: str, fmt: str) -> DataFrame:

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from starflow.functions.columns import refs
+from starflow.functions.jobs import run_together
 from starflow.operators.dimensions import (
     MEMBER_ROWS,
     DimensionSpec,
@@ -37,12 +36,10 @@ def build_dimensions(
     their jobs are submitted side by side and fill the gaps in each other's stages.
     """
 
-    def build(spec: DimensionSpec) -> DataFrame:
-        return keyed_members(df, spec, workspace)
-
-    with ThreadPoolExecutor(max_workers=max(1, len(specs))) as pool:
-        built = pool.map(inheritable_thread_target(df.sparkSession)(build), specs)
-        return {spec.name: dim for spec, dim in zip(specs, built)}
+    built = run_together(
+        df.sparkSession, lambda spec: keyed_members(df, spec, workspace), list(specs)
+    )
+    return {spec.name: dim for spec, dim in zip(specs, built)}
 
 
 def build_star(

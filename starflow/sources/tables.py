@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from starflow.functions.jobs import run_together
+
 MANIFEST_SCHEMA = "table string, rows bigint, bytes bigint, path string"
 
 
@@ -49,9 +51,11 @@ def write_tables(
     if not tables:
         raise ValueError("no table given")
     spark = next(iter(tables.values())).sparkSession
-    entries = []
-    for name, df in tables.items():
+
+    def write(name: str) -> tuple[str, int, int, str]:
         path = f"{directory.rstrip('/')}/{name}"
-        rows = write_table(df, path, fmt, (partition_by or {}).get(name, ()))
-        entries.append((name, rows, stored_bytes(spark, path), path))
+        rows = write_table(tables[name], path, fmt, (partition_by or {}).get(name, ()))
+        return name, rows, stored_bytes(spark, path), path
+
+    entries = run_together(spark, write, list(tables))
     return spark.createDataFrame(entries, MANIFEST_SCHEMA)

@@ -1,0 +1,71 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from starflow.operators.rank import dense_rank_in_group, top_in_group
+
+WAYS = {
+    "window": dict(method="window"),
+    "pairs": dict(method="pairs"),
+    "pairs, all shuffled": dict(method="pairs", broadcast_bytes=0, hot_keys=1),
+    "pairs, hot keys apart": dict(method="pairs", broadcast_bytes=0, hot_keys=20),
+    "auto": dict(),
+    "auto, groups too large": dict(window_group_rows=5, broadcast_bytes=0, hot_keys=20),
+}
+
+
+def brute_force(rows):
+    groups = {}
+    for _, g, v in rows:
+        groups.setdefault(g, set()).add(v)
+    order = {
+        g: sorted(vs, key=lambda v: (v is None, -(v or 0.0))) for g, vs in groups.items()
+    }
+    return sorted((i, order[g].index(v) + 1) for i, g, v in rows)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rnd = random.Random(7)
+    out = []
+    for i in range(3000):
+        # A third of the rows in one group, half of those NULL; one value very frequent.
+        group = "hot" if i % 3 == 0 else rnd.choice(["a", "b", "", None, "c"])
+        value = None if i % 6 == 0 else rnd.choice([7.0, 7.0, float(rnd.randint(-300, 300))])
+        out.append((i, group, value))
+    return out
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_rank_equals_brute_force(spark, workspace, rows, way):
+    df = spark.createDataFrame(rows, "id int, g string, v double").repartition(3)
+    ranked = dense_rank_in_group(df, "g", "v", "r", workspace=workspace, **WAYS[way])
+    assert ranked.columns == ["id", "g", "v", "r"]
+    assert dict(ranked.dtypes)["r"] == "int"
+    got = sorted((r["id"], r["r"]) for r in ranked.collect())
+    assert got == brute_force(rows)
+
+
+def test_ties_share_a_rank_and_null_is_last(spark):
+    rows = [(1, "a", 10.0), (2, "a", 10.0), (3, "a", 5.0), (4, "a", None), (5, "a", None)]
+    df = spark.createDataFrame(rows, "id int, g string, v double")
+    ranks = {r["id"]: r["r"] for r in dense_rank_in_group(df, "g", "v", "r").collect()}
+    assert ranks == {1: 1, 2: 1, 3: 2, 4: 3, 5: 3}
+
+
+def test_empty_table(spark, workspace):
+    df = spark.createDataFrame([], "id int, g string, v double")
+    for way in WAYS.values():
+        assert dense_rank_in_group(df, "g", "v", "r", workspace=workspace, **way).count() == 0
+
+
+def test_top_keeps_ties(spark):
+    df = spark.range(6).select(F.lit("g").alias("g"), F.floor(F.col("id") / 2).alias("v"))
+    ranked = dense_rank_in_group(df, "g", "v", "r")
+    assert top_in_group(ranked, "r", 2).count() == 4
+
+
+def test_unknown_method(spark):
+    with pytest.raises(ValueError, match="method"):
+        dense_rank_in_group(spark.range(1), "id", "id", "r", method="magic")

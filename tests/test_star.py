@@ -1,0 +1,129 @@
+import pytest
+from pyspark.sql import functions as F
+
+from starflow.operators.dimensions import DimensionSpec, DuplicateKeyError
+from starflow.operators.facts import FactSpec, build_fact, unmatched_keys
+from starflow.plans import star as star_plan
+from starflow.plans.star import StarSpec, build_star, join_star, table_counts
+
+STORE = DimensionSpec("dim_store", "store_key", ("store",), ("kind",))
+HOUSE = DimensionSpec("dim_house", "house_key", ("house",))
+FACT = FactSpec("fact", "sale_key", (("v", "value"), ("u", "units")))
+SPEC = StarSpec((STORE, HOUSE), FACT)
+ROWS = [
+    (10, "S2", "big", "W1", 1.5, 3),
+    (11, "S1", "small", None, 2.5, None),
+    (12, "S2", "tiny", "W1", None, 1),
+    (13, None, "none", "W2", 4.0, 4),
+]
+
+
+@pytest.fixture
+def rows(spark):
+    return spark.createDataFrame(
+        ROWS, "rid bigint, store string, kind string, house string, v double, u bigint"
+    )
+
+
+def test_grain_columns_and_measures(rows, workspace):
+    tables = build_star(rows, SPEC, row_id="rid", workspace=workspace)
+    assert list(tables) == ["fact", "dim_store", "dim_house"]
+    fact = tables["fact"]
+    assert fact.columns == ["sale_key", "store_key", "house_key", "value", "units"]
+    # NULL, S1, S2 are members 1, 2, 3 and NULL, W1, W2 as well; a NULL key finds nothing.
+    assert sorted(map(tuple, fact.collect())) == [
+        (10, 3, 2, 1.5, 3),
+        (11, 2, None, 2.5, None),
+        (12, 3, 2, None, 1),
+        (13, None, 3, 4.0, 4),
+    ]
+    assert tables["dim_store"].columns == ["store_key", "store", "kind"]
+
+
+def test_null_safe_keys_reach_the_null_member(rows, workspace):
+    tables = build_star(rows, SPEC, row_id="rid", workspace=workspace, null_safe_keys=True)
+    keys = {r["sale_key"]: (r["store_key"], r["house_key"]) for r in tables["fact"].collect()}
+    assert keys == {10: (3, 2), 11: (2, 1), 12: (3, 2), 13: (1, 3)}
+
+
+def test_unmatched_rows_are_reported(rows, workspace):
+    fact = build_star(rows, SPEC, workspace=workspace)["fact"]
+    assert [tuple(r) for r in unmatched_keys(fact, SPEC.dimensions).collect()] == [
+        ("dim_store", 4, 1),
+        ("dim_house", 4, 1),
+    ]
+
+
+def test_every_key_resolves_and_sums_stay(rows, workspace):
+    tables = build_star(rows, SPEC, workspace=workspace)
+    joined = join_star(tables, SPEC, ["dim_store", "dim_house"])
+    assert joined.count() == len(ROWS)
+    assert joined.where("store_key IS NOT NULL AND store IS NULL AND store_key <> 1").count() == 0
+    assert joined.agg(F.sum("value"), F.sum("units")).first() == (8.0, 8)
+
+
+def test_key_without_row_id_is_unique(rows, workspace):
+    fact = build_star(rows, SPEC, workspace=workspace)["fact"]
+    assert fact.select("sale_key").distinct().count() == len(ROWS)
+
+
+@pytest.mark.parametrize("row_id", ["rid", None])
+def test_ordered_key_is_dense_and_repeatable(spark, rows, workspace, row_id):
+    many = rows.union(rows.withColumn("rid", F.col("rid") + 100))
+    results = []
+    for width in ("1", "7"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+        try:
+            fact = build_star(many, SPEC, row_id=row_id, ordered_key=True, workspace=workspace)["fact"]
+            results.append([tuple(r) for r in fact.orderBy("sale_key").collect()])
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1]
+    assert [r[0] for r in results[0]] == list(range(1, 9))
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_shuffled_lookups_give_the_same_fact(rows, workspace, null_safe):
+    small = build_star(rows, SPEC, row_id="rid", workspace=workspace, null_safe_keys=null_safe)
+    large = build_star(
+        rows, SPEC, row_id="rid", workspace=workspace, null_safe_keys=null_safe,
+        broadcast_bytes=0, hot_keys=2,
+    )
+    assert sorted(map(tuple, small["fact"].collect())) == sorted(map(tuple, large["fact"].collect()))
+
+
+def test_no_fact_on_a_bad_dimension(spark, rows, workspace, monkeypatch):
+    twice = spark.createDataFrame([(1, "S1", "x", 1), (2, "S1", "y", 1)],
+                                  "store_key bigint, store string, kind string, _rows bigint")
+    house = spark.createDataFrame([(1, "W1", 1)], "house_key bigint, house string, _rows bigint")
+    monkeypatch.setattr(
+        star_plan, "build_dimensions", lambda *a: {"dim_store": twice, "dim_house": house}
+    )
+    with pytest.raises(DuplicateKeyError, match="dim_store"):
+        build_star(rows, SPEC, workspace=workspace)
+
+
+def test_hash_keys_link_as_well(rows, workspace):
+    spec = StarSpec(
+        tuple(DimensionSpec(d.name, d.key, d.natural_keys, d.attributes, key_kind="hash")
+              for d in SPEC.dimensions),
+        FACT,
+    )
+    tables = build_star(rows, spec, row_id="rid", workspace=workspace)
+    joined = join_star(tables, spec, ["dim_store"])
+    assert sorted((r["sale_key"], r["store"]) for r in joined.collect() if r["store"]) == [
+        (10, "S2"), (11, "S1"), (12, "S2"),
+    ]
+
+
+def test_missing_column_is_named(rows):
+    with pytest.raises(ValueError, match="nope"):
+        build_fact(rows, {}, [], FactSpec("f", "k", (("nope", "x"),)))
+
+
+def test_table_counts(rows, workspace):
+    tables = build_star(rows, SPEC, workspace=workspace)
+    assert sorted(map(tuple, table_counts(tables).collect())) == [
+        ("dim_house", 3, 2), ("dim_store", 3, 3), ("fact", 4, 5),
+    ]
