@@ -16,6 +16,7 @@ from starflow.sources.workspace import Workspace
 
 MEMBER_ROWS = "_rows"
 SHOWN_KEYS = 20
+_FIRST = "_first"
 
 
 @dataclass(frozen=True)
@@ -54,23 +55,23 @@ def dimension_members(df: DataFrame, spec: DimensionSpec) -> DataFrame:
     rows = F.count(F.lit(1)).alias(MEMBER_ROWS)
     if not spec.attributes:
         return df.groupBy(*keys).agg(rows)
-    if spec.first_by is not None:
-        return df.groupBy(*keys).agg(
-            *[_first_value(ref(a), ref(spec.first_by)).alias(a) for a in spec.attributes], rows
-        )
-    # Hash-aggregate to the distinct combinations first: the minimum of a text column
-    # needs a sorting aggregate, which then only sees what is left.
-    combinations = df.groupBy(*keys, *refs(spec.attributes)).agg(rows)
+    # Merge to the distinct combinations first, by hash: picking a text value takes a
+    # sorting aggregate, which then only sees what is left.
+    order = [] if spec.first_by is None else [F.min(ref(spec.first_by)).alias(_FIRST)]
+    combinations = df.groupBy(*keys, *refs(spec.attributes)).agg(rows, *order)
     return combinations.groupBy(*keys).agg(
-        *[F.min(ref(a)).alias(a) for a in spec.attributes],
+        *[_pick(a, by_order=bool(order)).alias(a) for a in spec.attributes],
         F.sum(MEMBER_ROWS).alias(MEMBER_ROWS),
     )
 
 
-def _first_value(attribute: Column, order: Column) -> Column:
-    """Non-NULL value on the row that is first by ``order``; on a tie the smaller one."""
-    present = F.when(attribute.isNotNull(), F.struct(order.alias("o"), attribute.alias("v")))
-    return F.min(present)["v"]
+def _pick(attribute: str, by_order: bool) -> Column:
+    """Smallest non-NULL value, or the one that comes first; on a tie the smaller one."""
+    value = ref(attribute)
+    if not by_order:
+        return F.min(value)
+    placed = F.struct(F.col(_FIRST).alias("at"), value.alias("value"))
+    return F.min(F.when(value.isNotNull(), placed))["value"]
 
 
 def keyed_members(df: DataFrame, spec: DimensionSpec, workspace: Workspace) -> DataFrame:
