@@ -45,6 +45,7 @@ def attach(
 
     ``lookup`` must be unique on ``on``. A NULL key finds nothing, unless
     ``null_safe``. ``size`` is the lookup's size in bytes, measured here if not given.
+    ``lookup`` is read up to three times; store it first if it is expensive.
 
     A lookup within ``broadcast_bytes`` is broadcast. A larger one is joined by
     shuffle: if ``weight`` names the column with the rows per key, keys with at least
@@ -53,8 +54,11 @@ def attach(
     in one task.
     """
     columns = [*on, *take]
+    total = F.lit(0) if weight is None else F.coalesce(F.sum(ref(weight)), F.lit(0))
     if size is None:
-        size = lookup.agg(lookup_bytes(columns, lookup.schema)).first()[0]
+        size, total = lookup.agg(lookup_bytes(columns, lookup.schema), total).first()
+    elif weight is not None and size > broadcast_bytes:
+        total = lookup.agg(total).first()[0]
     keys = [f"_key{i}" for i in range(len(on))]
 
     def side(table: DataFrame, prefix: str, *extra: Column) -> DataFrame:
@@ -81,7 +85,6 @@ def attach(
         idle = ~_all([ref(c).isNotNull() for c in on])
     rest = lookup
     if weight is not None:
-        total = lookup.agg(F.sum(ref(weight))).first()[0] or 0
         is_hot = ref(weight) * hot_keys >= total
         hot = side(lookup.where(is_hot), "_h_", F.lit(True).alias("_hot"))
         df = df.join(F.broadcast(hot), matches("_h_"), "left")

@@ -59,6 +59,7 @@ def dense_rank_in_group(
     starts = placed.groupBy(ref(group)).agg(
         F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_pairs")
     )
+    starts = workspace.store(starts, "starts")
     limits = {"broadcast_bytes": broadcast_bytes, "hot_keys": hot_keys}
     ranks = attach(placed, starts, [group], ["_start"], null_safe=True, weight="_pairs", **limits)
     ranks = ranks.select(
