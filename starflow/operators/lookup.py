@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from starflow.functions.columns import ref, refs
 
 # A lookup is broadcast whole only if its measured size is at most this.
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 128 * 1024 * 1024
 # In the shuffled form a key is hot from 1/HOT_KEYS of all rows on, so there are at
 # most HOT_KEYS hot keys whatever the data; those rows are served by broadcast.
 HOT_KEYS = 10_000

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflow.functions.columns import ref
+from starflow.functions.columns import ref, refs
 from starflow.operators import features as feat
 from starflow.operators.cleaning import CleaningSpec, clean_distinct, metric_exprs
 from starflow.operators.dimensions import DimensionSpec
 from starflow.operators.facts import FactSpec
 from starflow.operators.features import FeatureSpec, enrich
+from starflow.operators.lookup import BROADCAST_BYTES
 from starflow.operators.quality import (
     COPIES,
     DEFAULT_MAX_NULL_PCT,
@@ -22,6 +23,7 @@ from starflow.operators.quality import (
     require_quality,
     with_verdict,
 )
+from starflow.operators.rank import WINDOW_GROUP_ROWS
 from starflow.plans.star import StarSpec, build_star
 from starflow.sources.contract import SchemaContract, column_names, sales_contract
 from starflow.sources.files import CORRUPT, require_rows, scan_csv
@@ -159,19 +161,23 @@ def run_sales(
     *,
     out_dir: str | None = None,
     fmt: str = "parquet",
+    partition_by: Mapping[str, Sequence[str]] | None = None,
     max_null_pct: float = DEFAULT_MAX_NULL_PCT,
     on_breach: str = "warn",
     null_safe_keys: bool = False,
     ordered_key: bool = False,
     workspace: Workspace | None = None,
-    rank_options: Mapping[str, object] | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    window_group_rows: int = WINDOW_GROUP_ROWS,
 ) -> SalesRun:
     """Profile, deduplicate, clean, enrich, model and, given ``out_dir``, write.
 
     ``on_breach="fail"`` raises ``QualityError`` if a column holds too many NULLs;
     ``"warn"`` leaves that to the report. Rows with a text in ``_corrupt_record``, if
     ``raw`` has that column, are set aside. With ``out_dir`` the tables of the result
-    are read back from what was written.
+    are read back from what was written; ``partition_by`` gives the folder columns of a
+    table. ``broadcast_bytes`` bounds every lookup that is broadcast whole, and
+    ``window_group_rows`` the category that may be ranked in one task.
     """
     if on_breach not in ("warn", "fail"):
         raise ValueError(f"on_breach is 'warn' or 'fail', not {on_breach!r}")
@@ -194,7 +200,13 @@ def run_sales(
         require_quality(quality)
 
     cleaned = clean_distinct(staged.drop(COPIES), spec.cleaning)
-    enriched = enrich(cleaned, spec.features, workspace=workspace, **(rank_options or {}))
+    enriched = enrich(
+        cleaned,
+        spec.features,
+        workspace=workspace,
+        broadcast_bytes=broadcast_bytes,
+        window_group_rows=window_group_rows,
+    )
     tables = build_star(
         enriched,
         spec.star,
@@ -202,10 +214,11 @@ def run_sales(
         ordered_key=ordered_key,
         workspace=workspace,
         null_safe_keys=null_safe_keys,
+        broadcast_bytes=broadcast_bytes,
     )
     manifest = None
     if out_dir is not None:
-        manifest = write_tables(tables, out_dir, fmt)
+        manifest = write_tables(tables, out_dir, fmt, partition_by)
         tables = {
             name: _read_back(df, f"{out_dir.rstrip('/')}/{name}", fmt)
             for name, df in tables.items()
@@ -263,5 +276,5 @@ def run_sales_files(
 
 
 def _read_back(df: DataFrame, path: str, fmt: str) -> DataFrame:
-    reader = df.sparkSession.read.schema(df.schema)
-    return reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
+    reader = df.sparkSession.read.schema(df.schema).option("header", True)
+    return reader.format(fmt).load(path).select(*refs(df.columns))

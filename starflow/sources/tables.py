@@ -15,7 +15,13 @@ MANIFEST_SCHEMA = "table string, rows bigint, bytes bigint, path string"
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> int:
-    """Write one table from the executors, replacing what is there; returns its rows."""
+    """Write one table from the executors, replacing what is there; returns its rows.
+
+    With ``partition_by`` the rows are first brought together by those columns, so a
+    folder gets few files; a value that holds much of the table is split over tasks.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     seen = Observation()
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:

@@ -110,6 +110,20 @@ def test_nothing_written_without_a_folder(spark, sf_dir, workspace):
     assert run.manifest is None and run.summary.first()["tables_written"] == 0
 
 
+def test_large_scale_paths_give_the_same_star(spark, sf_dir, run, tmp_path, workspace):
+    """Nothing broadcast whole, no window rank, hot keys apart, fact in date folders."""
+    large = run_sales(
+        flat_sales(spark, sf_dir), SPEC, workspace=workspace, out_dir=str(tmp_path / "out"),
+        partition_by={"fact_sales": ["date_key"]}, broadcast_bytes=0, window_group_rows=0,
+    )
+    assert sum(1 for _ in (tmp_path / "out" / "fact_sales").glob("date_key=*")) > 10
+    for name, table in run.tables.items():
+        expected = table.drop("sale_key")
+        got = large.tables[name].drop("sale_key")
+        assert got.dtypes == expected.dtypes
+        assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+
+
 @pytest.fixture(scope="module")
 def run(spark, sf_dir, tmp_path_factory):
     from starflow.sources.workspace import Workspace
