@@ -48,18 +48,15 @@ def attach(
     ``lookup`` is read up to three times; store it first if it is expensive.
 
     A lookup within ``broadcast_bytes`` is broadcast. A larger one is joined by
-    shuffle: if ``weight`` names the column with the rows per key, keys with at least
-    1/``hot_keys`` of the rows are taken out and broadcast, and rows that are hot, or
-    have a NULL key that cannot match, are spread over the shuffle instead of meeting
-    in one task.
+    shuffle, where keys with at least 1/``hot_keys`` of the rows are taken out and
+    broadcast, and rows that are hot, or have a NULL key that cannot match, are spread
+    over the shuffle instead of meeting in one task. ``weight`` names the column of
+    ``lookup`` with the rows per key; without it they are counted in ``df``.
     """
-    columns = [*on, *take]
-    total = F.lit(0) if weight is None else F.coalesce(F.sum(ref(weight)), F.lit(0))
     if size is None:
-        size, total = lookup.agg(lookup_bytes(columns, lookup.schema), total).first()
-    elif weight is not None and size > broadcast_bytes:
-        total = lookup.agg(total).first()[0]
+        size = lookup.agg(lookup_bytes([*on, *take], lookup.schema)).first()[0]
     keys = [f"_key{i}" for i in range(len(on))]
+    kept = [c for c in df.columns if c not in take]
 
     def side(table: DataFrame, prefix: str, *extra: Column) -> DataFrame:
         return table.select(
@@ -75,42 +72,52 @@ def attach(
         ]
         return _all(tests)
 
-    kept = [c for c in df.columns if c not in take]
     if size <= broadcast_bytes:
         joined = df.join(F.broadcast(side(lookup, "_l_")), matches("_l_"), "left")
         return joined.select(*refs(kept), *[ref("_l_" + c).alias(c) for c in take])
 
-    idle = F.lit(False)
+    hot = side(_hot_rows(df, lookup, on, weight, hot_keys), "_h_", F.lit(True).alias("_hot"))
+    idle = F.col("_hot").isNotNull()
     if not null_safe:
-        idle = ~_all([ref(c).isNotNull() for c in on])
-    rest = lookup
-    if weight is not None:
-        is_hot = ref(weight) * hot_keys >= total
-        hot = side(lookup.where(is_hot), "_h_", F.lit(True).alias("_hot"))
-        df = df.join(F.broadcast(hot), matches("_h_"), "left")
-        idle = idle | F.col("_hot").isNotNull()
-        rest = lookup.where(~F.coalesce(is_hot, F.lit(False)))
+        idle = idle | ~_all([ref(c).isNotNull() for c in on])
     spread = F.when(idle, F.pmod(F.xxhash64(*refs(kept)), F.lit(_SPREAD)) + 1).otherwise(
         F.lit(0).cast("bigint")
     )
     # Always 0, but not a literal: a constant would be folded out of the join keys, and
     # with it the spreading.
     never_spread = F.pmod(F.xxhash64(*refs(on)), F.lit(1))
-    joined = df.withColumn("_spread", spread).join(
-        side(rest, "_l_", never_spread.alias("_l_spread")),
-        matches("_l_") & (F.col("_spread") == F.col("_l_spread")),
-        "left",
+    joined = (
+        df.join(F.broadcast(hot), matches("_h_"), "left")
+        .withColumn("_spread", spread)
+        .join(
+            side(lookup, "_l_", never_spread.alias("_l_spread")),
+            matches("_l_") & (F.col("_spread") == F.col("_l_spread")),
+            "left",
+        )
     )
-    if weight is None:
-        taken = [ref("_l_" + c).alias(c) for c in take]
-    else:
-        taken = [
-            F.when(F.col("_hot").isNotNull(), ref("_h_" + c)).otherwise(ref("_l_" + c)).alias(c)
-            for c in take
-        ]
+    taken = [
+        F.when(F.col("_hot"), ref("_h_" + c)).otherwise(ref("_l_" + c)).alias(c) for c in take
+    ]
     return joined.select(*refs(kept), *taken)
 
 
+def _hot_rows(
+    df: DataFrame, lookup: DataFrame, on: Sequence[str], weight: str | None, hot_keys: int
+) -> DataFrame:
+    """The lookup rows of keys with at least 1/hot_keys of all rows: at most hot_keys."""
+    counts = lookup
+    if weight is None:
+        weight = "_weight"
+        counts = df.groupBy(*refs(on)).agg(F.count(F.lit(1)).alias(weight))
+    total = counts.agg(F.coalesce(F.sum(ref(weight)), F.lit(0))).first()[0]
+    hot = counts.where(ref(weight) * hot_keys >= total)
+    if counts is lookup:
+        return hot
+    same = _all([ref(c).eqNullSafe(ref("_hot_" + c)) for c in on])
+    hot = hot.select(*[ref(c).alias("_hot_" + c) for c in on])
+    return lookup.join(F.broadcast(hot), same, "left_semi")
+
+
 def _all(tests: Sequence[Column]) -> Column:
     out = tests[0]
     for t in tests[1:]:

@@ -51,6 +51,8 @@ def lookup_case():
 MODES = {
     "broadcast": dict(),
     "shuffle": dict(broadcast_bytes=0),
+    "shuffle, counted": dict(broadcast_bytes=0, hot_keys=50),
+    "shuffle, none hot": dict(broadcast_bytes=0, hot_keys=1),
     "shuffle, weighted": dict(broadcast_bytes=0, weight="w", hot_keys=50),
     "shuffle, all hot": dict(broadcast_bytes=0, weight="w", hot_keys=100_000),
 }
