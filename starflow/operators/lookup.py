@@ -53,8 +53,10 @@ def attach(
     over the shuffle instead of meeting in one task. ``weight`` names the column of
     ``lookup`` with the rows per key; without it they are counted in ``df``.
     """
+    weighed = F.lit(None) if weight is None else F.coalesce(F.sum(ref(weight)), F.lit(0))
+    total = None
     if size is None:
-        size = lookup.agg(lookup_bytes([*on, *take], lookup.schema)).first()[0]
+        size, total = lookup.agg(lookup_bytes([*on, *take], lookup.schema), weighed).first()
     keys = [f"_key{i}" for i in range(len(on))]
     kept = [c for c in df.columns if c not in take]
 
@@ -76,7 +78,8 @@ def attach(
         joined = df.join(F.broadcast(side(lookup, "_l_")), matches("_l_"), "left")
         return joined.select(*refs(kept), *[ref("_l_" + c).alias(c) for c in take])
 
-    hot = side(_hot_rows(df, lookup, on, weight, hot_keys), "_h_", F.lit(True).alias("_hot"))
+    hot = _hot_rows(df, lookup, on, weight, total, hot_keys)
+    hot = side(hot, "_h_", F.lit(True).alias("_hot"))
     idle = F.col("_hot").isNotNull()
     if not null_safe:
         idle = idle | ~_all([ref(c).isNotNull() for c in on])
@@ -102,16 +105,22 @@ def attach(
 
 
 def _hot_rows(
-    df: DataFrame, lookup: DataFrame, on: Sequence[str], weight: str | None, hot_keys: int
+    df: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    weight: str | None,
+    total: int | None,
+    hot_keys: int,
 ) -> DataFrame:
     """The lookup rows of keys with at least 1/hot_keys of all rows: at most hot_keys."""
     counts = lookup
     if weight is None:
-        weight = "_weight"
-        counts = df.groupBy(*refs(on)).agg(F.count(F.lit(1)).alias(weight))
-    total = counts.agg(F.coalesce(F.sum(ref(weight)), F.lit(0))).first()[0]
-    hot = counts.where(ref(weight) * hot_keys >= total)
-    if counts is lookup:
+        counts = df.groupBy(*refs(on)).agg(F.count(F.lit(1)).alias("_weight"))
+    n = ref(weight or "_weight")
+    if total is None:
+        total = counts.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
+    hot = counts.where(n * hot_keys >= total)
+    if weight is not None:
         return hot
     same = _all([ref(c).eqNullSafe(ref("_hot_" + c)) for c in on])
     hot = hot.select(*[ref(c).alias("_hot_" + c) for c in on])
