@@ -15,7 +15,7 @@ import re
 import struct
 
 TOKENIZER = "byte_bpe_50k.json"
-_CACHE_WORDS = 600_000
+_CACHE_WORDS = 120_000  # of each generation
 _STOPPED = re.compile(r"([^\W\d_]+)([.,;:!?]+)")
 
 
@@ -40,12 +40,25 @@ def _pack(ids: list[int]) -> bytes:
 
 
 class _Words(dict):
-    """Word to its ids, as little-endian unsigned 32-bit bytes; filled on demand."""
+    """Word to its ids, as little-endian unsigned 32-bit bytes; filled on demand.
+
+    Two generations: a full one becomes the older one, and what is looked up there moves to
+    the new one. So frequent words stay, and memory is bounded.
+    """
 
     def __init__(self, owner: "Encoder", before: str):
-        self.owner, self.before = owner, before
+        self.owner, self.before, self.older = owner, before, {}
+
+    def trim(self) -> None:
+        if len(self) > _CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
 
     def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is not None:
+            self[word] = ids
+            return ids
         if word.isalpha():
             ids = self.owner.piece(self.before + word)
         elif (stopped := _STOPPED.fullmatch(word)) and stopped[1].isalpha():
@@ -102,9 +115,10 @@ class Encoder:
         )
         if not plain:
             return self.whole(text) if text else b""
-        for cache in (self.later, self.first, self.stops):
-            if len(cache) > _CACHE_WORDS:
-                cache.clear()
+        self.later.trim()
+        self.first.trim()
+        if len(self.stops) > _CACHE_WORDS:
+            self.stops.clear()
         first, later, lines = self.first, self.later, []
         for line in text.split("\n"):
             head, *rest = line.split(" ")
