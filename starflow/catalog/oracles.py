@@ -2,9 +2,34 @@
 
 from __future__ import annotations
 
-from starflow.catalog.queries import PROFILE_LIMIT_PCT, TOP_N
-from starflow.plans.sales import DIMENSIONS, TRIMMED_ROLES
-from starflow.sources.contract import SALES_COLUMNS, ROLES
+# Written out here, so that a mistake in the library's own tables shows.
+PROFILE_LIMIT_PCT = 1.5
+TOP_N = 3
+SALES_COLUMNS = (
+    ("month_num", "int"), ("month", "string"), ("year", "int"), ("store_type", "string"),
+    ("category", "string"), ("segment", "string"), ("manufacturer", "string"),
+    ("brand", "string"), ("barcode", "bigint"), ("pack_size", "int"), ("pack_unit", "string"),
+    ("value_sales", "string"), ("units_sales", "string"), ("region", "string"),
+    ("state", "string"), ("city", "string"), ("store_id", "string"), ("product_id", "string"),
+    ("supplier_id", "string"), ("distribution_center", "string"), ("sales_channel", "string"),
+    ("batch_number", "string"), ("lot_number", "string"), ("lead_days", "int"),
+    ("warehouse_id", "string"), ("inventory_status", "string"), ("order_status", "string"),
+    ("data_source", "string"), ("ingestion_timestamp", "string"),
+)
+ROLES = tuple(role for role, _ in SALES_COLUMNS)
+TRIMMED = (
+    "category", "segment", "brand", "manufacturer", "city", "state", "region", "store_type",
+    "sales_channel", "order_status", "inventory_status",
+)
+DIMENSIONS = (
+    ("dim_date", "date_key", ("year", "month_num"), ("month", "Quarter", "YearMonthKey")),
+    ("dim_geography", "geography_key", ("city",), ("state", "region")),
+    ("dim_store", "store_key", ("store_id",), ("store_type", "sales_channel")),
+    ("dim_product", "product_key", ("product_id",),
+     ("barcode", "category", "segment", "manufacturer", "brand", "pack_size", "pack_unit")),
+    ("dim_supplier", "supplier_key", ("supplier_id",), ("distribution_center",)),
+    ("dim_warehouse", "warehouse_key", ("warehouse_id",), ()),
+)
 
 LINES = """
 lines AS (
@@ -70,7 +95,7 @@ def invalid(column: str) -> str:
     return f"count(*) FILTER (WHERE {column} IS NOT NULL AND NOT {is_number(column)})"
 
 
-TRIMS = ", ".join(f"trim({c}, ' ') AS {c}" for c in TRIMMED_ROLES)
+TRIMS = ", ".join(f"trim({c}, ' ') AS {c}" for c in TRIMMED)
 CLEAN_CELLS = f"""* REPLACE (
   {as_double('value_sales')} AS value_sales, {as_bigint('units_sales')} AS units_sales,
   coalesce(warehouse_id, 'UNKNOWN') AS warehouse_id, {TRIMS})"""
@@ -129,7 +154,38 @@ IDS = "batch_number, lot_number, product_id, supplier_id"
 FLAT_NAMES = ", ".join(ROLES)
 CSV_CELLS = ", ".join(
     f"nullif({role}, '') AS {role}" if kind == "string" else role
-    for role, _, kind in SALES_COLUMNS
+    for role, kind in SALES_COLUMNS
+)
+# The dirty lines as a lenient reader sees them: cut lines end behind the lot number, a text
+# in place of the pack size is NULL.
+BEHIND_LOT = ROLES[ROLES.index("lot_number") + 1 :]
+
+
+def _line_cell(role: str, kind: str) -> str:
+    cell = f"nullif({role}, '')" if kind == "string" else role
+    if role in BEHIND_LOT:
+        return f"CASE WHEN l_orderkey % 97 <> 0 THEN {cell} END AS {role}"
+    if role == "pack_size":
+        return f"CASE WHEN l_orderkey % 97 <> 1 THEN {cell} END AS {role}"
+    return f"{cell} AS {role}"
+
+
+KEPT_LINES = ", ".join(_line_cell(role, kind) for role, kind in SALES_COLUMNS)
+# The awkward texts of the CSV round trip, as DuckDB literals.
+AWKWARD = (
+    "concat('one', chr(10), 'two')", "'say \"so\"'", "'back\\slash'", "'\\\"'", "'a,b'", "''",
+    "' blanks '", "chr(10)", "'\"'", "concat('x\\', chr(10), 'y')",
+)
+AWKWARD_TEXT = f"list_extract([{', '.join(AWKWARD)}], n % {len(AWKWARD)} + 1)"
+AWKWARD_CELLS = ", ".join(
+    f"CASE WHEN n % 7 = 0 THEN {AWKWARD_TEXT} WHEN n % 7 <> 1 THEN concat({c}, {AWKWARD_TEXT}) "
+    f"END AS {c}"
+    for c in ("order_status", "lot_number", "store_id", "supplier_id")
+)
+# The same star from the dirty lines.
+FROM_LINES = (
+    f"WITH {LINES.replace('uniq AS (SELECT DISTINCT * FROM flat)', '')}"
+    f"uniq AS (SELECT DISTINCT {KEPT_LINES} FROM keyed),{CLEAN},{ENRICHED}{DIMS}{FACT}\n"
 )
 
 
@@ -181,7 +237,8 @@ def metrics(rows: str = "flat", distinct: str = "uniq") -> str:
 
 
 def summary(written: int, set_aside: str) -> str:
-    return f"""SELECT rows_before AS rows_loaded, rows_after, duplicates_removed, rows_dropped,
+    return f"""SELECT CAST(rows_before + {set_aside} AS BIGINT) AS rows_loaded, rows_after,
+ duplicates_removed, CAST({set_aside} AS BIGINT) AS rows_dropped,
  filled_warehouse_id AS nulls_filled, invalid_value_sales + invalid_units_sales
  AS invalid_numbers, CAST(6 AS INT) AS dimension_tables, CAST(1 AS INT) AS fact_tables,
  CAST({written} AS INT) AS tables_written, CAST({set_aside} AS BIGINT) AS rows_quarantined
@@ -256,13 +313,13 @@ ORACLES: dict[str, str] = {
     "dim_store_first_by_batch": ON_CELLS
     + """SELECT row_number() OVER (ORDER BY store_id) AS store_key, store_id, store_type,
  sales_channel FROM (SELECT store_id,
-  arg_min(store_type, (batch_number, store_type)) AS store_type,
-  arg_min(sales_channel, (batch_number, sales_channel)) AS sales_channel
- FROM cells GROUP BY store_id)""",
-    "dim_product_hash": ON_FLAT
-    + """SELECT 'product_id' AS key, count(DISTINCT product_id) AS rows,
- count(DISTINCT product_id) AS distinct_keys, true AS passed FROM flat UNION ALL
- SELECT 'product_key', count(DISTINCT product_id), count(DISTINCT product_id), true FROM flat""",
+  arg_min(store_type, (batch_number LIKE '%3', batch_number, store_type)) AS store_type,
+  arg_min(sales_channel, (batch_number LIKE '%3', batch_number, sales_channel)) AS sales_channel
+ FROM (SELECT * REPLACE (CASE WHEN batch_number LIKE '%3' THEN 'B3' ELSE batch_number END
+   AS batch_number) FROM cells) GROUP BY store_id)""",
+    "dim_product_hash": ON_CELLS
+    + """SELECT product_id, min(category) AS category, min(brand) AS brand,
+ CAST(1 AS BIGINT) AS key_members FROM cells GROUP BY product_id""",
     "dimension_uniqueness": ON_STAR
     + " UNION ALL ".join(
         f"SELECT '{d[0]}' AS dim, count(*) AS rows, "
@@ -272,7 +329,7 @@ ORACLES: dict[str, str] = {
     ),
     "duplicate_natural_keys": ON_FLAT
     + "SELECT product_id, count(*) AS rows FROM flat GROUP BY product_id "
-    "HAVING count(*) > 1 ORDER BY rows DESC, product_id LIMIT 20",
+    "HAVING count(*) > 1",
     "duplicate_natural_keys_all": ON_FLAT
     + "SELECT city, state, count(*) AS rows FROM flat GROUP BY city, state HAVING count(*) > 1",
     "fact_sales": ON_STAR + "SELECT * FROM fact",
@@ -291,10 +348,34 @@ ORACLES: dict[str, str] = {
     "null_safe_keys": ON_FLAT + UNMATCHED.format(n="CAST(0 AS BIGINT)"),
     "star_manifest": ON_STAR + _widths(),
     "curated_roundtrip": ON_STAR + "SELECT * FROM fact",
-    "curated_roundtrip_csv": ON_STAR + "SELECT * FROM fact",
-    "export_manifest": ON_STAR + table_rows(", true AS has_bytes"),
+    "curated_roundtrip_csv": ON_FLAT
+    + f""", awkward AS (SELECT * REPLACE ({AWKWARD_CELLS}) FROM
+  (SELECT *, CAST(substr(batch_number, 2) AS BIGINT) AS n FROM flat)),
+ awkward_uniq AS (SELECT DISTINCT * EXCLUDE (n) FROM awkward)
+ SELECT trim(order_status, ' ') AS order_status, lot_number, store_id, supplier_id,
+  {as_double('value_sales')} AS value_sales, {as_bigint('units_sales')} AS units_sales
+ FROM awkward_uniq""",
+    "export_manifest": ON_STAR + table_rows(", count(*) AS rows_read, true AS has_bytes"),
     "run_summary": ON_FLAT + f", metrics AS ({metrics()}) " + summary(7, "0"),
     "run_summary_from_csv": ON_FLAT
+    + f""", kept AS (SELECT {KEPT_LINES} FROM keyed),
+ kept_uniq AS (SELECT DISTINCT * FROM kept), metrics AS ({metrics('kept', 'kept_uniq')}) """
+    + summary(0, "0"),
+    "fact_from_csv": FROM_LINES + "SELECT * FROM fact",
+    "quarantine_written": ON_FLAT
+    + "SELECT batch_number, lot_number, count(*) AS lines FROM keyed "
+    "WHERE l_orderkey % 97 IN (0, 1) GROUP BY l_orderkey, batch_number, lot_number, "
+    + ", ".join(r for r in ROLES if r not in ("batch_number", "lot_number")),
+    "run_missing_required": ON_FLAT
+    + f", kept AS (SELECT {KEPT_LINES} FROM keyed) "
+    + 'SELECT "column", null_count FROM ('
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM kept"
+        for c in ROLES
+        if c != "warehouse_id"
+    )
+    + ") WHERE null_count > 0",
+    "run_summary_quarantined": ON_FLAT
     + f""", good AS (SELECT {CSV_CELLS} FROM keyed WHERE l_orderkey % 97 NOT IN (0, 1)),
  good_uniq AS (SELECT DISTINCT * FROM good), metrics AS ({metrics('good', 'good_uniq')}) """
     + summary(0, "(SELECT count(*) FROM flat) - (SELECT count(*) FROM good)"),

@@ -56,9 +56,10 @@ def dimension_members(df: DataFrame, spec: DimensionSpec) -> DataFrame:
     if not spec.attributes:
         return df.groupBy(*keys).agg(rows)
     # Merge to the distinct combinations first, by hash: picking a text value takes a
-    # sorting aggregate, which then only sees what is left.
-    order = [] if spec.first_by is None else [F.min(ref(spec.first_by)).alias(_FIRST)]
-    combinations = df.groupBy(*keys, *refs(spec.attributes)).agg(rows, *order)
+    # sorting aggregate, which then only sees what is left. The order is one more column of
+    # the combination, not an aggregate, for the same reason.
+    order = [] if spec.first_by is None else [ref(spec.first_by).alias(_FIRST)]
+    combinations = df.groupBy(*keys, *refs(spec.attributes), *order).agg(rows)
     return combinations.groupBy(*keys).agg(
         *[_pick(a, by_order=bool(order)).alias(a) for a in spec.attributes],
         F.sum(MEMBER_ROWS).alias(MEMBER_ROWS),
@@ -66,11 +67,15 @@ def dimension_members(df: DataFrame, spec: DimensionSpec) -> DataFrame:
 
 
 def _pick(attribute: str, by_order: bool) -> Column:
-    """Smallest non-NULL value, or the one that comes first; on a tie the smaller one."""
+    """Smallest non-NULL value, or the one that comes first; on a tie the smaller one.
+
+    A row whose order is NULL comes after all others.
+    """
     value = ref(attribute)
     if not by_order:
         return F.min(value)
-    placed = F.struct(F.col(_FIRST).alias("at"), value.alias("value"))
+    at = F.col(_FIRST)
+    placed = F.struct(at.isNull().alias("last"), at.alias("at"), value.alias("value"))
     return F.min(F.when(value.isNotNull(), placed))["value"]
 
 
@@ -129,33 +134,33 @@ def check_unique(dimensions: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> D
     return key_statistics(dimensions).drop("key_bytes")
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str], limit: int | None = SHOWN_KEYS) -> DataFrame:
-    """Keys that occur more than once with their count, most frequent first.
-
-    ``limit`` shortens the report; None gives all of them.
-    """
+def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All keys that occur more than once with their count, most frequent first."""
     counted = df.groupBy(*refs(keys)).agg(F.count(F.lit(1)).alias("rows"))
-    report = counted.where(F.col("rows") > 1)
-    if limit is None:
-        return report
     order = [F.col("rows").desc(), *[ref(k).asc_nulls_first() for k in keys]]
-    return report.orderBy(*order).limit(limit)
+    return counted.where(F.col("rows") > 1).orderBy(*order)
 
 
 def require_unique(
     dimensions: Mapping[str, tuple[DataFrame, Sequence[str]]],
+    shown: int = SHOWN_KEYS,
 ) -> dict[str, dict[str, int]]:
-    """Check all dimensions, then raise once, naming every failing one with up to 20
-    of its keys. Returns {dim: {rows, distinct_keys, key_bytes}} if all pass."""
+    """Check all dimensions, then raise once, naming every failing one with the number of
+    its duplicate keys and up to ``shown`` of them. Returns {dim: {rows, distinct_keys,
+    key_bytes}} if all pass."""
     stats = {r["dim"]: r.asDict() for r in key_statistics(dimensions).collect()}
     problems = []
     for name, (df, keys) in dimensions.items():
         if stats[name]["passed"]:
             continue
-        problems.append(f"{name} is not unique on ({', '.join(keys)}):")
-        for row in duplicate_keys(df, keys).collect():
-            shown = ", ".join(f"{k}={row[k]!r}" for k in keys)
-            problems.append(f"  {shown}: {row['rows']} rows")
+        report = duplicate_keys(df, keys)
+        examples, total = report.limit(shown).collect(), report.count()
+        problems.append(f"{name} is not unique on ({', '.join(keys)}), {total} keys repeat:")
+        for row in examples:
+            key = ", ".join(f"{k}={row[k]!r}" for k in keys)
+            problems.append(f"  {key}: {row['rows']} rows")
+        if total > len(examples):
+            problems.append(f"  and {total - len(examples)} more")
     if problems:
         raise DuplicateKeyError("\n".join(problems))
     return stats

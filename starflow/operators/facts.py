@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from starflow.functions.columns import ref, refs, require_columns
 from starflow.operators.dimensions import MEMBER_ROWS, DimensionSpec
 from starflow.operators.keys import number_by_order
-from starflow.operators.lookup import BROADCAST_BYTES, HOT_KEYS, attach
+from starflow.operators.lookup import BROADCAST_BYTES, HOT_KEYS, attach, lookup_bytes
 from starflow.sources.workspace import Workspace
 
 
@@ -33,14 +33,28 @@ def attach_keys(
     sizes: Mapping[str, int] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_keys: int = HOT_KEYS,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join the surrogate key of every dimension; the grain does not change.
 
+    ``broadcast_bytes`` bounds what all lookups broadcast together: the smallest are
+    broadcast first, and those for which nothing is left are joined by shuffle.
+
     With ``null_safe_keys`` a row whose natural key is NULL is linked to the
     dimension's NULL member; without, it has no key.
     """
-    for spec in specs:
+    if sizes is None:
+        sizes = {
+            s.name: dimensions[s.name]
+            .agg(lookup_bytes([*s.natural_keys, s.key], dimensions[s.name].schema))
+            .first()[0]
+            for s in specs
+        }
+    left = broadcast_bytes
+    for spec in sorted(specs, key=lambda s: sizes[s.name]):
         dim = dimensions[spec.name]
+        whole = sizes[spec.name] <= left
+        left -= sizes[spec.name] if whole else 0
         df = attach(
             df,
             dim,
@@ -48,9 +62,10 @@ def attach_keys(
             [spec.key],
             null_safe=null_safe_keys,
             weight=MEMBER_ROWS if MEMBER_ROWS in dim.columns else None,
-            size=None if sizes is None else sizes[spec.name],
-            broadcast_bytes=broadcast_bytes,
+            size=sizes[spec.name],
+            broadcast_bytes=sizes[spec.name] if whole else -1,
             hot_keys=hot_keys,
+            spread_by=spread_by,
         )
     return df
 
@@ -78,6 +93,8 @@ def build_fact(
     naturals = [k for spec in specs for k in spec.natural_keys]
     needed = list(dict.fromkeys([*sources, *naturals, *([row_id] if row_id else [])]))
     require_columns(df, needed)
+    if row_id:
+        attach_options.setdefault("spread_by", [row_id])
     linked = attach_keys(df.select(*refs(needed)), dimensions, specs, **attach_options)
     body = [
         *refs([spec.key for spec in specs]),
@@ -86,10 +103,11 @@ def build_fact(
     if not ordered_key:
         key = ref(row_id) if row_id else F.monotonically_increasing_id()
         return linked.select(key.alias(fact.key), *body)
-    # Identical rows may be many; a stored row id keeps them from sharing one range.
+    # Identical rows may be many; a row id keeps them from sharing one range. Stored, since
+    # the sort reads its input twice: once to choose the ranges.
     workspace = workspace or Workspace(df.sparkSession)
     if row_id:
-        rows = linked.select(*body, ref(row_id).alias("_tie"))
+        rows = workspace.store(linked.select(*body, ref(row_id).alias("_tie")), fact.name)
     else:
         rows = workspace.store(linked.select(*body), fact.name, row_id="_tie")
     order = [ref(c).asc_nulls_first() for c in rows.columns]

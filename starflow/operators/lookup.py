@@ -18,6 +18,9 @@ HOT_KEYS = 10_000
 # How many ways rows that need no partner are spread in the shuffled form.
 _SPREAD = 4096
 _ROW_OVERHEAD = 32
+# The hot rows are broadcast only up to this size.
+HOT_BYTES = 32 * 1024 * 1024
+_RESERVED = ("_spread", "_hot", "_weight")
 
 
 def lookup_bytes(columns: Sequence[str], schema: T.StructType) -> Column:
@@ -40,6 +43,7 @@ def attach(
     size: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_keys: int = HOT_KEYS,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join ``take`` from ``lookup``; every row of ``df`` comes out exactly once.
 
@@ -50,9 +54,13 @@ def attach(
     A lookup within ``broadcast_bytes`` is broadcast. A larger one is joined by
     shuffle, where keys with at least 1/``hot_keys`` of the rows are taken out and
     broadcast, and rows that are hot, or have a NULL key that cannot match, are spread
-    over the shuffle instead of meeting in one task. ``weight`` names the column of
-    ``lookup`` with the rows per key; without it they are counted in ``df``.
+    over the shuffle instead of meeting in one task: by a hash of ``spread_by``, such as a
+    row id, or else of all columns, so that identical rows stay together. ``weight`` names
+    the column of ``lookup`` with the rows per key; without it they are counted in ``df``.
     """
+    clashes = [c for c in df.columns if c in _RESERVED or c.startswith(("_l_", "_h_"))]
+    if clashes:
+        raise ValueError(f"column names used by the lookup itself: {clashes}")
     weighed = F.lit(None) if weight is None else F.coalesce(F.sum(ref(weight)), F.lit(0))
     total = None
     if size is None:
@@ -79,13 +87,17 @@ def attach(
         return joined.select(*refs(kept), *[ref("_l_" + c).alias(c) for c in take])
 
     hot = _hot_rows(df, lookup, on, weight, total, hot_keys)
+    held = hot.agg(lookup_bytes([*on, *take], lookup.schema)).first()[0]
+    while hot_keys > 1 and held > HOT_BYTES:  # fewer and hotter keys, if they are wide
+        hot_keys = max(1, hot_keys // 4)
+        hot = _hot_rows(df, lookup, on, weight, total, hot_keys)
+        held = hot.agg(lookup_bytes([*on, *take], lookup.schema)).first()[0]
     hot = side(hot, "_h_", F.lit(True).alias("_hot"))
     idle = F.col("_hot").isNotNull()
     if not null_safe:
         idle = idle | ~_all([ref(c).isNotNull() for c in on])
-    spread = F.when(idle, F.pmod(F.xxhash64(*refs(kept)), F.lit(_SPREAD)) + 1).otherwise(
-        F.lit(0).cast("bigint")
-    )
+    spread = F.pmod(F.xxhash64(*refs(kept if spread_by is None else spread_by)), F.lit(_SPREAD))
+    spread = F.when(idle, spread + 1).otherwise(F.lit(0).cast("bigint"))
     # Always 0, but not a literal: a constant would be folded out of the join keys, and
     # with it the spreading.
     never_spread = F.pmod(F.xxhash64(*refs(on)), F.lit(1))

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflow.functions.columns import ref, refs
+from starflow.functions.columns import ref, require_columns
 from starflow.operators import features as feat
 from starflow.operators.cleaning import CleaningSpec, clean_distinct, metric_exprs
 from starflow.operators.dimensions import DimensionSpec
@@ -24,10 +24,10 @@ from starflow.operators.quality import (
     with_verdict,
 )
 from starflow.operators.rank import WINDOW_GROUP_ROWS
-from starflow.plans.star import StarSpec, build_star
+from starflow.plans.star import StarSpec, build_star, table_counts
 from starflow.sources.contract import SchemaContract, column_names, sales_contract
 from starflow.sources.files import CORRUPT, require_rows, scan_csv
-from starflow.sources.tables import write_tables
+from starflow.sources.tables import read_table, write_table, write_tables
 from starflow.sources.workspace import Workspace
 
 ROW_ID = "_row_id"
@@ -124,8 +124,10 @@ def sales_spec(
 class SalesRun:
     """What a run leaves behind.
 
-    ``quality``, ``cleaning`` and ``summary`` have one row each. ``quarantine`` holds
-    the distinct malformed rows with their text and how often each occurred.
+    ``quality``, ``cleaning`` and ``summary`` have one row each. ``missing`` has the required
+    columns that hold NULLs, ``counts`` the rows and columns of each table, ``features`` how
+    each derived column is computed. ``quarantine`` holds the distinct malformed rows with
+    their text and how often each occurred.
     """
 
     tables: dict[str, DataFrame]
@@ -134,6 +136,9 @@ class SalesRun:
     manifest: DataFrame | None
     summary: DataFrame
     staging: DataFrame = field(repr=False)
+    missing: DataFrame
+    counts: DataFrame
+    features: DataFrame
     quarantine: DataFrame | None = None
 
 
@@ -155,10 +160,16 @@ def intake_metrics(staged: DataFrame, spec: SalesSpec, max_null_pct: float) -> D
     return with_verdict(report, max_null_pct)
 
 
+class MissingValueError(ValueError):
+    """A required column that holds NULLs, where the caller asked to stop on one."""
+
+
 def run_sales(
     raw: DataFrame,
     spec: SalesSpec | None = None,
     *,
+    required: Sequence[str] = (),
+    on_missing: str = "warn",
     out_dir: str | None = None,
     fmt: str = "parquet",
     partition_by: Mapping[str, Sequence[str]] | None = None,
@@ -173,14 +184,21 @@ def run_sales(
     """Profile, deduplicate, clean, enrich, model and, given ``out_dir``, write.
 
     ``on_breach="fail"`` raises ``QualityError`` if a column holds too many NULLs;
-    ``"warn"`` leaves that to the report. Rows with a text in ``_corrupt_record``, if
-    ``raw`` has that column, are set aside. With ``out_dir`` the tables of the result
+    ``"warn"`` leaves that to the report. ``required`` names columns that may not hold any;
+    ``on_missing="fail"`` raises ``MissingValueError``. Rows with a text in
+    ``_corrupt_record``, if ``raw`` has that column, are set aside, counted as dropped, and,
+    given ``out_dir``, written to ``out_dir/quarantine`` as Parquet. With ``out_dir`` the tables of the result
     are read back from what was written; ``partition_by`` gives the folder columns of a
     table. ``broadcast_bytes`` bounds every lookup that is broadcast whole, and
     ``window_group_rows`` the category that may be ranked in one task.
     """
     if on_breach not in ("warn", "fail"):
         raise ValueError(f"on_breach is 'warn' or 'fail', not {on_breach!r}")
+    if on_missing not in ("warn", "fail"):
+        raise ValueError(f"on_missing is 'warn' or 'fail', not {on_missing!r}")
+    if clashes := [c for c in raw.columns if c in (ROW_ID, COPIES)]:
+        raise ValueError(f"column names used by the run itself: {clashes}")
+    require_columns(raw, required)
     spark = raw.sparkSession
     spec = spec or sales_spec()
     workspace = workspace or Workspace(spark)
@@ -190,6 +208,10 @@ def run_sales(
     set_aside = F.lit(0).cast("bigint")
     if CORRUPT in raw.columns:
         quarantine = staged.where(ref(CORRUPT).isNotNull()).drop(ROW_ID)
+        if out_dir is not None:
+            path = f"{out_dir.rstrip('/')}/quarantine"
+            write_table(quarantine, path)
+            quarantine = read_table(spark, path, quarantine.schema)
         set_aside = quarantine.agg(F.coalesce(F.sum(COPIES), F.lit(0))).scalar()
         staged = staged.where(ref(CORRUPT).isNull()).drop(CORRUPT)
     metrics = workspace.store(intake_metrics(staged, spec, max_null_pct), "metrics")
@@ -198,18 +220,27 @@ def run_sales(
     )
     if on_breach == "fail":
         require_quality(quality)
+    missing = metrics.select(F.inline("nulls")).select("column", "null_count")
+    missing = missing.where(F.col("column").isin(*required) & (F.col("null_count") > 0))
+    if on_missing == "fail" and (rows := missing.collect()):
+        found = ", ".join(f"{r['column']}: {r['null_count']}" for r in rows)
+        raise MissingValueError(f"NULLs in required columns: {found}")
 
     cleaned = clean_distinct(staged.drop(COPIES), spec.cleaning)
+    # No dimension has a rank, so the dimensions read rows without one.
+    unranked = feat.add_calendar(cleaned, spec.features.month, spec.features.year)
     enriched = enrich(
         cleaned,
         spec.features,
         workspace=workspace,
         broadcast_bytes=broadcast_bytes,
         window_group_rows=window_group_rows,
+        row_id=ROW_ID,
     )
     tables = build_star(
-        enriched,
+        unranked,
         spec.star,
+        fact_rows=enriched,
         row_id=ROW_ID,
         ordered_key=ordered_key,
         workspace=workspace,
@@ -220,17 +251,21 @@ def run_sales(
     if out_dir is not None:
         manifest = write_tables(tables, out_dir, fmt, partition_by)
         tables = {
-            name: _read_back(df, f"{out_dir.rstrip('/')}/{name}", fmt)
+            name: read_table(spark, f"{out_dir.rstrip('/')}/{name}", df.schema, fmt)
             for name, df in tables.items()
         }
     invalid = [F.col(f"`invalid_{c}`") for c in spec.cleaning.numbers]
     filled = [F.col(f"`filled_{c}`") for c in spec.cleaning.fills]
-    kept = ["rows_before", "rows_after", "duplicates_removed", "rows_dropped"]
+    # Every row read is among rows_before: it stays, is a repeat, or was set aside.
+    counted = [
+        (F.col("rows_before") + set_aside).alias("rows_before"),
+        F.col("rows_after"),
+        F.col("duplicates_removed"),
+        (F.col("rows_dropped") + set_aside).alias("rows_dropped"),
+    ]
     summary = metrics.select(
-        F.col("rows_before").alias("rows_loaded"),
-        "rows_after",
-        "duplicates_removed",
-        "rows_dropped",
+        counted[0].alias("rows_loaded"),
+        *counted[1:],
         sum(filled, F.lit(0)).alias("nulls_filled"),
         sum(invalid, F.lit(0)).alias("invalid_numbers"),
         F.lit(len(spec.star.dimensions)).alias("dimension_tables"),
@@ -241,10 +276,13 @@ def run_sales(
     return SalesRun(
         tables=tables,
         quality=quality,
-        cleaning=metrics.select(*kept, *invalid, *filled),
+        cleaning=metrics.select(*counted, *invalid, *filled),
         manifest=manifest,
         summary=summary,
         staging=enriched,
+        missing=missing,
+        counts=table_counts(tables),
+        features=feat.feature_catalog(spark, spec.features),
         quarantine=quarantine,
     )
 
@@ -256,25 +294,19 @@ def run_sales_files(
     contract: SchemaContract | None = None,
     *,
     header: bool = True,
-    on_malformed: str = "quarantine",
+    on_malformed: str = "keep",
     **options,
 ) -> SalesRun:
-    """``run_sales`` over CSV files under a contract.
+    """``run_sales`` over CSV files under a contract, whose required columns it checks.
 
-    Malformed rows are found by the same scan that feeds the deduplication, which
-    parses every column: the files are read once. ``on_malformed="keep"`` leaves such
-    rows in, with NULL in the bad cells.
+    Malformed rows stay in, with NULL in the bad cells. With ``on_malformed="quarantine"``
+    they are set aside instead; they are found by the same scan that feeds the deduplication,
+    which parses every column, so the files are read once.
     """
     if on_malformed not in ("quarantine", "keep"):
         raise ValueError(f"on_malformed is 'quarantine' or 'keep', not {on_malformed!r}")
     corrupt = CORRUPT if on_malformed == "quarantine" else None
-    raw = scan_csv(
-        spark, path, contract or sales_contract(), header=header, corrupt_record=corrupt
-    )
+    contract = contract or sales_contract()
+    raw = scan_csv(spark, path, contract, header=header, corrupt_record=corrupt)
     require_rows(raw, path)
-    return run_sales(raw, spec, **options)
-
-
-def _read_back(df: DataFrame, path: str, fmt: str) -> DataFrame:
-    reader = df.sparkSession.read.schema(df.schema).option("header", True)
-    return reader.format(fmt).load(path).select(*refs(df.columns))
+    return run_sales(raw, spec, **{"required": contract.required, **options})

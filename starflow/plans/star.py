@@ -9,7 +9,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starflow.functions.columns import refs
 from starflow.functions.jobs import run_together
 from starflow.operators.dimensions import (
     MEMBER_ROWS,
@@ -18,6 +17,7 @@ from starflow.operators.dimensions import (
     require_unique,
 )
 from starflow.operators.facts import FactSpec, build_fact
+from starflow.operators.lookup import attach
 from starflow.sources.workspace import Workspace
 
 
@@ -49,13 +49,16 @@ def build_star(
     row_id: str | None = None,
     ordered_key: bool = False,
     workspace: Workspace | None = None,
+    fact_rows: DataFrame | None = None,
     **attach_options,
 ) -> dict[str, DataFrame]:
     """{table name: DataFrame}: the fact first, then the dimensions.
 
     The gate runs before any join: a dimension that is not unique on its natural key,
     or on a hashed surrogate key, raises ``DuplicateKeyError``. ``df`` is read once
-    per dimension and once for the fact; store it first if it is expensive.
+    per dimension and once for the fact; store it first if it is expensive. What only the
+    fact needs, such as a rank, can be left out of ``df`` and be in ``fact_rows`` instead: the same
+    rows with more columns.
     """
     workspace = workspace or Workspace(df.sparkSession)
     members = build_dimensions(df, spec.dimensions, workspace)
@@ -67,14 +70,15 @@ def build_star(
     }
     stats = require_unique({**gate, **hashed})
     fact = build_fact(
-        df,
+        df if fact_rows is None else fact_rows,
         members,
         spec.dimensions,
         spec.fact,
         row_id=row_id,
         ordered_key=ordered_key,
         workspace=workspace,
-        sizes={name: stats[name]["key_bytes"] for name in gate},
+        # The surrogate key is sent along with the natural key.
+        sizes={name: stats[name]["key_bytes"] + 8 * stats[name]["rows"] for name in gate},
         **attach_options,
     )
     return {spec.fact.name: fact, **{n: m.drop(MEMBER_ROWS) for n, m in members.items()}}
@@ -96,9 +100,27 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def join_star(
     tables: Mapping[str, DataFrame], spec: StarSpec, dimensions: Sequence[str]
 ) -> DataFrame:
-    """The fact with the columns of some dimensions, joined on the surrogate keys."""
-    df = tables[spec.fact.name]
+    """The fact with the columns of some dimensions, looked up by the surrogate keys.
+
+    Aggregate the fact by those keys first where the query allows it.
+    """
+    return attach_dimensions(tables[spec.fact.name], tables, spec, dimensions)
+
+
+def attach_dimensions(
+    df: DataFrame,
+    tables: Mapping[str, DataFrame],
+    spec: StarSpec,
+    dimensions: Sequence[str],
+    **attach_options,
+) -> DataFrame:
+    """Rows that carry surrogate keys, with the columns of some dimensions.
+
+    A dimension is broadcast only within a measured size; beyond it hot members are handled
+    apart and rows without a key are spread.
+    """
     for d in spec.dimensions:
         if d.name in dimensions:
-            df = df.join(tables[d.name].select(*refs(d.columns)), d.key, "left")
+            take = [c for c in d.columns if c != d.key]
+            df = attach(df, tables[d.name], [d.key], take, **attach_options)
     return df

@@ -74,14 +74,14 @@ def read_contract(
     contract: SchemaContract,
     *,
     header: bool = True,
-    on_malformed: str = "quarantine",
+    on_malformed: str = "keep",
     workspace: Workspace | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """(good, bad) rows of a CSV source; raises ``EmptySourceError`` if it has no row.
 
-    ``"quarantine"`` moves rows with too few or too many cells, or with a cell that
-    does not parse, to ``bad``, with their text in ``_corrupt_record``. ``"keep"``
-    leaves them in ``good`` with NULL in the bad cells; ``bad`` is then None.
+    ``"keep"`` leaves rows with too few or too many cells, or with a cell that does not
+    parse, in ``good`` with NULL in the bad cells; ``bad`` is then None. ``"quarantine"``
+    moves them to ``bad``, with their text in ``_corrupt_record``.
     """
     if on_malformed == "keep":
         good = scan_csv(spark, path, contract, header=header)

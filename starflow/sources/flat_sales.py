@@ -28,15 +28,6 @@ TABLES = {
 }
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a scan with fewer splits than cores, such as one small file.
-
-    A large table has more splits than that and is left as it is: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def flat_sales(spark: SparkSession, sf_dir: str, order_key: bool = False) -> DataFrame:
     """The 29 sales columns under their role names, one row per line item, some twice.
 
@@ -48,7 +39,7 @@ def flat_sales(spark: SparkSession, sf_dir: str, order_key: bool = False) -> Dat
 
     key, qty = F.col(ORDER_KEY), F.col("l_quantity").cast("int")
     price = F.floor("l_extendedprice").cast("bigint")
-    lines = _spread(table("lineitem")).select(
+    lines = table("lineitem").select(
         ORDER_KEY,
         F.col("l_partkey").alias("p_partkey"),
         F.col("l_suppkey").alias("s_suppkey"),

@@ -1,41 +1,76 @@
-"""Writing the finished tables, with a manifest of what was written."""
+"""Writing the finished tables, with a manifest of what can be read back."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from starflow.functions.columns import ref, refs
 from starflow.functions.jobs import run_together
 
 MANIFEST_SCHEMA = "table string, rows bigint, bytes bigint, path string"
+# How NULL is written in a CSV table. A text that is just this cannot be told from NULL, so
+# writing it is an error.
+NULL_MARK = "\\N"
+# Every cell is quoted and a quote is doubled, so blanks, line breaks, quotes, backslashes and
+# the empty text come back as they were. Reader and writer use the same options.
+CSV_OPTIONS = {
+    "header": True,
+    "quoteAll": True,
+    "escape": '"',
+    "nullValue": NULL_MARK,
+    "emptyValue": "",
+    "lineSep": "\n",
+    "multiLine": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
+class UnwritableTextError(ValueError):
+    """A text that a CSV table could not give back."""
 
 
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
-) -> int:
-    """Write one table from the executors, replacing what is there; returns its rows.
+) -> None:
+    """Write one table from the executors, replacing what is there.
 
     With ``partition_by`` the rows are first brought together by those columns, so a
-    folder gets few files; a value that holds much of the table is split over tasks.
+    folder gets few files; a value that holds much of the table is split over tasks. A
+    carriage return, or a text that is the NULL mark, cannot be kept by CSV and raises
+    ``UnwritableTextError`` once the table is written.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer = (
-            writer.option("header", True)
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-        )
+        texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+        lost = [(ref(c) == NULL_MARK) | ref(c).contains("\r") for c in texts]
+        seen = Observation()
+        bad = reduce(lambda a, b: a | b, [F.coalesce(x, F.lit(False)) for x in lost], F.lit(False))
+        df = df.observe(seen, F.count_if(bad).alias("bad"))
     elif fmt != "parquet":
         raise ValueError(f"fmt is 'parquet' or 'csv', not {fmt!r}")
-    writer.format(fmt).save(path)
-    return seen.get["rows"]
+    writer = df.write.mode("overwrite").format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if fmt == "csv":
+        writer = writer.options(**CSV_OPTIONS)
+    writer.save(path)
+    if fmt == "csv" and seen.get["bad"]:
+        raise UnwritableTextError(f"{path}: CSV cannot keep {seen.get['bad']} texts; use Parquet")
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """A table as ``write_table`` left it. A CSV row that does not fit is an error."""
+    reader = spark.read.schema(schema).format(fmt)
+    if fmt == "csv":
+        reader = reader.options(**CSV_OPTIONS).option("mode", "FAILFAST")
+    return reader.load(path).select(*refs(schema.names))
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
@@ -52,7 +87,7 @@ def write_tables(
 ) -> DataFrame:
     """Write ``directory/<table>`` for every table.
 
-    Returns the manifest (table, rows, bytes, path). Rows are counted while writing.
+    Returns the manifest (table, rows, bytes, path). Rows are counted in what is read back.
     """
     if not tables:
         raise ValueError("no table given")
@@ -60,7 +95,8 @@ def write_tables(
 
     def write(name: str) -> tuple[str, int, int, str]:
         path = f"{directory.rstrip('/')}/{name}"
-        rows = write_table(tables[name], path, fmt, (partition_by or {}).get(name, ()))
+        write_table(tables[name], path, fmt, (partition_by or {}).get(name, ()))
+        rows = read_table(spark, path, tables[name].schema, fmt).count()
         return name, rows, stored_bytes(spark, path), path
 
     entries = run_together(spark, write, list(tables))

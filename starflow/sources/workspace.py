@@ -7,6 +7,7 @@ folder is the one the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,15 +20,17 @@ _local_roots: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder of this session.
+    """The shared folder of this session: the setting, or else what the context was given.
 
-    Only a ``local`` session may go without the setting; it gets one temporary folder.
+    Only a ``local`` session may go without; it gets one temporary folder. Whether a path
+    without a scheme, or with ``file:``, is a mount that all machines share cannot be told
+    from here: on a cluster, name one that is.
     """
-    configured = spark.conf.get(SHARED_DIR_CONF, None)
+    configured = spark.conf.get(SHARED_DIR_CONF, None) or _context_dir(spark)
     if configured:
         return configured.rstrip("/")
     master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", master):
         raise ValueError(
             f"set {SHARED_DIR_CONF} to a folder that the driver and all executors share"
         )
@@ -37,6 +40,12 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def _context_dir(spark: SparkSession) -> str | None:
+    """The folder of ``SparkContext.setCheckpointDir``, without the part Spark adds to it."""
+    given = spark.sparkContext.getCheckpointDir()
+    return given and given.rsplit("/", 1)[0]
+
+
 class Workspace:
     """A fresh folder for the intermediate tables of one run."""
 
@@ -59,3 +68,10 @@ class Workspace:
         path = self.folder(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        """Delete the folder. Tables that still read from it are gone with it."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        path.getFileSystem(conf).delete(path, True)

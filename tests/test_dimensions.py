@@ -5,6 +5,7 @@ from starflow.operators.dimensions import (
     DuplicateKeyError,
     build_dimension,
     check_unique,
+    dimension_members,
     duplicate_keys,
     require_unique,
 )
@@ -13,18 +14,22 @@ PRODUCT = DimensionSpec("dim_product", "product_key", ("PRODUCT_ID",), ("CATEGOR
 SCHEMA = "PRODUCT_ID string, CATEGORY string, `PACK unit` string, day int"
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def rows_of(df):
     return sorted(map(tuple, df.collect()), key=str)
 
 
 def test_contradicting_attributes_give_one_row(spark, workspace):
     df = spark.createDataFrame(
-        [("P001", "Cat B", None, 1), ("P001", "Cat A", "EA", 2), ("P000", None, "ML", 3)], SCHEMA
+        [("tea", "hot", None, 1), ("tea", "drink", "bag", 2), ("ice", None, "cube", 3)], SCHEMA
     )
     dim = build_dimension(df, PRODUCT, workspace)
     assert dim.columns == ["product_key", "PRODUCT_ID", "CATEGORY", "PACK unit"]
     assert dict(dim.dtypes)["product_key"] == "bigint"
-    assert rows_of(dim) == [(1, "P000", None, "ML"), (2, "P001", "Cat A", "EA")]
+    assert rows_of(dim) == [(1, "ice", None, "cube"), (2, "tea", "drink", "bag")]
 
 
 def test_attributes_of_the_first_row_by_a_column(spark, workspace):
@@ -32,9 +37,26 @@ def test_attributes_of_the_first_row_by_a_column(spark, workspace):
         "d", "k", ("PRODUCT_ID",), ("CATEGORY", "PACK unit"), first_by="day"
     )
     df = spark.createDataFrame(
-        [("P", "Z", None, 1), ("P", "A", "EA", 2), ("P", "B", "GR", 3), ("P", "Y", None, 1)], SCHEMA
+        [
+            ("P", "Z", None, 1), ("P", "A", "EA", 2), ("P", "B", "GR", 3), ("P", "Y", None, 1),
+            ("P", "0", "0", None), ("Q", "late", "l", 5), ("Q", "earlier", "e", None),
+            ("R", "only", None, None),
+        ],
+        SCHEMA,
     )
-    assert rows_of(build_dimension(df, spec, workspace)) == [(1, "P", "Y", "EA")]
+    assert rows_of(build_dimension(df, spec, workspace)) == [
+        (1, "P", "Y", "EA"), (2, "Q", "late", "l"), (3, "R", "only", None),
+    ]
+
+
+@pytest.mark.parametrize("first_by", [None, "day"])
+def test_the_whole_table_is_aggregated_by_hash(spark, first_by):
+    spec = DimensionSpec("d", "k", ("PRODUCT_ID",), ("CATEGORY",), first_by=first_by)
+    df = spark.createDataFrame([("P", "A", "EA", 1)], SCHEMA)
+    plan = plan_of(dimension_members(df, spec))
+    # From the bottom: two hash aggregates before the first one that sorts.
+    kinds = [k for k in plan.replace("(", " ").split() if k.endswith("Aggregate")]
+    assert kinds[-2:] == ["HashAggregate", "HashAggregate"]
 
 
 def test_null_key_is_one_member_and_comes_first(spark, workspace):
@@ -87,11 +109,12 @@ def test_empty_dimension(spark, workspace):
 
 
 def bad(spark):
-    return spark.createDataFrame([(1, "WH1"), (2, "WH1"), (3, "WH2")], "warehouse_key int, W string")
+    rows = [(1, "north"), (2, "south"), (3, "south"), (4, "south")]
+    return spark.createDataFrame(rows, "warehouse_key int, W string")
 
 
 def good(spark):
-    return spark.createDataFrame([(1, "WH1"), (2, None)], "warehouse_key int, W string")
+    return spark.createDataFrame([(1, "north"), (2, None)], "warehouse_key int, W string")
 
 
 def test_gate_passes(spark):
@@ -106,21 +129,25 @@ def test_gate_names_every_failing_dimension(spark):
             {"one": (bad(spark), ["W"]), "fine": (good(spark), ["W"]), "two": (other, ["y", "m"])}
         )
     text = str(e.value)
-    assert "one is not unique on (W)" in text and "W='WH1': 2 rows" in text
+    assert "one is not unique on (W), 1 keys repeat" in text and "W='south': 3 rows" in text
     assert "two is not unique on (y, m)" in text and "fine" not in text
     assert isinstance(e.value, ValueError)
 
 
 def test_check_unique_reports(spark):
     report = check_unique({"one": (bad(spark), ["W"]), "fine": (good(spark), ["W"])})
-    assert rows_of(report) == [("fine", 2, 2, True), ("one", 3, 2, False)]
+    assert rows_of(report) == [("fine", 2, 2, True), ("one", 4, 2, False)]
 
 
-def test_duplicate_keys_are_ordered_and_limited(spark):
-    df = spark.createDataFrame([(k,) for k in "aaabbccd"] + [(None,)] * 2, "k string")
-    assert [tuple(r) for r in duplicate_keys(df, ["k"], 3).collect()] == [
-        ("a", 3),
-        (None, 2),
-        ("b", 2),
-    ]
-    assert duplicate_keys(df, ["k"], None).count() == 4
+def test_duplicate_keys_are_all_there_in_order(spark):
+    keys = [str(i) for i in range(100, 130)] * 2 + ["zz"] * 3 + [None] * 2 + ["once"]
+    report = duplicate_keys(spark.createDataFrame([(k,) for k in keys], "k string"), ["k"])
+    got = [tuple(r) for r in report.collect()]
+    assert got == [("zz", 3), (None, 2), *[(str(i), 2) for i in range(100, 130)]]
+
+
+def test_gate_says_how_many_keys_it_does_not_show(spark):
+    df = spark.range(30).selectExpr("explode(array(id, id)) AS k")
+    with pytest.raises(DuplicateKeyError, match="30 keys repeat") as e:
+        require_unique({"d": (df, ["k"])})
+    assert "and 10 more" in str(e.value) and str(e.value).count("2 rows") == 20

@@ -93,3 +93,23 @@ def test_idle_rows_are_spread_in_the_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     exchange = next(l for l in plan.splitlines() if "Exchange hashpartitioning" in l)
     assert "_spread" in exchange
+
+
+def test_reserved_names_are_refused(spark):
+    df = spark.range(2).withColumn("_spread", F.lit(1))
+    with pytest.raises(ValueError, match="itself"):
+        attach(df, spark.range(2).withColumn("x", F.lit(1)), ["id"], ["x"])
+
+
+def test_idle_rows_are_spread_by_a_row_id(spark):
+    """Identical rows without a partner do not meet in one task."""
+    df = spark.range(4000).select("id", F.lit(None).cast("bigint").alias("k"))
+    lookup = spark.range(5).select(F.col("id").alias("k"), F.col("id").alias("x"))
+    out = attach(df, lookup, ["k"], ["x"], size=10**12, spread_by=["id"])
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum(sizes) == 4000 and max(sizes) < 2000

@@ -2,9 +2,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from starflow.catalog.queries import SPEC
+from starflow.operators import features
+from starflow.operators.cleaning import clean_distinct
+from starflow.operators.dimensions import dimension_members
 from starflow.operators.facts import unmatched_keys
 from starflow.operators.quality import QualityError
-from starflow.plans.sales import run_sales, run_sales_files, sales_spec
+from starflow.plans.sales import (
+    MissingValueError,
+    run_sales,
+    run_sales_files,
+    sales_spec,
+    stage_distinct,
+)
 from starflow.plans.star import join_star
 from starflow.sources.contract import SALES_COLUMNS, sales_contract
 from starflow.sources.files import EmptySourceError, write_csv
@@ -20,6 +29,7 @@ CLEAN_ROW = {
     "warehouse_id": "WH1", "inventory_status": "Low Stock", "order_status": "Done",
     "data_source": "POS", "ingestion_timestamp": "2024-01-01",
 }
+# The tables of the model and the columns of its fact.
 TABLES = {
     "fact_sales", "dim_date", "dim_geography", "dim_store", "dim_product", "dim_supplier",
     "dim_warehouse",
@@ -89,14 +99,54 @@ def test_breach_warns_or_fails(spark, tmp_path, workspace):
 def test_malformed_rows_are_set_aside_or_kept(spark, tmp_path, workspace):
     bad = {"pack_size": "x", "batch_number": "B2"}
     path = raw_file(spark, tmp_path, {}, bad, bad)
-    run = run_sales_files(spark, path, workspace=workspace)
+    kept = run_sales_files(spark, path, workspace=workspace)
+    assert kept.tables["fact_sales"].count() == 2
+    assert kept.quarantine is None
+    summary = kept.summary.first()
+    assert (summary["rows_loaded"], summary["rows_after"], summary["rows_dropped"]) == (3, 2, 0)
+    assert {(r["column"], r["null_count"]) for r in kept.missing.collect()} == {("PACK SIZE", 2)}
+
+    out = tmp_path / "out"
+    run = run_sales_files(
+        spark, path, workspace=workspace, on_malformed="quarantine", out_dir=str(out)
+    )
     assert run.tables["fact_sales"].count() == 1
-    assert run.summary.first()["rows_quarantined"] == 2
+    summary = run.summary.first()
+    assert summary["rows_quarantined"] == summary["rows_dropped"] == 2
+    assert summary["rows_loaded"] == 3 == (
+        summary["rows_after"] + summary["duplicates_removed"] + summary["rows_dropped"]
+    )
     (row,) = run.quarantine.collect()
     assert row["_copies"] == 2 and ",x," in row["_corrupt_record"]
-    kept = run_sales_files(spark, path, workspace=workspace, on_malformed="keep")
-    assert kept.tables["fact_sales"].count() == 2
-    assert kept.quarantine is None
+    (stored,) = spark.read.parquet(str(out / "quarantine")).collect()
+    assert stored["_corrupt_record"] == row["_corrupt_record"]
+
+
+def test_missing_values_warn_or_fail(spark, tmp_path, workspace):
+    path = raw_file(spark, tmp_path, {}, {"city": None})
+    assert run_sales_files(spark, path, workspace=workspace).missing.collect() == [("CITY", 1)]
+    with pytest.raises(MissingValueError, match="CITY: 1"):
+        run_sales_files(spark, path, workspace=workspace, on_missing="fail")
+    with pytest.raises(ValueError, match="on_missing"):
+        run_sales_files(spark, path, on_missing="shrug")
+
+
+def test_dimensions_do_not_wait_for_the_rank(spark, sf_dir, workspace):
+    """With everything on the paths for large data, a dimension reads its own columns only."""
+    staged = stage_distinct(flat_sales(spark, sf_dir), workspace).drop("_copies")
+    rows = clean_distinct(staged, SPEC.cleaning)
+    unranked = features.add_calendar(rows, "month_num", "year")
+    for dim in SPEC.star.dimensions:
+        plan = dimension_members(unranked, dim)._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan
+        read = plan.split("ReadSchema: struct<")[1].split(">")[0]
+        columns = {c.split(":")[0] for c in read.split(",")}
+        assert columns <= {*dim.natural_keys, *dim.attributes, "month_num", "year"}
+
+
+def test_reserved_names_are_refused(spark, workspace):
+    with pytest.raises(ValueError, match="itself"):
+        run_sales(spark.range(1).selectExpr("id AS _copies"), SPEC, workspace=workspace)
 
 
 def test_empty_source(spark, tmp_path):
@@ -108,6 +158,8 @@ def test_empty_source(spark, tmp_path):
 def test_nothing_written_without_a_folder(spark, sf_dir, workspace):
     run = run_sales(flat_sales(spark, sf_dir), SPEC, workspace=workspace)
     assert run.manifest is None and run.summary.first()["tables_written"] == 0
+    assert {r["table"] for r in run.counts.collect()} == TABLES
+    assert run.features.count() == 5
 
 
 def test_large_scale_paths_give_the_same_star(spark, sf_dir, run, tmp_path, workspace):

@@ -62,8 +62,21 @@ def test_empty_table(spark, workspace):
 
 def test_top_keeps_ties(spark):
     df = spark.range(6).select(F.lit("g").alias("g"), F.floor(F.col("id") / 2).alias("v"))
-    ranked = dense_rank_in_group(df, "g", "v", "r")
-    assert top_in_group(ranked, "r", 2).count() == 4
+    top = top_in_group(df, "g", "v", "r", 2)
+    assert sorted((r["v"], r["r"]) for r in top.collect()) == [(1, 2), (1, 2), (2, 1), (2, 1)]
+
+
+def test_top_is_cut_before_the_shuffle(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
+    plan = top_in_group(df, "g", "v", "r", 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("name", ["_rows", "_pos"])
+def test_reserved_names_are_refused(spark, name):
+    df = spark.range(2).select("id", F.col("id").alias(name))
+    with pytest.raises(ValueError, match="itself"):
+        dense_rank_in_group(df, "id", name, "r")
 
 
 def test_unknown_method(spark):

@@ -18,7 +18,7 @@ from starflow.sources.files import (
     scan_csv,
     write_csv,
 )
-from starflow.sources.tables import write_tables
+from starflow.sources.tables import UnwritableTextError, read_table, write_tables
 
 CONTRACT = SchemaContract(
     T.StructType([
@@ -82,7 +82,9 @@ DIRTY = "ID,Value Sales,N\n1,good,1\n2,short\n3,long,3,extra\nx,notint,4\n5,notl
 
 
 def test_quarantine(spark, tmp_path, workspace):
-    good, bad = read_contract(spark, put(tmp_path, DIRTY), CONTRACT, workspace=workspace)
+    good, bad = read_contract(
+        spark, put(tmp_path, DIRTY), CONTRACT, on_malformed="quarantine", workspace=workspace
+    )
     assert tuples(good) == [(1, "good", 1), (6, "good", None)]
     assert good.columns == CONTRACT.names
     assert sorted(r["_corrupt_record"] for r in bad.select("_corrupt_record").collect()) == [
@@ -92,7 +94,7 @@ def test_quarantine(spark, tmp_path, workspace):
 
 
 def test_keep_leaves_null_cells(spark, tmp_path):
-    good, bad = read_contract(spark, put(tmp_path, DIRTY), CONTRACT, on_malformed="keep")
+    good, bad = read_contract(spark, put(tmp_path, DIRTY), CONTRACT)
     assert bad is None
     assert tuples(good) == sorted(
         [(1, "good", 1), (2, "short", None), (3, "long", 3), (None, "notint", 4),
@@ -146,12 +148,34 @@ def test_write_tables(spark, tmp_path, fmt):
     assert [(r["table"], r["rows"]) for r in manifest] == [("full", 100), ("empty", 0), ("tiny", 2)]
     for r in manifest:
         schema = tables[r["table"]].schema
-        back = spark.read.schema(schema).option("header", True).format(fmt).load(r["path"])
+        back = read_table(spark, r["path"], schema, fmt)
         assert tuples(back) == tuples(tables[r["table"]])
         size = sum(f.stat().st_size for f in (tmp_path / r["table"]).glob("part-*"))
         assert r["bytes"] == size
 
 
+AWKWARD = [
+    "a\nb", "\n", "", " ", " a ", '"', '""', 'say "x"', "\\", 'a\\"b', "\\n", "a,b", "#c", "null", "NULL",
+    None, "\t", "é\u2028ü", "'", "\\\n\"",
+]
+
+
+def test_csv_tables_keep_every_text(spark, tmp_path):
+    df = spark.createDataFrame([(t, i, t) for i, t in enumerate(AWKWARD)], "a string, i int, b string")
+    (entry,) = write_tables({"t": df}, str(tmp_path), "csv").collect()
+    back = read_table(spark, entry["path"], df.schema, "csv")
+    assert entry["rows"] == len(AWKWARD)
+    assert [tuple(r) for r in back.orderBy("i").collect()] == [tuple(r) for r in df.collect()]
+
+
+@pytest.mark.parametrize("text", ["\\N", "a\rb"])
+def test_csv_refuses_what_it_cannot_keep(spark, tmp_path, text):
+    df = spark.createDataFrame([(text,)], "a string")
+    with pytest.raises(UnwritableTextError):
+        write_tables({"t": df}, str(tmp_path), "csv")
+    assert write_tables({"t": df}, str(tmp_path)).first()["rows"] == 1
+
+
 def test_write_partitioned(spark, tmp_path):
     tables = {"t": spark.range(10).select("id", (F.col("id") % 2).alias("g"))}
     manifest = write_tables(tables, str(tmp_path), partition_by={"t": ["g"]}).first()
@@ -165,8 +189,26 @@ def test_unknown_format(spark, tmp_path):
 
 
 class FakeSession:
-    def __init__(self, **conf):
+    def __init__(self, given=None, **conf):
         self.conf = conf
+        self.sparkContext = self
+        self.given = given
+
+    def getCheckpointDir(self):
+        return self.given
+
+
+def test_workspace_uses_the_folder_of_the_context():
+    session = FakeSession("hdfs://x/y/some-uuid", **{"spark.master": "spark://m"})
+    assert ws.shared_root(session) == "hdfs://x/y"
+
+
+def test_workspace_can_be_removed(spark, tmp_path):
+    place = ws.Workspace(spark, str(tmp_path))
+    place.store(spark.range(3), "t")
+    assert list(tmp_path.iterdir())
+    place.remove()
+    assert not list(tmp_path.iterdir())
 
 
 def test_workspace_uses_the_shared_folder():

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from starflow.operators.dimensions import DimensionSpec, DuplicateKeyError
 from starflow.operators.facts import FactSpec, build_fact, unmatched_keys
 from starflow.plans import star as star_plan
-from starflow.plans.star import StarSpec, build_star, join_star, table_counts
+from starflow.plans.star import StarSpec, attach_dimensions, build_star, join_star, table_counts
 
 STORE = DimensionSpec("dim_store", "store_key", ("store",), ("kind",))
 HOUSE = DimensionSpec("dim_house", "house_key", ("house",))
@@ -127,3 +127,37 @@ def test_table_counts(rows, workspace):
     assert sorted(map(tuple, table_counts(tables).collect())) == [
         ("dim_house", 3, 2), ("dim_store", 3, 3), ("fact", 4, 5),
     ]
+
+
+def test_skewed_star_join(spark, workspace):
+    """A third of the rows on one member, a third without a key, nothing broadcast whole."""
+    rows = spark.range(3000).select(
+        F.col("id").alias("rid"),
+        F.when(F.col("id") % 3 == 0, "S0")
+        .when(F.col("id") % 3 == 1, F.concat(F.lit("S"), (F.col("id") % 50).cast("string")))
+        .alias("store"),
+        F.lit("k").alias("kind"), F.lit("W").alias("house"),
+        F.col("id").cast("double").alias("v"), F.lit(1).cast("bigint").alias("u"),
+    )
+    tables = build_star(rows, SPEC, row_id="rid", workspace=workspace)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = attach_dimensions(
+            tables["fact"], tables, SPEC, ["dim_store"],
+            broadcast_bytes=-1, hot_keys=10, spread_by=["sale_key"],
+        )
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        got = sorted((r["sale_key"], r["store"]) for r in joined.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == sorted((r["rid"], r["store"]) for r in rows.collect())
+
+
+def test_broadcast_budget_is_shared(spark, rows, workspace):
+    """Each lookup would fit alone, both do not: one is joined by shuffle."""
+    fact = build_star(rows, SPEC, row_id="rid", workspace=workspace, broadcast_bytes=250)["fact"]
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    assert "_spread" in plan
+    assert fact.count() == len(ROWS)
