@@ -20,6 +20,7 @@ without any label. An empty table gives an empty result. Other columns are ignor
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,11 +46,12 @@ LEAST_Z = 4.0
 THRESHOLD = 0.5
 HELD_OUT_FOLD = 0
 _CACHE_WORDS = 300_000
-_BLANKS = bytes.maketrans(b'.,;:!?"()[]{}<>', b" " * 15)
+_MARKS = string.punctuation.encode()
+_BLANKS = bytes.maketrans(_MARKS, b" " * len(_MARKS))
 
 
 def words_of(text: bytes) -> set[bytes]:
-    """The distinct words, without stops and brackets, ASCII letters in lower case."""
+    """The distinct words, split at ASCII punctuation too, ASCII letters in lower case."""
     return set(text.lower().translate(_BLANKS).split())
 
 
@@ -145,7 +147,7 @@ def screen(sample: DataFrame, n_terms: int = MOST_TERMS) -> np.ndarray:
 
 def fit_machine(
     present: list[list[int]], labels: np.ndarray, weights: np.ndarray, n: int,
-    *, factors: int = FACTORS, epochs: int = 25, rate: float = 0.03, decay: float = 1e-3, seed: int = 7,
+    *, factors: int = FACTORS, epochs: int = 40, rate: float = 0.03, decay: float = 1e-4, seed: int = 7,
 ) -> tuple[float, np.ndarray, np.ndarray]:
     """Weighted logistic loss by Adam over small batches of documents."""
     rng = np.random.default_rng(seed)
