@@ -80,6 +80,23 @@ def word_counts(training: DataFrame) -> DataFrame:
     return training.mapInArrow(count, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def frequent_words(counts: DataFrame, most: int) -> DataFrame:
+    """Words from some count on, ``most`` of them at the most.
+
+    The bound comes from a histogram of the counts' magnitudes (some hundred rows), so no task
+    has to send its own candidates to one place.
+    """
+    size = F.floor(F.log2("c") * 16).cast("int")
+    steps = counts.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c"))
+    bound, held = None, 0
+    for row in sorted(steps.collect(), key=lambda r: -r["size"]):
+        held += row["n"]
+        if held > most:
+            break
+        bound = row["c"]
+    return counts.where(F.lit(False)) if bound is None else counts.where(F.col("c") >= bound)
+
+
 class Units(dict):
     """Word to unit: 0 is the end token, then the exchanged words, then the endings."""
 
@@ -271,7 +288,9 @@ class ClassModel:
 def train_class_model(training: DataFrame, counts: DataFrame, workspace: Workspace, *, exchanged: int = EXCHANGED, classes: int = CLASSES, rounds: int = ROUNDS) -> ClassModel:
     """Fit on all of ``training`` (text); ``counts`` are its stored word counts."""
     row = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    frequent = counts.where(F.length("word") > 0).orderBy(F.col("c").desc(), "word").limit(exchanged)
+    # Few enough to sort in one place.
+    frequent = frequent_words(counts, max(KNOWN, exchanged)).where(F.length("word") > 0)
+    frequent = frequent.coalesce(1).sortWithinPartitions(F.col("c").desc(), "word").limit(exchanged)
     names = [bytes(r[0]) for r in frequent.select("word").collect()]
 
     def with_unit(batches) -> Iterator[pa.RecordBatch]:
@@ -318,8 +337,8 @@ def score_texts(docs: DataFrame, model: ClassModel, counts: DataFrame, workspace
     (row, word, times) and find their counts by an ordinary join.
     """
     spark = docs.sparkSession
-    frequent = counts.orderBy(F.col("c").desc(), "word").limit(known)
-    table = {bytes(r[0]): r[1] for r in frequent.collect()}  # KNOWN short words at most
+    frequent = frequent_words(counts, known).toArrow()  # KNOWN short words at most
+    table = dict(zip(frequent["word"].to_pylist(), frequent["c"].to_pylist()))
     shared = spark.sparkContext.broadcast(table)
     kind = docs.schema["id"].dataType.simpleString()
 

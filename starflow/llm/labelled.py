@@ -9,6 +9,7 @@ from starflow.llm.rows import pick
 from starflow.sources.workspace import Workspace
 
 FOLDS = 5
+_PLACES = 1 << 40
 
 
 def fold(doc_id: Column) -> Column:
@@ -30,18 +31,23 @@ def labelled_sample(
     """Stored (id, text, label) of at most ``per_class`` ids per class, and the class sizes.
 
     The ids are those with the smallest hashes, so they are a random sample that is the
-    same on every run. They are chosen from the labels alone and broadcast (2 * per_class
-    ids), so the documents are not shuffled. Rows with a NULL id or label are no use here.
+    same on every run. Hashes so large that they cannot be among them are left out before the
+    sort (a share that leaves twice as many as needed, on average). The ids are chosen from the
+    labels alone and broadcast (2 * per_class ids), so the documents are not shuffled. Rows with a
+    NULL id or label are no use here.
     """
     marks = pick(labels, id=doc_id, label=label).where("id IS NOT NULL AND label IS NOT NULL")
     marks = marks.select("id", (F.col("label") > 0).cast("int").alias("label"))
     if held_out_fold is not None:
         marks = marks.where(fold(F.col("id")) != held_out_fold)
     sizes = {r[0]: r[1] for r in marks.groupBy("label").count().collect()}
-    order = [F.xxhash64("id"), F.col("id")]
+    place = F.pmod(F.xxhash64("id"), F.lit(_PLACES))
+    order = [place, F.col("id")]
     chosen = None
     for value in (0, 1):
-        some = marks.where(F.col("label") == value).dropDuplicates(["id"]).orderBy(*order).limit(per_class)
+        some = marks.where(F.col("label") == value)
+        some = some.where(place < int(_PLACES * min(1.0, 2 * per_class / max(1, sizes.get(value, 0)))))
+        some = some.dropDuplicates(["id"]).orderBy(*order).limit(per_class)
         chosen = some if chosen is None else chosen.unionByName(some)
     chosen = workspace.store(chosen, "chosen")
     rows = pick(docs, id=doc_id, text=text)

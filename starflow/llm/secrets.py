@@ -18,6 +18,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import re
 from dataclasses import dataclass
 
@@ -47,10 +48,12 @@ LEAST_SPAN = 6  # a shorter span of the field is no secret
 OUT, BEGIN, INSIDE = 0, 1, 2
 _TOKEN = re.compile(r"[^\W_]+(?:[-_+/.][^\W_]+)*|\S")
 _KEY_WORD = re.compile(r"pass(word|wd|phrase)?|pwd|secrets?|tokens?|(api|access|auth|private)?[-_.]?keys?|credentials?", re.I)
-_CACHE_WORDS = 200_000
+_CACHE_WORDS = 400_000
 
 # What a token is to its neighbours.
-_ROLES = ("word", "key", "equals", "colon", "quote", "other mark", "number", "mixed", "edge")
+_ROLES = ("word", "key", "equals", "colon", "quote", "at", "other mark", "number", "mixed", "edge")
+_MARKS = {"=": 2, ":": 3, '"': 4, "'": 4, "`": 4, "@": 5}
+_STOPS = frozenset(".,;:!?")
 _LENGTHS = (1, 2, 4, 6, 9, 12, 16, 20, 24, 32, 41)
 _SHAPES = len(_LENGTHS) + 10
 _FILE = 3
@@ -79,70 +82,81 @@ def role_of(token: str) -> int:
             return 1
         if token.isalpha():
             return 0
-        return 6 if token.replace(".", "").replace("-", "").isdigit() else 7
-    return {"=": 2, ":": 3, '"': 4, "'": 4, "`": 4}.get(token, 5)
+        return 7 if token.replace(".", "").replace("-", "").isdigit() else 8
+    return _MARKS.get(token, 6)
 
 
-def shape_of(token: str) -> np.ndarray:
-    """Evidence of the token itself."""
-    out = np.zeros(_SHAPES)
+def shape_of(token: str) -> tuple[bool, ...]:
+    """Evidence of the token itself. There are few distinct shapes."""
     n = len(token)
-    out[: len(_LENGTHS)] = [n >= least for least in _LENGTHS]
+    lengths = tuple(n >= least for least in _LENGTHS)
+    case = (token.islower(), token.isupper(), token.istitle())
+    if token.isalpha():
+        return (*lengths, False, *case, False, False, False, False, False, True)
     digits = sum(c.isdigit() for c in token)
-    upper = sum(c.isupper() for c in token)
-    lower = sum(c.islower() for c in token)
-    kinds = (digits > 0) + (upper > 0) + (lower > 0)
+    kinds = (digits > 0) + any(c.isupper() for c in token) + any(c.islower() for c in token)
     changes = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:]))
-    flags = [
-        digits == n, lower == n, upper == n, upper == 1 and token[0].isupper(), kinds > 1 and digits > 0,
-        kinds == 3, changes >= 4, changes >= 8,
-        len(set(token)) >= 10 and kinds > 1, token.isalnum() or not token[0].isalnum(),
-    ]
-    out[len(_LENGTHS) :] = flags
-    return out
+    return (
+        *lengths, digits == n, *case, kinds > 1 and digits > 0, kinds == 3, changes >= 4, changes >= 8,
+        kinds > 1 and digits > 0 and len(set(token)) >= 10, token.isalnum() or not token[0].isalnum(),
+    )
 
 
 class Tokens(dict):
     """Distinct words to their tokens; per token start, length, role and shape.
 
-    A word is what stands between white space; its tokens are cut once and kept. With
-    ``weights`` a token keeps its shape's three scores instead of the shape.
+    A word is what stands between white space; its tokens are cut once and kept. Shapes are
+    numbered, and with ``weights`` each shape's three scores are kept beside it.
     """
 
     def __init__(self, weights: np.ndarray | None = None):
         self.weights = weights
-        self.new_first: list[int] = []
-        self.new_tokens: list[tuple[int, int, int]] = []
-        self.new_shapes: list[np.ndarray] = []
+        self.shape_numbers: dict[tuple[bool, ...], int] = {}
+        self.shapes = np.zeros((0, _SHAPES))
+        self.scores = np.zeros((0, 3))
+        self.new_words: list[tuple[int, int]] = []
+        self.new_tokens: list[tuple[int, int, int, int]] = []
         self.reset()
 
     def reset(self) -> None:
         self.clear()
         self.n_tokens = 0
         self.first = np.zeros(1, dtype=np.int64)  # per word, where its tokens start
-        self.tokens = np.zeros((0, 3), dtype=np.int64)  # start, length, role
-        self.shapes = np.zeros((0, _SHAPES if self.weights is None else 3))
+        self.lengths = np.zeros(0, dtype=np.int64)  # per word
+        self.tokens = np.zeros((0, 4), dtype=np.int32)  # start, length, role, shape
+
+    def _add(self, token: str, start: int) -> None:
+        shape = shape_of(token)
+        number = self.shape_numbers.setdefault(shape, len(self.shape_numbers))
+        self.new_tokens.append((start, len(token), role_of(token), number))
+        self.n_tokens += 1
 
     def __missing__(self, word: str) -> int:
-        for m in _TOKEN.finditer(word):
-            self.new_tokens.append((m.start(), m.end() - m.start(), role_of(m[0])))
-            self.new_shapes.append(shape_of(m[0]))
-            self.n_tokens += 1
-        self.new_first.append(self.n_tokens)
+        if word.isalpha():
+            self._add(word, 0)
+        elif word[-1] in _STOPS and word[:-1].isalpha():
+            self._add(word[:-1], 0)
+            self._add(word[-1], len(word) - 1)
+        else:
+            for m in _TOKEN.finditer(word):
+                self._add(m[0], m.start())
+        self.new_words.append((self.n_tokens, len(word)))
         n = self[word] = len(self)
         return n
 
     def settle(self) -> None:
         """Take what was met since the last time into the arrays."""
-        if self.new_first:
-            self.first = np.concatenate([self.first, np.array(self.new_first, dtype=np.int64)])
-            tokens = np.array(self.new_tokens, dtype=np.int64).reshape(-1, 3)
-            shapes = np.array(self.new_shapes).reshape(-1, _SHAPES)
-            if self.weights is not None:
-                shapes = shapes @ self.weights
+        if self.new_words:
+            words = np.array(self.new_words, dtype=np.int64)
+            self.first = np.concatenate([self.first, words[:, 0]])
+            self.lengths = np.concatenate([self.lengths, words[:, 1]])
+            tokens = np.array(self.new_tokens, dtype=np.int32).reshape(-1, 4)
             self.tokens = np.concatenate([self.tokens, tokens])
-            self.shapes = np.concatenate([self.shapes, shapes])
-            self.new_first, self.new_tokens, self.new_shapes = [], [], []
+            self.new_words, self.new_tokens = [], []
+        if len(self.shape_numbers) > len(self.shapes):
+            self.shapes = np.array(list(self.shape_numbers), dtype=float)
+            if self.weights is not None:
+                self.scores = self.shapes @ self.weights
 
     def trim(self) -> None:
         if len(self) > _CACHE_WORDS:
@@ -164,12 +178,12 @@ def read_tokens(text: str, table: Tokens) -> tuple[np.ndarray, np.ndarray, np.nd
     """(token numbers, starts, ends) of a text, in code points."""
     words = text.split()
     numbers = np.fromiter(map(table.__getitem__, words), dtype=np.int64, count=len(words))
-    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    table.settle()
+    lengths = table.lengths[numbers]
     if len(words) and len(text) == lengths.sum() + len(words) - 1:  # single white space
         at = np.cumsum(lengths + 1) - lengths - 1
     else:
         at = np.fromiter((m.start() for m in _WORD.finditer(text)), dtype=np.int64, count=len(words))
-    table.settle()
     tokens, word = _expand(numbers, table.first)
     begin = at[word] + table.tokens[tokens, 0]
     return tokens, begin, begin + table.tokens[tokens, 1]
@@ -177,9 +191,9 @@ def read_tokens(text: str, table: Tokens) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def file_evidence(roles: np.ndarray) -> np.ndarray:
     """The file as a whole: marks, numbers and mixed tokens, each if above a twentieth."""
-    n = max(1, len(roles))
-    share = [np.isin(roles, some).sum() / n for some in ((2, 3, 4, 5), (6,), (7,))]
-    return (np.array(share) > 0.05).astype(float)
+    counts = np.bincount(roles, minlength=len(_ROLES))
+    share = np.array([counts[2:7].sum(), counts[7], counts[8]]) / max(1, len(roles))
+    return (share > 0.05).astype(float)
 
 
 @dataclass
@@ -205,7 +219,7 @@ def emissions(roles: np.ndarray, shape_scores: np.ndarray, field: Field) -> np.n
     padded = np.concatenate([np.full(REACH, edge), roles, np.full(REACH, edge)])
     out = shape_scores + np.append(file_evidence(roles), 1.0) @ whole
     for k, d in enumerate(_OFFSETS):
-        out = out + neighbours[k][padded[REACH + d : REACH + d + n]]
+        out += neighbours[k][padded[REACH + d : REACH + d + n]]
     return out
 
 
@@ -222,6 +236,11 @@ def viterbi(emit: np.ndarray, step: np.ndarray) -> list[int]:
     return tags[::-1]
 
 
+@functools.lru_cache(maxsize=8)
+def _sure_margin(step: bytes) -> np.ndarray:
+    return sure_margin(np.frombuffer(step).reshape(3, 3))
+
+
 def sure_margin(step: np.ndarray) -> np.ndarray:
     """Per tag, the most its neighbours' tags can add to it over "outside"."""
     through = step[:, :, None] + step[None, :, :]  # before, tag, after
@@ -230,7 +249,7 @@ def sure_margin(step: np.ndarray) -> np.ndarray:
 
 def decode(emit: np.ndarray, field: Field) -> list[tuple[int, int]]:
     """(first, last) tokens of each secret, by exact Viterbi."""
-    against = sure_margin(field.step)
+    against = _sure_margin(field.step.tobytes())
     rival = np.maximum(emit[:, BEGIN] + against[BEGIN], emit[:, INSIDE] + against[INSIDE])
     unsure = np.flatnonzero(emit[:, OUT] <= rival)
     if not len(unsure):
@@ -256,7 +275,7 @@ def model_spans(text: str, table: Tokens, field: Field) -> list[tuple[int, int]]
     tokens, begin, end = read_tokens(text, table)
     if not len(tokens):
         return []
-    emit = emissions(table.tokens[tokens, 2], table.shapes[tokens], field)
+    emit = emissions(table.tokens[tokens, 2], table.scores[table.tokens[tokens, 3]], field)
     spans = [(int(begin[a]), int(end[b])) for a, b in decode(emit, field)]
     return [(a, b) for a, b in spans if b - a >= LEAST_SPAN]
 
@@ -267,7 +286,7 @@ def evidence(tokens: np.ndarray, table: Tokens) -> np.ndarray:
     n, edge = len(mine), len(_ROLES) - 1
     padded = np.concatenate([np.full(REACH, edge), mine, np.full(REACH, edge)])
     out = np.zeros((n, _WIDTH), dtype=np.uint8)
-    out[:, :_SHAPES] = table.shapes[tokens]
+    out[:, :_SHAPES] = table.shapes[table.tokens[tokens, 3]]
     for k, d in enumerate(_OFFSETS):
         out[np.arange(n), _SHAPES + k * len(_ROLES) + padded[REACH + d : REACH + d + n]] = 1
     out[:, -_FILE - 1 : -1] = file_evidence(mine)
