@@ -155,7 +155,6 @@ def best_moves(left: np.ndarray, right: np.ndarray, loops: np.ndarray, own: np.n
     ``left[u, c]`` counts class c before u, ``right[u, c]`` behind it, ``loops`` u behind
     itself; both leave the loops out. ``joint`` are the class bigrams, ``own`` the classes.
     """
-    classes = len(joint)
     best, gain = own.copy(), np.zeros(len(own))
     for i, mine in enumerate(own):
         l, r, loop = left[i], right[i], loops[i]
@@ -165,15 +164,14 @@ def best_moves(left: np.ndarray, right: np.ndarray, loops: np.ndarray, own: np.n
         without[:, mine] -= l
         without[mine, :] -= r
         without[mine, mine] -= loop
-        rows, columns = without.sum(axis=1), without.sum(axis=0)
+        # Wherever the unit goes, its neighbours' own margins get its counts back.
+        rows, columns = without.sum(axis=1) + l, without.sum(axis=0) + r
         # Likelihood up to terms that no move changes: bigrams less both margins.
-        gains = np.empty(classes)
         column_part = (_log(without + l[:, None]) - _log(without)).sum(axis=0)
         row_part = (_log(without + r[None, :]) - _log(without)).sum(axis=1)
         diagonal = np.diag(without)
-        d = np.arange(classes)
-        both = _log(diagonal + l[d] + r[d] + loop) - _log(diagonal)
-        twice = (_log(diagonal + l[d]) - _log(diagonal)) + (_log(diagonal + r[d]) - _log(diagonal))
+        both = _log(diagonal + l + r + loop) - _log(diagonal)
+        twice = (_log(diagonal + l) - _log(diagonal)) + (_log(diagonal + r) - _log(diagonal))
         gains = column_part + row_part + both - twice
         more_rows = r.sum() + loop
         more_columns = l.sum() + loop
@@ -337,7 +335,8 @@ def score_texts(docs: DataFrame, model: ClassModel, counts: DataFrame, workspace
     (row, word, times) and find their counts by an ordinary join.
     """
     spark = docs.sparkSession
-    frequent = frequent_words(counts, known).toArrow()  # KNOWN short words at most
+    # KNOWN short words at most, and the end token in any case.
+    frequent = frequent_words(counts, known).union(counts.where(F.length("word") == 0)).toArrow()
     table = dict(zip(frequent["word"].to_pylist(), frequent["c"].to_pylist()))
     shared = spark.sparkContext.broadcast(table)
     kind = docs.schema["id"].dataType.simpleString()

@@ -166,10 +166,9 @@ def mix_sources(
 
 
 def first_words(text: Column, n: Column) -> Column:
-    """The text up to the end of its n-th word."""
-    gap = r"[\x20\x09-\x0D]*+"
-    many = F.concat(F.lit(rf"^(?:{gap}{WORD_PATTERN}+){{"), n.cast("string"), F.lit("}"))
-    return F.regexp_substr(text, many)
+    """The text up to the end of its n-th word, white space as it was."""
+    words = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD_PATTERN), F.lit(0))
+    return F.array_join(F.slice(words, F.lit(1), n.cast("int")), "")
 
 
 def mix_documents(

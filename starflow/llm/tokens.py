@@ -91,6 +91,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
+        self.blank = self.letters[ord(" ")]
         self.stops = _Stops(self)
         self.first = _Words(self, "")
         self.later = _Words(self, " ")
@@ -101,7 +102,10 @@ class Encoder:
 
     def piece(self, word: str) -> bytes:
         """A text that the tokenizer does not cut."""
-        letters = word.encode().decode("latin-1").translate(self.letters)
+        if word.isascii():
+            letters = word.replace(" ", self.blank)
+        else:
+            letters = word.encode().decode("latin-1").translate(self.letters)
         return _pack([token.id for token in self.model.tokenize(letters)])
 
     def encode(self, text: str) -> bytes:

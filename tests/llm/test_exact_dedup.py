@@ -1,0 +1,79 @@
+import hashlib
+import random
+
+import pytest
+
+from starflow.llm.exact_dedup import drop_exact_copies, exact_duplicates, frequent_digests
+
+
+def brute(rows):
+    groups = {}
+    for i, t, _ in rows:
+        groups.setdefault(t or "", []).append(i)
+    best = {t: max((i for i in ids if i is not None), default=None) for t, ids in groups.items()}
+    return sorted(
+        (
+            (i, best[t or ""], len(groups[t or ""]), hashlib.sha256((t or "").encode()).hexdigest())
+            for i, t, _ in rows
+        ),
+        key=str,
+    )
+
+
+CASES = {
+    "empty table": [],
+    "nulls": [(1, None, "a"), (2, "", "a"), (None, "x", None), (3, "x", "a"), (None, "n", "a")],
+    "near texts": [(1, "a", "s"), (2, "a ", "s"), (3, "A", "s"), (4, "a\n", "s"), (5, "é", "s"), (6, "é", "s")],
+    "long": [(1, "w " * 200_000, "s"), (2, "w " * 200_000, "s"), (3, "w " * 199_999, "s")],
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_report_equals_brute_force(documents, workspace, name):
+    rows = CASES[name]
+    got = exact_duplicates(documents(rows), workspace=workspace)
+    assert got.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    found = got.collect()
+    assert sorted(((r[0], r[1], r[2], r[4]) for r in found), key=str) == brute(rows)
+    kept = [r["text_sha256"] for r in found if r["kept"]]
+    assert sorted(kept) == sorted({r["text_sha256"] for r in found})
+
+
+@pytest.mark.parametrize("hot", [2, 4, 2048])
+def test_frequent_and_rare_texts_agree(documents, workspace, hot):
+    """A third of the rows share one text; the split must not show, whatever its size."""
+    rnd = random.Random(3)
+    rows = [(i, "hot" if i % 3 == 0 else f"t{rnd.randint(0, 400)}", "s") for i in range(1500)]
+    got = exact_duplicates(documents(rows), hot=hot, workspace=workspace).collect()
+    assert sorted(((r[0], r[1], r[2], r[4]) for r in got), key=str) == brute(rows)
+    assert sum(r["kept"] for r in got) == len({t for _, t, _ in rows})
+    docs = documents(rows).repartition(5)
+    left = drop_exact_copies(docs, hot=hot, workspace=workspace)
+    assert left.columns == docs.columns
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(
+        {max(i for i, t, _ in rows if t == text) for text in {t for _, t, _ in rows}}
+    )
+
+
+def test_frequent_digests_are_verified(spark, workspace):
+    rows = [("h", i, i) for i in range(600)] + [(f"d{i}", 1000 + i, 0) for i in range(600)]
+    df = spark.createDataFrame(rows, "digest string, id bigint, row bigint")
+    (row,) = frequent_digests(df, hot=4).collect()
+    assert (row["digest"], row["n"], row["top"]["id"]) == ("h", 600, 599)
+
+
+def test_repeated_rows_leave_one(documents, workspace):
+    rows = [(7, "same", "s")] * 5 + [(7, "other", "s"), (None, "lost", "s"), (None, "lost", "s")]
+    got = exact_duplicates(documents(rows), workspace=workspace).collect()
+    assert len(got) == 8 and sum(r["kept"] for r in got) == 3
+    left = drop_exact_copies(documents(rows), workspace=workspace).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in left), key=str) == [
+        (7, "other"), (7, "same"), (None, "lost"),
+    ]
+    assert drop_exact_copies(documents([]), workspace=workspace).count() == 0
+
+
+def test_no_python_on_the_executors(documents, workspace):
+    plan = exact_duplicates(documents(CASES["nulls"]), workspace=workspace)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert not any(w in text for w in ("Python", "Pandas", "Arrow"))

@@ -1,0 +1,128 @@
+import re
+
+import pytest
+
+from starflow.llm import mixing
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def targets(sizes, weights=(5, 2, 1), share=1.5, most=2):
+    """Water level by hand: {source: target}."""
+    names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
+    weight = {s: weights[i % 3] for i, s in enumerate(names)}
+    open_, left = set(names), share * sum(sizes.values())
+    out = {}
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if most * sizes[s] < level * weight[s]}
+        if not full:
+            out |= {s: min(most * sizes[s], level * weight[s]) for s in open_}
+            break
+        out |= {s: float(most * sizes[s]) for s in full}
+        left -= sum(most * sizes[s] for s in full)
+        open_ -= full
+    return out
+
+
+def size_of(text):
+    return len(WORD.findall(text or ""))
+
+
+def check(rows, found):
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + size_of(t)
+    goal = targets(sizes)
+    taken = {}
+    for r in found:
+        assert r["source_size"] == sizes[r["source"]]
+        assert r["target"] == pytest.approx(goal[r["source"]])
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+    for s, n in taken.items():
+        copies = max(1, len(rows) - len({i for i, _, _ in rows}))
+        assert goal[s] - copies - 1 < n <= goal[s]
+
+
+def corpus(n=600):
+    out = []
+    for i in range(n):
+        source = "hot" if i % 3 == 0 else f"s{i % 7}" if i % 11 else None
+        out.append((i, " ".join(f"w{j}" for j in range(i * 7 % 40)), source))
+    return out
+
+
+def test_mix_meets_its_targets(documents, workspace):
+    rows = corpus()
+    found = mixing.mix_sources(documents(rows).repartition(4), workspace=workspace)
+    first = found.collect()
+    check(rows, first)
+    assert sorted(map(tuple, first), key=str) == sorted(
+        map(tuple, mixing.mix_sources(documents(rows), workspace=workspace).collect()), key=str
+    )
+
+
+@pytest.mark.parametrize("partitions", ["1", "13"])
+def test_partitions_do_not_show(spark, documents, workspace, partitions):
+    rows = corpus()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    one = {r["doc_id"]: r["taken"] for r in mixing.mix_sources(documents(rows), workspace=workspace).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        found = mixing.mix_sources(documents(rows), workspace=workspace).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert {r["doc_id"]: r["taken"] for r in found} == one
+
+
+CASES = {
+    "empty table": [],
+    "no words": [(1, None, "a"), (2, "", "b"), (3, " \n\t", None)],
+    "one source": [(1, "a b c", "x"), (2, "d e", "x")],
+    "null source and ids": [(None, "a b c d", None), (None, "a b c d", None), (2, "e", "a"), (3, None, "a")],
+    "repeated rows": [(5, "a b c d e f g", "x")] * 4 + [(6, "h i j", "y")] * 3,
+    "small source": [(1, "a", "a"), (2, "b " * 500, "b"), (3, "c " * 300, "c")],
+    "odd blanks": [(1, "a b c\x0bd\x1ce", "x"), (2, "é ü\r\nß", "y")],
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_special_cases(documents, workspace, name):
+    rows = CASES[name]
+    found = mixing.mix_sources(documents(rows), workspace=workspace).collect()
+    assert len(found) == len(rows)
+    assert sorted(r["size"] for r in found) == sorted(size_of(t) for _, t, _ in rows)
+    check(rows, found)
+
+
+def test_documents_of_the_mix(documents, workspace):
+    rows = corpus(300) + [(1000, "a b c", "hot")] * 2
+    docs = documents(rows)
+    plan = mixing.mix_sources(docs, workspace=workspace).collect()
+    mixed = mixing.mix_documents(docs, workspace=workspace)
+    assert mixed.columns == docs.columns
+    words = {}
+    texts = {i: t for i, t, _ in rows}
+    for r in mixed.collect():
+        words[r["doc_id"]] = words.get(r["doc_id"], 0) + size_of(r["text"])
+        assert texts[r["doc_id"]].startswith(r["text"])
+    expected = {}
+    for r in plan:
+        expected[r["doc_id"]] = expected.get(r["doc_id"], 0) + r["taken"]
+    assert words == {i: n for i, n in expected.items() if n or i in words}
+    assert mixing.mix_documents(documents([]), workspace=workspace).count() == 0
+
+
+def test_cut_text_ends_with_its_word(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("  a\n bb  ccc ", 2), ("w " * 60_000, 50_000)], "t string, n int")
+    found = [r[0] for r in df.select(mixing.first_words(F.col("t"), F.col("n"))).collect()]
+    assert found == ["  a\n bb", "w " * 49_999 + "w"]
+
+
+def test_no_python_on_the_executors(documents, workspace):
+    plan = mixing.mix_sources(documents(corpus(30)), workspace=workspace)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert not any(w in text for w in ("Python", "Pandas", "Arrow"))

@@ -1,0 +1,134 @@
+import random
+
+import pytest
+import xxhash
+
+from starflow.llm import simhash
+from starflow.llm.components import components
+
+
+def mark(text):
+    """The fingerprint by its definition, as 16 hexadecimal digits."""
+    words = bytes((c + 32 if 65 <= c <= 90 else c) for c in (text or "").encode()).split()
+    if not words:
+        return "0" * 16
+    grams = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    return f"{bits:016x}"
+
+
+def brute(rows, limit=2):
+    marks = [int(mark(t), 16) for _, t, _ in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (marks[i] ^ marks[j]).bit_count() <= limit:
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc, _, _) in enumerate(rows):
+        r = find(i)
+        if doc is not None:
+            least[r] = min(least.get(r, doc), doc)
+    return sorted(
+        ((doc, f"{m:016x}", least.get(find(i))) for i, ((doc, _, _), m) in enumerate(zip(rows, marks))), key=str
+    )
+
+
+def found_of(df, **options):
+    rows = simhash.near_duplicates(df, **options)
+    rows = rows.select("doc_id", simhash.hex_fingerprint(rows["fp"]).alias("f"), "component_id")
+    return sorted((tuple(r) for r in rows.collect()), key=str)
+
+
+def near_texts(n=150, seed=5):
+    """Long texts, and copies of them with a word changed here and there."""
+    rnd = random.Random(seed)
+    bases = [[f"w{rnd.randint(0, 500)}" for _ in range(220)] for _ in range(25)]
+    out = []
+    for i in range(n):
+        words = list(rnd.choice(bases))
+        for _ in range(rnd.choice([0, 0, 1, 1, 2, 6])):
+            words[rnd.randrange(len(words))] = f"x{rnd.randint(0, 9)}"
+        out.append((i, " ".join(words), "s"))
+    return out
+
+
+CASES = {
+    "empty table": [],
+    "no words": [(4, None, "s"), (2, "", "s"), (3, "  \n", "s"), (1, "a b", "s")],
+    "short": [(1, "A", "s"), (2, "a", "s"), (3, "a b", "s"), (4, "É b", "s"), (5, "é b", "s"), (6, "a  b", "s")],
+    "null ids": [(None, "q r s t", "s"), (None, "q r s t", "s"), (9, "q r s t", "s"), (None, "z z", "s")],
+    "repeats": [(3, "k l m n", "s")] * 3 + [(1, "k l m n", "s")],
+    "long": [(1, "a b c d " * 50_000, "s"), (2, "a b c d " * 50_000 + "e", "s")],
+    "one gram in two": [(1, "a b c x", "s"), (2, "a b c a b c", "s")],
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_special_cases(documents, workspace, name):
+    assert found_of(documents(CASES[name]), workspace=workspace) == brute(CASES[name])
+
+
+@pytest.mark.parametrize("bucket", [1, 4, 64])
+def test_components_equal_brute_force(documents, workspace, bucket):
+    """Also where every bucket is over-full and takes the other way."""
+    rows = near_texts()
+    expected = brute(rows)
+    assert len({c for _, _, c in expected}) < len({f for _, f, _ in expected})
+    assert found_of(documents(rows).repartition(3), workspace=workspace, bucket=bucket) == expected
+
+
+@pytest.mark.parametrize("bucket", [2, 64])
+def test_links_of_given_fingerprints(spark, workspace, bucket):
+    rnd = random.Random(9)
+    marks = {rnd.getrandbits(64) for _ in range(60)}
+    for m in list(marks):
+        for _ in range(3):
+            marks.add(m ^ (1 << rnd.randrange(64)) ^ (1 << rnd.randrange(64)) ^ (rnd.getrandbits(1) << 63))
+    signed = sorted(m - (1 << 64) if m >> 63 else m for m in marks)
+    df = spark.createDataFrame([(m,) for m in signed], "fp bigint")
+    links = {tuple(r) for r in simhash.close_links(df, workspace, bucket).collect()}
+    near = {
+        (a, b) for a in signed for b in signed
+        if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 2
+    }
+    assert links <= near  # every link is real
+    if bucket == 64:
+        assert links == near
+
+    def classes(pairs):
+        root = {m: m for m in signed}
+        for a, b in sorted(pairs) * 6:
+            low = min(root[a], root[b])
+            root = {m: low if r in (root[a], root[b]) else r for m, r in root.items()}
+        return root
+
+    assert classes(links) == classes(near)
+
+
+def test_one_document_of_each_component_stays(documents, workspace):
+    rows = near_texts(80) + [(None, "lost lost lost", "s"), (None, "lost lost lost", "s"), (500, "once", "s")] * 2
+    docs = documents(rows)
+    left = simhash.drop_near_copies(docs, workspace=workspace)
+    assert left.columns == docs.columns
+    ids = [r["doc_id"] for r in left.collect()]
+    expected = {c for _, _, c in brute(rows)}
+    assert sorted(map(str, ids)) == sorted(map(str, expected))
+    assert simhash.drop_near_copies(documents([]), workspace=workspace).count() == 0
+
+
+def test_components_of_chains_and_stars(spark, workspace):
+    chain = [(i, i + 1) for i in range(40)]
+    star = [(100, i) for i in range(101, 160)]
+    loops = [(7, 7), (200, 201), (201, 200)]
+    links = spark.createDataFrame(chain + star + loops, "x bigint, y bigint")
+    got = {r["node"]: r["root"] for r in components(links, workspace).collect()}
+    assert got == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 160)} | {201: 200}
+    assert components(links.where("x < 0"), workspace).count() == 0

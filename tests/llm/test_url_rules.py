@@ -1,0 +1,131 @@
+import itertools
+from collections import Counter
+from urllib.parse import urlsplit
+
+import pytest
+from pyspark.sql import functions as F
+
+from starflow.llm import url_rules as ur
+
+
+def parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    cut = min((rest.index(c) for c in "/?#" if c in rest), default=len(rest))
+    host, tail = rest[:cut], rest[cut:]
+    end = min((tail.index(c) for c in "?#" if c in tail), default=len(tail))
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), tail[:end]
+
+
+def rule(host, path):
+    fits = [
+        r for r in ur.RULES
+        if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)
+    ]
+    return max(fits, key=lambda r: len(r.text), default=None)
+
+
+URLS = [
+    None, "", "no scheme", "http://", "http://org", "http://org/", "https://A.Example.ORG/es/1", "http://example.org/en/1",
+    "http://example.org/en/2", "http://x.example.org/en/17?q=1", "http://notexample.org/es/", "http://example.com/fr/3#x",
+    "http://example.com/de/", "http://xcom/de/", "ftp://a.b.com/de/4://x", "http://example.org?/es/", "http://host#/frag",
+    "http://É.org/", "http://a.net/de/9", "://com/de/", "http://org./x", "http://com/fr", "http://example.com/FR/",
+    "http://a.com/fr/x" + "y" * 100_000,
+]
+
+
+@pytest.fixture
+def pages(spark):
+    def make(urls):
+        rows = [(i, u, "<p>", "h", "r") for i, u in enumerate(urls)]
+        return spark.createDataFrame(rows, "page_id bigint, url string, html string, host string, rule string")
+
+    return make
+
+
+def test_fixed_rules(pages, workspace):
+    found = ur.judge_urls(pages(URLS), workspace=workspace).collect()
+    assert len(found) == len(URLS)
+    for r in found:
+        host, path = parts(URLS[r["page_id"]])
+        assert (r["host"], r["path"]) == (host, path)
+        fits = rule(host, path)
+        assert r["rule"] == (fits.text if fits else None)
+        if fits:
+            assert r["verdict"] == fits.verdict
+
+
+def test_hosts_and_paths_agree_with_a_parser():
+    for url in [u for u in URLS if u and u.startswith("http://") and "É" not in u]:
+        assert parts(url)[1] == urlsplit(url).path
+
+
+def brute_mined(rows, support, confidence):
+    """All token sets of blocked rows that are frequent and confident, shorter ones first."""
+    n = len(rows)
+    sets = Counter()
+    hits = Counter()
+    for tokens, blocked in rows:
+        for k in range(1, len(tokens) + 1):
+            for some in itertools.combinations(sorted(tokens), k):
+                sets[some] += 1
+                hits[some] += blocked
+    good = {s: hits[s] / sets[s] for s in sets if hits[s] / n >= support and hits[s] / sets[s] >= confidence}
+    return {
+        s for s, c in good.items()
+        if not any(good.get(s[:i] + s[i + 1 :], -1) >= c for i in range(len(s)))
+    }
+
+
+def labelled_rows():
+    out = []
+    for i in range(240):
+        tokens = {f"host0:{'com' if i % 3 else 'org'}", f"path:{'ab'[i % 2]}", f"path:{'xyz'[i % 5 % 3]}"}
+        blocked = ("path:a" in tokens and "path:x" in tokens) or i % 60 == 7
+        out.append((sorted(tokens), blocked))
+    return out
+
+
+@pytest.mark.parametrize("support, confidence", [(0.01, 0.9), (0.1, 0.5), (0.3, 0.9)])
+def test_mined_rules_equal_brute_force(spark, workspace, support, confidence):
+    rows = labelled_rows()
+    df = spark.createDataFrame(rows, "tokens array<string>, blocked boolean")
+    mined = ur.mine_rules(df, min_support=support, min_confidence=confidence, workspace=workspace)
+    assert {tuple(r["tokens"]) for r in mined.collect()} == brute_mined(rows, support, confidence)
+
+
+def test_matching_by_index_equals_brute_force(spark, workspace):
+    rows = [(i, t) for i, (t, _) in enumerate(labelled_rows())] + [(1000, []), (1001, ["path:a"])]
+    rules = [(1, ["path:a"]), (2, ["path:a", "path:x"]), (3, ["host0:org", "path:b", "path:z"]), (4, ["none"])]
+    found = ur.match_rules(
+        spark.createDataFrame(rows, "row bigint, tokens array<string>"),
+        spark.createDataFrame(rules, "rule bigint, tokens array<string>"),
+        workspace,
+    )
+    assert {tuple(r) for r in found.collect()} == {
+        (i, k) for i, t in rows for k, need in rules if set(need) <= set(t)
+    }
+
+
+def test_mined_rules_judge_the_rest(pages, workspace):
+    """Blocked and allowed pages differ in a path segment; pages without a rule follow it."""
+    urls = [f"http://s{i}.example.com/{'de/bad' if i % 2 else 'fr/fine'}/{i}" for i in range(200)]
+    urls += [f"http://s{i}.example.net/xx/{'bad' if i % 2 else 'fine'}/{i}" for i in range(50)]
+    found = ur.judge_urls(pages(urls + urls[-2:]), workspace=workspace).collect()
+    rest = [r for r in found if r["rule"] is None]
+    assert len(rest) == 52
+    assert all(r["verdict"] == ("block" if "bad" in r["path"] else "allow") for r in rest)
+    assert all(bool(r["mined_rule"]) == (r["verdict"] == "block") for r in rest)
+
+
+def test_no_labels_and_no_pages(pages, workspace):
+    found = ur.judge_urls(pages(["http://a.net/x", None, None]), workspace=workspace).collect()
+    assert [r["verdict"] for r in found] == ["allow"] * 3
+    assert ur.judge_urls(pages([]), workspace=workspace).count() == 0
+
+
+def test_every_rule_is_stated(spark):
+    df = spark.createDataFrame([("a.example.org", "/en/12")], "h string, p string")
+    made = df.select(ur.matching_rule(F.col("h"), F.col("p")).alias("r")).first()["r"]
+    assert tuple(made) == ("example.org/en/1", "block")
