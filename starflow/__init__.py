@@ -37,8 +37,15 @@ from starflow.operators.quality import (
     row_count,
 )
 from starflow.operators.rank import dense_rank_in_group, top_in_group
-from starflow.plans.sales import SalesRun, SalesSpec, run_sales, run_sales_files, sales_spec
-from starflow.plans.star import StarSpec, build_star, join_star, table_counts
+from starflow.plans.sales import (
+    MissingValueError,
+    SalesRun,
+    SalesSpec,
+    run_sales,
+    run_sales_files,
+    sales_spec,
+)
+from starflow.plans.star import StarSpec, attach_dimensions, build_star, join_star, table_counts
 from starflow.sources.contract import (
     SchemaContract,
     column_names,
@@ -47,7 +54,7 @@ from starflow.sources.contract import (
     sales_contract,
 )
 from starflow.sources.files import EmptySourceError, read_contract, read_parquet, scan_csv
-from starflow.sources.tables import write_tables
+from starflow.sources.tables import UnwritableTextError, read_table, write_tables
 from starflow.sources.workspace import Workspace
 
 __all__ = [name for name in dir() if not name.startswith("_")]

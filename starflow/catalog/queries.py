@@ -359,6 +359,7 @@ def _unmatched(spark, sf_dir, null_safe: bool) -> DataFrame:
     """Facts whose warehouse was not imputed, so some natural keys are NULL."""
     rows = flat_sales(spark, sf_dir).select("warehouse_id", "supplier_id", "batch_number")
     workspace = Workspace(spark)
+    rows = workspace.store(rows, "rows")
     specs = [DIMENSIONS["dim_warehouse"], _SUPPLIER_ONLY]
     dims = {s.name: dimensions.build_dimension(rows, s, workspace) for s in specs}
     fact = facts.attach_keys(rows, dims, specs, null_safe_keys=null_safe)
