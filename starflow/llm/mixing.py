@@ -20,8 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starflow.functions.columns import ref
-from starflow.llm.rows import BROADCAST_BYTES, WORD_PATTERN, fresh, pick, word_count
+from starflow.llm.rows import BROADCAST_BYTES, WORD_PATTERN, pick, word_count
 from starflow.operators.keys import number_by_order
 from starflow.operators.lookup import attach
 from starflow.sources.workspace import Workspace
@@ -191,31 +190,33 @@ def mix_documents(
     """
     workspace = workspace or Workspace(docs.sparkSession)
     _, cuts = mix_plan(docs, doc_id, text, source, seed=seed, workspace=workspace, **options)
-    size, key, part, copy = (fresh(docs, c) for c in ("_size", "_mixkey", "_part", "_copy"))
-    names = {c: fresh(docs, f"_{c}") for c in _CUT}
-    lookup = cuts.select(
-        F.col("source").alias(source), *[F.col(c).alias(names[c]) for c in _CUT]
-    )
-    rows = docs.withColumn(size, word_count(ref(text))).withColumn(key, mix_key(ref(doc_id), seed))
+    # Columns by place, so that no name of theirs can clash with one of ours.
+    places = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    content, origin = F.col(places[text]), places[source]
+    rows = docs.toDF(*places.values())
+    rows = rows.withColumn("size", word_count(content))
+    rows = rows.withColumn("key", mix_key(F.col(places[doc_id]), seed))
+    lookup = cuts.select(F.col("source").alias(origin), *_CUT)
     rows = attach(
-        rows, lookup, [source], list(names.values()), null_safe=True, broadcast_bytes=BROADCAST_BYTES
+        rows, lookup, [origin], _CUT, null_safe=True, broadcast_bytes=BROADCAST_BYTES
     )
-    cut = {c: ref(n) for c, n in names.items()}
-    rows = rows.withColumn(part, _partial_words(ref(key), ref(size), cut))
+    partial = _partial_words(F.col("key"), F.col("size"), {c: F.col(c) for c in _CUT})
+    rows = rows.withColumn("partial", partial)
     # 0 stands for the partial copy, 1.. for the whole ones.
-    whole = F.when(cut["epochs"] > 0, F.sequence(F.lit(1), cut["epochs"].cast("int"))).otherwise(
-        F.array().cast("array<int>")
-    )
-    copies = F.concat(whole, F.when(ref(part) > 0, F.array(F.lit(0))).otherwise(F.array().cast("array<int>")))
-    rows = rows.withColumn(copy, F.explode(copies))
-    short = (ref(copy) == 0) & (ref(part) < ref(size))
+    none = F.array().cast("array<int>")
+    epochs = F.col("epochs").cast("int")
+    whole = F.when(epochs > 0, F.sequence(F.lit(1), epochs)).otherwise(none)
+    last = F.when(F.col("partial") > 0, F.array(F.lit(0))).otherwise(none)
+    rows = rows.withColumn("copy", F.explode(F.concat(whole, last)))
+    short = (F.col("copy") == 0) & (F.col("partial") < F.col("size"))
+    cut_text = first_words(content, F.col("partial"))
+    changed = {text: cut_text}
+    if n_chars in places:
+        changed[n_chars] = F.length(cut_text).cast(docs.schema[n_chars].dataType)
     out = []
-    for c in docs.columns:
-        if c == text:
-            out.append(F.when(short, first_words(ref(c), ref(part))).otherwise(ref(c)).alias(c))
-        elif c == n_chars:
-            left = F.length(first_words(ref(text), ref(part))).cast(docs.schema[c].dataType)
-            out.append(F.when(short, left).otherwise(ref(c)).alias(c))
-        else:
-            out.append(ref(c))
+    for c, place in places.items():
+        value = F.col(place)
+        if c in changed:
+            value = F.when(short, changed[c]).otherwise(value)
+        out.append(value.alias(c))
     return rows.select(*out)
