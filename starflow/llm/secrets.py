@@ -38,7 +38,7 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")  # the same as HEX runs of 24 and more
-KEY_HINT = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
+KEY_WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 KINDS = ("assign", "access", "hex", "model")
 
@@ -63,7 +63,8 @@ _WIDTH = _SHAPES + 2 * REACH * len(_ROLES) + _FILE + 1
 def base_spans(text: str) -> list[tuple[int, int, int, int, int]]:
     """(start, kind, end, secret start, secret end) of the base patterns, in report order."""
     found = []
-    if KEY_HINT.search(text):
+    lower = text.lower()
+    if any(word in lower for word in KEY_WORDS):  # else there is nothing to search
         for m in ASSIGN.finditer(text):
             if len(m[2]) >= ASSIGN_LEAST:
                 found.append((m.start(), 0, m.end(), m.start(2), m.end(2)))
@@ -171,19 +172,29 @@ def _expand(numbers: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.arange(counts.sum()) - shift[word] + first[numbers][word], word
 
 
-_WORD = re.compile(r"\S+")
+def number_words(text: str, table: Tokens) -> np.ndarray:
+    """The numbers of a text's words; ``table.settle`` must follow before they are used."""
+    words = text.split()
+    return np.fromiter(map(table.__getitem__, words), dtype=np.int64, count=len(words))
 
 
-def read_tokens(text: str, table: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def read_tokens(
+    text: str, table: Tokens, numbers: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token numbers, starts, ends) of a text, in code points."""
-    words = text.split()
-    numbers = np.fromiter(map(table.__getitem__, words), dtype=np.int64, count=len(words))
-    table.settle()
-    lengths = table.lengths[numbers]
-    if len(words) and len(text) == lengths.sum() + len(words) - 1:  # single white space
+    if numbers is None:
+        numbers = number_words(text, table)
+        table.settle()
+    n, lengths = len(numbers), table.lengths[numbers]
+    if n and len(text) == lengths.sum() + n - 1:  # single white space
         at = np.cumsum(lengths + 1) - lengths - 1
     else:
-        at = np.fromiter((m.start() for m in _WORD.finditer(text)), dtype=np.int64, count=len(words))
+        starts, place = [], 0
+        for word in text.split():
+            place = text.index(word, place)
+            starts.append(place)
+            place += len(word)
+        at = np.array(starts, dtype=np.int64)
     tokens, word = _expand(numbers, table.first)
     begin = at[word] + table.tokens[tokens, 0]
     return tokens, begin, begin + table.tokens[tokens, 1]
@@ -270,9 +281,11 @@ def decode(emit: np.ndarray, field: Field) -> list[tuple[int, int]]:
     return found
 
 
-def model_spans(text: str, table: Tokens, field: Field) -> list[tuple[int, int]]:
+def model_spans(
+    text: str, table: Tokens, field: Field, numbers: np.ndarray | None = None
+) -> list[tuple[int, int]]:
     """(start, end) of the field's secrets in a text; ``table`` has the field's weights."""
-    tokens, begin, end = read_tokens(text, table)
+    tokens, begin, end = read_tokens(text, table, numbers)
     if not len(tokens):
         return []
     emit = emissions(table.tokens[tokens, 2], table.scores[table.tokens[tokens, 3]], field)
@@ -376,12 +389,15 @@ def train_secrets(
 ) -> Field | None:
     """Fit on the documents with the smallest hashes, with and without findings.
 
-    None if there is no document with a finding. Which documents have one is a built-in
-    pattern match; only the sample's ids are gathered, and it is stored.
+    Which documents may have one is told by the key words alone, as built-in expressions; the
+    patterns label the sample. None if it has no finding. Only the sample's hashes are
+    gathered.
     """
     workspace = workspace or Workspace(docs.sparkSession)
     rows = pick(docs, id=doc_id, text=text).where("text IS NOT NULL")
-    hint = F.col("text").rlike(r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}")
+    hint = F.contains("text", F.lit("AKIA"))
+    for word in KEY_WORDS:
+        hint = hint | F.contains("text", F.lit(word))
     marked = rows.select(F.xxhash64("id", "text").alias("key"), hint.alias("found"))
     marked = workspace.store(marked, "marked")
     sizes = {r[0]: r[1] for r in marked.groupBy("found").count().collect()}
@@ -430,18 +446,18 @@ def find_secrets(docs: DataFrame, field: Field | None, doc_id: str = "doc_id", t
         if field is not None and not held:
             held.append(Tokens(field.emit[:_SHAPES]))
         out, contents = [], [content.decode() for content in texts]
-        if held:
+        numbers = [None] * len(contents)
+        if held:  # all texts first, so that the arrays grow once per batch
             held[0].trim()
-            for content in contents:  # so that the arrays grow once per batch, not per text
-                for word in set(content.split()):
-                    held[0][word]
-        for content in contents:
+            numbers = [number_words(content, held[0]) for content in contents]
+            held[0].settle()
+        for content, mine in zip(contents, numbers):
             base = [(a, kind_, b) for a, kind_, b, _, _ in base_spans(content)]
             more = []
             if field is not None:
                 more = [
                     (a, 3, b)
-                    for a, b in model_spans(content, held[0], field)
+                    for a, b in model_spans(content, held[0], field, mine)
                     if not any(a < y and b > x for x, _, y in base)
                 ]
             out.append([{"kind": KINDS[k], "start": a, "end": b} for a, k, b in sorted(base + more)])
