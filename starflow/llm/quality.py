@@ -40,11 +40,35 @@ _SAME = xxhash.xxh32_intdigest(b"=")
 _PAIR = np.uint32(0x9E3779B1)
 
 
-def word_buckets(word: bytes) -> list[int]:
-    """Buckets of a word and its character n-grams, word ends marked."""
-    framed = "<" + word.decode() + ">"
-    grams = [framed[i : i + n] for n in NGRAMS for i in range(len(framed) - n + 1)]
-    return [xxhash.xxh32_intdigest(g.encode()) % BUCKETS for g in (framed, *grams)]
+def _bucket(code: np.ndarray) -> np.ndarray:
+    """Mixed 32-bit codes to buckets."""
+    with np.errstate(over="ignore"):
+        code = (code ^ (code >> np.uint32(15))) * np.uint32(0x85EBCA6B)
+        code = code ^ (code >> np.uint32(13))
+    return (code >> np.uint32(16)).astype(np.int64) % BUCKETS
+
+
+def word_buckets(words: list[str], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, word numbers): each word, by its hash, and its character n-grams.
+
+    Word ends are marked. All words are taken at once, as one row of code points.
+    """
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
+    text = "<" + "><".join(words) + ">"
+    chars = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+    owner = np.repeat(np.arange(len(words)), lengths)
+    left = np.cumsum(lengths)[owner] - np.arange(len(chars))  # characters to the word's end
+    buckets, owners = [_bucket(hashes)], [np.arange(len(words))]
+    for n in NGRAMS:
+        last = len(chars) - n + 1
+        code = np.full(max(0, last), n, dtype=np.uint32)
+        with np.errstate(over="ignore"):
+            for k in range(n):
+                code = code * np.uint32(0x01000193) + chars[k : last + k]
+        whole = left[: max(0, last)] >= n
+        buckets.append(_bucket(code[whole]))
+        owners.append(owner[: max(0, last)][whole])
+    return np.concatenate(buckets), np.concatenate(owners)
 
 
 def pair_buckets(hashes: np.ndarray) -> np.ndarray:
@@ -54,8 +78,7 @@ def pair_buckets(hashes: np.ndarray) -> np.ndarray:
     left = np.where(right == np.uint32(_SAME), np.uint32(_SAME), left)
     with np.errstate(over="ignore"):
         mixed = (left * _PAIR) ^ (right + (right << np.uint32(7)))
-        mixed = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x85EBCA6B)
-    return (mixed >> np.uint32(16)).astype(np.int64) % BUCKETS
+    return _bucket(mixed)
 
 
 @dataclass
@@ -76,24 +99,28 @@ class _Words(dict):
 
     def __init__(self, weights: np.ndarray | None):
         self.weights = weights
-        self.facts: list[tuple[int, int, int, float]] = []
+        self.new: list[bytes] = []
         self.arrays = np.zeros((0, 4))
 
     def __missing__(self, word: bytes) -> int:
-        chars = len(word.decode())
-        symbols = len(word) - len(word.translate(None, SYMBOLS))
-        weight = 0.0
-        if self.weights is not None:
-            weight = float(self.weights[word_buckets(word)].sum())
+        self.new.append(word)
         n = self[word] = len(self)
-        self.facts.append((chars, symbols, xxhash.xxh32_intdigest(word), weight))
         return n
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         ids = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
-        if self.facts:
-            self.arrays = np.concatenate([self.arrays, np.array(self.facts, dtype=float)])
-            self.facts = []
+        if self.new:
+            facts = np.zeros((len(self.new), 4))
+            texts = [w.decode() for w in self.new]
+            hashes = np.array([xxhash.xxh32_intdigest(w) for w in self.new], dtype=np.uint32)
+            facts[:, 0] = [len(t) for t in texts]
+            facts[:, 1] = [len(w) - len(w.translate(None, SYMBOLS)) for w in self.new]
+            facts[:, 2] = hashes
+            if self.weights is not None:
+                buckets, owner = word_buckets(texts, hashes)
+                facts[:, 3] = np.bincount(owner, self.weights[buckets], minlength=len(texts))
+            self.arrays = np.concatenate([self.arrays, facts])
+            self.new = []
         return ids
 
     def trim(self) -> None:
@@ -177,8 +204,8 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     words = text.split()
     if not words:
         return np.zeros(0, np.int64), np.zeros(0)
-    found = [b for w in words for b in word_buckets(w)]
     hashes = np.array([xxhash.xxh32_intdigest(w) for w in words], dtype=np.uint32)
+    found, _ = word_buckets([w.decode() for w in words], hashes)
     buckets, counts = np.unique(np.concatenate([found, pair_buckets(hashes)]), return_counts=True)
     return buckets.astype(np.int64), counts / len(words)
 
