@@ -38,6 +38,7 @@ from starflow.llm.tokens import encoder, tokenizer_path
 from starflow.sources.workspace import Workspace
 
 END_ID = 2
+READ_BYTES = 1024 * 1024  # neighbouring documents are read together up to this size
 _MAGIC = b"IDSHARD1"
 _FOOTER = 32
 _SLOT = np.dtype([("mark", "<u4"), ("shard", "<u4"), ("at", "<u8"), ("n", "<u4")])
@@ -85,7 +86,8 @@ def write_token_files(
 ) -> DataFrame:
     """Write shards and index; returns their directory, one row per document.
 
-    The directory (id, repeat, shard, at, n) is narrow; ids themselves go to the files only.
+    The directory (id, repeat, hash, mark, shard, at, n) is narrow; ids themselves go to the
+    files only.
     """
     spark = docs.sparkSession
     workspace = workspace or Workspace(spark)
@@ -96,7 +98,7 @@ def write_token_files(
         F.col("id").asc_nulls_first(), F.xxhash64("text")
     )
     end = end_id.to_bytes(id_bytes, "little")
-    schema = f"id {kind}, repeat int, shard int, at bigint, n bigint"
+    schema = f"id {kind}, repeat int, hash bigint, mark bigint, shard int, at bigint, n bigint"
 
     def write(batches) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
@@ -122,14 +124,18 @@ def write_token_files(
                 sizes.append(n)
                 at += n
                 count += 1
+            hashes, marks = _hashed(batch.column(0).to_pylist(), repeats)
             columns = [
                 batch.column(0),
                 pa.array(repeats, pa.int32()),
+                hashes,
+                marks,
                 pa.array([shard] * len(sizes), pa.int32()),
                 pa.array(starts, pa.int64()),
                 pa.array(sizes, pa.int64()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "repeat", "shard", "at", "n"])
+            names = ["id", "repeat", "hash", "mark", "shard", "at", "n"]
+            yield pa.RecordBatch.from_arrays(columns, names)
         if out is not None:
             out.write(_MAGIC + np.array([id_bytes, count, at], dtype="<u8").tobytes())
             out.close()
@@ -141,22 +147,28 @@ def write_token_files(
     return directory
 
 
-def _with_part(rows: DataFrame, parts: int) -> DataFrame:
-    """Adds hash, mark and part of each key (id, repeat)."""
-    kind = rows.schema["id"].dataType.simpleString()
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+def _hashed(ids: list, repeats: list[int]) -> tuple[pa.Array, pa.Array]:
+    """Hashes (signed, as Spark has them) and marks of keys."""
+    keys = list(zip(ids, repeats))
+    hashes = np.array([key_hash(*k) for k in keys], dtype=np.uint64).view(np.int64)
+    return pa.array(hashes, pa.int64()), pa.array([key_mark(*k) for k in keys], pa.int64())
+
+
+def with_hashes(keys: DataFrame) -> DataFrame:
+    """(id, repeat) with hash and mark."""
+    kind = keys.schema["id"].dataType.simpleString()
 
     def add(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            hashes = np.array([key_hash(*k) for k in keys], dtype=np.uint64)
-            marks = pa.array([key_mark(*k) for k in keys], pa.int64())
-            part = pa.array((hashes % np.uint64(parts)).astype(np.int32))
-            columns = [*batch.columns, pa.array(hashes.view(np.int64)), marks, part]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "hash", "mark", "part"])
+            both = _hashed(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, *both], ["id", "repeat", "hash", "mark"])
 
-    assert rows.columns[:2] == ["id", "repeat"], kind
-    return rows.mapInArrow(add, fields + ", hash bigint, mark bigint, part int")
+    keys = keys.select("id", F.col("repeat").cast("int").alias("repeat"))
+    return keys.mapInArrow(add, f"id {kind}, repeat int, hash bigint, mark bigint")
+
+
+def _part(parts: int):
+    return F.pmod(F.col("hash"), F.lit(parts)).cast("int").alias("part")
 
 
 def _write_index(directory: DataFrame, folder: str, parts: int, workspace: Workspace) -> None:
@@ -179,15 +191,14 @@ def _write_index(directory: DataFrame, folder: str, parts: int, workspace: Works
         _publish(store, mine, target)
         return pa.table({"part": pa.array([part], pa.int32()), "keys": pa.array([len(slots)], pa.int64())})
 
-    keyed = _with_part(directory, parts)
-    built = keyed.groupBy("part").applyInArrow(build, "part int, keys bigint")
+    built = directory.groupBy(_part(parts)).applyInArrow(build, "part int, keys bigint")
     workspace.store(built, "index")
 
 
 def look_up(keys: DataFrame, folder: str, parts: int) -> DataFrame:
     """Keyed access: (id, repeat) to (id, repeat, shard, at, n) by the index files.
 
-    A key that was never written comes back with NULL, as its fingerprint tells.
+    Keys that carry hash and mark, as the directory's do, are not hashed again. A key that was never written comes back with NULL, as its fingerprint tells.
     """
     kind = keys.schema["id"].dataType.simpleString()
     schema = f"id {kind}, repeat int, shard int, at bigint, n bigint"
@@ -214,8 +225,9 @@ def look_up(keys: DataFrame, folder: str, parts: int) -> DataFrame:
             "n": pa.array(entry["n"].astype(np.int64), mask=~known),
         })
 
-    keyed = _with_part(keys.select("id", "repeat"), parts)
-    return keyed.groupBy("part").applyInArrow(find, schema)
+    if "hash" not in keys.columns:
+        keys = with_hashes(keys)
+    return keys.select("id", "repeat", "hash", "mark").groupBy(_part(parts)).applyInArrow(find, schema)
 
 
 def _shard(folder: str, shard: int):
@@ -251,6 +263,21 @@ def shard_starts(shards: DataFrame, folder: str) -> DataFrame:
     return shards.sparkSession.createDataFrame(rows, "shard int, first bigint")
 
 
+def _stretches(file, starts: list[int], sizes: list[int], id_bytes: int) -> Iterator[bytes]:
+    """The raw ids of each document; neighbours in the file are read together."""
+    i = 0
+    while i < len(starts):
+        j, end = i, starts[i]
+        while j < len(starts) and starts[j] == end and (end - starts[i]) * id_bytes < READ_BYTES:
+            end += sizes[j]
+            j += 1
+        data = memoryview(file.read_at((end - starts[i]) * id_bytes, starts[i] * id_bytes))
+        for k in range(i, j):
+            at = (starts[k] - starts[i]) * id_bytes
+            yield bytes(data[at : at + sizes[k] * id_bytes])
+        i = j
+
+
 def read_documents(found: DataFrame, folder: str, *, with_ids: bool = False) -> DataFrame:
     """What the shards hold at the places ``look_up`` gave: (id, repeat, shard, at, n, ids_crc32[, ids])."""
     kind = found.schema["id"].dataType.simpleString()
@@ -261,8 +288,7 @@ def read_documents(found: DataFrame, folder: str, *, with_ids: bool = False) ->
         table = table.sort_by("at")
         crc, ids = [], []
         with file:
-            for at, n in zip(table["at"].to_pylist(), table["n"].to_pylist()):
-                raw = file.read_at(n * id_bytes, at * id_bytes)
+            for raw in _stretches(file, table["at"].to_pylist(), table["n"].to_pylist(), id_bytes):
                 if id_bytes != 4:
                     raw = np.frombuffer(raw, dtype=f"<u{id_bytes}").astype("<u4").tobytes()
                 crc.append(zlib.crc32(raw))

@@ -2,7 +2,7 @@
 
 A byte-level BPE cuts a text into pieces first and encodes each on its own, and there is
 always a cut before a single blank or a single line break between two words, and between a
-run of letters and stops behind it. So a text in which all white space is of that kind is
+run of letters and a single stop that ends the word. So a text in which all white space is of that kind is
 the sequence of its words' ids, and a word is encoded only the first time a worker meets it.
 A word of letters alone is one piece, which the model encodes directly. Any other word or
 text is encoded as a whole. All ways give the same ids.
@@ -11,12 +11,11 @@ text is encoded as a whole. All ways give the same ids.
 from __future__ import annotations
 
 import os
-import re
 import struct
 
 TOKENIZER = "byte_bpe_50k.json"
-_CACHE_WORDS = 120_000  # of each generation
-_STOPPED = re.compile(r"([^\W\d_]+)([.,;:!?]+)")
+_CACHE_WORDS = 300_000  # of each generation
+_ENDS = ".,;:!?"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -35,8 +34,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+_PACKS = [struct.Struct(f"<{n}I").pack for n in range(64)]
+
+
 def _pack(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    n = len(ids)
+    return _PACKS[n](*ids) if n < 64 else struct.pack(f"<{n}I", *ids)
 
 
 class _Words(dict):
@@ -48,6 +51,9 @@ class _Words(dict):
 
     def __init__(self, owner: "Encoder", before: str):
         self.owner, self.before, self.older = owner, before, {}
+        self.mark = "".join(owner.letters[b] for b in before.encode())
+        self.letters, self.tokenize = owner.letters, owner.tokenizer.model.tokenize
+        self.ends = owner.ends
 
     def trim(self) -> None:
         if len(self) > _CACHE_WORDS:
@@ -55,31 +61,19 @@ class _Words(dict):
             self.clear()
 
     def __missing__(self, word: str) -> bytes:
+        if word[-1:] in self.ends and (stem := word[:-1]).isalpha():
+            return self[stem] + self.ends[word[-1]]  # not kept: both parts are
         ids = self.older.get(word)
-        if ids is not None:
-            self[word] = ids
-            return ids
-        if word.isalpha():
-            ids = self.owner.piece(self.before + word)
-        elif (stopped := _STOPPED.fullmatch(word)) and stopped[1].isalpha():
-            return self[stopped[1]] + self.owner.stops[stopped[2]]
-        else:
-            ids = self.owner.whole(self.before + word)
+        if ids is None:
+            if word.isalpha():  # one piece: the model encodes it as it is
+                letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+                ids = _pack([token.id for token in self.tokenize(self.mark + letters)])
+            else:
+                ids = self.owner.whole(self.before + word)
         self[word] = ids
         return ids
 
 
-class _Stops(dict):
-    """Stops behind a word to their ids."""
-
-    def __init__(self, owner: "Encoder"):
-        self.owner = owner
-
-    def __missing__(self, stops: str) -> bytes:
-        ids = self[stops] = self.owner.whole(stops)
-        return ids
-
-
 class Encoder:
     """Texts to ids; one per worker process and tokenizer file."""
 
@@ -89,10 +83,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.blank = self.letters[ord(" ")]
-        self.stops = _Stops(self)
+        self.ends = {stop: self.whole(stop) for stop in _ENDS}
         self.first = _Words(self, "")
         self.later = _Words(self, " ")
         self.newline = self.whole("\n")
@@ -100,14 +92,6 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return _pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def piece(self, word: str) -> bytes:
-        """A text that the tokenizer does not cut."""
-        if word.isascii():
-            letters = word.replace(" ", self.blank)
-        else:
-            letters = word.encode().decode("latin-1").translate(self.letters)
-        return _pack([token.id for token in self.model.tokenize(letters)])
-
     def encode(self, text: str) -> bytes:
         """All ids of the text, as little-endian unsigned 32-bit bytes."""
         words = text.split()
@@ -121,8 +105,6 @@ class Encoder:
             return self.whole(text) if text else b""
         self.later.trim()
         self.first.trim()
-        if len(self.stops) > _CACHE_WORDS:
-            self.stops.clear()
         first, later, lines = self.first, self.later, []
         for line in text.split("\n"):
             head, *rest = line.split(" ")
