@@ -147,35 +147,33 @@ def screen(sample: DataFrame, n_terms: int = MOST_TERMS) -> np.ndarray:
 
 def fit_machine(
     present: list[list[int]], labels: np.ndarray, weights: np.ndarray, n: int,
-    *, factors: int = FACTORS, epochs: int = 40, rate: float = 0.03, decay: float = 1e-4, seed: int = 7,
+    *, factors: int = FACTORS, epochs: int = 25, rate: float = 0.03, decay: float = 1e-4, seed: int = 7,
 ) -> tuple[float, np.ndarray, np.ndarray]:
     """Weighted logistic loss by Adam over small batches of documents."""
     rng = np.random.default_rng(seed)
-    width = 1 + factors
-    model = np.zeros((n + 1, width))  # the last row pads
-    model[:n, 1:] = rng.normal(0, 0.05, (n, factors))
+    # One column of linear weights, then the factors; transposed, so that sums run along rows.
+    model = np.zeros((1 + factors, n))
+    model[1:] = rng.normal(0, 0.05, (n, factors)).T
     share = float((weights * labels).sum() / weights.sum())
     bias = np.log(share / (1 - share))
     mean, square, steps = np.zeros_like(model), np.zeros_like(model), 0
     bias_mean = bias_square = 0.0
     weights = weights / weights.mean()
+    batches = max(1, len(present) // 256)
     for _ in range(epochs):
         order = rng.permutation(len(present))
         for start in range(0, len(order), 256):
             rows = order[start : start + 256]
-            most = max(1, max(len(present[i]) for i in rows))
-            at = np.full((len(rows), most), n)
-            for k, i in enumerate(rows):
-                at[k, : len(present[i])] = present[i]
-            v = model[at, 1:]
-            total = v.sum(axis=1)
-            raw = bias + model[at, 0].sum(axis=1) + 0.5 * ((total**2).sum(axis=1) - (v**2).sum(axis=(1, 2)))
+            terms = np.concatenate([np.asarray(present[i], dtype=np.int64) for i in rows])
+            row = np.repeat(np.arange(len(rows)), [len(present[i]) for i in rows])
+            values = model[:, terms]
+            total = np.stack([np.bincount(row, x, minlength=len(rows)) for x in values])
+            squares = np.bincount(row, (values[1:] ** 2).sum(axis=0), minlength=len(rows))
+            raw = bias + total[0] + 0.5 * ((total[1:] ** 2).sum(axis=0) - squares)
             error = weights[rows] * (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels[rows]) / len(rows)
-            grad = np.zeros_like(model)
-            step = np.concatenate([np.ones((*at.shape, 1)), total[:, None, :] - v], axis=2)
-            np.add.at(grad, at, error[:, None, None] * step)
-            grad += decay * model / max(1, len(present) // 256)
-            grad[n] = 0
+            step = error[row] * np.concatenate([np.ones((1, len(row))), total[1:, row] - values[1:]])
+            grad = np.stack([np.bincount(terms, x, minlength=n) for x in step])
+            grad += decay * model / batches
             steps += 1
             mean += 0.1 * (grad - mean)
             square += 0.001 * (grad**2 - square)
@@ -185,7 +183,7 @@ def fit_machine(
             bias_mean += 0.1 * (g - bias_mean)
             bias_square += 0.001 * (g * g - bias_square)
             bias -= size * bias_mean / (np.sqrt(bias_square) + 1e-8)
-    return float(bias), model[:n, 0], model[:n, 1:]
+    return float(bias), model[0].copy(), model[1:].T.copy()
 
 
 def train_toxicity(
