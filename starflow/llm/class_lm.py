@@ -106,6 +106,10 @@ class Units(dict):
         self.n = self.base + ENDINGS
         self.update(self.fixed)
 
+    def unit(self, word: bytes) -> int:
+        fixed = self.fixed.get(word)
+        return self.base + ending_of(word) if fixed is None else fixed
+
     def __missing__(self, word: bytes) -> int:
         unit = self[word] = self.base + ending_of(word)
         return unit
@@ -288,7 +292,7 @@ def train_class_model(training: DataFrame, counts: DataFrame, workspace: Workspa
     row = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     # Few enough to sort in one place.
     frequent = frequent_words(counts, max(KNOWN, exchanged)).where(F.length("word") > 0)
-    frequent = frequent.coalesce(1).sortWithinPartitions(F.col("c").desc(), "word").limit(exchanged)
+    frequent = frequent.repartition(1).sortWithinPartitions(F.col("c").desc(), "word").limit(exchanged)
     names = [bytes(r[0]) for r in frequent.select("word").collect()]
 
     def with_unit(batches) -> Iterator[pa.RecordBatch]:
@@ -342,54 +346,49 @@ def score_texts(docs: DataFrame, model: ClassModel, counts: DataFrame, workspace
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        units, of = Units(model.exchanged), model.unit_class
-        memo = _Slots(shared.value, units, model)
+        memo = _Slots(shared.value, model)
         for batch in slices(batches):
             memo.trim()
-            texts = utf8(batch.column(2))
-            rows, ids = batch.column(0), batch.column(1)
-            split = [words_of(t) for t in texts]
-            tokens = [_END]
-            for words in split:
+            tokens, sizes = [_END], []
+            for text in utf8(batch.column(2)):
+                words = words_of(text)
                 tokens += words
                 tokens.append(_END)
+                sizes.append(len(words) + 1)
             slot = memo.slots(tokens)
-            facts = memo.facts[slot]
-            step = model.transition[facts[:-1, 0].astype(np.int64), facts[1:, 0].astype(np.int64)]
-            ends = np.cumsum([len(w) + 1 for w in split])
-            starts = np.concatenate([[0], ends[:-1]])
-            body = facts[1:]
-            sums = np.add.reduceat(np.column_stack([body[:, 1], body[:, 2] + step, body[:, 3]]), starts, axis=0)
-            rare_words, rare_times = [], []
-            rare = body[:, 3] == 0
-            for words, a, b in zip(split, starts, ends):
-                found = Counter(words[i] for i in np.flatnonzero(rare[a : b - 1])) if rare[a : b - 1].any() else {}
-                rare_words.append(list(found))
-                rare_times.append(list(found.values()))
+            classes, known = memo.classes[slot], memo.known[slot[1:]]
+            step = model.transition[classes[:-1], classes[1:]]
+            ends = np.cumsum(sizes)
+            starts = ends - sizes
+            rare = np.flatnonzero(~known)
+            # One entry per rare token; the texts they belong to follow from their places.
+            upto = np.searchsorted(rare, np.append(0, ends)).astype(np.int32)
+            words = pa.array([tokens[i + 1] for i in rare.tolist()], pa.binary())
             arrays = [
-                rows, ids, pa.array(ends - starts), pa.array(sums[:, 2].astype(np.int64)),
-                pa.array(sums[:, 0]), pa.array(sums[:, 1]),
-                pa.array(rare_words, pa.list_(pa.binary())), pa.array(rare_times, pa.list_(pa.int64())),
+                batch.column(0), batch.column(1), pa.array(np.array(sizes, dtype=np.int64)),
+                pa.array(np.add.reduceat(known.astype(np.int64), starts)),
+                pa.array(np.add.reduceat(memo.base[slot[1:]], starts)),
+                pa.array(np.add.reduceat(memo.emission[slot[1:]] + step, starts)),
+                pa.ListArray.from_arrays(pa.array(upto, pa.int32()), words),
             ]
-            names = ["row", "id", "n_tokens", "n_known", "base", "score", "rare", "times"]
+            names = ["row", "id", "n_tokens", "n_known", "base", "score", "rare"]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     schema = (
         f"row bigint, id {kind}, n_tokens bigint, n_known bigint, base double, score double, "
-        "rare array<binary>, times array<bigint>"
+        "rare array<binary>"
     )
     first = workspace.store(docs.select("row", "id", "text").mapInArrow(run, schema), "frequent_part")
-    rare = first.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r"))
-    rare = rare.select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
+    rare = first.select("row", F.explode("rare").alias("word"))
     # The first pass has taken them as unseen; what a count adds is the same for all models.
     seen = rare.join(counts, "word")
-    times, c = F.col("times"), F.col("c")
+    c = F.col("c")
     extra = seen.groupBy("row").agg(
-        F.sum("times").alias("more_known"),
-        F.sum(times * (F.log10(c + F.lit(BASE_ADD)) - F.log10(F.lit(BASE_ADD)))).alias("more_base"),
-        F.sum(times * (F.log10(c + F.lit(ADD)) - F.log10(F.lit(ADD)))).alias("more_score"),
+        F.count(F.lit(1)).alias("more_known"),
+        F.sum(F.log10(c + F.lit(BASE_ADD)) - F.log10(F.lit(BASE_ADD))).alias("more_base"),
+        F.sum(F.log10(c + F.lit(ADD)) - F.log10(F.lit(ADD))).alias("more_score"),
     )
-    out = first.drop("rare", "times").join(extra, "row", "left")
+    out = first.drop("rare").join(extra, "row", "left")
     return out.select(
         "row", "id", "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
@@ -399,34 +398,40 @@ def score_texts(docs: DataFrame, model: ClassModel, counts: DataFrame, workspace
 
 
 class _Slots(dict):
-    """Word to a row of facts: class, base log, emission log, whether it is a broadcast word."""
+    """Word to a place in arrays: class, base log, emission log, whether it is a broadcast word."""
+
+    def __init__(self, counts: dict[bytes, int], model: ClassModel):
+        self.counts, self.units, self.model = counts, Units(model.exchanged), model
+        self.new: list[tuple[int, int]] = []
+        self.reset()
 
-    def __init__(self, counts: dict[bytes, int], units: Units, model: ClassModel):
-        self.counts, self.units, self.model = counts, units, model
-        self.new: list[tuple[float, float, float, float]] = []
-        self.facts = np.zeros((0, 4))
+    def reset(self) -> None:
+        self.clear()
+        self.classes = np.zeros(0, dtype=np.int64)
+        self.base, self.emission = np.zeros(0), np.zeros(0)
+        self.known = np.zeros(0, dtype=bool)
 
     def __missing__(self, word: bytes) -> int:
-        c = self.counts.get(word, 0)
-        k = int(self.model.unit_class[self.units[word]])
-        base = np.log10(c + BASE_ADD) - self.model.base_log
-        emit = np.log10(c + ADD) - self.model.emission[k]
-        self.new.append((k, base, emit, float(c > 0)))
+        self.new.append((self.counts.get(word, 0), self.units.unit(word)))
         slot = self[word] = len(self)
         return slot
 
     def slots(self, tokens: list[bytes]) -> np.ndarray:
         at = np.fromiter(map(self.__getitem__, tokens), dtype=np.int64, count=len(tokens))
         if self.new:
-            self.facts = np.concatenate([self.facts, np.array(self.new)])
+            count, unit = np.array(self.new, dtype=np.int64).T
+            classes = self.model.unit_class[unit]
+            emission = np.log10(count + ADD) - self.model.emission[classes]
+            self.classes = np.concatenate([self.classes, classes])
+            self.base = np.concatenate([self.base, np.log10(count + BASE_ADD) - self.model.base_log])
+            self.emission = np.concatenate([self.emission, emission])
+            self.known = np.concatenate([self.known, count > 0])
             self.new = []
         return at
 
     def trim(self) -> None:
-        self.units.trim()
         if len(self) > _SLOT_CACHE:
-            self.clear()
-            self.facts = self.facts[:0]
+            self.reset()
 
 
 def score_documents(
