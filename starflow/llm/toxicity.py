@@ -172,7 +172,8 @@ def fit_machine(
             raw = bias + total[0] + 0.5 * ((total[1:] ** 2).sum(axis=0) - squares)
             error = weights[rows] * (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels[rows]) / len(rows)
             step = error[row] * np.concatenate([np.ones((1, len(row))), total[1:, row] - values[1:]])
-            grad = np.stack([np.bincount(terms, x, minlength=n) for x in step])
+            # Of no terms at all bincount makes integers.
+            grad = np.stack([np.bincount(terms, x, minlength=n) for x in step]).astype(float)
             grad += decay * model / batches
             steps += 1
             mean += 0.1 * (grad - mean)
