@@ -44,6 +44,41 @@ def test_interaction_is_learned(spark, documents, workspace, toxic_corpus):
     assert sorted(r["doc_id"] for r in left.collect()) == [i for i, _, _ in rows if scored[i] < 0.5]
 
 
+def test_a_rare_insult_is_kept(spark, documents, workspace):
+    """An insult in one of a hundred toxic rows, never in clean ones."""
+    rnd = random.Random(11)
+    rows, labels = [], []
+    for i in range(4000):
+        toxic, rare = i % 2, i % 200 == 1
+        words = prose(rnd, 30).split() + (["zounderkite"] if rare else ["grumbling"] if toxic else [])
+        rows.append((i, " ".join(words), "s"))
+        labels.append((i, toxic))
+    marks = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    model = toxicity.train_toxicity(documents(rows), marks, held_out_fold=None, workspace=workspace)
+    assert set(toxicity.terms_of(b"zounderkite")) <= set(model.terms.tolist())
+    unseen = [(1, prose(rnd, 30) + " zounderkite", "s"), (2, prose(rnd, 30), "s")]
+    scored = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(documents(unseen), model).collect()}
+    assert scored[1] > 0.5 > scored[2]
+
+
+def test_a_term_that_counts_only_in_a_pair_is_kept(spark, documents, workspace):
+    """Toxic is exactly one of two words: neither has a difference of its own."""
+    rnd = random.Random(12)
+    rows, labels = [], []
+    for i in range(1200):
+        one, two = i % 2, i // 2 % 2
+        words = prose(rnd, 30).split() + ["grumbling"] * one + ["martians"] * two
+        rows.append((i, " ".join(words), "s"))
+        labels.append((i, int(one != two)))
+    marks = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    docs = documents(rows)
+    model = toxicity.train_toxicity(docs, marks, held_out_fold=None, workspace=workspace)
+    for word in (b"grumbling", b"martians"):
+        assert set(toxicity.terms_of(word)) <= set(model.terms.tolist())
+    scored = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, model).collect()}
+    assert sum((scored[i] >= 0.5) == bool(y) for i, y in labels) / len(labels) > 0.97
+
+
 def test_score_by_factors_equals_the_sum_over_pairs():
     rng = np.random.default_rng(0)
     model = toxicity.Machine(np.arange(6), 0.3, rng.normal(size=6), rng.normal(size=(6, 3)))
