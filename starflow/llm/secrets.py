@@ -38,6 +38,11 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")  # the same as HEX runs of 24 and more
+# Matches wherever one of the above has a finding, as one expression for Spark.
+POSSIBLE = (
+    r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6})"""
+    r"|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
+)
 KEY_WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 KINDS = ("assign", "access", "hex", "model")
@@ -389,16 +394,20 @@ def train_secrets(
 ) -> Field | None:
     """Fit on the documents with the smallest hashes, with and without findings.
 
-    Which documents may have one is told by the key words alone, as built-in expressions; the
-    patterns label the sample. None if it has no finding. Only the sample's hashes are
-    gathered.
+    A built-in expression, which no text with a finding fails, leaves few texts to the base
+    patterns; these tell for every document whether it has one. None only if no document has.
+    Only the sample's hashes are gathered.
     """
     workspace = workspace or Workspace(docs.sparkSession)
     rows = pick(docs, id=doc_id, text=text).where("text IS NOT NULL")
-    hint = F.contains("text", F.lit("AKIA"))
-    for word in KEY_WORDS:
-        hint = hint | F.contains("text", F.lit(word))
-    marked = rows.select(F.xxhash64("id", "text").alias("key"), hint.alias("found"))
+    keyed = rows.select(F.xxhash64("id", "text").alias("key"), "text")
+    possible = F.col("text").rlike(POSSIBLE)
+
+    def mark(batch: pa.RecordBatch, texts: list[bytes]) -> list:
+        return [batch.column(0), pa.array([bool(base_spans(content.decode())) for content in texts], pa.bool_())]
+
+    marked = map_texts(keyed.where(possible), mark, "key bigint, found boolean")
+    marked = marked.unionByName(keyed.where(~possible).select("key", F.lit(False).alias("found")))
     marked = workspace.store(marked, "marked")
     sizes = {r[0]: r[1] for r in marked.groupBy("found").count().collect()}
     chosen = None

@@ -110,6 +110,27 @@ def test_the_field_finds_what_the_patterns_miss(documents, workspace, corpus):
         assert more == ([planted[i]] if i in planted else [])
 
 
+@pytest.mark.parametrize("finding", ['TOKEN = "Zq7hT2mKp9Xw4LsV8rNb3YcD"', "5f3a9c" * 6])
+def test_the_field_is_trained_on_real_findings(documents, workspace, finding):
+    """Prose full of key words, and few findings, in upper case or hex only."""
+    rnd = random.Random(5)
+    rows = []
+    for i in range(600):
+        words = [rnd.choice(["the", "of", "house", "secretary", "tokenizer", "password"]) for _ in range(40)]
+        rows.append((i, " ".join([*words, *[finding] * (i % 100 == 0)]), "s"))
+    field = secrets.train_secrets(documents(rows), sample=6, workspace=workspace)
+    assert field is not None
+    table = secrets.Tokens(field.emit[: secrets._SHAPES])
+    found = secrets.model_spans(rows[100][1], table, field)
+    assert any(a < b_end and b > b_start for a, b in found for _, _, _, b_start, b_end in secrets.base_spans(rows[100][1]))
+
+
+def test_no_finding_fails_the_expression_for_spark(spark):
+    texts = [t for t in TEXTS if t and secrets.base_spans(t)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert df.where(df["text"].rlike(secrets.POSSIBLE)).count() == len(texts)
+
+
 def test_special_rows(documents, workspace, corpus):
     rows = [(1, None, "s"), (2, "", "s"), (3, "token: abcdefgh " * 20_000, "s"), (None, "AKIA" + "Z" * 16, None)] * 2
     docs = documents(rows)
