@@ -4,11 +4,12 @@ Each word belongs to a class, and p(word | word before) = p(class | class before
 Classes come from exchange clustering: words move, one half at a time, to the class that raises
 the likelihood of the training bigrams most, until no move helps.
 
-The units that are exchanged are the EXCHANGED most frequent words, each for itself, and all
-other words tied by their ending (ENDINGS hashed groups), so the clustering has a fixed
-size however large the vocabulary is, while every word has a class. All counts cover the
+The units that are exchanged are all words with LEAST_PLACED tokens or more, each for itself, and
+the rare rest, which has too few bigrams to be placed, tied by its ending (ENDINGS hashed groups),
+so every word has a class. EXCHANGED is the most words that a driver can hold; if more are
+frequent enough, the rarest of them are tied too. All counts cover the
 whole training text: word counts are an ordinary aggregation, and unit bigrams are counted in
-each task in one fixed table and summed. Emission uses the exact count of each word: the
+each task as they occur and summed. Emission uses the exact count of each word: the
 KNOWN most frequent words are broadcast, the others are joined by shuffle, where none of
 them can hold more than 1/KNOWN of the tokens.
 
@@ -34,16 +35,17 @@ from starflow.llm.rows import pick, slices, utf8
 from starflow.sources.workspace import Workspace
 
 HELD_OUT_FOLD = 1
-EXCHANGED = 1000
+EXCHANGED = 200_000
+LEAST_PLACED = 20  # tokens of a word that is placed for itself
 ENDINGS = 512
 CLASSES = 64
-ROUNDS = 8
 KNOWN = 200_000
 BASE_ADD = 0.5  # fixed value: smoothing of the base score
 ADD = 0.1  # of emissions
 BACK_OFF = 20.0  # weight of the class shares in a transition
 _END = b""  # the end token; no word is empty
 _FLUSH = 200_000
+_FLUSH_PAIRS = 1_000_000
 _SLOT_CACHE = 400_000
 
 
@@ -133,16 +135,35 @@ def unit_pairs(training: DataFrame, exchanged: list[bytes]) -> DataFrame:
 
     def count(batches) -> Iterator[pa.RecordBatch]:
         units = Units(exchanged)
-        table = np.zeros(units.n * units.n, dtype=np.int64)
+        codes, counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        fresh, held = [], 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            some, times = np.unique(np.concatenate(fresh), return_counts=True) if fresh else (codes[:0], counts[:0])
+            every, at = np.unique(np.concatenate([codes, some]), return_inverse=True)
+            sums = np.zeros(len(every), dtype=np.int64)
+            np.add.at(sums, at, np.concatenate([counts, times]))
+            return every, sums
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            for start in range(0, len(codes), 100_000):
+                some, n = codes[start : start + 100_000], counts[start : start + 100_000]
+                arrays = [pa.array((some // units.n).astype(np.int32)), pa.array((some % units.n).astype(np.int32)), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "n"])
+
         for batch in slices(batches):
             units.trim()
             at = units.of(utf8(batch.column(0)))
-            np.add.at(table, at[:-1] * units.n + at[1:], 1)
-        code = np.flatnonzero(table)
-        for start in range(0, len(code), 100_000):
-            some = code[start : start + 100_000]
-            arrays = [pa.array((some // units.n).astype(np.int32)), pa.array((some % units.n).astype(np.int32)), pa.array(table[some])]
-            yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "n"])
+            fresh.append(at[:-1] * units.n + at[1:])
+            held += len(fresh[-1])
+            if held > _FLUSH_PAIRS:
+                codes, counts = merged()
+                fresh, held = [], 0
+                if len(codes) > _FLUSH_PAIRS:
+                    yield from emit()
+                    codes, counts = codes[:0], counts[:0]
+        codes, counts = merged()
+        yield from emit()
 
     pairs = training.mapInArrow(count, "a int, b int, n bigint")
     return pairs.groupBy("a", "b").agg(F.sum("n").alias("n"))
@@ -153,11 +174,12 @@ def _log(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.where(x > 0, x, 1))
 
 
-def best_moves(left: np.ndarray, right: np.ndarray, loops: np.ndarray, own: np.ndarray, joint: np.ndarray):
+def best_moves(left: np.ndarray, right: np.ndarray, loops: np.ndarray, own: np.ndarray, joint: np.ndarray, first: int = 0):
     """Per unit the best class and the gain in log-likelihood of moving there.
 
     ``left[u, c]`` counts class c before u, ``right[u, c]`` behind it, ``loops`` u behind
     itself; both leave the loops out. ``joint`` are the class bigrams, ``own`` the classes.
+    Classes below ``first`` take no unit.
     """
     best, gain = own.copy(), np.zeros(len(own))
     for i, mine in enumerate(own):
@@ -181,18 +203,21 @@ def best_moves(left: np.ndarray, right: np.ndarray, loops: np.ndarray, own: np.n
         more_columns = l.sum() + loop
         gains -= _log(rows + more_rows) - _log(rows)
         gains -= _log(columns + more_columns) - _log(columns)
-        best[i] = int(gains.argmax())
+        best[i] = first + int(gains[first:].argmax())
         gain[i] = gains[best[i]] - gains[mine]
     return best, gain
 
 
-def exchange(pairs: DataFrame, totals: np.ndarray, workspace: Workspace, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
+def exchange(pairs: DataFrame, totals: np.ndarray, workspace: Workspace, classes: int = CLASSES, rounds: int | None = None) -> np.ndarray:
     """The class of each unit. Class 0 is the end token's alone.
 
+    Rounds go on until both halves in turn have no move that helps, or to ``rounds``, if given.
+
     Every round is a job over the pairs, dealt by unit: each task sums the neighbours of its
     units by class and finds their best moves. Half of the units may move per round, since
-    moves that are good one by one can be bad together. Per unit one small row and per
-    round one class table reach the driver; both sizes are parameters.
+    moves that are good one by one can be bad together; if they are, fewer of the best are
+    made, in the end one alone. Per unit one small row and per trial one class table reach the
+    driver; both sizes are parameters.
     """
     n = len(totals)
     order = np.argsort(-totals, kind="stable")
@@ -209,9 +234,9 @@ def exchange(pairs: DataFrame, totals: np.ndarray, workspace: Workspace, classes
         units, at = np.unique(part["u"].to_numpy(), return_inverse=True)
         side, v = part["side"].to_numpy(), part["v"].to_numpy()
         count = part["n"].to_numpy().astype(float)
-        table = np.zeros((2, len(units), classes))
         loop = units[at] == v
-        np.add.at(table, (side[~loop], at[~loop], of[v[~loop]]), count[~loop])
+        place = (side[~loop].astype(np.int64) * len(units) + at[~loop]) * classes + of[v[~loop]]
+        table = np.bincount(place, count[~loop], minlength=2 * len(units) * classes).reshape(2, len(units), classes)
         loops = np.bincount(at[loop & (side == 0)], count[loop & (side == 0)], minlength=len(units))
         return units, table[0], table[1], loops
 
@@ -240,34 +265,33 @@ def exchange(pairs: DataFrame, totals: np.ndarray, workspace: Workspace, classes
 
     joint = joint_of(own)
     best_value = likelihood(joint)
-    for turn in range(rounds):
+    turn = idle = 0
+    while idle < 2 and (rounds is None or turn < rounds):
         def moves(batches, of=own, joint=joint, turn=turn) -> Iterator[pa.RecordBatch]:
             part = joined(batches)
             if part is None:
                 return
             units, left, right, loops = sums(part, of)
             mine = (units != 0) & ((units.astype(np.int64) * 2654435761 >> 7) % 2 == turn % 2)
-            best, gain = best_moves(left[mine], right[mine], loops[mine], of[units[mine]], joint)
-            # Class 0 stays the end token's.
-            keep = (gain > 0) & (best != 0)
+            best, gain = best_moves(left[mine], right[mine], loops[mine], of[units[mine]], joint, first=1)
+            keep = gain > 0
             arrays = [pa.array(units[mine][keep].astype(np.int32)), pa.array(best[keep].astype(np.int32)), pa.array(gain[keep])]
             yield pa.RecordBatch.from_arrays(arrays, ["u", "class", "gain"])
 
-        found = both.mapInArrow(moves, "u int, class int, gain double").collect()
-        if not found and turn % 2:
-            break
-        found.sort(key=lambda r: -r["gain"])
-        share = 1.0
-        while found and share > 0.05:  # too many moves at once: take the best ones only
+        found = both.mapInArrow(moves, "u int, class int, gain double").toArrow()
+        unit, to = found["u"].to_numpy(), found["class"].to_numpy()
+        order = np.lexsort((unit, -found["gain"].to_numpy()))
+        tried = len(order)
+        turn, idle = turn + 1, idle + 1
+        while tried:  # too many moves at once: take the best ones only
             trial = own.copy()
-            for row in found[: max(1, int(len(found) * share))]:
-                trial[row["u"]] = row["class"]
+            trial[unit[order[:tried]]] = to[order[:tried]]
             trial_joint = joint_of(trial)
             value = likelihood(trial_joint)
             if value > best_value:
-                own, joint, best_value = trial, trial_joint, value
+                own, joint, best_value, idle = trial, trial_joint, value, 0
                 break
-            share /= 3
+            tried //= 3
     return own
 
 
@@ -287,12 +311,12 @@ class ClassModel:
         return float(np.log10(self.train_tokens + BASE_ADD * (self.train_words + 1)))
 
 
-def train_class_model(training: DataFrame, counts: DataFrame, workspace: Workspace, *, exchanged: int = EXCHANGED, classes: int = CLASSES, rounds: int = ROUNDS) -> ClassModel:
+def train_class_model(training: DataFrame, counts: DataFrame, workspace: Workspace, *, exchanged: int = EXCHANGED, least: int = LEAST_PLACED, classes: int = CLASSES, rounds: int | None = None) -> ClassModel:
     """Fit on all of ``training`` (text); ``counts`` are its stored word counts."""
     row = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     # Few enough to sort in one place.
     frequent = frequent_words(counts, max(KNOWN, exchanged)).where(F.length("word") > 0)
-    frequent = frequent.repartition(1).sortWithinPartitions(F.col("c").desc(), "word").limit(exchanged)
+    frequent = frequent.where(F.col("c") >= least).repartition(1).sortWithinPartitions(F.col("c").desc(), "word").limit(exchanged)
     names = [bytes(r[0]) for r in frequent.select("word").collect()]
 
     def with_unit(batches) -> Iterator[pa.RecordBatch]:
@@ -305,8 +329,9 @@ def train_class_model(training: DataFrame, counts: DataFrame, workspace: Workspa
     n_units = Units(names).n
     totals, words = np.zeros(n_units), np.zeros(n_units)
     per_unit = counts.mapInArrow(with_unit, "u int, c bigint").groupBy("u").agg(F.sum("c"), F.count(F.lit(1)))
-    for u, c, v in per_unit.collect():  # one row per unit
-        totals[u], words[u] = c, v
+    per_unit = per_unit.toDF("u", "c", "v").toArrow()  # one row per unit
+    at = per_unit["u"].to_numpy()
+    totals[at], words[at] = per_unit["c"].to_numpy(), per_unit["v"].to_numpy()
     pairs = workspace.store(unit_pairs(training, names), "pairs")
     own = exchange(pairs, totals, workspace, classes, rounds)
 

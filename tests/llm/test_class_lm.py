@@ -160,3 +160,25 @@ def test_small_tables(documents, workspace, rows):
     assert [n for n, _ in got] == [n for n, _ in expected]
     assert [s for _, s in got] == pytest.approx([s for _, s in expected])
     assert all(np.isfinite(r["score"]) for r in found)
+
+
+def test_every_frequent_word_is_placed(documents, workspace):
+    """1500 words of one ending, in two kinds that take turns: all are exchanged, kinds stay apart."""
+    rnd = random.Random(9)
+    kinds = [[f"{k}{i}end" for i in range(750)] for k in "pq"]
+    rows = [(i, " ".join(rnd.choice(kinds[j % 2]) for j in range(100)), "s") for i in range(600)]
+    docs = documents(rows).select("text")
+    counts = workspace.store(class_lm.word_counts(docs), "counts")
+    model = class_lm.train_class_model(docs, counts, workspace, classes=3)
+    assert set(model.exchanged) == {w.encode() for kind in kinds for w in kind}
+    units = class_lm.Units(model.exchanged)
+    of = [{int(model.unit_class[units[w.encode()]]) for w in kind} for kind in kinds]
+    assert sorted(map(sorted, of)) == [[1], [2]]
+
+
+def test_no_unit_goes_to_the_class_of_the_end_token():
+    rng = np.random.default_rng(4)
+    left, right, own = rng.integers(0, 9, (20, 4)), rng.integers(0, 9, (20, 4)), rng.integers(1, 4, 20)
+    joint = rng.integers(500, 900, (4, 4)).astype(float)
+    best, gain = class_lm.best_moves(left.astype(float), right.astype(float), np.zeros(20), own, joint, first=1)
+    assert best.min() >= 1 and gain.min() >= 0
