@@ -47,3 +47,48 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, text_sha256
 FROM docs WINDOW same AS (PARTITION BY text_sha256)
 """
+
+ORACLES["op12_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), tokens AS (
+  SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), terms AS (
+  SELECT lang, term, count(*) AS lang_n FROM tokens
+  GROUP BY lang, term HAVING count(DISTINCT doc) >= 3
+), langs AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(lang_n)::HUGEINT AS lang_total FROM terms GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, count(*)::HUGEINT AS n FROM tokens SEMI JOIN terms USING (lang, term) GROUP BY ALL
+), groups AS (
+  SELECT g.lang, g.source, coalesce(l.v, 0) AS v, coalesce(t.total, 0) + coalesce(l.v, 0) AS whole,
+         l.lang_total + l.v AS lang_whole
+  FROM (SELECT DISTINCT lang, source FROM docs) g
+  LEFT JOIN langs l USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL) t USING (lang, source)
+), shares AS (
+  SELECT g.lang, g.source, t.term, coalesce(c.n, 0) AS n,
+         1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // g.whole AS p,
+         1 + 1000000000::HUGEINT * (t.lang_n + 1) // g.lang_whole AS q
+  FROM groups g JOIN terms t USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item,
+         (SELECT 0) + coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  WHERE x.term IS NULL OR y.term IS NOT NULL
+  GROUP BY ALL
+), found AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT lang, source, part, item, value::BIGINT AS value,
+         row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INT AS rank
+  FROM found
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""

@@ -1,4 +1,4 @@
-"""The contract queries of the ten operators: thin digests of what the operators return."""
+"""The contract queries of the operators: thin digests of what the operators return."""
 
 from __future__ import annotations
 
@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 
 from starflow.llm import (
     class_lm,
+    divergence,
     exact_dedup,
     mixing,
     packing,
+    pii,
     quality,
     secrets,
     simhash,
     token_files,
     toxicity,
     url_rules,
+    variants,
 )
 from starflow.llm.labelled import fold
 
@@ -60,7 +63,11 @@ def op4_secret_scan(spark, sf_dir):
 
 
 def secret_digests(spans: Column) -> list[Column]:
-    """The contract's columns from an array of (kind, start, end)."""
+    return span_digests(spans, ("assign", "access", "hex"))
+
+
+def span_digests(spans: Column, kinds: tuple[str, ...]) -> list[Column]:
+    """The contract's columns from an array of (kind, start, end); ``kinds`` are the base ones."""
 
     def of_kind(kind: str) -> Column:
         return F.filter(spans, lambda s: s["kind"] == kind)
@@ -73,7 +80,7 @@ def secret_digests(spans: Column) -> list[Column]:
 
     base = F.filter(spans, lambda s: s["kind"] != "model")
     return [
-        *[F.size(of_kind(k)).cast("bigint").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        *[F.size(of_kind(k)).cast("bigint").alias(f"n_{k}") for k in kinds],
         F.sha2(written(base).cast("binary"), 256).alias("base_sha256"),
         written(spans).alias("spans"),
     ]
@@ -116,3 +123,20 @@ def op10_toxicity(spark, sf_dir):
         "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query
+def op11_spelling_variants(spark, sf_dir):
+    return variants.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_source_divergence(spark, sf_dir):
+    return divergence.source_divergences(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_pii(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    found = pii.find_pii(docs, pii.train_pii(pii.labelled_passages(docs)))
+    return found.select("doc_id", *span_digests(F.col("spans"), pii.KINDS[:-1]))

@@ -1,0 +1,180 @@
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+
+from starflow.llm import pii
+from starflow.llm.queries import span_digests
+from pyspark.sql import functions as F
+
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
+CARD = r"[0-9]([\x20-]?[0-9])+"
+PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+
+
+def passes_luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def brute(text):
+    """The base findings by their definition, each pattern alone, failing matches dropped."""
+    text, out = text or "", []
+    out += [(0, *m.span()) for m in re.finditer(EMAIL, text)]
+    out += [(1, *m.span()) for m in re.finditer(IP, text) if all(int(x.lstrip("0") or 0) <= 255 for x in m[0].split("."))]
+    for kind, pattern, least, most, check in ((2, CARD, 13, 19, passes_luhn), (3, PHONE, 9, 15, lambda d: True)):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if least <= len(digits) <= most and check(digits):
+                out.append((kind, *m.span()))
+    return out
+
+
+TEXTS = [
+    None, "", "nothing here", "a@b.c", "a@b", "@b.c", "a@@b.c", "x.y+z@a-b.c.d.", "a@b.c@d.e", "a@b.c.@d.e", "é@b.c", "aé@b.c.d",
+    "1.2.3.4", "1.2.3", "01.002.0003.255", "1.2.3.4.5.6.7.8", "256.1.1.1 1.1.1.256", "1.2.3.4567", "9" * 30 + ".1.1.1", "0" * 5000 + ".1.1.1",
+    "4111 1111 1111 1111", "4111-1111-1111-1112", "4111  1111 1111 1111", "4992883091964", "4111 1111 1111 1111 2", "1 2 3 4 5 6 7 8 9 0 1 2 3",
+    "+1 (906) 555-7738", "+1", "+12", "+1 2", "+123456789", "+1 ((( ))) x +44 20 7946 0018.", "+1 (906) 555-7738-", "++49 30 901820", "+1234567890123456",
+    "call +1 (906) 555-7738 or a.b@c.de from 10.0.0.1, card 4111 1111 1111 1111.", "٣.٣.٣.٣ ４１１１",
+]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_base_patterns(text):
+    assert pii.base_spans(text or "") == brute(text)
+
+
+def test_base_patterns_at_random():
+    rnd = random.Random(6)
+    parts = ["a", "b.", "@", ".", "1", "25", "255", "4111", " ", "-", "+", "(", ")", "é", "\n", "1.1.1.1", "+1 (906) 555-7738", "4111 1111 1111 1111", "x@y.z"]
+    for _ in range(6000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(1, 14)))
+        assert pii.base_spans(text) == brute(text), text
+
+
+def test_base_patterns_take_linear_time():
+    for part in ("a", "1", "1.", "1 ", "+", "+1", "+1 ", "@", "a@", "a@b", "a.", "1.1.1.", "+1("):
+        pii.base_spans(part * (200_000 // len(part)))
+
+
+@pytest.fixture(scope="module")
+def field():
+    return pii.fit_field(list(pii.hand_labelled()) * 10)
+
+
+def all_paths(emit, step):
+    """Spans of the best of all paths."""
+    best = max(
+        itertools.product(range(3), repeat=len(emit)),
+        key=lambda p: sum(emit[i][t] for i, t in enumerate(p)) + sum(step[a][b] for a, b in zip((0, *p), (*p, 0))),
+    )
+    spans, start = [], None
+    for i, t in enumerate((*best, 0)):
+        if start is not None and t != pii.INSIDE:
+            spans.append((start, i - 1))
+            start = None
+        if t == pii.BEGIN or (t == pii.INSIDE and start is None):
+            start = i
+    return spans
+
+
+def test_batches_are_decoded_exactly(monkeypatch):
+    monkeypatch.setattr(pii, "_WORDS", 3)
+    rnd = np.random.default_rng(3)
+    for _ in range(150):
+        table = rnd.normal(size=(2 * pii.REACH + 1, 6, 3)) * 1.5
+        table[:, 0] = 0
+        table[pii.REACH, 0, 1:] = -1e6
+        step = rnd.normal(size=(3, 3))
+        texts = [rnd.integers(1, 6, rnd.integers(0, 7)) for _ in range(4)]
+        edge = np.zeros(pii.REACH, dtype=int)
+        shapes, expected = edge, []
+        for words in texts:
+            emit = pii.emissions(np.concatenate([edge, words, edge]), table)
+            expected += [(a + len(shapes), b + len(shapes)) for a, b in all_paths(emit, step)] if len(words) else []
+            shapes = np.concatenate([shapes, words, edge])
+        assert pii.decode(shapes, table, step) == expected
+
+
+def test_the_field_learns_its_lines(field):
+    table = pii.Shapes(field)
+    texts = ["you can reach her on (212) 555-0177 until noon", "there were 1300 in 2001", "write to john.doe(at)example.com please"]
+    spans = pii.model_spans(texts, table)
+    assert [texts[0][a:b] for a, b in spans[0]] == ["(212) 555-0177"]
+    assert spans[1] == [] and [texts[2][a:b] for a, b in spans[2]] == ["john.doe(at)example.com"]
+
+
+def test_blocks_and_company_change_nothing(field, monkeypatch):
+    texts = ["call (212) 555-0177 now", "", "no data", " lead (212) 555-0177\tand more 123-45-6789 end ", "x" * 500]
+    alone = [pii.model_spans([t], pii.Shapes(field))[0] for t in texts]
+    assert pii.model_spans(texts, pii.Shapes(field)) == alone
+    monkeypatch.setattr(pii, "_BLOCK", 5)
+    monkeypatch.setattr(pii, "_CACHE_WORDS", 2)
+    assert pii.model_spans(texts, pii.Shapes(field)) == alone
+
+
+def test_parts_outside_base_spans():
+    rnd = random.Random(8)
+    for _ in range(500):
+        cuts = sorted(rnd.sample(range(30), 6))
+        base = [(a, b) for a, b in zip(cuts[::2], cuts[1::2])]
+        ends = sorted(rnd.sample(range(30), 4))
+        spans = [(a, b) for a, b in zip(ends[::2], ends[1::2])]
+        covered = {i for a, b in base for i in range(a, b)}
+        got = pii.outside(spans, base)
+        assert {i for a, b in got for i in range(a, b)} == {i for a, b in spans for i in range(a, b)} - covered
+        assert all(x[1] <= y[0] for x, y in zip(got, got[1:]))
+
+
+def test_spans_of_a_table(documents, workspace, field):
+    rows = [(1, None, "s"), (2, "", "s"), (3, TEXTS[-2], "s"), (3, TEXTS[-2], "s"), (None, "a@b.c " * 30_000, None)]
+    docs = documents(rows + [(4, "phone (212) 555-0177 or +1 (906) 555-7738 today", "s")])
+    out = pii.find_pii(docs, field).select("doc_id", "spans", *span_digests(F.col("spans"), pii.KINDS[:-1])[:-1])
+    got = sorted(out.collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"]))
+    assert [len(r["spans"]) for r in got[:2]] == [0, 0] and got[2] == got[3]
+    assert tuple(got[2])[2:6] == (1, 1, 1, 1) and got[5]["n_email"] == 30_000
+    assert [s["kind"] for s in got[4]["spans"]] == ["phone", "model"]
+    assert pii.find_pii(documents([]), field).collect() == []
+
+
+def test_copies_count_once_in_the_sample(documents, workspace):
+    rows = [(i, "write to a@b.cd now", "s") for i in range(3000)] + [(i, f"plain text number {i} here", "s") for i in range(40)]
+    labelled = pii.labelled_passages(documents(rows), sample=5, workspace=workspace)
+    assert labelled.select("key").distinct().count() == 6 and labelled.count() <= 6 * pii.PASSAGES
+    assert any(pii.BEGIN in r["tags"] for r in labelled.collect())
+    pii.train_pii(labelled, rounds=2)
+    pii.train_pii(pii.labelled_passages(documents([]), workspace=workspace), rounds=2)
+
+
+def test_finds_what_the_patterns_swallow(documents, workspace):
+    """A phone number before a card number is one failing match of the pattern; the field finds both."""
+    rnd = random.Random(9)
+    words = "the of and a to in is on by it".split()
+    digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+    phone = lambda: f"+1 ({digits(3)}) 555-{digits(4)}"
+
+    def card():
+        body = "4" + digits(14)
+        return next(body + d for d in "0123456789" if passes_luhn(body + d))
+
+    def around(middle):
+        return " ".join([*rnd.choices(words, k=20), middle, *rnd.choices(words, k=20)])
+
+    rows = [(i, around(phone() if i % 2 else card()), "s") for i in range(80)]
+    rows += [(100 + i, around("and"), "s") for i in range(60)]
+    docs = documents(rows)
+    field = pii.train_pii(pii.labelled_passages(docs, sample=50, workspace=workspace))
+    table = pii.Shapes(field)
+    for _ in range(20):
+        both = f"{phone()} {card()}"
+        text = around(both)
+        assert [k for k, _, _ in pii.base_spans(text) if k == 3] == []
+        (spans,) = pii.model_spans([text], table)
+        assert text[spans[0][0] : spans[-1][1]] == both
+    assert all(not s for s in pii.model_spans([around("and") for _ in range(50)], table))

@@ -16,6 +16,9 @@ COLUMNS = {
     "op8_exact_dedup": "doc_id keep_id group_size kept text_sha256",
     "op9_best_fit_packing": "doc_id piece start length ids_crc32 sequence_id offset",
     "op10_toxicity": "doc_id held_out score predicted",
+    "op11_spelling_variants": "word form root n n_near form_n",
+    "op12_source_divergence": "lang source part item value rank",
+    "op13_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
 }
 
 
@@ -29,7 +32,7 @@ def test_query_equals_sql(spark, sf_dir, name):
     assert oracle.compare(QUERIES[name](spark, sf_dir), con, ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", COLUMNS)
+@pytest.mark.parametrize("name", [n for n in COLUMNS if n[:4] not in ("op11", "op12")])
 def test_query_returns_a_row_for_every_row(spark, sf_dir, name):
     found = QUERIES[name](spark, sf_dir)
     assert set(COLUMNS[name].split()) <= set(found.columns)
