@@ -28,6 +28,7 @@ from starflow.operators.features import (
     enrich,
     feature_catalog,
 )
+from starflow.operators.history import HistorySpec, attach_as_of, build_history
 from starflow.operators.quality import (
     QualityError,
     duplicate_row_count,
@@ -37,6 +38,8 @@ from starflow.operators.quality import (
     row_count,
 )
 from starflow.operators.rank import dense_rank_in_group, top_in_group
+from starflow.operators.registry import keyed_by_registry, new_keys
+from starflow.plans.incremental import ChangedFileError, SalesStore
 from starflow.plans.sales import (
     MissingValueError,
     SalesRun,
@@ -46,6 +49,7 @@ from starflow.plans.sales import (
     sales_spec,
 )
 from starflow.plans.star import StarSpec, attach_dimensions, build_star, join_star, table_counts
+from starflow.sources.commits import ConcurrentCommitError, TableSet
 from starflow.sources.contract import (
     SchemaContract,
     column_names,

@@ -17,9 +17,10 @@ SALES_COLUMNS = (
     ("data_source", "string"), ("ingestion_timestamp", "string"),
 )
 ROLES = tuple(role for role, _ in SALES_COLUMNS)
+# Fixed value: the columns that are trimmed.
 TRIMMED = (
-    "category", "segment", "brand", "manufacturer", "city", "state", "region", "store_type",
-    "sales_channel", "order_status", "inventory_status",
+    "store_type", "category", "segment", "manufacturer", "brand", "region",
+    "state", "city", "sales_channel", "inventory_status", "order_status",
 )
 DIMENSIONS = (
     ("dim_date", "date_key", ("year", "month_num"), ("month", "Quarter", "YearMonthKey")),
@@ -389,3 +390,67 @@ ORACLES: dict[str, str] = {
   CAST(sum(CAST(value_sales AS DECIMAL(18, 2))) AS DOUBLE) / CAST(sum(units_sales) AS BIGINT)
  END AS price_per_unit FROM enriched GROUP BY 1, 2""",
 }
+
+# Cells as they come back from CSV files, where the empty text is NULL.
+FROM_CSV = (
+    f"WITH {LINES.replace('uniq AS (SELECT DISTINCT * FROM flat)', '')}"
+    f"uniq AS (SELECT DISTINCT {CSV_CELLS} FROM keyed),{CLEAN},{ENRICHED}\n"
+)
+FACT_COLUMNS = FACT_BODY.partition("value_sales")
+NATURAL = ", ".join(k for d in DIMENSIONS for k in d[2])
+
+
+def _load(number: int, rows: str, before: str) -> str:
+    """What one load of two brings."""
+    return f"""SELECT CAST({number} AS INT) AS load,
+ (SELECT count(*) FROM ({rows})) AS rows_loaded, count(*) AS rows_added,
+ (SELECT count(*) FROM ({rows})) - count(*) AS repeats,
+ {invalid('value_sales')} AS invalid_value_sales, {invalid('units_sales')} AS invalid_units_sales,
+ count(*) FILTER (WHERE warehouse_id IS NULL) AS filled_warehouse_id
+ FROM (SELECT DISTINCT {CSV_CELLS} FROM ({rows}) EXCEPT SELECT DISTINCT {CSV_CELLS} FROM ({before}))"""
+
+
+FIRST_HALF = "SELECT * FROM keyed WHERE l_orderkey % 2 = 0"
+SECOND_HALF = "SELECT * FROM keyed WHERE l_orderkey % 2 = 1 OR l_orderkey % 20 = 0"
+VERSIONS = """
+states AS (SELECT store_id, "YearMonthKey", min(store_type) AS store_type,
+  min(sales_channel) AS sales_channel FROM observed GROUP BY ALL),
+changes AS (SELECT *, lag((store_type, sales_channel)) OVER w IS DISTINCT FROM
+  (store_type, sales_channel) AS changed FROM states
+  WINDOW w AS (PARTITION BY store_id ORDER BY "YearMonthKey")),
+versions AS (SELECT row_number() OVER (ORDER BY store_id NULLS FIRST, "YearMonthKey")
+   AS store_version_key, store_id, store_type, sales_channel, "YearMonthKey" AS valid_from,
+  lead("YearMonthKey") OVER w AS valid_to, CAST(row_number() OVER w AS INT) AS version
+  FROM changes WHERE changed WINDOW w AS (PARTITION BY store_id ORDER BY "YearMonthKey"))"""
+DATED = f"dated AS (SELECT {CLEAN_CELLS}, {CALENDAR} FROM keyed)"
+
+ORACLES |= {
+    "incremental_fact": FROM_CSV
+    + f"SELECT {NATURAL}, {FACT_COLUMNS[1]}{FACT_COLUMNS[2]} FROM enriched",
+    "incremental_loads": ON_FLAT.rstrip()
+    + "\n"
+    + _load(1, FIRST_HALF, "SELECT * FROM keyed WHERE false")
+    + " UNION ALL "
+    + _load(2, SECOND_HALF, FIRST_HALF),
+    "incremental_dim_store": FROM_CSV.rstrip()
+    + """, first_load AS (SELECT DISTINCT concat('S', CAST(o_custkey AS VARCHAR)) AS store_id
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 2 = 0)
+ SELECT row_number() OVER (ORDER BY f.store_id IS NULL, s.store_id) AS store_key, s.store_id,
+  s.store_type, s.sales_channel FROM (SELECT store_id, min(store_type) AS store_type,
+  min(sales_channel) AS sales_channel FROM enriched GROUP BY 1) s
+ LEFT JOIN first_load f USING (store_id)""",
+    "stable_product_keys": ON_FLAT.rstrip()
+    + """, seen AS (SELECT product_id, bool_or(l_orderkey % 97 = 5) AS early FROM keyed GROUP BY 1)
+ SELECT row_number() OVER (ORDER BY NOT early, product_id) AS product_key, product_id,
+  CAST(CASE WHEN early THEN 1 ELSE 2 END AS INT) AS load FROM seen""",
+    "store_history": ON_FLAT.rstrip()
+    + f""", {DATED}, observed AS (SELECT * FROM dated),{VERSIONS}
+ SELECT *, valid_to IS NULL AS is_current FROM versions""",
+    "fact_as_of": ON_FLAT.rstrip()
+    + f""", {DATED}, observed AS (SELECT * FROM dated WHERE l_orderkey % 3 = 0),{VERSIONS}
+ SELECT {', '.join('d.' + c for c in IDS.split(', '))}, d.store_id, d."YearMonthKey",
+  v.store_version_key, v.store_type, v.sales_channel, v.version
+ FROM dated d ASOF LEFT JOIN versions v
+ ON d.store_id = v.store_id AND d."YearMonthKey" >= v.valid_from""",
+    "published_fact": ON_STAR + "SELECT * FROM fact",
+}

@@ -11,7 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starflow.operators import cleaning, dimensions, facts, features, quality, rank
+from starflow.operators.history import HistorySpec, attach_as_of, build_history
 from starflow.operators.quality import COPIES
+from starflow.operators.registry import new_keys
+from starflow.plans.incremental import SalesStore
 from starflow.plans.sales import (
     ROW_ID,
     run_sales,
@@ -495,3 +498,85 @@ def star_rollup(spark, sf_dir):
         units.alias("units_sales"),
         F.when(units > 0, value / units).alias("price_per_unit"),
     )
+
+
+# --- loads that add to what is there -----------------------------------------------
+
+
+def _store_of_two_loads(spark: SparkSession, sf_dir: str) -> SalesStore:
+    """Files of two halves, loaded one after the other; the second repeats rows of the first."""
+    workspace = Workspace(spark)
+    folder = workspace.folder("incoming")
+    flat = flat_sales(spark, sf_dir, order_key=True)
+    key = F.col(ORDER_KEY)
+    store = SalesStore(spark, workspace.folder("store"), SPEC, CONTRACT, buckets=8)
+    for n, half in enumerate([flat.where(key % 2 == 0), flat.where((key % 2 == 1) | (key % 20 == 0))]):
+        files.write_csv(half.drop(ORDER_KEY), f"{folder}/{n}")
+        store.load(f"{folder}/*/*.csv", workspace)
+    return store
+
+
+@query
+def incremental_fact(spark, sf_dir):
+    """The fact after two loads, with natural keys in place of the surrogate ones."""
+    tables = _store_of_two_loads(spark, sf_dir).tables()
+    fact = tables["fact_sales"].drop("sale_key")
+    for dim in SPEC.star.dimensions:
+        natural = tables[dim.name].select(dim.key, *dim.natural_keys)
+        fact = fact.join(natural, dim.key, "left").drop(dim.key)
+    return fact
+
+
+@query
+def incremental_loads(spark, sf_dir):
+    return _store_of_two_loads(spark, sf_dir).loads().drop("files")
+
+
+@query
+def incremental_dim_store(spark, sf_dir):
+    """Attributes merged over two loads; members of the first keep their place in the keys."""
+    return _store_of_two_loads(spark, sf_dir).tables()["dim_store"]
+
+
+@query
+def stable_product_keys(spark, sf_dir):
+    """Keys given to the products of a few orders, then to all others behind them."""
+    workspace = Workspace(spark)
+    flat = flat_sales(spark, sf_dir, order_key=True)
+    first = new_keys(flat.where(F.col(ORDER_KEY) % 97 == 5), None, ["product_id"], "product_key", workspace)
+    first = workspace.store(first, "registry")
+    added = new_keys(flat, first, ["product_id"], "product_key", workspace)
+    return first.withColumn("load", F.lit(1)).unionByName(added.withColumn("load", F.lit(2)))
+
+
+# --- versions ----------------------------------------------------------------------
+
+HISTORY = HistorySpec(
+    "store_history", "store_version_key", ("store_id",), ("store_type", "sales_channel"), "YearMonthKey"
+)
+
+
+@query
+def store_history(spark, sf_dir):
+    return build_history(with_calendar(spark, sf_dir), HISTORY)
+
+
+@query
+def fact_as_of(spark, sf_dir):
+    """Every sale with the version of its store that was known at its month, from a third of the orders."""
+    workspace = Workspace(spark)
+    flat = cleaning.clean_distinct(flat_sales(spark, sf_dir, order_key=True), SPEC.cleaning)
+    rows = features.add_calendar(flat, "month_num", "year")
+    rows = workspace.store(rows.select(*LINE_IDS, "store_id", "YearMonthKey", ORDER_KEY, *HISTORY.attributes), "rows")
+    known = workspace.store(build_history(rows.where(F.col(ORDER_KEY) % 3 == 0), HISTORY, workspace), "versions")
+    sales = rows.select(*LINE_IDS, "store_id", "YearMonthKey")
+    taken = ["store_version_key", "store_type", "sales_channel", "version"]
+    return attach_as_of(sales, known, ["store_id"], "YearMonthKey", taken, workspace=workspace)
+
+
+@query
+def published_fact(spark, sf_dir):
+    """The fact of a run whose tables became visible together, read through its commit."""
+    out = Workspace(spark).folder("published")
+    run = run_sales(flat_sales(spark, sf_dir), SPEC, out_dir=out, publish="together")
+    return run.tables["fact_sales"].drop("sale_key")

@@ -47,6 +47,21 @@ def number_by_order(
     )
 
 
+def number_as_stored(stored: DataFrame, row_id: str, out: str, start: int = 0) -> DataFrame:
+    """Add ``out`` = start+1..start+N to rows that were stored with ``row_id``, in the order they lie in.
+
+    No shuffle and no sort: the id holds partition and place. One count per partition reaches the
+    driver.
+    """
+    part = F.shiftright(ref(row_id), _SLOT_BITS)
+    place = ref(row_id).bitwiseAND(F.lit(_SLOT_MASK))
+    offset = _partition_offsets(stored, part)
+    offsets = stored.sparkSession.createDataFrame(offset, "_part bigint, _offset bigint")
+    numbered = stored.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    number = F.col("_offset") + place + F.lit(start + 1)
+    return numbered.select(*refs(stored.columns), number.cast("bigint").alias(out))
+
+
 def _partition_offsets(stored: DataFrame, part: Column) -> list[tuple[int, int]]:
     """(partition, rows in all earlier partitions); one entry per written partition."""
     sizes = stored.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()

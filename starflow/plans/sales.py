@@ -25,6 +25,7 @@ from starflow.operators.quality import (
 )
 from starflow.operators.rank import WINDOW_GROUP_ROWS
 from starflow.plans.star import StarSpec, build_star, table_counts
+from starflow.sources.commits import TableSet
 from starflow.sources.contract import SchemaContract, column_names, sales_contract
 from starflow.sources.files import CORRUPT, require_rows, scan_csv
 from starflow.sources.tables import read_table, write_table, write_tables
@@ -180,6 +181,7 @@ def run_sales(
     workspace: Workspace | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     window_group_rows: int = WINDOW_GROUP_ROWS,
+    publish: str = "replace",
 ) -> SalesRun:
     """Profile, deduplicate, clean, enrich, model and, given ``out_dir``, write.
 
@@ -189,13 +191,17 @@ def run_sales(
     ``_corrupt_record``, if ``raw`` has that column, are set aside, counted as dropped, and,
     given ``out_dir``, written to ``out_dir/quarantine`` as Parquet. With ``out_dir`` the tables of the result
     are read back from what was written; ``partition_by`` gives the folder columns of a
-    table. ``broadcast_bytes`` bounds every lookup that is broadcast whole, and
+    table. ``publish="together"`` keeps every run in a folder of its own and makes its tables visible by one
+    commit (``TableSet``), so a run that fails leaves the tables of the run before; ``"replace"``
+    overwrites ``out_dir/<table>`` one by one. ``broadcast_bytes`` bounds every lookup that is broadcast whole, and
     ``window_group_rows`` the category that may be ranked in one task.
     """
     if on_breach not in ("warn", "fail"):
         raise ValueError(f"on_breach is 'warn' or 'fail', not {on_breach!r}")
     if on_missing not in ("warn", "fail"):
         raise ValueError(f"on_missing is 'warn' or 'fail', not {on_missing!r}")
+    if publish not in ("replace", "together"):
+        raise ValueError(f"publish is 'replace' or 'together', not {publish!r}")
     if clashes := [c for c in raw.columns if c in (ROW_ID, COPIES)]:
         raise ValueError(f"column names used by the run itself: {clashes}")
     require_columns(raw, required)
@@ -248,7 +254,12 @@ def run_sales(
         broadcast_bytes=broadcast_bytes,
     )
     manifest = None
-    if out_dir is not None:
+    if out_dir is not None and publish == "together":
+        published = TableSet(spark, out_dir)
+        manifest = published.publish(tables, fmt=fmt, partition_by=partition_by)
+        commit = published.current()
+        tables = {name: published.read(name, commit) for name in tables}
+    elif out_dir is not None:
         manifest = write_tables(tables, out_dir, fmt, partition_by)
         tables = {
             name: read_table(spark, f"{out_dir.rstrip('/')}/{name}", df.schema, fmt)

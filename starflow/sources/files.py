@@ -19,7 +19,7 @@ class EmptySourceError(ValueError):
 
 def scan_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     contract: SchemaContract,
     *,
     header: bool = True,
@@ -27,7 +27,7 @@ def scan_csv(
 ) -> DataFrame:
     """CSV under an explicit schema: no inference pass, columns in contract order.
 
-    ``path`` may be a file, a folder or a glob. With ``header``, names are read from
+    ``path`` may be a file, a folder, a glob, or a list of these. With ``header``, names are read from
     the file, normalised and compared with the contract, so columns may come in any
     order and with stray blanks in their names; a header that does not fit, or a later
     file whose header differs from the first, is an error. A cell that does not parse

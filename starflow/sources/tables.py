@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -73,6 +74,34 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.load(path).select(*refs(schema.names))
 
 
+def write_bucketed(df: DataFrame, path: str, columns: Sequence[str], number: int) -> None:
+    """Parquet dealt into ``number`` buckets by the hash of ``columns``, one sorted file each.
+
+    The entry that Spark's catalog needs for the write goes at once; the files stay.
+    """
+    name = f"starflow_{uuid.uuid4().hex}"
+    dealt = df.repartition(number, *refs(columns))
+    writer = dealt.write.format("parquet").mode("overwrite").option("path", path)
+    writer.bucketBy(number, list(columns)).sortBy(list(columns)).saveAsTable(name)
+    df.sparkSession.sql(f"DROP TABLE {name}")
+
+
+def read_bucketed(
+    spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str], number: int
+) -> DataFrame:
+    """What ``write_bucketed`` left, known to be dealt by ``columns``."""
+    name = f"starflow_{uuid.uuid4().hex}"
+    cells = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    keys = ", ".join(f"`{c}`" for c in columns)
+    spark.sql(
+        f"CREATE TABLE {name} ({cells}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+        f"INTO {number} BUCKETS LOCATION '{path}'"
+    )
+    df = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return df
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Bytes of the data files under ``path``; lists the files, does not open them."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
