@@ -2,16 +2,19 @@
 
 Each word belongs to a class, and p(word | word before) = p(class | class before) * p(word | class).
 Classes come from exchange clustering: words move, one half at a time, to the class that raises
-the likelihood of the training bigrams most, until no move helps.
+the likelihood of the training bigrams most, until a pass over both halves gains less than LEAST_GAIN per token.
 
 The units that are exchanged are all words with LEAST_PLACED tokens or more, each for itself, and
 the rare rest, which has too few bigrams to be placed, tied by its ending (ENDINGS hashed groups),
-so every word has a class. EXCHANGED is the most words that a driver can hold; if more are
-frequent enough, the rarest of them are tied too. All counts cover the
+so every word has a class. EXCHANGED bounds what the driver and the tasks hold; if more words are
+frequent enough, the rarest of them are tied too, and ``tied_words`` says how many. All counts cover the
 whole training text: word counts are an ordinary aggregation, and unit bigrams are counted in
-each task as they occur and summed. Emission uses the exact count of each word: the
-KNOWN most frequent words are broadcast, the others are joined by shuffle, where none of
-them can hold more than 1/KNOWN of the tokens.
+each task as they occur and summed. They are then dealt by unit and packed into arrays, so
+that a round of the exchange reads bytes, not rows.
+
+Emission uses the exact count of each word: the KNOWN most frequent words of all texts, held-out
+ones too, are broadcast. The others are joined by shuffle, where none of them can hold more than 1/KNOWN of
+all tokens.
 
 Defined results: NULL and empty texts are the end token alone. NULL ids count as empty text for
 the fold. Repeated rows get equal scores. Without training text every score is that of
@@ -40,12 +43,15 @@ LEAST_PLACED = 20  # tokens of a word that is placed for itself
 ENDINGS = 512
 CLASSES = 64
 KNOWN = 200_000
+LEAST_GAIN = 1e-4  # of log likelihood per training token; less ends the exchange
 BASE_ADD = 0.5  # fixed value: smoothing of the base score
 ADD = 0.1  # of emissions
 BACK_OFF = 20.0  # weight of the class shares in a transition
 _END = b""  # the end token; no word is empty
 _FLUSH = 200_000
-_FLUSH_PAIRS = 1_000_000
+_FLUSH_PAIRS = 3_000_000
+_PACKED = 2_000_000  # pairs packed together, and then the rest of a unit
+_ROWS = 16_000  # rows of class counts whose gains are computed at once
 _SLOT_CACHE = 400_000
 
 
@@ -58,45 +64,53 @@ def ending_of(word: bytes) -> int:
     return xxhash.xxh32_intdigest(word[-3:]) % ENDINGS
 
 
-def word_counts(training: DataFrame) -> DataFrame:
-    """(word, c) over all tokens of ``training`` (text), the end token as the empty word."""
+def word_counts(rows: DataFrame) -> DataFrame:
+    """(word, c, t) over the tokens of ``rows`` (text, trains), the end token as the empty word.
+
+    c counts the texts that train the model, t all. Without the second column all texts train.
+    """
+    if "trains" not in rows.columns:
+        rows = rows.withColumn("trains", F.lit(True))
 
     def count(batches) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
 
-        def emit() -> pa.RecordBatch:
-            arrays = [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())]
-            counts.clear()
-            return pa.RecordBatch.from_arrays(arrays, ["word", "c"])
+        def emit() -> Iterator[pa.RecordBatch]:
+            for trains, some in enumerate(counts):
+                if some:
+                    n = pa.array(list(some.values()), pa.int64())
+                    c = n if trains else pa.array(np.zeros(len(some), dtype=np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array(list(some), pa.binary()), c, n], ["word", "c", "t"])
+                some.clear()
 
         for batch in slices(batches):
-            texts = utf8(batch.column(0))
-            for text in texts:
-                counts.update(words_of(text))
-            counts[_END] += len(texts)
-            if len(counts) > _FLUSH:
-                yield emit()
-        if counts:
-            yield emit()
+            for trains, text in zip(batch.column(1).to_pylist(), utf8(batch.column(0))):
+                counts[trains].update(words_of(text))
+                counts[trains][_END] += 1
+            if len(counts[0]) + len(counts[1]) > _FLUSH:
+                yield from emit()
+        yield from emit()
 
-    return training.mapInArrow(count, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+    found = rows.select("text", "trains").mapInArrow(count, "word binary, c bigint, t bigint")
+    return found.groupBy("word").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
 
 
-def frequent_words(counts: DataFrame, most: int) -> DataFrame:
-    """Words from some count on, ``most`` of them at the most.
+def frequent_words(counts: DataFrame, most: int, by: str = "c") -> DataFrame:
+    """Words from some count (column ``by``) on, ``most`` of them at the most.
 
     The bound comes from a histogram of the counts' magnitudes (some hundred rows), so no task
     has to send its own candidates to one place.
     """
-    size = F.floor(F.log2("c") * 16).cast("int")
-    steps = counts.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c"))
+    size = F.floor(F.log2(by) * 16).cast("int")
+    found = counts.where(F.col(by) > 0)
+    steps = found.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n"), F.min(by).alias("c"))
     bound, held = None, 0
     for row in sorted(steps.collect(), key=lambda r: -r["size"]):
         held += row["n"]
         if held > most:
             break
         bound = row["c"]
-    return counts.where(F.lit(False)) if bound is None else counts.where(F.col("c") >= bound)
+    return counts.where(F.lit(False)) if bound is None else counts.where(F.col(by) >= bound)
 
 
 class Units(dict):
@@ -174,87 +188,143 @@ def _log(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.where(x > 0, x, 1))
 
 
+def _part_gains(counts: np.ndarray, other: np.ndarray, loops: np.ndarray, own: np.ndarray, joint: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """(unit, class): what the bigrams of each unit with the classes before it gain by its going to a class.
+
+    ``counts[u, c]`` counts class c before u, ``other`` behind it; ``joint`` is without regard to any
+    unit, so each unit's own part is taken out of it where it stands. Only classes with a count matter.
+    For the classes behind, give the transposed joint table and swap the counts.
+    """
+    unit, before = np.nonzero(counts)
+    out = np.zeros(counts.shape)
+    if not len(unit):
+        return out
+    n, at = counts[unit, before], np.arange(len(unit))
+    mine = own[unit]
+    rest, rest_logs = joint[before], logs[before]
+    rest[at, mine] -= n
+    self_ = np.flatnonzero(before == mine)
+    rest[self_] -= other[unit[self_]]
+    rest[self_, mine[self_]] -= loops[unit[self_]]
+    rest_logs[at, mine] = _log(rest[at, mine])
+    rest_logs[self_] = _log(rest[self_])
+    gain = _log(rest + n[:, None]) - rest_logs
+    first = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
+    out[unit[first]] = np.add.reduceat(gain, first, axis=0)
+    return out
+
+
 def best_moves(left: np.ndarray, right: np.ndarray, loops: np.ndarray, own: np.ndarray, joint: np.ndarray, first: int = 0):
     """Per unit the best class and the gain in log-likelihood of moving there.
 
     ``left[u, c]`` counts class c before u, ``right[u, c]`` behind it, ``loops`` u behind
     itself; both leave the loops out. ``joint`` are the class bigrams, ``own`` the classes.
-    Classes below ``first`` take no unit.
+    Classes below ``first`` take no unit. Likelihood up to terms that no move changes: bigrams less both margins.
     """
     best, gain = own.copy(), np.zeros(len(own))
-    for i, mine in enumerate(own):
-        l, r, loop = left[i], right[i], loops[i]
-        if not l.sum() + r.sum() + loop:
-            continue
-        without = joint.copy()
-        without[:, mine] -= l
-        without[mine, :] -= r
-        without[mine, mine] -= loop
-        # Wherever the unit goes, its neighbours' own margins get its counts back.
-        rows, columns = without.sum(axis=1) + l, without.sum(axis=0) + r
-        # Likelihood up to terms that no move changes: bigrams less both margins.
-        column_part = (_log(without + l[:, None]) - _log(without)).sum(axis=0)
-        row_part = (_log(without + r[None, :]) - _log(without)).sum(axis=1)
-        diagonal = np.diag(without)
-        both = _log(diagonal + l + r + loop) - _log(diagonal)
-        twice = (_log(diagonal + l) - _log(diagonal)) + (_log(diagonal + r) - _log(diagonal))
-        gains = column_part + row_part + both - twice
-        more_rows = r.sum() + loop
-        more_columns = l.sum() + loop
-        gains -= _log(rows + more_rows) - _log(rows)
-        gains -= _log(columns + more_columns) - _log(columns)
-        best[i] = first + int(gains[first:].argmax())
-        gain[i] = gains[best[i]] - gains[mine]
+    before, behind = left.sum(axis=1), right.sum(axis=1)
+    used = np.flatnonzero(before + behind + loops)
+    if not len(used):
+        return best, gain
+    left, right, loops, own = left[used], right[used], loops[used].astype(float), own[used]
+    before, behind = before[used], behind[used]
+    logs = _log(joint)
+    gains = _part_gains(left, right, loops, own, joint, logs)
+    gains += _part_gains(right, left, loops, own, joint.T.copy(), logs.T.copy())
+    at = np.arange(len(own))
+    # Where the unit meets itself in a class, both parts above have counted the same cell.
+    diagonal = np.broadcast_to(np.diag(joint), left.shape).copy()
+    diagonal[at, own] -= left[at, own] + right[at, own] + loops
+    none = _log(diagonal)
+    gains += _log(diagonal + left + right + loops[:, None]) - _log(diagonal + left) - _log(diagonal + right) + none
+    # Wherever the unit goes, its neighbours' own margins get its counts back.
+    for margin, whole in ((joint.sum(axis=1), behind + loops), (joint.sum(axis=0), before + loops)):
+        rest = np.broadcast_to(margin, left.shape).copy()
+        rest[at, own] -= whole
+        gains -= _log(rest + whole[:, None]) - _log(rest)
+    to = first + gains[:, first:].argmax(axis=1)
+    best[used], gain[used] = to, gains[at, to] - gains[at, own]
     return best, gain
 
 
-def exchange(pairs: DataFrame, totals: np.ndarray, workspace: Workspace, classes: int = CLASSES, rounds: int | None = None) -> np.ndarray:
-    """The class of each unit. Class 0 is the end token's alone.
+_PACK = "units binary, loops binary, at0 binary, v0 binary, n0 binary, at1 binary, v1 binary, n1 binary"
+
 
-    Rounds go on until both halves in turn have no move that helps, or to ``rounds``, if given.
+def pack_pairs(pairs: DataFrame) -> DataFrame:
+    """Arrays of the pairs (a, b, n), dealt by unit, whole units together.
 
-    Every round is a job over the pairs, dealt by unit: each task sums the neighbours of its
+    A row holds ``units`` and their ``loops``; side 0 has what stands before them and side 1 what stands
+    behind: place among the units, the other unit, count.
+    """
+    a, b, n = F.col("a"), F.col("b"), F.col("n")
+
+    def side(number: int, u, v):
+        return F.struct(u.alias("u"), F.lit(number).alias("side"), v.alias("v"), n.alias("n"))
+
+    both = F.when(a == b, F.array(side(2, a, b))).otherwise(F.array(side(0, b, a), side(1, a, b)))
+    dealt = pairs.select(F.inline(both)).repartition("u")
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
+            return
+        u, side, v, n = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in range(4))
+        order = np.argsort(u, kind="stable")
+        starts = np.flatnonzero(np.append(True, np.diff(u[order]) != 0))
+        # Cut before the unit that a place lies in.
+        cuts = np.unique(starts[np.searchsorted(starts, np.arange(0, len(u), _PACKED), side="right") - 1])
+        for low, high in zip(cuts, [*cuts[1:], len(u)]):
+            some = order[low:high]
+            units, at = np.unique(u[some], return_inverse=True)
+            loop = side[some] == 2
+            row = [units.astype(np.int32), np.bincount(at[loop], n[some][loop], minlength=len(units))]
+            for which in (0, 1):
+                here = side[some] == which
+                row += [at[here].astype(np.int32), v[some][here].astype(np.int32), n[some][here].astype(np.float64)]
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in row], _PACK.replace(" binary", "").split(", "))
+
+    return dealt.mapInArrow(run, _PACK)
+
+
+def _unpacked(batches, kinds: list) -> Iterator[list[np.ndarray]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield [np.frombuffer(batch.column(k)[i].as_buffer(), kind) for k, kind in enumerate(kinds)]
+
+
+def exchange(
+    pairs: DataFrame, totals: np.ndarray, workspace: Workspace, classes: int = CLASSES, rounds: int | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each unit, and the counts of class bigrams. Class 0 is the end token's alone.
+
+    Rounds go on until both halves in turn gain less than LEAST_GAIN per token, or to ``rounds``, if given.
+
+    Every round is a job over the packed pairs: each task sums the neighbours of its
     units by class and finds their best moves. Half of the units may move per round, since
     moves that are good one by one can be bad together; if they are, fewer of the best are
-    made, in the end one alone. Per unit one small row and per trial one class table reach the
+    made, in the end one alone. Per unit that moves one small row and per trial one class table reach the
     driver; both sizes are parameters.
     """
     n = len(totals)
     order = np.argsort(-totals, kind="stable")
     order = order[order != 0]
-    own = np.zeros(n, dtype=np.int64)
+    own = np.zeros(n, dtype=np.uint8 if classes <= 256 else np.int32)
     own[order] = 1 + np.arange(n - 1) % (classes - 1)
-    both = pairs.select(F.col("b").alias("u"), F.lit(0).alias("side"), F.col("a").alias("v"), "n").union(
-        pairs.select(F.col("a").alias("u"), F.lit(1).alias("side"), F.col("b").alias("v"), "n")
-    )
-    both = workspace.store(both.repartition("u").sortWithinPartitions("u"), "neighbours")
-
-    def sums(part, of: np.ndarray):
-        """Units of one task with their counts by class before and behind them."""
-        units, at = np.unique(part["u"].to_numpy(), return_inverse=True)
-        side, v = part["side"].to_numpy(), part["v"].to_numpy()
-        count = part["n"].to_numpy().astype(float)
-        loop = units[at] == v
-        place = (side[~loop].astype(np.int64) * len(units) + at[~loop]) * classes + of[v[~loop]]
-        table = np.bincount(place, count[~loop], minlength=2 * len(units) * classes).reshape(2, len(units), classes)
-        loops = np.bincount(at[loop & (side == 0)], count[loop & (side == 0)], minlength=len(units))
-        return units, table[0], table[1], loops
-
-    def joined(batches):
-        found = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
-        return pa.concat_tables(found) if found else None
+    packed = workspace.store(pack_pairs(pairs), "packed")
 
     def joint_of(of: np.ndarray) -> np.ndarray:
         def run(batches) -> Iterator[pa.RecordBatch]:
             table = np.zeros(classes * classes)
-            for batch in batches:
-                a, b = of[batch.column(0).to_numpy()], of[batch.column(1).to_numpy()]
-                table += np.bincount(a * classes + b, batch.column(2).to_numpy(), minlength=classes * classes)
+            for units, loops, at, v, count in _unpacked(batches, [np.int32, np.float64, np.int32, np.int32, np.float64]):
+                mine = of[units].astype(np.int64)
+                table += np.bincount(of[v] * np.int64(classes) + mine[at], count, minlength=classes * classes)
+                table += np.bincount(mine * (classes + 1), loops, minlength=classes * classes)
             code = np.flatnonzero(table)
             arrays = [pa.array(code.astype(np.int32)), pa.array(table[code].astype(np.int64))]
             yield pa.RecordBatch.from_arrays(arrays, ["code", "n"])
 
-        summed = pairs.select("a", "b", "n").mapInArrow(run, "code int, n bigint").groupBy("code").agg(F.sum("n"))
+        before = packed.select("units", "loops", "at0", "v0", "n0")
+        summed = before.mapInArrow(run, "code int, n bigint").groupBy("code").agg(F.sum("n"))
         out = np.zeros(classes * classes)
         for code, count in summed.collect():
             out[code] = count
@@ -265,34 +335,44 @@ def exchange(pairs: DataFrame, totals: np.ndarray, workspace: Workspace, classes
 
     joint = joint_of(own)
     best_value = likelihood(joint)
-    turn = idle = 0
-    while idle < 2 and (rounds is None or turn < rounds):
+    enough = LEAST_GAIN * joint.sum()
+    gained, turn = [np.inf, np.inf], 0
+    while sum(gained) > enough and (rounds is None or turn < rounds):
         def moves(batches, of=own, joint=joint, turn=turn) -> Iterator[pa.RecordBatch]:
-            part = joined(batches)
-            if part is None:
-                return
-            units, left, right, loops = sums(part, of)
-            mine = (units != 0) & ((units.astype(np.int64) * 2654435761 >> 7) % 2 == turn % 2)
-            best, gain = best_moves(left[mine], right[mine], loops[mine], of[units[mine]], joint, first=1)
-            keep = gain > 0
-            arrays = [pa.array(units[mine][keep].astype(np.int32)), pa.array(best[keep].astype(np.int32)), pa.array(gain[keep])]
-            yield pa.RecordBatch.from_arrays(arrays, ["u", "class", "gain"])
-
-        found = both.mapInArrow(moves, "u int, class int, gain double").toArrow()
+            kinds = [np.int32, np.float64, *[np.int32, np.int32, np.float64] * 2]
+            for units, loops, *sides in _unpacked(batches, kinds):
+                mine = np.flatnonzero((units != 0) & ((units.astype(np.int64) * 2654435761 >> 7) % 2 == turn % 2))
+                tables = []
+                for at, v, count in (sides[:3], sides[3:]):
+                    place = at * np.int64(classes) + of[v]
+                    tables.append(np.bincount(place, count, minlength=len(units) * classes).reshape(-1, classes)[mine])
+                step = max(1, _ROWS // classes)
+                for low in range(0, len(mine), step):
+                    some = mine[low : low + step]
+                    left, right = (t[low : low + step] for t in tables)
+                    old = of[units[some]].astype(np.int64)
+                    best, gain = best_moves(left, right, loops[some], old, joint, first=1)
+                    keep = gain > 1e-6
+                    arrays = [pa.array(units[some][keep]), pa.array(best[keep].astype(np.int32)), pa.array(gain[keep])]
+                    yield pa.RecordBatch.from_arrays(arrays, ["u", "class", "gain"])
+
+        found = packed.mapInArrow(moves, "u int, class int, gain double").toArrow()
         unit, to = found["u"].to_numpy(), found["class"].to_numpy()
         order = np.lexsort((unit, -found["gain"].to_numpy()))
-        tried = len(order)
-        turn, idle = turn + 1, idle + 1
+        tried, gain = len(order), 0.0
         while tried:  # too many moves at once: take the best ones only
             trial = own.copy()
             trial[unit[order[:tried]]] = to[order[:tried]]
             trial_joint = joint_of(trial)
             value = likelihood(trial_joint)
             if value > best_value:
-                own, joint, best_value, idle = trial, trial_joint, value, 0
+                gain = value - best_value
+                own, joint, best_value = trial, trial_joint, value
                 break
             tried //= 3
-    return own
+        gained[turn % 2] = gain
+        turn += 1
+    return own, joint
 
 
 @dataclass
@@ -305,6 +385,7 @@ class ClassModel:
     emission: np.ndarray  # log10 of count + ADD * (words + 1), per class
     train_tokens: int
     train_words: int
+    tied_words: int = 0  # words with LEAST_PLACED tokens that are tied because of EXCHANGED
 
     @property
     def base_log(self) -> float:
@@ -313,7 +394,10 @@ class ClassModel:
 
 def train_class_model(training: DataFrame, counts: DataFrame, workspace: Workspace, *, exchanged: int = EXCHANGED, least: int = LEAST_PLACED, classes: int = CLASSES, rounds: int | None = None) -> ClassModel:
     """Fit on all of ``training`` (text); ``counts`` are its stored word counts."""
-    row = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    trained = counts.where(F.col("c") > 0)
+    row = trained.agg(
+        F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.count_if((F.col("c") >= least) & (F.length("word") > 0))
+    ).first()
     # Few enough to sort in one place.
     frequent = frequent_words(counts, max(KNOWN, exchanged)).where(F.length("word") > 0)
     frequent = frequent.where(F.col("c") >= least).repartition(1).sortWithinPartitions(F.col("c").desc(), "word").limit(exchanged)
@@ -328,28 +412,18 @@ def train_class_model(training: DataFrame, counts: DataFrame, workspace: Workspa
 
     n_units = Units(names).n
     totals, words = np.zeros(n_units), np.zeros(n_units)
-    per_unit = counts.mapInArrow(with_unit, "u int, c bigint").groupBy("u").agg(F.sum("c"), F.count(F.lit(1)))
+    per_unit = trained.select("word", "c").mapInArrow(with_unit, "u int, c bigint").groupBy("u").agg(F.sum("c"), F.count(F.lit(1)))
     per_unit = per_unit.toDF("u", "c", "v").toArrow()  # one row per unit
     at = per_unit["u"].to_numpy()
     totals[at], words[at] = per_unit["c"].to_numpy(), per_unit["v"].to_numpy()
-    pairs = workspace.store(unit_pairs(training, names), "pairs")
-    own = exchange(pairs, totals, workspace, classes, rounds)
-
-    def to_class(batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            code = own[batch.column(0).to_numpy()] * classes + own[batch.column(1).to_numpy()]
-            yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int32)), batch.column(2)], ["code", "n"])
-
-    joint = np.zeros(classes * classes)
-    for code, n in pairs.mapInArrow(to_class, "code int, n bigint").groupBy("code").agg(F.sum("n")).collect():
-        joint[code] = n
-    joint = joint.reshape(classes, classes)
+    own, joint = exchange(unit_pairs(training, names), totals, workspace, classes, rounds)
     class_totals = np.bincount(own, totals, minlength=classes)
     class_words = np.bincount(own, words, minlength=classes)
     share = (class_totals + 0.5) / (class_totals + 0.5).sum()
     transition = (joint + BACK_OFF * share[None, :]) / (joint.sum(axis=1, keepdims=True) + BACK_OFF)
     return ClassModel(
-        names, own, np.log10(transition), np.log10(class_totals + ADD * (class_words + 1)), int(row[0]), int(row[1])
+        names, own, np.log10(transition), np.log10(class_totals + ADD * (class_words + 1)),
+        int(row[0]), int(row[1]), max(0, int(row[2]) - len(names)),
     )
 
 
@@ -364,8 +438,8 @@ def score_texts(docs: DataFrame, model: ClassModel, counts: DataFrame, workspace
     (row, word, times) and find their counts by an ordinary join.
     """
     spark = docs.sparkSession
-    # KNOWN short words at most, and the end token in any case.
-    frequent = frequent_words(counts, known).union(counts.where(F.length("word") == 0)).toArrow()
+    # KNOWN short words of all texts at most, and the end token in any case.
+    frequent = frequent_words(counts, known, "t").union(counts.where(F.length("word") == 0)).toArrow()
     table = dict(zip(frequent["word"].to_pylist(), frequent["c"].to_pylist()))
     shared = spark.sparkContext.broadcast(table)
     kind = docs.schema["id"].dataType.simpleString()
@@ -385,7 +459,7 @@ def score_texts(docs: DataFrame, model: ClassModel, counts: DataFrame, workspace
             step = model.transition[classes[:-1], classes[1:]]
             ends = np.cumsum(sizes)
             starts = ends - sizes
-            rare = np.flatnonzero(~known)
+            rare = np.flatnonzero(memo.rare[slot[1:]])
             # One entry per rare token; the texts they belong to follow from their places.
             upto = np.searchsorted(rare, np.append(0, ends)).astype(np.int32)
             words = pa.array([tokens[i + 1] for i in rare.tolist()], pa.binary())
@@ -406,7 +480,7 @@ def score_texts(docs: DataFrame, model: ClassModel, counts: DataFrame, workspace
     first = workspace.store(docs.select("row", "id", "text").mapInArrow(run, schema), "frequent_part")
     rare = first.select("row", F.explode("rare").alias("word"))
     # The first pass has taken them as unseen; what a count adds is the same for all models.
-    seen = rare.join(counts, "word")
+    seen = rare.join(counts.where(F.col("c") > 0).select("word", "c"), "word")
     c = F.col("c")
     extra = seen.groupBy("row").agg(
         F.count(F.lit(1)).alias("more_known"),
@@ -423,7 +497,8 @@ def score_texts(docs: DataFrame, model: ClassModel, counts: DataFrame, workspace
 
 
 class _Slots(dict):
-    """Word to a place in arrays: class, base log, emission log, whether it is a broadcast word."""
+    """Word to a place in arrays: class, base log, emission log, whether training has it, whether it must
+    be looked up."""
 
     def __init__(self, counts: dict[bytes, int], model: ClassModel):
         self.counts, self.units, self.model = counts, Units(model.exchanged), model
@@ -435,22 +510,25 @@ class _Slots(dict):
         self.classes = np.zeros(0, dtype=np.int64)
         self.base, self.emission = np.zeros(0), np.zeros(0)
         self.known = np.zeros(0, dtype=bool)
+        self.rare = np.zeros(0, dtype=bool)
 
     def __missing__(self, word: bytes) -> int:
-        self.new.append((self.counts.get(word, 0), self.units.unit(word)))
+        self.new.append((self.counts.get(word, -1), self.units.unit(word)))
         slot = self[word] = len(self)
         return slot
 
     def slots(self, tokens: list[bytes]) -> np.ndarray:
         at = np.fromiter(map(self.__getitem__, tokens), dtype=np.int64, count=len(tokens))
         if self.new:
-            count, unit = np.array(self.new, dtype=np.int64).T
+            found, unit = np.array(self.new, dtype=np.int64).T
+            count = np.maximum(found, 0)
             classes = self.model.unit_class[unit]
             emission = np.log10(count + ADD) - self.model.emission[classes]
             self.classes = np.concatenate([self.classes, classes])
             self.base = np.concatenate([self.base, np.log10(count + BASE_ADD) - self.model.base_log])
             self.emission = np.concatenate([self.emission, emission])
             self.known = np.concatenate([self.known, count > 0])
+            self.rare = np.concatenate([self.rare, found < 0])
             self.new = []
         return at
 
@@ -471,12 +549,13 @@ def score_documents(
     """Train on the documents that are not held out, and score all.
 
     One row per row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score, score,
-    perplexity.
+    perplexity, tied_words (frequent words that had to be tied, the same in every row).
     """
     workspace = workspace or Workspace(docs.sparkSession)
     rows = pick(docs, id=doc_id, text=text)
     training = rows.where(~held_out(F.col("id"))).select("text")
-    counts = workspace.store(word_counts(training), "counts")
+    flagged = rows.select("text", (~held_out(F.col("id"))).alias("trains"))
+    counts = workspace.store(word_counts(flagged), "counts")
     model = train_class_model(training, counts, workspace, **options)
     numbered = rows.withColumn("row", F.monotonically_increasing_id())
     out = score_texts(numbered, model, counts, workspace, known=known)
@@ -487,4 +566,5 @@ def score_documents(
         F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
         "base_score", "score",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
+        F.lit(model.tied_words).cast("bigint").alias("tied_words"),
     )

@@ -182,3 +182,44 @@ def test_no_unit_goes_to_the_class_of_the_end_token():
     joint = rng.integers(500, 900, (4, 4)).astype(float)
     best, gain = class_lm.best_moves(left.astype(float), right.astype(float), np.zeros(20), own, joint, first=1)
     assert best.min() >= 1 and gain.min() >= 0
+
+
+def test_tables_and_class_counts_equal_a_recount(documents, workspace, monkeypatch):
+    """However the pairs are packed, the exchange keeps the table that its classes have."""
+    monkeypatch.setattr(class_lm, "_PACKED", 40)
+    rnd = random.Random(5)
+    rows = [(i, " ".join(rnd.choice("abcdefgh") * rnd.randint(1, 3) for _ in range(40)), "s") for i in range(80)]
+    docs = documents(rows).select("text").repartition(3)
+    names = [w.encode() for w in ("a", "b", "aa", "bb", "c", "ccc", "d")]
+    pairs = workspace.store(class_lm.unit_pairs(docs, names), "pairs")
+    n = class_lm.Units(names).n
+    totals = np.zeros(n)
+    for r in pairs.collect():
+        totals[r["b"]] += r["n"]
+    values = []
+    for rounds in (0, 2, None):
+        own, joint = class_lm.exchange(pairs, totals, workspace, 4, rounds)
+        expected = np.zeros((4, 4))
+        for r in pairs.collect():
+            expected[own[r["a"]], own[r["b"]]] += r["n"]
+        assert (joint == expected).all() and own[0] == 0 and (own[1:] > 0).all()
+        values.append(value_of(joint))
+    assert values[0] < values[1] <= values[2]
+
+
+def test_a_word_that_only_held_out_texts_have_is_not_looked_up(documents, workspace):
+    rows = [(i, "known words here " * 3 + ("hot " * 50 if apart(i) else ""), "s") for i in range(60)]
+    docs = documents(rows)
+    flagged = docs.select("text", (~class_lm.held_out(docs["doc_id"])).alias("trains"))
+    counts = {bytes(r["word"]): (r["c"], r["t"]) for r in class_lm.word_counts(flagged).collect()}
+    assert counts[b"hot"][0] == 0 and counts[b"hot"][1] > 100
+    frequent = class_lm.frequent_words(class_lm.word_counts(flagged), 4, "t").collect()
+    assert b"hot" in {bytes(r["word"]) for r in frequent}
+    found = class_lm.score_documents(docs, workspace=workspace, known=4, **OPTIONS).collect()
+    assert {r["tied_words"] for r in found} == {0} and all(r["n_known"] < r["n_tokens"] for r in found if r["held_out"])
+
+
+def test_words_beyond_the_bound_are_reported(documents, workspace):
+    rows = [(i, " ".join(f"w{k}" for k in range(30)), "s") for i in range(40)]
+    found = class_lm.score_documents(documents(rows), workspace=workspace, **{**OPTIONS, "exchanged": 10}).first()
+    assert found["tied_words"] == 20
