@@ -43,7 +43,7 @@ LEAST_PLACED = 20  # tokens of a word that is placed for itself
 ENDINGS = 512
 CLASSES = 64
 KNOWN = 200_000
-LEAST_GAIN = 1e-4  # of log likelihood per training token; less ends the exchange
+LEAST_GAIN = 1e-3  # of log likelihood per training token in a pass; less ends the exchange
 BASE_ADD = 0.5  # fixed value: smoothing of the base score
 ADD = 0.1  # of emissions
 BACK_OFF = 20.0  # weight of the class shares in a transition

@@ -28,7 +28,10 @@ def labelled_sample(
     held_out_fold: int | None = None,
     workspace: Workspace,
 ) -> tuple[DataFrame, dict[int, int]]:
-    """Stored (id, text, label) of at most ``per_class`` ids per class, and the class sizes.
+    """Stored (id, text, label) of at most ``per_class`` ids per class, and how many ids each class has.
+
+    One row per id, so the sample is bounded whatever repeats: of several texts of one id the one with the
+    smallest hash, and of contradicting labels the larger one.
 
     The ids are those with the smallest hashes, so they are a random sample that is the
     same on every run. Hashes so large that they cannot be among them are left out before the
@@ -40,6 +43,7 @@ def labelled_sample(
     marks = marks.select("id", (F.col("label") > 0).cast("int").alias("label"))
     if held_out_fold is not None:
         marks = marks.where(fold(F.col("id")) != held_out_fold)
+    marks = workspace.store(marks.groupBy("id").agg(F.max("label").alias("label")), "marks")
     sizes = {r[0]: r[1] for r in marks.groupBy("label").count().collect()}
     place = F.pmod(F.xxhash64("id"), F.lit(_PLACES))
     order = [place, F.col("id")]
@@ -47,8 +51,9 @@ def labelled_sample(
     for value in (0, 1):
         some = marks.where(F.col("label") == value)
         some = some.where(place < int(_PLACES * min(1.0, 2 * per_class / max(1, sizes.get(value, 0)))))
-        some = some.dropDuplicates(["id"]).orderBy(*order).limit(per_class)
+        some = some.orderBy(*order).limit(per_class)
         chosen = some if chosen is None else chosen.unionByName(some)
     chosen = workspace.store(chosen, "chosen")
-    rows = pick(docs, id=doc_id, text=text)
-    return workspace.store(rows.join(F.broadcast(chosen), "id"), "sample"), sizes
+    rows = pick(docs, id=doc_id, text=text).join(F.broadcast(chosen), "id")
+    rows = rows.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return workspace.store(rows.select("id", "text", "label"), "sample"), sizes

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starflow.llm.rows import map_texts, pick
+from starflow.llm.spans import covered, outside
 from starflow.sources.workspace import Workspace
 
 KINDS = ("email", "ip", "card", "phone", "model")
@@ -272,32 +273,6 @@ def decode(shapes: np.ndarray, table: np.ndarray, step: np.ndarray) -> list[tupl
     return list(zip(place[starts].tolist(), place[ends].tolist()))
 
 
-def outside(spans: list[tuple[int, int]], base: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The parts of ``spans`` that no base span covers; both in order of their starts."""
-    out, k = [], 0
-    for a, b in spans:
-        while k < len(base) and base[k][1] <= a:
-            k += 1
-        at = k
-        while at < len(base) and base[at][0] < b:
-            out.append((a, base[at][0]))
-            a = max(a, base[at][1])
-            at += 1
-        out.append((a, b))
-    return [(a, b) for a, b in out if a < b]
-
-
-def _covered(base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Base spans of all kinds, those that overlap joined."""
-    out: list[tuple[int, int]] = []
-    for _, a, b in sorted(base, key=lambda s: s[1]):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
-
-
 _LEAD, _TAIL = " \t\n\r,;:.!?\"'<>[]{})|", " \t\n\r,;:.!?\"'<>[]{}(|"
 
 
@@ -312,7 +287,7 @@ def _tidy(text: str, a: int, b: int) -> tuple[int, int]:
 
 def passages(text: str, reach: int = 150, words: int = 12) -> Iterator[tuple[int, list[tuple[str, str, int]], list[int]]]:
     """(place, shapes, tags) around the base findings, or spread over a text without."""
-    found = [(a, b) for a, b in _covered(base_spans(text))]
+    found = covered([(a, b) for _, a, b in base_spans(text)])
     if found:
         centres = found[:: -(-len(found) // PASSAGES)]
     else:
@@ -504,7 +479,7 @@ def find_pii(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str =
         out = []
         for content, more in zip(contents, model_spans(contents, held[0])):
             spans = base_spans(content)
-            parts = [_tidy(content, a, b) for a, b in outside(more, _covered(spans))]
+            parts = [_tidy(content, a, b) for a, b in outside(more, covered([(a, b) for _, a, b in spans]))]
             spans += [(4, a, b) for a, b in parts if b - a >= LEAST_SPAN]
             out.append([{"kind": KINDS[k], "start": a, "end": b} for k, a, b in spans])
         return [batch.column(0), pa.array(out, span)]

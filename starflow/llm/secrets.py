@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starflow.llm.rows import map_texts, pick
+from starflow.llm.spans import covered, outside
 from starflow.sources.workspace import Workspace
 
 # The base patterns and the least lengths.
@@ -298,15 +299,16 @@ def model_spans(
     return [(a, b) for a, b in spans if b - a >= LEAST_SPAN]
 
 
-def evidence(tokens: np.ndarray, table: Tokens) -> np.ndarray:
-    """The full evidence matrix of a text, for training."""
+def evidence(tokens: np.ndarray, table: Tokens, low: int = 0, high: int | None = None) -> np.ndarray:
+    """The evidence matrix of the tokens low..high of a text, for training."""
     mine = table.tokens[tokens, 2]
-    n, edge = len(mine), len(_ROLES) - 1
+    high = len(mine) if high is None else min(high, len(mine))
+    n, edge = high - low, len(_ROLES) - 1
     padded = np.concatenate([np.full(REACH, edge), mine, np.full(REACH, edge)])
     out = np.zeros((n, _WIDTH), dtype=np.uint8)
-    out[:, :_SHAPES] = table.shapes[table.tokens[tokens, 3]]
+    out[:, :_SHAPES] = table.shapes[table.tokens[tokens[low:high], 3]]
     for k, d in enumerate(_OFFSETS):
-        out[np.arange(n), _SHAPES + k * len(_ROLES) + padded[REACH + d : REACH + d + n]] = 1
+        out[np.arange(n), _SHAPES + k * len(_ROLES) + padded[REACH + d + low : REACH + d + high]] = 1
     out[:, -_FILE - 1 : -1] = file_evidence(mine)
     out[:, -1] = 1
     return out
@@ -333,8 +335,8 @@ def training_windows(text: str, table: Tokens, reach: int = 24, most: int = 4):
         centres = list(odd[:: max(1, len(odd) // most)]) + [n // 2]
     if len(centres) > most:
         centres = centres[:: -(-len(centres) // most)]
-    full = evidence(tokens, table)
-    return [(full[max(0, c - reach) : c + reach], tags[max(0, c - reach) : c + reach]) for c in centres[:most]]
+    bounds = [(max(0, c - reach), c + reach) for c in centres[:most]]
+    return [(evidence(tokens, table, low, high), tags[low:high]) for low, high in bounds]
 
 
 def fit_field(windows: list[tuple[np.ndarray, np.ndarray]], rounds: int = 80, rate: float = 0.2, decay: float = 1e-4) -> Field:
@@ -392,23 +394,22 @@ def train_secrets(
     sample: int = SAMPLE,
     workspace: Workspace | None = None,
 ) -> Field | None:
-    """Fit on the documents with the smallest hashes, with and without findings.
+    """Fit on the distinct documents with the smallest hashes, with and without findings.
 
     A built-in expression, which no text with a finding fails, leaves few texts to the base
     patterns; these tell for every document whether it has one. None only if no document has.
-    Only the sample's hashes are gathered.
+    A copy counts once. Only the sample's hashes are gathered.
     """
     workspace = workspace or Workspace(docs.sparkSession)
     rows = pick(docs, id=doc_id, text=text).where("text IS NOT NULL")
     keyed = rows.select(F.xxhash64("id", "text").alias("key"), "text")
-    possible = F.col("text").rlike(POSSIBLE)
+    possible = keyed.select("key", F.when(F.col("text").rlike(POSSIBLE), F.col("text")).alias("text"))
 
     def mark(batch: pa.RecordBatch, texts: list[bytes]) -> list:
         return [batch.column(0), pa.array([bool(base_spans(content.decode())) for content in texts], pa.bool_())]
 
-    marked = map_texts(keyed.where(possible), mark, "key bigint, found boolean")
-    marked = marked.unionByName(keyed.where(~possible).select("key", F.lit(False).alias("found")))
-    marked = workspace.store(marked, "marked")
+    marked = map_texts(possible, mark, "key bigint, found boolean")
+    marked = workspace.store(marked.groupBy("key").agg(F.bool_or("found").alias("found")), "marked")
     sizes = {r[0]: r[1] for r in marked.groupBy("found").count().collect()}
     chosen = None
     for value in (True, False):
@@ -416,22 +417,25 @@ def train_secrets(
         share = min(1.0, 4 * sample / max(1, sizes.get(value, 0)))
         largest = min(2**63 - 1, -(2**63) + int(share * 2**64))
         some = marked.where((F.col("found") == value) & (F.col("key") <= F.lit(largest)))
-        some = some.select("key").distinct().orderBy("key").limit(sample)
+        some = some.select("key").orderBy("key").limit(sample)
         chosen = some if chosen is None else chosen.union(some)
     chosen = workspace.store(chosen, "chosen")
-    picked = rows.withColumn("key", F.xxhash64("id", "text")).join(F.broadcast(chosen), "key")
+    picked = keyed.join(F.broadcast(chosen), "key")
 
     def run(batch: pa.RecordBatch, texts: list[bytes]) -> list:
-        table, keys, matrices, tags = Tokens(), [], [], []
+        table, keys, places, matrices, tags = Tokens(), [], [], [], []
         for key, content in zip(batch.column(0).to_pylist(), texts):
-            for e, t in training_windows(content.decode(), table):
+            for place, (e, t) in enumerate(training_windows(content.decode(), table)):
                 keys.append(key)
+                places.append(place)
                 matrices.append(e.tobytes())
                 tags.append(t.tobytes())
-        return [pa.array(keys, pa.int64()), pa.array(matrices, pa.binary()), pa.array(tags, pa.binary())]
+        columns = [(keys, pa.int64()), (places, pa.int32()), (matrices, pa.binary()), (tags, pa.binary())]
+        return [pa.array(values, kind) for values, kind in columns]
 
-    found = map_texts(picked.select("key", "text"), run, "key bigint, evidence binary, tags binary")
-    windows = found.orderBy("key", "tags", "evidence").toArrow()  # a few small windows per sampled document
+    found = map_texts(picked.select("key", "text"), run, "key bigint, place int, evidence binary, tags binary")
+    # A few small windows per sampled document, however many copies it has.
+    windows = found.dropDuplicates(["key", "place"]).orderBy("key", "tags", "evidence").toArrow()
     pairs = [
         (np.frombuffer(e, np.uint8).reshape(-1, _WIDTH), np.frombuffer(t, np.uint8))
         for e, t in zip(windows["evidence"].to_pylist(), windows["tags"].to_pylist())
@@ -444,7 +448,7 @@ def train_secrets(
 def find_secrets(docs: DataFrame, field: Field | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, spans) per row; ``spans`` are (kind, start, end), by start and then kind.
 
-    A span of the field that overlaps a base span is the same finding and is left out.
+    Of a span of the field, the parts outside the base spans are reported if they are long enough.
     """
     rows = pick(docs, id=doc_id, text=text)
     kind = rows.schema["id"].dataType.simpleString()
@@ -464,11 +468,8 @@ def find_secrets(docs: DataFrame, field: Field | None, doc_id: str = "doc_id", t
             base = [(a, kind_, b) for a, kind_, b, _, _ in base_spans(content)]
             more = []
             if field is not None:
-                more = [
-                    (a, 3, b)
-                    for a, b in model_spans(content, held[0], field, mine)
-                    if not any(a < y and b > x for x, _, y in base)
-                ]
+                parts = outside(model_spans(content, held[0], field, mine), covered([(a, b) for a, _, b in base]))
+                more = [(a, 3, b) for a, b in parts if b - a >= LEAST_SPAN]
             out.append([{"kind": KINDS[k], "start": a, "end": b} for a, k, b in sorted(base + more)])
         return [batch.column(0), pa.array(out, span)]
 

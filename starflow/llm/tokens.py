@@ -5,7 +5,7 @@ always a cut before a single blank or a single line break between two words, and
 run of letters and a single stop that ends the word. So a text in which all white space is of that kind is
 the sequence of its words' ids, and a word is encoded only the first time a worker meets it.
 A word of letters alone is one piece, which the model encodes directly. Any other word or
-text is encoded as a whole. All ways give the same ids.
+text, and a text that holds an added token such as ``<|endoftext|>``, is encoded as a whole. All ways give the same ids.
 """
 
 from __future__ import annotations
@@ -82,7 +82,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        # Their strings become their own ids wherever they stand, so such texts are encoded whole.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
         self.ends = {stop: self.whole(stop) for stop in _ENDS}
         self.first = _Words(self, "")
@@ -98,6 +99,7 @@ class Encoder:
         gaps = len(words) - 1
         plain = (
             words
+            and not any(token in text for token in self.added)
             and len(text) - sum(map(len, words)) == gaps
             and text.count(" ") + text.count("\n") == gaps
         )

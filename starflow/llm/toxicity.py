@@ -53,6 +53,7 @@ CHANCE_PAIRS = 0.05  # pairs expected to pass by chance among all that are teste
 THRESHOLD = 0.5
 HELD_OUT_FOLD = 0
 _CACHE_WORDS = 300_000
+_STRIP = 64  # terms whose pairs are tested at once
 _MARKS = string.punctuation.encode()
 _BLANKS = bytes.maketrans(_MARKS, b" " * len(_MARKS))
 
@@ -123,34 +124,56 @@ def likelihood_ratio(toxic: np.ndarray, clean: np.ndarray, all_toxic: np.ndarray
     return 2 * (out + _surprise(clean, all_clean * share) + _surprise(all_clean - clean, all_clean * (1 - share)))
 
 
-def paired_ratio(present: list[np.ndarray], labels: np.ndarray, n: int) -> np.ndarray:
-    """Per term the largest likelihood ratio it has within the documents of another term.
-
-    ``present`` are the documents' terms, below ``n``. The table of pairs is made in strips.
-    """
-    held = []
-    for value in (1, 0):
-        some = [present[i] for i in np.flatnonzero(labels == value)]
-        table = np.zeros((len(some), n), dtype=np.float32)
-        for row, terms in zip(table, some):
-            row[terms] = 1
-        held.append(table)
-    toxic, clean = (table.sum(axis=0) for table in held)
-    best = np.zeros(n)
-    for start in range(0, n, 256):
-        both = [table[:, start : start + 256].T @ table for table in held]
-        ratio = likelihood_ratio(*both, toxic[None, :], clean[None, :])
-        own = np.arange(len(ratio))
-        ratio[own, start + own] = 0
-        best[start : start + 256] = ratio.max(axis=1)
+def packed_columns(present: list[np.ndarray], labels: np.ndarray, n: int) -> list[np.ndarray]:
+    """Per class (clean, toxic) one bit per document for each of ``n`` terms, as (term, 64-bit word)."""
+    out = []
+    for value in (0, 1):
+        some = np.flatnonzero(labels == value)
+        bits = np.zeros((n, -(-max(1, len(some)) // 64) * 8), dtype=np.uint8)
+        for k, i in enumerate(some):
+            bits[present[i], k >> 3] |= np.uint8(1 << (k & 7))
+        out.append(bits.view(np.uint64))
+    return out
+
+
+def paired_ratio(columns: list[np.ndarray], low: int, high: int) -> np.ndarray:
+    """For the terms low..high the largest likelihood ratio each has within the documents of another term."""
+    n = len(columns[0])
+    own = [np.bitwise_count(c).sum(axis=1).astype(float) for c in columns]
+    best = np.zeros(high - low)
+    for t in range(low, high):
+        clean, toxic = (np.bitwise_count(c & c[t]).sum(axis=1).astype(float) for c in columns)
+        ratio = likelihood_ratio(toxic, clean, own[1], own[0])
+        ratio[t] = 0
+        best[t - low] = ratio.max(initial=0) if n > 1 else 0
     return best
 
 
+def _paired_in_tasks(sample: DataFrame, columns: list[np.ndarray]) -> np.ndarray:
+    """``paired_ratio`` of all terms, strip by strip in tasks; the bits (8 MB at the most) are broadcast."""
+    spark, n = sample.sparkSession, len(columns[0])
+    shared = spark.sparkContext.broadcast(columns)
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in batch.column(0).to_pylist():
+                best = paired_ratio(shared.value, start, min(n, start + _STRIP))
+                yield pa.RecordBatch.from_arrays([pa.array(start + np.arange(len(best))), pa.array(best)], ["t", "best"])
+
+    strips = -(-n // _STRIP)
+    found = spark.range(0, n, _STRIP, max(1, min(strips, 64))).mapInArrow(run, "t bigint, best double").toArrow()
+    out = np.zeros(n)
+    out[found["t"].to_numpy()] = found["best"].to_numpy()
+    shared.unpersist()
+    return out
+
+
 def screen(sample: DataFrame, n_terms: int = MOST_TERMS, n_paired: int = MOST_PAIRED) -> np.ndarray:
     """The buckets whose share of documents differs between the classes beyond chance.
 
     Each task counts documents per bucket and class; at most 2 * BUCKETS sums meet. For the
-    pairs, each document of the sample sends which of the ``n_paired`` buckets it has.
+    pairs, each document of the sample sends which of the ``n_paired`` buckets it has; they
+    become one bit per term and document, and the tasks test the pairs.
     """
 
     def count(batches) -> Iterator[pa.RecordBatch]:
@@ -175,7 +198,7 @@ def screen(sample: DataFrame, n_terms: int = MOST_TERMS, n_paired: int = MOST_PA
     by_class = rows.groupBy("bucket").agg(
         *[F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)]
     )
-    seen = by_class.where(F.col("n0") + F.col("n1") >= LEAST_DOCS).toPandas()
+    seen = by_class.where(F.col("n0") + F.col("n1") >= LEAST_DOCS).toArrow()
     sizes = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     if len(sizes) < 2 or not len(seen):
         return np.zeros(0, dtype=np.int64)
@@ -193,7 +216,9 @@ def screen(sample: DataFrame, n_terms: int = MOST_TERMS, n_paired: int = MOST_PA
 
     rows = map_texts(sample.select("id", "text", "label"), reduce, "label int, present binary").toArrow()
     present = [np.frombuffer(x, np.int32) for x in rows["present"].to_pylist()]
-    best = paired_ratio(present, rows["label"].to_numpy(), len(paired))
+    columns = packed_columns(present, rows["label"].to_numpy(), len(paired))
+    del rows, present
+    best = _paired_in_tasks(sample, columns)
     chance = CHANCE_PAIRS / max(1, len(paired) ** 2)
     joint = (best >= NormalDist().inv_cdf(chance / 2) ** 2) & ~passed[often]
     ratio[often[joint]] = best[joint]
@@ -272,8 +297,8 @@ def train_toxicity(
 
     kind = sample.schema["id"].dataType.simpleString()
     rows = map_texts(sample.select("id", "text", "label"), reduce, f"id {kind}, label int, present array<int>")
-    fitted = rows.orderBy("id").collect()  # at most 2 * per_class short lists
-    y = np.array([r["label"] for r in fitted], dtype=float)
+    fitted = rows.orderBy("id").toArrow()  # at most 2 * per_class short lists
+    y = fitted["label"].to_numpy().astype(float)
     if len(set(y)) < 2:
         share = float(y.mean()) if len(y) else 0.0
         share = min(max(share, 1e-6), 1 - 1e-6)
@@ -281,7 +306,10 @@ def train_toxicity(
     # Each class counts as much as it has labelled rows, however many were taken.
     class_weight = {c: sizes.get(c, 0) / max(1, int((y == c).sum())) for c in (0, 1)}
     weights = np.array([class_weight[int(c)] for c in y])
-    present = [list(r["present"]) for r in fitted]
+    lists = fitted["present"].combine_chunks()
+    cuts = lists.offsets.to_numpy()
+    flat = lists.values.to_numpy()
+    present = [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
     bias, linear, factors = fit_machine(present, y, weights, len(terms))
     return Machine(terms, bias, linear, factors)
 

@@ -230,3 +230,40 @@ def test_quality_on_the_given_tables(spark, sf_dir):
     good = [r["kept"] for r in rows if r["good"]]
     bad = [r["kept"] for r in rows if not r["good"]]
     assert sum(good) / len(good) > 0.98 and sum(bad) / len(bad) < 0.2
+
+
+def test_an_id_on_many_rows_is_one_of_the_sample(documents, spark, workspace):
+    rows = [(7, f"text {i}", "s") for i in range(3000)] + [(i, f"other {i}", "s") for i in range(100, 140)]
+    marks = spark.createDataFrame([(7, 1)] * 500 + [(i, i % 2) for i in range(100, 140)], "doc_id bigint, toxic int")
+    sample, sizes = labelled_sample(documents(rows), marks, "toxic", per_class=30, workspace=workspace)
+    found = [r["id"] for r in sample.collect()]
+    assert len(found) == len(set(found)) == 41 and sizes == {0: 20, 1: 21}
+
+
+def test_company_does_not_change_a_quality():
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice(["alpha", "beta", "γ", "x#1", "delta,"]) for _ in range(rnd.randint(0, 90))).encode() for _ in range(200)]
+    rng = np.random.default_rng(3)
+    model = quality.QualityModel(rng.normal(size=quality.BUCKETS), 0.1, 1.3, 0.2)
+    alone = [quality.judge([t], quality._Words(model.weights), model)["quality"][0] for t in texts]
+    together = quality.judge(texts, quality._Words(model.weights), model)["quality"]
+    assert list(together) == alone
+
+
+def test_pairs_in_packed_bits_equal_a_recount():
+    rng = np.random.default_rng(6)
+    n, labels = 30, rng.integers(0, 2, 150)
+    present = [np.flatnonzero(rng.random(n) < 0.2) for _ in labels]
+    columns = toxicity.packed_columns(present, labels, n)
+    best = toxicity.paired_ratio(columns, 0, n)
+    table = np.zeros((len(labels), n))
+    for row, terms in zip(table, present):
+        row[terms] = 1
+    for t in range(n):
+        ratios = [0.0]
+        for o in range(n):
+            both = table[:, t] * table[:, o]
+            if o != t:
+                counts = [both[labels == 1].sum(), both[labels == 0].sum(), table[labels == 1, o].sum(), table[labels == 0, o].sum()]
+                ratios.append(float(toxicity.likelihood_ratio(*[np.array([x]) for x in counts])[0]))
+        assert best[t] == pytest.approx(max(ratios))

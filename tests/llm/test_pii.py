@@ -7,6 +7,7 @@ import pytest
 
 from starflow.llm import pii
 from starflow.llm.queries import span_digests
+from starflow.llm.spans import outside
 from pyspark.sql import functions as F
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
@@ -127,7 +128,7 @@ def test_parts_outside_base_spans():
         ends = sorted(rnd.sample(range(30), 4))
         spans = [(a, b) for a, b in zip(ends[::2], ends[1::2])]
         covered = {i for a, b in base for i in range(a, b)}
-        got = pii.outside(spans, base)
+        got = outside(spans, base)
         assert {i for a, b in got for i in range(a, b)} == {i for a, b in spans for i in range(a, b)} - covered
         assert all(x[1] <= y[0] for x, y in zip(got, got[1:]))
 

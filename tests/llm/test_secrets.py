@@ -155,3 +155,18 @@ def test_digests(spark):
     assert one["spans"] == "assign:3:9,hex:5:40,model:50:60"
     assert one["base_sha256"] == hashlib.sha256(b"assign:3:9,hex:5:40").hexdigest()
     assert two["spans"] == "" and two["base_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+def test_copies_count_once_in_training(documents, workspace):
+    """5000 copies of one finding and a few others: the field is there, and its sample is small."""
+    rows = [(1, "the password = abcdef123456 is here", "s")] * 5000 + [(i, f"plain text {i}", "s") for i in range(2, 30)]
+    for sample in (1, 300):
+        assert secrets.train_secrets(documents(rows), sample=sample, workspace=workspace) is not None
+
+
+def test_evidence_of_a_window_is_that_of_the_text():
+    table = secrets.Tokens()
+    tokens, _, _ = secrets.read_tokens("a token = 'x1y2z3' and 12 more: words, (here) AKIA99 end.", table)
+    full = secrets.evidence(tokens, table)
+    for low, high in ((0, 3), (4, 9), (len(tokens) - 2, len(tokens) + 20)):
+        assert (secrets.evidence(tokens, table, low, high) == full[low:high]).all()

@@ -9,7 +9,7 @@ from starflow.llm import packing
 from starflow.llm.tokens import encoder, tokenizer_path
 
 ODD = [
-    "a  b", "a\n\nb", " a", "a ", "\n", "a \n b", "a\tb", "<|endoftext|> x", "x <|endoftext|>", "don't 's 'ª", "",
+    "a  b", "a\n\nb", " a", "a ", "\n", "a \n b", "a\tb", "<|endoftext|> x", "x <|endoftext|>", "hello <|endoftext|> world", "a<|endoftext|>b", "don't 's 'ª", "",
     "héé... ñ!? ǅa ªº٣x中文.", "3.14 a,b,c (x) [y]!", "end.\nStart now, then.", "\x85a\xa0b", "emoji 😀 ok", "a\r\nb", ".,;:!?",
     "word." * 30, "x" * 5000, "ß q", "I'll they've it's", "a\x1cb c", "﻿bom", "mixed3d to5ken,",
 ]
@@ -18,7 +18,6 @@ ODD = [
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
