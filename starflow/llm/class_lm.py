@@ -2,7 +2,9 @@
 
 Each word belongs to a class, and p(word | word before) = p(class | class before) * p(word | class).
 Classes come from exchange clustering: words move, one half at a time, to the class that raises
-the likelihood of the training bigrams most, until a pass over both halves gains less than LEAST_GAIN per token.
+the likelihood of the training bigrams most, until a pass over both halves gains less than LEAST_GAIN per
+token. The HEAD most frequent words do so first, among themselves; then all take part, and the rare ones
+find classes that already mean something.
 
 The units that are exchanged are all words with LEAST_PLACED tokens or more, each for itself, and
 the rare rest, which has too few bigrams to be placed, tied by its ending (ENDINGS hashed groups),
@@ -42,15 +44,16 @@ EXCHANGED = 200_000
 LEAST_PLACED = 20  # tokens of a word that is placed for itself
 ENDINGS = 512
 CLASSES = 64
+HEAD = 2_000  # most frequent units, which find their classes first
 KNOWN = 200_000
-LEAST_GAIN = 1e-3  # of log likelihood per training token in a pass; less ends the exchange
+LEAST_GAIN = 2e-3  # of log likelihood per training token in a pass; less ends the exchange
 BASE_ADD = 0.5  # fixed value: smoothing of the base score
 ADD = 0.1  # of emissions
 BACK_OFF = 20.0  # weight of the class shares in a transition
 _END = b""  # the end token; no word is empty
 _FLUSH = 200_000
-_FLUSH_PAIRS = 3_000_000
-_PACKED = 2_000_000  # pairs packed together, and then the rest of a unit
+_FLUSH_PAIRS = 2_000_000
+_PACKED = 500_000  # pairs packed together, and then the rest of a unit
 _ROWS = 16_000  # rows of class counts whose gains are computed at once
 _SLOT_CACHE = 400_000
 
@@ -248,13 +251,41 @@ def best_moves(left: np.ndarray, right: np.ndarray, loops: np.ndarray, own: np.n
 
 
 _PACK = "units binary, loops binary, at0 binary, v0 binary, n0 binary, at1 binary, v1 binary, n1 binary"
+_KINDS = [np.int32, np.float64, np.int32, np.int32, np.int32, np.int32, np.int32, np.int32]
+_MOST_COUNT = (1 << 31) - 1
+
+
+def _packed_row(units: np.ndarray, loops: np.ndarray, sides: list) -> pa.RecordBatch:
+    """One row of ``_PACK``; a side is (place among the units, the other unit, count), in order of places.
+
+    Places become the ends of each unit's entries. A count too large for its four bytes takes several entries.
+    """
+    row = [units.astype(np.int32), loops.astype(np.float64)]
+    for at, v, n in sides:
+        more = -(-n // _MOST_COUNT)
+        if len(n) and more.max() > 1:
+            at, v, whole = np.repeat(at, more), np.repeat(v, more), np.repeat(n, more)
+            step = np.arange(len(at)) - np.repeat(np.cumsum(more) - more, more)
+            n = np.minimum(whole - step * _MOST_COUNT, _MOST_COUNT)
+        row += [np.searchsorted(at, np.arange(len(units)), side="right").astype(np.int32), v.astype(np.int32), n.astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in row], _PACK.replace(" binary", "").split(", "))
+
+
+def _places(ends: np.ndarray) -> np.ndarray:
+    return np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+
+
+def _unpacked(batches, kinds: list) -> Iterator[list[np.ndarray]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield [np.frombuffer(batch.column(k)[i].as_buffer(), kind) for k, kind in enumerate(kinds)]
 
 
 def pack_pairs(pairs: DataFrame) -> DataFrame:
     """Arrays of the pairs (a, b, n), dealt by unit, whole units together.
 
     A row holds ``units`` and their ``loops``; side 0 has what stands before them and side 1 what stands
-    behind: place among the units, the other unit, count.
+    behind: where each unit's entries end, the other unit, count.
     """
     a, b, n = F.col("a"), F.col("b"), F.col("n")
 
@@ -269,6 +300,7 @@ def pack_pairs(pairs: DataFrame) -> DataFrame:
         if not held:
             return
         u, side, v, n = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in range(4))
+        del held
         order = np.argsort(u, kind="stable")
         starts = np.flatnonzero(np.append(True, np.diff(u[order]) != 0))
         # Cut before the unit that a place lies in.
@@ -276,27 +308,57 @@ def pack_pairs(pairs: DataFrame) -> DataFrame:
         for low, high in zip(cuts, [*cuts[1:], len(u)]):
             some = order[low:high]
             units, at = np.unique(u[some], return_inverse=True)
-            loop = side[some] == 2
-            row = [units.astype(np.int32), np.bincount(at[loop], n[some][loop], minlength=len(units))]
-            for which in (0, 1):
-                here = side[some] == which
-                row += [at[here].astype(np.int32), v[some][here].astype(np.int32), n[some][here].astype(np.float64)]
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in row], _PACK.replace(" binary", "").split(", "))
+            here = [side[some] == which for which in range(3)]
+            loops = np.bincount(at[here[2]], n[some][here[2]], minlength=len(units))
+            yield _packed_row(units, loops, [(at[h], v[some][h], n[some][h]) for h in here[:2]])
 
     return dealt.mapInArrow(run, _PACK)
 
 
-def _unpacked(batches, kinds: list) -> Iterator[list[np.ndarray]]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield [np.frombuffer(batch.column(k)[i].as_buffer(), kind) for k, kind in enumerate(kinds)]
+def head_pairs(packed: DataFrame, most: int) -> DataFrame:
+    """The packed pairs of the units 0..most among themselves."""
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for units, loops, *sides in _unpacked(batches, _KINDS):
+            kept = np.flatnonzero(units <= most)
+            if not len(kept):
+                continue
+            place = np.full(len(units), -1)
+            place[kept] = np.arange(len(kept))
+            out = []
+            for ends, v, n in (sides[:3], sides[3:]):
+                at = place[_places(ends)]
+                some = (at >= 0) & (v <= most)
+                out.append((at[some], v[some], n[some].astype(np.int64)))
+            yield _packed_row(units[kept], loops[kept], out)
+
+    return packed.mapInArrow(run, _PACK)
 
 
 def exchange(
-    pairs: DataFrame, totals: np.ndarray, workspace: Workspace, classes: int = CLASSES, rounds: int | None = None
+    pairs: DataFrame, totals: np.ndarray, workspace: Workspace, classes: int = CLASSES, rounds: int | None = None, head: int = HEAD
 ) -> tuple[np.ndarray, np.ndarray]:
     """The class of each unit, and the counts of class bigrams. Class 0 is the end token's alone.
 
+    ``pairs`` are those of ``unit_pairs``, whose units come by frequency.
+    """
+    n = len(totals)
+    order = np.argsort(-totals, kind="stable")
+    order = order[order != 0]
+    own = np.zeros(n, dtype=np.uint8 if classes <= 256 else np.int32)
+    own[order] = 1 + np.arange(n - 1) % (classes - 1)
+    packed = workspace.store(pack_pairs(pairs), "packed")
+    if n > 2 * head:
+        first = workspace.store(head_pairs(packed, head), "head")
+        own, _ = exchange_packed(first, own, classes, rounds)
+    return exchange_packed(packed, own, classes, rounds)
+
+
+def exchange_packed(
+    packed: DataFrame, own: np.ndarray, classes: int, rounds: int | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Classes after the exchange from ``own`` on, and the counts of class bigrams.
+
     Rounds go on until both halves in turn gain less than LEAST_GAIN per token, or to ``rounds``, if given.
 
     Every round is a job over the packed pairs: each task sums the neighbours of its
@@ -305,19 +367,14 @@ def exchange(
     made, in the end one alone. Per unit that moves one small row and per trial one class table reach the
     driver; both sizes are parameters.
     """
-    n = len(totals)
-    order = np.argsort(-totals, kind="stable")
-    order = order[order != 0]
-    own = np.zeros(n, dtype=np.uint8 if classes <= 256 else np.int32)
-    own[order] = 1 + np.arange(n - 1) % (classes - 1)
-    packed = workspace.store(pack_pairs(pairs), "packed")
 
     def joint_of(of: np.ndarray) -> np.ndarray:
         def run(batches) -> Iterator[pa.RecordBatch]:
             table = np.zeros(classes * classes)
-            for units, loops, at, v, count in _unpacked(batches, [np.int32, np.float64, np.int32, np.int32, np.float64]):
+            for units, loops, ends, v, count in _unpacked(batches, _KINDS[:5]):
                 mine = of[units].astype(np.int64)
-                table += np.bincount(of[v] * np.int64(classes) + mine[at], count, minlength=classes * classes)
+                code = of[v] * np.int64(classes) + np.repeat(mine, np.diff(ends, prepend=0))
+                table += np.bincount(code, count, minlength=classes * classes)
                 table += np.bincount(mine * (classes + 1), loops, minlength=classes * classes)
             code = np.flatnonzero(table)
             arrays = [pa.array(code.astype(np.int32)), pa.array(table[code].astype(np.int64))]
@@ -339,12 +396,11 @@ def exchange(
     gained, turn = [np.inf, np.inf], 0
     while sum(gained) > enough and (rounds is None or turn < rounds):
         def moves(batches, of=own, joint=joint, turn=turn) -> Iterator[pa.RecordBatch]:
-            kinds = [np.int32, np.float64, *[np.int32, np.int32, np.float64] * 2]
-            for units, loops, *sides in _unpacked(batches, kinds):
+            for units, loops, *sides in _unpacked(batches, _KINDS):
                 mine = np.flatnonzero((units != 0) & ((units.astype(np.int64) * 2654435761 >> 7) % 2 == turn % 2))
                 tables = []
-                for at, v, count in (sides[:3], sides[3:]):
-                    place = at * np.int64(classes) + of[v]
+                for ends, v, count in (sides[:3], sides[3:]):
+                    place = _places(ends) * classes + of[v]
                     tables.append(np.bincount(place, count, minlength=len(units) * classes).reshape(-1, classes)[mine])
                 step = max(1, _ROWS // classes)
                 for low in range(0, len(mine), step):

@@ -197,14 +197,24 @@ def test_tables_and_class_counts_equal_a_recount(documents, workspace, monkeypat
     for r in pairs.collect():
         totals[r["b"]] += r["n"]
     values = []
-    for rounds in (0, 2, None):
-        own, joint = class_lm.exchange(pairs, totals, workspace, 4, rounds)
+    for rounds, head in ((0, 2000), (2, 2000), (None, 2000), (None, 3)):
+        own, joint = class_lm.exchange(pairs, totals, workspace, 4, rounds, head)
         expected = np.zeros((4, 4))
         for r in pairs.collect():
             expected[own[r["a"]], own[r["b"]]] += r["n"]
         assert (joint == expected).all() and own[0] == 0 and (own[1:] > 0).all()
         values.append(value_of(joint))
-    assert values[0] < values[1] <= values[2]
+    assert values[0] < values[1] <= values[2] and values[3] > values[0]
+
+
+def test_packed_rows_hold_large_counts(monkeypatch):
+    monkeypatch.setattr(class_lm, "_MOST_COUNT", 10)
+    side = (np.array([0, 0, 2]), np.array([5, 6, 7]), np.array([9, 35, 20]))
+    row = class_lm._packed_row(np.array([1, 2, 3]), np.zeros(3), [side, tuple(x[:0] for x in side)])
+    ((units, loops, ends, v, n, ends1, v1, n1),) = class_lm._unpacked([row], class_lm._KINDS)
+    at = class_lm._places(ends)
+    assert np.bincount(at * 10 + v, n, minlength=30).tolist() == [0] * 5 + [9, 35] + [0] * 20 + [20] + [0] * 2
+    assert len(v1) == len(n1) == 0 and ends1.tolist() == [0, 0, 0]
 
 
 def test_a_word_that_only_held_out_texts_have_is_not_looked_up(documents, workspace):
