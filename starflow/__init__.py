@@ -6,6 +6,7 @@ from starflow.operators.cleaning import (
     clean_numbers,
     cleaning_metrics,
     drop_duplicate_rows,
+    drop_duplicate_rows_late,
     impute,
     invalid_number_counts,
     trim_columns,
@@ -29,6 +30,7 @@ from starflow.operators.features import (
     feature_catalog,
 )
 from starflow.operators.history import HistorySpec, attach_as_of, build_history
+from starflow.operators.profiles import merge_states, null_trend, profile_state, read_profile
 from starflow.operators.quality import (
     QualityError,
     duplicate_row_count,
@@ -49,6 +51,7 @@ from starflow.plans.sales import (
     sales_spec,
 )
 from starflow.plans.star import StarSpec, attach_dimensions, build_star, join_star, table_counts
+from starflow.sources.cells import bad_cell_counts, scan_cells
 from starflow.sources.commits import ConcurrentCommitError, TableSet
 from starflow.sources.contract import (
     SchemaContract,

@@ -454,3 +454,48 @@ ORACLES |= {
  ON d.store_id = v.store_id AND d."YearMonthKey" >= v.valid_from""",
     "published_fact": ON_STAR + "SELECT * FROM fact",
 }
+
+BAD = {
+    **{c: ("l_orderkey % 97 = 0", "missing cell", "NULL::VARCHAR") for c in BEHIND_LOT},
+    "pack_size": ("l_orderkey % 97 = 1", "not int", "'x'"),
+}
+BAD_CELLS = " UNION ALL ".join(
+    f"SELECT batch_number, lot_number, '{c}' AS \"column\", {text} AS text, '{reason}' AS reason "
+    f"FROM keyed WHERE {where}"
+    for c, (where, reason, text) in BAD.items()
+)
+NUMBERS = tuple(role for role, kind in SALES_COLUMNS if kind != "string")
+
+
+def _extremes(column: str) -> str:
+    """Exact counts and extremes of one column of the flat rows."""
+    number = f"CAST({column} AS DOUBLE)" if column in NUMBERS else "NULL::DOUBLE"
+    length = f"length(CAST({column} AS VARCHAR))"
+    return (
+        f"SELECT '{column}' AS \"column\", count(*) AS rows, CAST(min({length}) AS INT) AS min_length, "
+        f"CAST(max({length}) AS INT) AS max_length, min({number}) AS min_number, "
+        f"max({number}) AS max_number FROM flat"
+    )
+
+
+def _per_year(column: str) -> str:
+    return (
+        f"SELECT year AS batch, '{column}' AS \"column\", count(*) AS rows, "
+        f"count(*) FILTER (WHERE {column} IS NULL) AS null_count FROM flat GROUP BY year"
+    )
+
+
+ORACLES |= {
+    "dedup_rows_late": ON_FLAT + "SELECT * FROM uniq",
+    "bad_cell_rows": ON_FLAT + BAD_CELLS,
+    "bad_cells": ON_FLAT
+    + f'SELECT "column", reason, count(*) AS cells FROM ({BAD_CELLS}) GROUP BY 1, 2',
+    "profile_merged": ON_FLAT
+    + f"SELECT * FROM ({BREACHING}) JOIN ({' UNION ALL '.join(map(_extremes, ROLES))}) USING (\"column\")",
+    "profile_trend": ON_FLAT
+    + f""", years AS ({' UNION ALL '.join(map(_per_year, ROLES))}),
+ shares AS (SELECT *, CAST(round(null_count * 100.0::DOUBLE / rows, 2) AS DOUBLE) AS null_pct FROM years),
+ trend AS (SELECT *, lag(null_pct) OVER (PARTITION BY "column" ORDER BY batch) AS null_pct_before FROM shares)
+ SELECT *, null_pct > {PROFILE_LIMIT_PCT}
+  OR coalesce(round(null_pct - null_pct_before, 2) > 0.02, false) AS alarm FROM trend""",
+}

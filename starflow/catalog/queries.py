@@ -5,12 +5,13 @@ Every query takes (spark, sf_dir) and reads whole tables.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starflow.operators import cleaning, dimensions, facts, features, quality, rank
+from starflow.operators import cleaning, dimensions, facts, features, profiles, quality, rank
 from starflow.operators.history import HistorySpec, attach_as_of, build_history
 from starflow.operators.quality import COPIES
 from starflow.operators.registry import new_keys
@@ -24,6 +25,7 @@ from starflow.plans.sales import (
 )
 from starflow.plans.star import attach_dimensions, build_star, join_star, table_counts
 from starflow.sources import contract as con
+from starflow.sources import cells as cell
 from starflow.sources import files
 from starflow.sources.flat_sales import ORDER_KEY, flat_sales
 from starflow.sources.tables import read_table, write_tables
@@ -123,6 +125,21 @@ def quarantine_malformed(spark, sf_dir):
     return bad.groupBy("batch_number", "lot_number").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query
+def bad_cells(spark, sf_dir):
+    """Bad cells of the dirty lines, by column and reason."""
+    scanned = cell.scan_cells(spark, _dirty_lines(spark, sf_dir), CONTRACT, header=False)
+    return cell.bad_cell_counts(scanned)
+
+
+@query
+def bad_cell_rows(spark, sf_dir):
+    """Every bad cell with its text and the line it stands in."""
+    scanned = cell.scan_cells(spark, _dirty_lines(spark, sf_dir), CONTRACT, header=False)
+    rows = scanned.select("batch_number", "lot_number", F.explode(cell.BAD_CELLS).alias("e"))
+    return rows.select("batch_number", "lot_number", "e.column", "e.text", "e.reason")
+
+
 # --- profile ----------------------------------------------------------------------
 
 
@@ -158,6 +175,27 @@ def events_profile(spark, sf_dir):
     return quality.null_profile(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
+def _yearly_states(spark, sf_dir):
+    """One state per year of the extract, as a load per year would leave them."""
+    flat = Workspace(spark).store(flat_sales(spark, sf_dir), "rows")
+    years = [r[0] for r in flat.select("year").distinct().orderBy("year").collect()]
+    states = [profiles.profile_state(flat.where(F.col("year") == y), y) for y in years]
+    return Workspace(spark).store(functools.reduce(DataFrame.unionByName, states), "states")
+
+
+@query
+def profile_merged(spark, sf_dir):
+    """The exact part of the profile of all years, merged from their states."""
+    report = profiles.read_profile(profiles.merge_states(_yearly_states(spark, sf_dir)), PROFILE_LIMIT_PCT)
+    return report.drop("distinct_values", "quantiles")
+
+
+@query
+def profile_trend(spark, sf_dir):
+    """The share of NULLs per year beside that of the year before."""
+    return profiles.null_trend(_yearly_states(spark, sf_dir), PROFILE_LIMIT_PCT, max_rise=0.02)
+
+
 # --- cleaning ---------------------------------------------------------------------
 
 
@@ -166,6 +204,12 @@ def dedup_rows(spark, sf_dir):
     return cleaning.drop_duplicate_rows(flat_sales(spark, sf_dir))
 
 
+@query
+def dedup_rows_late(spark, sf_dir):
+    """The same, with hashes shuffled in place of rows."""
+    return cleaning.drop_duplicate_rows_late(flat_sales(spark, sf_dir))
+
+
 @query
 def clean_numeric_value(spark, sf_dir):
     rows = cleaning.clean_numbers(flat_sales(spark, sf_dir), {"value_sales": "double"})

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from starflow.functions.columns import ref, require_columns
 from starflow.functions.numeric_text import is_invalid_number, parse_number
+from starflow.operators.lookup import BROADCAST_BYTES, attach
 from starflow.operators.quality import COPIES, count_copies
+from starflow.sources.workspace import Workspace
 
 
 @dataclass(frozen=True)
@@ -31,6 +33,44 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def drop_duplicate_rows_late(
+    df: DataFrame, *, workspace: Workspace | None = None, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The same rows as ``drop_duplicate_rows``, for wide rows with few repeats.
+
+    The rows are stored once, with a row id and a 128-bit hash. Only hashes and ids are
+    shuffled; of each hash that occurs more than once the first row stays, and the others go where
+    they lie. A row goes only if it equals the one that stays, cell by cell; rows that merely
+    share its hash are deduplicated the ordinary way. NULLs are equal.
+    """
+    workspace = workspace or Workspace(df.sparkSession)
+    names = [f"c{i}" for i in range(len(df.columns))]  # no name of the input can clash
+    flags = [F.col(c).isNull() for c in names]
+    hashed = df.toDF(*names).select(
+        *names,
+        F.xxhash64(*names, *flags).alias("h1"),
+        F.xxhash64(F.lit("late"), *flags, *names[::-1]).alias("h2"),
+    )
+    rows = workspace.store(hashed, "hashed", row_id="row")
+    seen = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("times"), F.min("row").alias("first"))
+    repeated = workspace.store(seen.where("times > 1"), "repeated")
+    limits = {"broadcast_bytes": broadcast_bytes, "spread_by": ["row"]}
+    marked = attach(rows, repeated, ["h1", "h2"], ["first"], weight="times", **limits)
+    stays = F.col("first").isNull() | (F.col("first") == F.col("row"))
+
+    # What goes is compared with what stays; both are as few as the repeats.
+    firsts = marked.where(F.col("first") == F.col("row")).select(
+        "h1", "h2", F.struct(*names).alias("kept")
+    )
+    others = workspace.store(marked.where(~stays), "others")
+    firsts = workspace.store(firsts, "firsts")
+    size = firsts.agg(F.count(F.lit(1)) * 64 + F.coalesce(F.sum(F.octet_length(F.to_json("kept"))), F.lit(0))).first()[0]
+    compared = attach(others, firsts, ["h1", "h2"], ["kept"], size=size, **limits)
+    same = F.struct(*names).eqNullSafe(F.col("kept"))
+    strangers = compared.where(~same).select(*names).dropDuplicates()
+    return marked.where(stays).select(*names).unionByName(strangers).toDF(*df.columns)
+
+
 def clean_numbers(df: DataFrame, numbers: Mapping[str, str]) -> DataFrame:
     """Replace text columns by numbers; what is not a number becomes a typed NULL."""
     require_columns(df, list(numbers))

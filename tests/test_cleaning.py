@@ -1,6 +1,7 @@
 import pytest
 
 from starflow.functions.numeric_text import parse_number
+from starflow.operators import cleaning
 from starflow.operators.cleaning import (
     CleaningSpec,
     clean,
@@ -122,3 +123,36 @@ def test_clean_and_metrics_with_odd_column_names(spark, ansi):
 def test_metrics_of_an_empty_table(spark):
     df = spark.createDataFrame([], "`Value Sales` string, `W.ID` string, CAT string")
     assert set(cleaning_metrics(df, SPEC).first()) == {0}
+
+
+LATE = {
+    "empty": [],
+    "nulls": [(None, None)] * 3 + [(1, None), (None, "a"), (None, "")],
+    "hot": [(7, "hot")] * 500 + [(i % 40, "x" * (i % 3)) for i in range(400)],
+    "distinct": [(i, str(i)) for i in range(100)],
+}
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+@pytest.mark.parametrize("case", LATE)
+def test_late_dedup_keeps_the_same_rows(spark, workspace, case, broadcast_bytes):
+    df = spark.createDataFrame(LATE[case], "h1 bigint, `row` string").repartition(3)
+    found = cleaning.drop_duplicate_rows_late(df, workspace=workspace, broadcast_bytes=broadcast_bytes)
+    assert found.columns == df.columns
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(set(LATE[case]), key=str)
+
+
+def test_late_dedup_keeps_rows_that_only_share_a_hash(spark, workspace, monkeypatch):
+    monkeypatch.setattr(cleaning.F, "xxhash64", lambda *columns: F.lit(5).cast("bigint"))
+    rows = [(1, "a"), (2, "b"), (1, "a"), (2, "b"), (3, None), (3, None)]
+    df = spark.createDataFrame(rows, "id bigint, value string")
+    found = cleaning.drop_duplicate_rows_late(df, workspace=workspace).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(set(rows), key=str)
+
+
+def test_late_dedup_shuffles_no_wide_rows(spark, workspace):
+    """What is read for the rows that stay reaches the output without an exchange but the broadcast."""
+    df = spark.range(1000).selectExpr("id % 900 AS id", "repeat('x', 200) AS wide")
+    stays = cleaning.drop_duplicate_rows_late(df, workspace=workspace)
+    tree = stays._jdf.queryExecution().sparkPlan().toString().split("HashAggregate")[0]
+    assert "BroadcastHashJoin" in tree and "SortMergeJoin" not in tree and "ShuffledHashJoin" not in tree
