@@ -8,8 +8,10 @@ epochs first, then the part up to the cut. The whole path is built-in functions,
 step gathers a source in one task.
 
 Defined results: NULL text has no words. NULL is a source of its own, last in order. The row
-at the cut gives only its first words, so that the budget is met exactly; rows there that
-share id and size share those words evenly, rounded down. An empty table gives an empty
+at the cut gives only its first words, so that the budget is met exactly. Rows that share id and
+size are told apart by a row number fixed at the first write, so one row per source is cut; the mix
+of whole documents tells them apart by their text, and equal documents there share the words left for them
+evenly, rounded down. An empty table gives an empty
 result. Other columns are ignored, or carried on unchanged by ``mix_documents``.
 """
 
@@ -29,7 +31,7 @@ WEIGHTS = (5, 2, 1)  # by place of the source, repeating
 SHARE = 1.5  # words of the mix per word of the input
 MOST_EPOCHS = 2  # no source is taken more often
 SEED = "mix"
-_CUT = ("target", "source_size", "epochs", "cut_key", "cut_size", "cut_words")
+_CUT = ("target", "source_size", "epochs", "cut_key", "cut_size", "cut_tie", "cut_words")
 
 
 def mix_key(doc_id: Column, seed: str = SEED) -> Column:
@@ -79,20 +81,26 @@ def mix_plan(
     share: float = SHARE,
     most: int = MOST_EPOCHS,
     seed: str = SEED,
+    ties: str = "row",
     workspace: Workspace | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """The narrow rows (id, source, size, key, pos) and, per source, where it is cut."""
+    """The narrow rows (id, source, size, key, tie, pos) and, per source, where it is cut.
+
+    ``ties``: rows of one id and size are ordered by a stored row number (``"row"``), or by a hash of
+    their text (``"text"``), which can be found again in the documents.
+    """
     workspace = workspace or Workspace(docs.sparkSession)
     rows = pick(docs, id=doc_id, text=text, source=source).select(
-        "id", "source", word_count(F.col("text")).alias("size"), mix_key(F.col("id"), seed).alias("key")
+        "id", "source", word_count(F.col("text")).alias("size"), mix_key(F.col("id"), seed).alias("key"),
+        *([F.xxhash64("text").alias("tie")] if ties == "text" else []),
     )
-    rows = workspace.store(rows, "sizes")
+    rows = workspace.store(rows, "sizes", row_id="tie" if ties == "row" else None)
     sources = workspace.store(source_targets(rows, weights, share, most, workspace), "targets")
     rows = attach(
         rows, sources, ["source"], ["pos"], null_safe=True, broadcast_bytes=BROADCAST_BYTES
     )
     ordered = workspace.store(
-        rows.repartitionByRange("pos", "key", "size").withColumn("part", F.spark_partition_id()),
+        rows.repartitionByRange("pos", "key", "size", "tie").withColumn("part", F.spark_partition_id()),
         "ordered",
     )
 
@@ -112,11 +120,11 @@ def mix_plan(
     )
     ends = workspace.store(ends, "ends")
     # The one partition of each source in which its budget ends.
-    last = ordered.join(ends, ["pos", "part"]).groupBy("pos", "key", "size", "inner").agg(
+    last = ordered.join(ends, ["pos", "part"]).groupBy("pos", "key", "size", "tie", "inner").agg(
         F.count(F.lit(1)).alias("copies")
     )
     words = F.col("size") * F.col("copies")
-    running = Window.partitionBy("pos").orderBy("key", "size").rowsBetween(
+    running = Window.partitionBy("pos").orderBy("key", "size", "tie").rowsBetween(
         Window.unboundedPreceding, -1
     )
     cut = (
@@ -126,6 +134,7 @@ def mix_plan(
             "pos",
             F.col("key").alias("cut_key"),
             F.col("size").alias("cut_size"),
+            F.col("tie").alias("cut_tie"),
             F.floor((F.col("inner") - F.col("before")) / F.col("copies")).alias("cut_words"),
         )
     )
@@ -133,11 +142,11 @@ def mix_plan(
     return ordered, cuts
 
 
-def _partial_words(key: Column, size: Column, cut: dict[str, Column]) -> Column:
-    """Words taken in the last, partial epoch."""
-    before = (key < cut["cut_key"]) | ((key == cut["cut_key"]) & (size < cut["cut_size"]))
-    at = (key == cut["cut_key"]) & (size == cut["cut_size"])
-    return F.when(before, size).when(at, cut["cut_words"]).otherwise(0).cast("bigint")
+def _partial_words(key: Column, size: Column, tie: Column) -> Column:
+    """Words taken in the last, partial epoch, beside the columns of the cut."""
+    place, cut = F.struct(key, size, tie), F.struct("cut_key", "cut_size", "cut_tie")
+    words = F.when(place < cut, size).when(place == cut, F.col("cut_words")).otherwise(0)
+    return F.when(F.col("cut_key").isNotNull(), words).otherwise(0).cast("bigint")
 
 
 def mix_sources(
@@ -153,7 +162,7 @@ def mix_sources(
     """
     ordered, cuts = mix_plan(docs, doc_id, text, source, **options)
     rows = attach(ordered, cuts, ["pos"], _CUT, broadcast_bytes=BROADCAST_BYTES)
-    partial = _partial_words(F.col("key"), F.col("size"), {c: F.col(c) for c in _CUT})
+    partial = _partial_words(F.col("key"), F.col("size"), F.col("tie"))
     return rows.select(
         F.col("id").alias(doc_id),
         F.col("source").alias(source),
@@ -189,7 +198,9 @@ def mix_documents(
     with the cut of its source where it is read.
     """
     workspace = workspace or Workspace(docs.sparkSession)
-    _, cuts = mix_plan(docs, doc_id, text, source, seed=seed, workspace=workspace, **options)
+    _, cuts = mix_plan(
+        docs, doc_id, text, source, seed=seed, ties="text", workspace=workspace, **options
+    )
     # Columns by place, so that no name of theirs can clash with one of ours.
     places = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     content, origin = F.col(places[text]), places[source]
@@ -200,7 +211,7 @@ def mix_documents(
     rows = attach(
         rows, lookup, [origin], _CUT, null_safe=True, broadcast_bytes=BROADCAST_BYTES
     )
-    partial = _partial_words(F.col("key"), F.col("size"), {c: F.col(c) for c in _CUT})
+    partial = _partial_words(F.col("key"), F.col("size"), F.xxhash64(content))
     rows = rows.withColumn("partial", partial)
     # 0 stands for the partial copy, 1.. for the whole ones.
     none = F.array().cast("array<int>")

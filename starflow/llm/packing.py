@@ -3,8 +3,8 @@
 Only lengths matter to a packing, and there are at most ``size`` of them. So the plan is
 made on a table of counts per length, whose size does not depend on the data, by bin
 completion: take the largest length left, enumerate the fillings around it, prune those
-that cannot beat the best one by their waste, and use the filling as often as the counts
-allow. Best-fit fillings are the incumbents. A plan whose waste can no longer beat the best
+that cannot beat the best one by their waste, replace dominated ones by those that dominate them,
+and use the filling as often as the counts allow. Best-fit fillings are the incumbents. A plan whose waste can no longer beat the best
 plan is given up, and the search goes back to the next filling of its last bins.
 
 The pieces are then numbered within their length, in parallel, and look up the place that
@@ -18,8 +18,9 @@ columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -98,21 +99,23 @@ class Line:
 def fillings(counts: list[int], room: int, steps: int = FILLING_STEPS, keep: int = FILLINGS):
     """The best fillings of ``room``, least waste first, as [(length, uses), ...].
 
-    Lengths are tried from the largest down, so of fillings with equal waste the one that is
-    not dominated (fewer, larger parts) comes first. The best-fit filling is the incumbent. A
-    branch is pruned if even the lengths left for it cannot undercut the waste known.
+    Lengths are tried from the largest down, each with every number of uses that fits. A
+    branch is pruned if even the lengths left for it cannot undercut the waste known. A filling that
+    is dominated gives way to the one that dominates it. The best-fit filling is the incumbent.
     """
     best: list[tuple[int, list[tuple[int, int]]]] = []
     sizes = [n for n in range(min(room, len(counts) - 1), 0, -1) if counts[n]]
+    rising = sizes[::-1]
     reach = [0] * (len(sizes) + 1)  # all that the lengths from here on hold
     for i in range(len(sizes) - 1, -1, -1):
         reach[i] = reach[i + 1] + sizes[i] * counts[sizes[i]]
     budget = [steps]
 
     def offer(waste: int, fill: list[tuple[int, int]]) -> None:
+        waste, fill = undominated(counts, rising, waste, fill)
         if (waste, fill) in best:
             return
-        best.append((waste, list(fill)))
+        best.append((waste, fill))
         best.sort(key=lambda x: (x[0], sum(u for _, u in x[1])))
         del best[keep:]
 
@@ -131,8 +134,6 @@ def fillings(counts: list[int], room: int, steps: int = FILLING_STEPS, keep: int
                     search(i + 1, left - uses * length, [*fill, (length, uses)])
                     if budget[0] <= 0 or (best and best[0][0] == 0):
                         return
-                    if uses > 3:  # only the fullest uses and the single ones branch
-                        break
             i += 1
         if not offered and not (len(best) == keep and left >= best[-1][0]):
             offer(left, fill)
@@ -142,6 +143,54 @@ def fillings(counts: list[int], room: int, steps: int = FILLING_STEPS, keep: int
     return best
 
 
+def undominated(
+    counts: list[int], rising: list[int], waste: int, fill: list[tuple[int, int]]
+) -> tuple[int, list[tuple[int, int]]]:
+    """The filling, or one that dominates it: parts given up for a longer part that is still free.
+
+    One part, or two together, may be replaced by one that is at least as long and fits, and a
+    part may be added: the filling gets fuller, or has fewer parts, so this ends.
+    """
+    uses = dict(fill)
+    changed = True
+    while changed:
+        changed = False
+        parts = sorted(uses)
+        alone = [(0, ()), *((n, (n,)) for n in parts)]
+        twice = [
+            (a + b, (a, b)) for i, a in enumerate(parts) for b in parts[i:] if a != b or uses[a] > 1
+        ]
+        for given, taken in alone + twice:
+            least = given + (len(taken) < 2)
+            at = bisect.bisect_left(rising, least)
+            while at < len(rising) and rising[at] <= given + waste:
+                longer = rising[at]
+                if counts[longer] > uses.get(longer, 0):
+                    for n in taken:
+                        uses[n] -= 1
+                        if not uses[n]:
+                            del uses[n]
+                    uses[longer] = uses.get(longer, 0) + 1
+                    waste -= longer - given
+                    changed = True
+                    break
+                at += 1
+            if changed:
+                break
+    return waste, sorted(uses.items(), reverse=True)
+
+
+def fullest(lengths: Iterable[int], size: int) -> int:
+    """The most that any sequence can hold: the largest sum of lengths that is not above ``size``."""
+    sums, all_ = 1, (1 << (size + 1)) - 1
+    for n in lengths:
+        step = n
+        while step <= size:
+            sums |= (sums << step) & all_
+            step *= 2
+    return sums.bit_length() - 1
+
+
 def best_fit(counts: list[int], room: int) -> tuple[int, list[tuple[int, int]]]:
     """(waste, filling) of always taking the largest length that still fits."""
     fill = []
@@ -154,7 +203,14 @@ def best_fit(counts: list[int], room: int) -> tuple[int, list[tuple[int, int]]]:
 
 
 def plan_packing(counts: dict[int, int], size: int = SEQUENCE, steps: int = PLAN_STEPS) -> list[Line]:
-    """Lines that use up all counts, in as few sequences as the search finds."""
+    """Lines that use up all counts, in as few sequences as the search finds.
+
+    Room that no sum of the lengths can reach is no waste: it is left out from the start.
+    """
+    counts = {length: n for length, n in counts.items() if n}
+    if not counts:
+        return []
+    size = fullest(counts, size)
     left = [0] * (size + 1)
     for length, n in counts.items():
         left[length] = n
@@ -256,8 +312,10 @@ def pack_documents(
     spark = docs.sparkSession
     workspace = workspace or Workspace(spark)
     found = pieces(docs, doc_id, text, size=size, **options)
-    order = [F.col("length"), F.col("id"), F.col("piece"), F.col("ids_crc32")]
-    numbered = number_by_order(workspace.store(found, "pieces"), order, "_n", workspace)
+    # The row number tells repeated rows apart, so that they are split over tasks too.
+    order = [F.col(c) for c in ("length", "id", "piece", "ids_crc32", "_row")]
+    stored = workspace.store(found, "pieces", row_id="_row")
+    numbered = number_by_order(stored, order, "_n", workspace)
     # At most one row per length.
     counts = {r[0]: r[1] for r in numbered.groupBy("length").count().collect()}
     before, firsts = 0, []

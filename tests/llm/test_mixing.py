@@ -41,8 +41,7 @@ def check(rows, found):
         assert 0 <= r["taken"] <= 2 * r["size"]
         taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
     for s, n in taken.items():
-        copies = max(1, len(rows) - len({i for i, _, _ in rows}))
-        assert goal[s] - copies - 1 < n <= goal[s]
+        assert goal[s] - 1 - 1e-6 < n <= goal[s] + 1e-6
 
 
 def corpus(n=600):
@@ -63,6 +62,20 @@ def test_mix_meets_its_targets(documents, workspace):
     )
 
 
+def test_rows_without_an_id_meet_the_target(documents, workspace):
+    rows = [(None, "a b c d", "x")] * 999 + [(i, "e f", "y") for i in range(100)]
+    found = mixing.mix_sources(documents(rows).repartition(5), workspace=workspace).collect()
+    check(rows, found)
+    partial = {r["taken"] for r in found if r["source"] == "x"} - {0, 4, 8}
+    assert len(partial) <= 1
+
+
+def test_texts_of_one_id_and_size_are_cut_one_by_one(documents, workspace):
+    rows = [(None, f"a b c d{i}", "x") for i in range(500)]
+    mixed = mixing.mix_documents(documents(rows).repartition(3), workspace=workspace).collect()
+    assert sum(size_of(r["text"]) for r in mixed) == 3000
+
+
 @pytest.mark.parametrize("partitions", ["1", "13"])
 def test_partitions_do_not_show(spark, documents, workspace, partitions):
     rows = corpus()

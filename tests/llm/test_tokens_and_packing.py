@@ -79,6 +79,38 @@ def test_few_documents_are_packed_as_well_as_possible(seed):
     assert check_plan(counts, 100, packing.plan_packing(dict(counts), 100)) == fewest(items, 100)
 
 
+@pytest.mark.parametrize("n", [10, 200, 1000])
+def test_few_lengths_with_large_counts(n):
+    counts = {600: n, 130: 8 * n, 100: 4 * n}
+    assert check_plan(counts, 2048, packing.plan_packing(counts)) == n
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_large_counts_come_close_to_the_bound(seed):
+    rnd = random.Random(seed)
+    counts = {rnd.randrange(40, 900): rnd.randrange(1, 3000) for _ in range(rnd.randrange(3, 12))}
+    used = check_plan(counts, 2048, packing.plan_packing(counts))
+    room = packing.fullest(counts, 2048)
+    assert -(-sum(k * c for k, c in counts.items()) // room) <= used
+    plain = check_plan(counts, 2048, packing.plan_packing(counts, steps=1))
+    assert used <= plain
+
+
+def test_a_dominated_filling_gives_way():
+    counts = [0] * 101
+    counts[60] = counts[50] = counts[30] = counts[20] = counts[5] = 1
+    # 30 + 20 is given up for 50, 50 for 60; then 30 fits again, and 5.
+    waste, fill = packing.undominated(counts, [5, 20, 30, 50, 60], 50, [(30, 1), (20, 1)])
+    assert waste == 100 - sum(n * u for n, u in fill)
+    assert packing.undominated(counts, [5, 20, 30, 50, 60], waste, fill) == (waste, fill)
+    assert waste <= 5 and all(u <= counts[n] for n, u in fill)
+
+
+@pytest.mark.parametrize("lengths, most", [([600, 130, 100], 2040), ([3, 2], 2048), ([1025], 1025), ([], 0)])
+def test_fullest(lengths, most):
+    assert packing.fullest(lengths, 2048) == most
+
+
 def test_many_documents_leave_next_to_no_waste():
     rnd = random.Random(1)
     counts = Counter(min(2048, max(1, int(rnd.lognormvariate(6, 1)))) for _ in range(20_000))
