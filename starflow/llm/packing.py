@@ -19,6 +19,7 @@ columns are ignored.
 from __future__ import annotations
 
 import bisect
+import itertools
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -36,6 +37,8 @@ SEQUENCE = 2048
 END_ID = 0
 FILLING_STEPS = 4000  # nodes visited per enumeration of fillings
 PLAN_STEPS = 20_000  # plan lines tried in all
+BACK_STEPS = 300_000  # nodes visited in all once there is a plan, to find a better one
+CALL_STEPS = 200  # what setting up one enumeration costs, in nodes
 FILLINGS = 3  # alternatives kept per bin, for going back
 
 
@@ -96,8 +99,10 @@ class Line:
     waste: int
 
 
-def fillings(counts: list[int], room: int, steps: int = FILLING_STEPS, keep: int = FILLINGS):
-    """The best fillings of ``room``, least waste first, as [(length, uses), ...].
+def fillings(
+    counts: list[int], room: int, steps: int = FILLING_STEPS, keep: int = FILLINGS
+) -> tuple[list[tuple[int, list[tuple[int, int]]]], int]:
+    """(fillings, nodes visited): the best fillings of ``room``, least waste first, as [(length, uses), ...].
 
     Lengths are tried from the largest down, each with every number of uses that fits. A
     branch is pruned if even the lengths left for it cannot undercut the waste known. A filling that
@@ -109,9 +114,15 @@ def fillings(counts: list[int], room: int, steps: int = FILLING_STEPS, keep: int
     reach = [0] * (len(sizes) + 1)  # all that the lengths from here on hold
     for i in range(len(sizes) - 1, -1, -1):
         reach[i] = reach[i + 1] + sizes[i] * counts[sizes[i]]
+    fits: list[int] = []  # place of the largest length that fits, by room
+    for i, n in enumerate(rising):
+        fits += [len(sizes) - i] * (n - len(fits))
+    fits += [0] * (room + 1 - len(fits))
     budget = [steps]
 
     def offer(waste: int, fill: list[tuple[int, int]]) -> None:
+        if len(best) == keep and waste >= best[-1][0]:
+            return
         waste, fill = undominated(counts, rising, waste, fill)
         if (waste, fill) in best:
             return
@@ -121,26 +132,26 @@ def fillings(counts: list[int], room: int, steps: int = FILLING_STEPS, keep: int
 
     def search(i: int, left: int, fill: list[tuple[int, int]]) -> None:
         offered = False
+        i = max(i, fits[left])
         while i < len(sizes) and budget[0] > 0:
             if best and best[0][0] == 0:
                 return
             if len(best) == keep and max(0, left - reach[i]) >= best[-1][0]:
                 return
             length = sizes[i]
-            if length <= left:
-                budget[0] -= 1
-                offered = True
-                for uses in range(min(counts[length], left // length), 0, -1):
-                    search(i + 1, left - uses * length, [*fill, (length, uses)])
-                    if budget[0] <= 0 or (best and best[0][0] == 0):
-                        return
+            budget[0] -= 1
+            offered = True
+            for uses in range(min(counts[length], left // length), 0, -1):
+                search(i + 1, left - uses * length, [*fill, (length, uses)])
+                if budget[0] <= 0 or (best and best[0][0] == 0):
+                    return
             i += 1
-        if not offered and not (len(best) == keep and left >= best[-1][0]):
+        if not offered:
             offer(left, fill)
 
     offer(*best_fit(counts, room))
     search(0, room, [])
-    return best
+    return best, steps - budget[0]
 
 
 def undominated(
@@ -156,11 +167,9 @@ def undominated(
     while changed:
         changed = False
         parts = sorted(uses)
-        alone = [(0, ()), *((n, (n,)) for n in parts)]
-        twice = [
-            (a + b, (a, b)) for i, a in enumerate(parts) for b in parts[i:] if a != b or uses[a] > 1
-        ]
-        for given, taken in alone + twice:
+        alone = ((n, (n,)) for n in parts)
+        twice = ((a + b, (a, b)) for i, a in enumerate(parts) for b in parts[i:] if a != b or uses[a] > 1)
+        for given, taken in itertools.chain([(0, ())], alone, twice):
             least = given + (len(taken) < 2)
             at = bisect.bisect_left(rising, least)
             while at < len(rising) and rising[at] <= given + waste:
@@ -205,7 +214,8 @@ def best_fit(counts: list[int], room: int) -> tuple[int, list[tuple[int, int]]]:
 def plan_packing(counts: dict[int, int], size: int = SEQUENCE, steps: int = PLAN_STEPS) -> list[Line]:
     """Lines that use up all counts, in as few sequences as the search finds.
 
-    Room that no sum of the lengths can reach is no waste: it is left out from the start.
+    Room that no sum of the lengths can reach is no waste: it is left out from the start. The
+    best-fit plan is the incumbent, so the search can only do better.
     """
     counts = {length: n for length, n in counts.items() if n}
     if not counts:
@@ -216,25 +226,31 @@ def plan_packing(counts: dict[int, int], size: int = SEQUENCE, steps: int = PLAN
         left[length] = n
     total = sum(length * n for length, n in counts.items())
     least = -(-total // size)
-    best: list[Line] | None = None
-    allowed = None  # waste that a better plan may have
+    best = _by_best_fit(list(left), size)
+    used = sum(line.times for line in best)
+    if used <= least:
+        return best
+    allowed = (used - 1) * size - total  # waste that a better plan may have
+    descended = False
     lines: list[Line] = []
     choices: list[list] = []  # per line, the fillings not tried yet
-    waste, top = 0, size
+    waste, top, back = 0, size, BACK_STEPS
 
     def use(line: Line, sign: int) -> None:
         for length, uses in line.fill:
             left[length] -= sign * uses * line.times
 
-    while steps > 0:
+    while steps > 0 and back > 0:
         while top and not left[top]:
             top -= 1
-        dead = allowed is not None and waste > allowed
+        dead = waste > allowed
         if top and not dead:
             left[top] -= 1
-            options = fillings(left, size - top)
+            found, nodes = fillings(left, size - top)
             left[top] += 1
-            options = [_merge(top, fill) for _, fill in options]
+            if descended:
+                back -= nodes + CALL_STEPS
+            options = [_merge(top, fill) for _, fill in found]
         elif not dead:  # all is packed
             best = list(lines)
             used = sum(line.times for line in best)
@@ -243,6 +259,7 @@ def plan_packing(counts: dict[int, int], size: int = SEQUENCE, steps: int = PLAN
             allowed = (used - 1) * size - total
             dead = True
         if dead:
+            descended = True
             while choices and not choices[-1]:
                 choices.pop()
                 line = lines.pop()
@@ -257,7 +274,7 @@ def plan_packing(counts: dict[int, int], size: int = SEQUENCE, steps: int = PLAN
             top = size
         fill, rest = options[0], options[1:]
         times = min(left[length] // uses for length, uses in fill)
-        if rest and allowed is not None:
+        if rest and descended:
             times = 1 if times < 8 else times
         line = Line(fill, times, times * (size - sum(n * u for n, u in fill)))
         lines.append(line)
@@ -265,20 +282,25 @@ def plan_packing(counts: dict[int, int], size: int = SEQUENCE, steps: int = PLAN
         waste += line.waste
         use(line, 1)
         steps -= 1
-    if best is None:  # out of steps in the first descent: finish by best fit
-        best = list(lines)
-        for length in range(size, 0, -1):
-            while left[length]:
-                left[length] -= 1
-                fill = _merge(length, best_fit(left, size - length)[1])
-                left[length] += 1
-                times = min(left[n] // u for n, u in fill)
-                line = Line(fill, times, 0)
-                use(line, 1)
-                best.append(line)
     return best
 
 
+def _by_best_fit(left: list[int], size: int) -> list[Line]:
+    """The plan that takes the largest length that still fits, always. Uses ``left`` up."""
+    lines = []
+    for length in range(size, 0, -1):
+        while left[length]:
+            left[length] -= 1
+            waste, rest = best_fit(left, size - length)
+            left[length] += 1
+            fill = _merge(length, rest)
+            times = min(left[n] // u for n, u in fill)
+            for n, u in fill:
+                left[n] -= u * times
+            lines.append(Line(fill, times, waste * times))
+    return lines
+
+
 def _merge(length: int, fill: list[tuple[int, int]]) -> list[tuple[int, int]]:
     uses = dict(fill)
     uses[length] = uses.get(length, 0) + 1
