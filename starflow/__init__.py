@@ -60,7 +60,14 @@ from starflow.sources.contract import (
     normalize_columns,
     sales_contract,
 )
-from starflow.sources.files import EmptySourceError, read_contract, read_parquet, scan_csv
+from starflow.sources.files import (
+    EmptySourceError,
+    files_by_header,
+    read_contract,
+    read_parquet,
+    scan_csv,
+    scan_csv_by_header,
+)
 from starflow.sources.tables import UnwritableTextError, read_table, write_tables
 from starflow.sources.workspace import Workspace
 

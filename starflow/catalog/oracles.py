@@ -252,6 +252,7 @@ BREACHING = profile(list(ROLES), "flat", PROFILE_LIMIT_PCT)
 
 ORACLES: dict[str, str] = {
     "contract_csv_scan": ON_FLAT + f"SELECT {CSV_CELLS} FROM flat",
+    "csv_scan_by_header": ON_FLAT + f"SELECT {CSV_CELLS} FROM flat",
     "required_columns": ON_FLAT
     + f", csv AS (SELECT {CSV_CELLS} FROM flat) "
     + 'SELECT "column", null_count FROM ('

@@ -85,6 +85,19 @@ def contract_csv_scan(spark, sf_dir):
     return files.scan_csv(spark, _flat_as_csv(spark, sf_dir), CONTRACT)
 
 
+@query
+def csv_scan_by_header(spark, sf_dir):
+    """The extract in files of three column orders, one of them with blanks in its header."""
+    flat = flat_sales(spark, sf_dir, order_key=True)
+    names, part = CONTRACT.names, F.col(ORDER_KEY) % 3
+    orders = (names, names[::-1], [*names[7:], *names[:7]])
+    path = Workspace(spark).folder("orders")
+    for i, order in enumerate(orders):
+        rows = flat.where(part == i).select(*order)
+        files.write_csv(rows.toDF(*[f" {c} " for c in order]) if i == 2 else rows, f"{path}/part={i}")
+    return files.scan_csv_by_header(spark, f"{path}/*", CONTRACT)
+
+
 @query
 def required_columns(spark, sf_dir):
     scan = files.scan_csv(spark, _flat_as_csv(spark, sf_dir), CONTRACT)

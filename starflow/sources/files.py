@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +56,63 @@ def scan_csv(
     return normalize_columns(df).select(*refs([*contract.names, corrupt_record]))
 
 
+def files_by_header(
+    spark: SparkSession, path: str | list[str], *, max_headers: int = 1000
+) -> dict[str, list[str]]:
+    """Header line to the files that have it, both in order.
+
+    The first line that is not blank is a file's header; a file without one has no rows and is left
+    out. All files are scanned as lines, in tasks, and each leaves one row. The names of the files
+    reach the driver, which has listed them anyway; more than ``max_headers`` different headers are
+    an error.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+    )
+    heads = (
+        lines.where((F.col("start") == 0) & F.col("value").rlike(r"\S"))
+        # Rows of a block come in file order, and only one block of a file starts at 0.
+        .withColumn("place", F.monotonically_increasing_id())
+        .groupBy("file")
+        .agg(F.min_by("value", "place").alias("header"))
+    )
+    groups: dict[str, list[str]] = {}
+    for row in heads.orderBy("header", "file").toLocalIterator():
+        groups.setdefault(row["header"], []).append(unquote(row["file"]))
+        if len(groups) > max_headers:
+            raise ValueError(f"more than {max_headers} different headers in {path}")
+    return groups
+
+
+def scan_csv_by_header(
+    spark: SparkSession,
+    path: str | list[str],
+    contract: SchemaContract,
+    *,
+    corrupt_record: str | None = None,
+) -> DataFrame:
+    """``scan_csv`` of files whose headers differ in the order of columns or in blanks.
+
+    Files with the same header are one scan, with its own projection to the contract's order; the
+    scans are then one table. A header that does not fit the contract is an error that names a file.
+    """
+    scans = []
+    for files in files_by_header(spark, path).values():
+        names = [re.sub(r"([\\{}\[\]*?])", r"\\\1", f) for f in files]
+        try:
+            scans.append(scan_csv(spark, names, contract, corrupt_record=corrupt_record))
+        except ValueError as error:
+            raise ValueError(f"{files[0]} and {len(files) - 1} more: {error}") from error
+    if scans:
+        return functools.reduce(DataFrame.unionAll, scans)
+    fields = [T.StructField(f.name, f.dataType, True) for f in contract.schema]
+    if corrupt_record is not None:
+        fields.append(T.StructField(corrupt_record, T.StringType(), True))
+    return spark.createDataFrame([], T.StructType(fields))
+
+
 def require_rows(df: DataFrame, source: str) -> None:
     """Raise if ``df`` is empty. Stops at the first row instead of counting."""
     if df.isEmpty():
@@ -73,24 +134,30 @@ def read_contract(
     path: str,
     contract: SchemaContract,
     *,
-    header: bool = True,
+    header: bool | str = True,
     on_malformed: str = "keep",
     workspace: Workspace | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """(good, bad) rows of a CSV source; raises ``EmptySourceError`` if it has no row.
 
+    ``header="each"`` reads the header of every file, so their columns may come in different orders.
+
     ``"keep"`` leaves rows with too few or too many cells, or with a cell that does not
     parse, in ``good`` with NULL in the bad cells; ``bad`` is then None. ``"quarantine"``
     moves them to ``bad``, with their text in ``_corrupt_record``.
     """
+    if header == "each":
+        scan_source = scan_csv_by_header
+    else:
+        scan_source = functools.partial(scan_csv, header=header)
     if on_malformed == "keep":
-        good = scan_csv(spark, path, contract, header=header)
+        good = scan_source(spark, path, contract)
         require_rows(good, path)
         return good, None
     if on_malformed != "quarantine":
         raise ValueError(f"on_malformed is 'quarantine' or 'keep', not {on_malformed!r}")
     workspace = workspace or Workspace(spark)
-    scan = scan_csv(spark, path, contract, header=header, corrupt_record=CORRUPT)
+    scan = scan_source(spark, path, contract, corrupt_record=CORRUPT)
     stored = workspace.store(scan, "scan")
     require_rows(stored, path)
     return split_malformed(stored)

@@ -1,0 +1,81 @@
+import pytest
+from pyspark.sql import types as T
+
+from starflow.sources.contract import SchemaContract
+from starflow.sources.files import CORRUPT, EmptySourceError, files_by_header, read_contract, scan_csv_by_header
+
+CONTRACT = SchemaContract(
+    T.StructType([
+        T.StructField("ID", T.IntegerType()),
+        T.StructField("Full Name", T.StringType()),
+        T.StructField("Day", T.DateType()),
+    ])
+)
+
+
+@pytest.fixture
+def folder(tmp_path):
+    place = tmp_path / "in"
+    place.mkdir()
+    (place / "a [1].csv").write_text("ID,Full Name,Day\n1,a,2024-01-01\n2,b,2024-01-02\n")
+    (place / "b{x}.csv").write_text('Day,ID,Full Name\n2024-01-03,3,"c, d"\n')
+    (place / "c d.csv").write_text('\n Full  Name ,Day,"ID"\ne,2024-01-04,4\n')
+    (place / "d.csv").write_text("ID,Full Name,Day\n5,f,2024-01-05\n")
+    (place / "only header.csv").write_text("Day,Full Name,ID\n")
+    (place / "nothing.csv").write_text("")
+    return place
+
+
+def test_three_orders_give_one_table(spark, folder):
+    df = scan_csv_by_header(spark, str(folder), CONTRACT)
+    assert df.columns == CONTRACT.names
+    assert sorted((r[0], r[1], r[2].day) for r in df.collect()) == [
+        (1, "a", 1), (2, "b", 2), (3, "c, d", 3), (4, "e", 4), (5, "f", 5),
+    ]
+
+
+def test_files_with_one_header_are_one_group(spark, folder):
+    groups = files_by_header(spark, str(folder))
+    assert [len(files) for files in groups.values()] == [1, 1, 1, 2]
+    assert [f.rsplit("/", 1)[1] for f in groups["ID,Full Name,Day"]] == ["a [1].csv", "d.csv"]
+    with pytest.raises(ValueError, match="different headers"):
+        files_by_header(spark, str(folder), max_headers=3)
+
+
+def test_header_of_a_file_cut_into_blocks(spark, tmp_path):
+    names = ["ID,Full Name,Day", "Day,ID,Full Name"]
+    rows = ["{0},n{0},2024-01-01", "2024-01-01,{0},n{0}"]
+    for i in range(2):
+        lines = [rows[i].format(n) for n in range(i * 2000, i * 2000 + 2000)]
+        (tmp_path / f"{i}.csv").write_text("\n".join([names[i], *lines]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = scan_csv_by_header(spark, str(tmp_path), CONTRACT)
+        assert df.rdd.getNumPartitions() > 10
+        assert sorted((r[0], r[1]) for r in df.collect()) == [(n, f"n{n}") for n in range(4000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_malformed_rows_of_every_order(spark, folder, workspace):
+    (folder / "b{x}.csv").write_text("Day,ID,Full Name\n2024-01-03,x,c\n2024-01-03,3,c\n")
+    good, bad = read_contract(
+        spark, str(folder), CONTRACT, header="each", on_malformed="quarantine", workspace=workspace
+    )
+    assert sorted(r["ID"] for r in good.collect()) == [1, 2, 3, 4, 5]
+    assert [r[CORRUPT] for r in bad.collect()] == ["2024-01-03,x,c"]
+
+
+def test_unfit_header_names_its_file(spark, folder):
+    (folder / "z.csv").write_text("ID,Day\n1,2024-01-01\n")
+    with pytest.raises(ValueError, match="z.csv.*Full Name"):
+        scan_csv_by_header(spark, str(folder), CONTRACT)
+
+
+def test_no_rows_and_no_files(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("")
+    df = scan_csv_by_header(spark, str(tmp_path), CONTRACT, corrupt_record=CORRUPT)
+    assert df.columns == [*CONTRACT.names, CORRUPT] and df.count() == 0
+    with pytest.raises(EmptySourceError):
+        read_contract(spark, str(tmp_path), CONTRACT, header="each")
