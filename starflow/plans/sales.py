@@ -27,7 +27,7 @@ from starflow.operators.rank import WINDOW_GROUP_ROWS
 from starflow.plans.star import StarSpec, build_star, table_counts
 from starflow.sources.commits import TableSet
 from starflow.sources.contract import SchemaContract, column_names, sales_contract
-from starflow.sources.files import CORRUPT, require_rows, scan_csv
+from starflow.sources.files import CORRUPT, require_rows, scan_source
 from starflow.sources.tables import read_table, write_table, write_tables
 from starflow.sources.workspace import Workspace
 
@@ -304,12 +304,13 @@ def run_sales_files(
     spec: SalesSpec | None = None,
     contract: SchemaContract | None = None,
     *,
-    header: bool = True,
+    header: bool | str = True,
     on_malformed: str = "keep",
     **options,
 ) -> SalesRun:
     """``run_sales`` over CSV files under a contract, whose required columns it checks.
 
+    ``header="each"`` reads the header of every file, so their columns may come in different orders.
     Malformed rows stay in, with NULL in the bad cells. With ``on_malformed="quarantine"``
     they are set aside instead; they are found by the same scan that feeds the deduplication,
     which parses every column, so the files are read once.
@@ -318,6 +319,6 @@ def run_sales_files(
         raise ValueError(f"on_malformed is 'quarantine' or 'keep', not {on_malformed!r}")
     corrupt = CORRUPT if on_malformed == "quarantine" else None
     contract = contract or sales_contract()
-    raw = scan_csv(spark, path, contract, header=header, corrupt_record=corrupt)
+    raw = scan_source(spark, path, contract, header=header, corrupt_record=corrupt)
     require_rows(raw, path)
     return run_sales(raw, spec, **{"required": contract.required, **options})

@@ -113,6 +113,22 @@ def scan_csv_by_header(
     return spark.createDataFrame([], T.StructType(fields))
 
 
+def scan_source(
+    spark: SparkSession,
+    path: str | list[str],
+    contract: SchemaContract,
+    *,
+    header: bool | str = True,
+    corrupt_record: str | None = None,
+) -> DataFrame:
+    """``scan_csv``, or ``scan_csv_by_header`` where ``header`` is "each"."""
+    if header == "each":
+        return scan_csv_by_header(spark, path, contract, corrupt_record=corrupt_record)
+    if not isinstance(header, bool):
+        raise ValueError(f"header is True, False or 'each', not {header!r}")
+    return scan_csv(spark, path, contract, header=header, corrupt_record=corrupt_record)
+
+
 def require_rows(df: DataFrame, source: str) -> None:
     """Raise if ``df`` is empty. Stops at the first row instead of counting."""
     if df.isEmpty():
@@ -146,18 +162,14 @@ def read_contract(
     parse, in ``good`` with NULL in the bad cells; ``bad`` is then None. ``"quarantine"``
     moves them to ``bad``, with their text in ``_corrupt_record``.
     """
-    if header == "each":
-        scan_source = scan_csv_by_header
-    else:
-        scan_source = functools.partial(scan_csv, header=header)
     if on_malformed == "keep":
-        good = scan_source(spark, path, contract)
+        good = scan_source(spark, path, contract, header=header)
         require_rows(good, path)
         return good, None
     if on_malformed != "quarantine":
         raise ValueError(f"on_malformed is 'quarantine' or 'keep', not {on_malformed!r}")
     workspace = workspace or Workspace(spark)
-    scan = scan_source(spark, path, contract, corrupt_record=CORRUPT)
+    scan = scan_source(spark, path, contract, header=header, corrupt_record=CORRUPT)
     stored = workspace.store(scan, "scan")
     require_rows(stored, path)
     return split_malformed(stored)

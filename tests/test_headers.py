@@ -1,8 +1,18 @@
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starflow.sources.contract import SchemaContract
-from starflow.sources.files import CORRUPT, EmptySourceError, files_by_header, read_contract, scan_csv_by_header
+from starflow.plans.sales import run_sales_files, sales_spec
+from starflow.sources.contract import SchemaContract, column_names, sales_contract
+from starflow.sources.files import (
+    CORRUPT,
+    EmptySourceError,
+    files_by_header,
+    read_contract,
+    scan_csv_by_header,
+    write_csv,
+)
+from starflow.sources.flat_sales import flat_sales
 
 CONTRACT = SchemaContract(
     T.StructType([
@@ -79,3 +89,22 @@ def test_no_rows_and_no_files(spark, tmp_path):
     assert df.columns == [*CONTRACT.names, CORRUPT] and df.count() == 0
     with pytest.raises(EmptySourceError):
         read_contract(spark, str(tmp_path), CONTRACT, header="each")
+
+
+def test_a_run_over_two_orders(spark, sf_dir, tmp_path, workspace):
+    contract = sales_contract(short_names=True)
+    flat = flat_sales(spark, sf_dir).where("lead_days = 3")
+    write_csv(flat, str(tmp_path / "one"))
+    for early, order in ((True, contract.names), (False, contract.names[::-1])):
+        rows = flat.where((F.col("month_num") < 6) == early).select(*order)
+        write_csv(rows, str(tmp_path / f"two_{early}"))
+    spec = sales_spec(column_names(short_names=True))
+    one, two = (
+        run_sales_files(spark, f"{tmp_path}/{name}", spec, contract, header=header, workspace=workspace)
+        for name, header in (("one", True), ("two_*", "each"))
+    )
+    assert two.summary.collect()[0]["rows_loaded"] == flat.count()
+    assert one.summary.collect() == two.summary.collect()
+    assert sorted(one.counts.collect()) == sorted(two.counts.collect())
+    with pytest.raises(ValueError, match="each"):
+        run_sales_files(spark, str(tmp_path), spec, contract, header="all")
