@@ -12,6 +12,8 @@ from starflow.operators.cleaning import (
     invalid_number_counts,
     trim_columns,
 )
+from starflow.operators.quality import count_copies
+from starflow.sources.flat_sales import flat_sales
 from pyspark.sql import functions as F
 
 NO_NUMBER = ["?", "n.a.", "", "   ", "nil", "missing", "-", "#N/A", "none yet", "----", "NULL"]
@@ -156,3 +158,50 @@ def test_late_dedup_shuffles_no_wide_rows(spark, workspace):
     stays = cleaning.drop_duplicate_rows_late(df, workspace=workspace)
     tree = stays._jdf.queryExecution().sparkPlan().toString().split("HashAggregate")[0]
     assert "BroadcastHashJoin" in tree and "SortMergeJoin" not in tree and "ShuffledHashJoin" not in tree
+
+
+def _copies(df):
+    return sorted(map(str, df.drop("_id").collect()))
+
+
+def test_store_distinct_counts_as_the_plain_form(spark, workspace):
+    rows = [(i, "x" if i % 3 else None, float(i % 7)) for i in range(300)] * 2
+    rows += [(None, None, None)] * 500 + [(i, "once", None) for i in range(9000, 14000)] + [(5, "", 0.0), (5, None, 0.0)]
+    rows += [(-1, "zero", 0.0), (-1, "zero", -0.0), (-2, "zero", -0.0), (-3, "nan", float("nan")), (-3, "nan", float("nan"))]
+    df = spark.createDataFrame(rows, "a int, `b.c` string, row double").repartition(3)
+    stored = workspace.store(df, "raw", row_id="_id")
+    for limit in (1 << 20, 0):  # the repeats where they lie, and all rows grouped
+        got = cleaning.store_distinct(stored, "_id", workspace, broadcast_bytes=limit)
+        assert got.columns == [*df.columns, "_copies", "_id"]
+        assert _copies(got) == _copies(count_copies(df))
+        assert got.select("_id").distinct().count() == got.count()
+
+
+def test_store_distinct_does_not_rest_on_its_hash(spark, workspace, monkeypatch):
+    monkeypatch.setattr(cleaning, "_row_hash", lambda names: F.coalesce(F.col(names[0]) % 5, F.lit(0)).cast("bigint"))
+    df = spark.createDataFrame([(i % 40, i % 4) for i in range(120)] + [(None, 1)] * 2, "a int, b int")
+    got = cleaning.store_distinct(workspace.store(df, "raw", row_id="_id"), "_id", workspace)
+    assert _copies(got) == _copies(count_copies(df))
+
+
+def test_store_distinct_leaves_out_what_is_unwanted(spark, workspace):
+    df = spark.createDataFrame([(i % 50, "t") for i in range(60)], "a int, b string")
+    stored = workspace.store(df, "raw", row_id="_id")
+    unwanted = stored.where("a in (3, 20)").select("_id")
+    for limit in (1 << 20, 0):
+        got = cleaning.store_distinct(stored, "_id", workspace, unwanted=unwanted, broadcast_bytes=limit)
+        assert {r["a"]: r["_copies"] for r in got.collect()} == {
+            a: 2 if a < 10 else 1 for a in range(50) if a not in (3, 20)
+        }
+
+
+def test_store_distinct_of_nothing(spark, workspace):
+    stored = workspace.store(spark.createDataFrame([], "a int"), "raw", row_id="_id")
+    assert cleaning.store_distinct(stored, "_id", workspace).isEmpty()
+
+
+def test_texts_of_the_extract_are_not_shuffled_before_its_joins(spark, sf_dir):
+    """Long texts that are made of keys stay out of the exchanges; before, every join moved them."""
+    plan = flat_sales(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    joins = plan[plan.index("Join") :]
+    assert not any(name in joins for name in ("batch_number", "store_id", "supplier_id", "value_sales", "product_id"))
