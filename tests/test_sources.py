@@ -18,7 +18,7 @@ from starflow.sources.files import (
     scan_csv,
     write_csv,
 )
-from starflow.sources.tables import UnwritableTextError, read_table, write_tables
+from starflow.sources.tables import UnwritableTextError, read_table, write_table, write_tables
 
 CONTRACT = SchemaContract(
     T.StructType([
@@ -225,3 +225,27 @@ def test_row_ids_are_fixed_by_the_write(spark, workspace):
     once = sorted(map(tuple, stored.collect()))
     assert once == sorted(map(tuple, stored.repartition(2).orderBy(F.rand()).collect()))
     assert len({r for _, r in once}) == 1000
+
+
+def test_compressed_csv_reads_back_and_is_smaller(spark, tmp_path):
+    df = spark.range(2000).selectExpr("id", "concat(' text ', id % 7, ',') AS t", "IF(id % 3 = 0, NULL, 'x') AS n").coalesce(1)
+    sizes = {}
+    for codec in ("none", "gzip"):
+        path = tmp_path / codec
+        write_csv(df, str(path), codec)
+        sizes[codec] = sum(f.stat().st_size for f in path.glob("part-*"))
+        back = spark.read.schema(df.schema).option("header", True).csv(str(path))
+        assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    assert sizes["gzip"] * 3 < sizes["none"]
+
+
+def test_compressed_csv_table_keeps_every_text(spark, tmp_path):
+    rows = [(i, t) for i in range(300) for t in ("one\ntwo", 'say "so"', "back\\slash", "", " b ", None, "x,y")]
+    df = spark.createDataFrame(rows, "i int, t string").coalesce(1)
+    sizes = {}
+    for fmt in ("csv", "csv.gz"):
+        write_table(df, str(tmp_path / fmt), fmt)
+        sizes[fmt] = sum(f.stat().st_size for f in (tmp_path / fmt).glob("part-*"))
+        back = read_table(spark, str(tmp_path / fmt), df.schema, fmt)
+        assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    assert sizes["csv.gz"] * 3 < sizes["csv"]
