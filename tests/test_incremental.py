@@ -170,3 +170,25 @@ def test_a_run_published_together(spark, sf_dir, tmp_path):
     assert TableSet(spark, str(tmp_path)).read("fact_sales").count() <= 10
     with pytest.raises(ValueError, match="publish"):
         run_sales(raw, SPEC, publish="other")
+
+
+def test_known_rows_moves_hashes_and_no_row(spark, tmp_path, workspace):
+    known = spark.range(500).selectExpr("id AS a", "string(id) AS b")
+    known = known.select(*row_hash(known))
+    parts = []
+    for n, part in enumerate([known, known.limit(20)]):
+        write_bucketed(part, str(tmp_path / str(n)), HASH, 4)
+        parts.append(read_bucketed(spark, str(tmp_path / str(n)), known.schema, HASH, 4))
+    rows = spark.range(450, 600).selectExpr("id AS a", "string(id) AS b")
+    rows = workspace.store(rows.select("*", *row_hash(rows)), "rows", row_id="at")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = incremental.known_rows(rows, parts, 4, "at")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        ids = {r["at"] for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r["a"] for r in rows.where(F.col("at").isin(*ids)).collect()} == set(range(450, 500))
+    moved = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(moved) == 1 and "a#" not in plan.split("Exchange")[1].split("Scan")[0]
