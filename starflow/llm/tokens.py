@@ -2,7 +2,7 @@
 
 A byte-level BPE cuts a text into pieces first and encodes each on its own, and there is
 always a cut before a single blank or a single line break between two words, and between a
-run of letters and a single stop that ends the word. So a text in which all white space is of that kind is
+run of letters and the ASCII marks that end the word. So a text in which all white space is of that kind is
 the sequence of its words' ids, and a word is encoded only the first time a worker meets it.
 A word of letters alone is one piece, which the model encodes directly. Any other word or
 text, and a text that holds an added token such as ``<|endoftext|>``, is encoded as a whole. All ways give the same ids.
@@ -11,11 +11,15 @@ text, and a text that holds an added token such as ``<|endoftext|>``, is encoded
 from __future__ import annotations
 
 import os
+import re
+import string
 import struct
 
 TOKENIZER = "byte_bpe_50k.json"
 _CACHE_WORDS = 300_000  # of each generation
-_ENDS = ".,;:!?"
+_CACHE_TAILS = 10_000
+_MARKS = string.punctuation
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -53,7 +57,6 @@ class _Words(dict):
         self.owner, self.before, self.older = owner, before, {}
         self.mark = "".join(owner.letters[b] for b in before.encode())
         self.letters, self.tokenize = owner.letters, owner.tokenizer.model.tokenize
-        self.ends = owner.ends
 
     def trim(self) -> None:
         if len(self) > _CACHE_WORDS:
@@ -61,8 +64,13 @@ class _Words(dict):
             self.clear()
 
     def __missing__(self, word: str) -> bytes:
-        if word[-1:] in self.ends and (stem := word[:-1]).isalpha():
-            return self[stem] + self.ends[word[-1]]  # not kept: both parts are
+        stem = word.rstrip(_MARKS)
+        if len(stem) < len(word) and stem.isalpha():
+            known = stem in self
+            ids = self[stem] + self.owner.tail(word[len(stem) :])
+            if known:  # else both parts are enough
+                self[word] = ids
+            return ids
         ids = self.older.get(word)
         if ids is None:
             if word.isalpha():  # one piece: the model encodes it as it is
@@ -74,6 +82,13 @@ class _Words(dict):
         return ids
 
 
+def _spaced(line: str) -> bool:
+    """Whether a line without two blanks in a row has white space between words only."""
+    ends = line[:1] + line[-1:]
+    # White space other than the blank is not printable.
+    return bool(ends) and " " not in ends and (line.isprintable() or not _OTHER_SPACE.search(line))
+
+
 class Encoder:
     """Texts to ids; one per worker process and tokenizer file."""
 
@@ -85,7 +100,7 @@ class Encoder:
         # Their strings become their own ids wherever they stand, so such texts are encoded whole.
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
-        self.ends = {stop: self.whole(stop) for stop in _ENDS}
+        self.tails: dict[str, bytes] = {}
         self.first = _Words(self, "")
         self.later = _Words(self, " ")
         self.newline = self.whole("\n")
@@ -93,22 +108,24 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return _pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def tail(self, marks: str) -> bytes:
+        """The ids of marks that end a word."""
+        ids = self.tails.get(marks)
+        if ids is None:
+            if len(self.tails) >= _CACHE_TAILS:
+                self.tails.clear()
+            ids = self.tails[marks] = self.whole(marks)
+        return ids
+
     def encode(self, text: str) -> bytes:
         """All ids of the text, as little-endian unsigned 32-bit bytes."""
-        words = text.split()
-        gaps = len(words) - 1
-        plain = (
-            words
-            and not any(token in text for token in self.added)
-            and len(text) - sum(map(len, words)) == gaps
-            and text.count(" ") + text.count("\n") == gaps
-        )
-        if not plain:
+        parts = text.split("\n")
+        if "  " in text or any(token in text for token in self.added) or not all(map(_spaced, parts)):
             return self.whole(text) if text else b""
         self.later.trim()
         self.first.trim()
         first, later, lines = self.first, self.later, []
-        for line in text.split("\n"):
+        for line in parts:
             head, *rest = line.split(" ")
             lines.append(first[head] + b"".join(map(later.__getitem__, rest)))
         return self.newline.join(lines)

@@ -42,6 +42,31 @@ def test_random_strings_are_encoded_alike(plain, seed):
         assert encode(text) == as_bytes(plain(text)), repr(text)
 
 
+def test_words_with_marks_behind_them_share_the_ids_of_the_marks(plain, monkeypatch):
+    from starflow.llm.tokens import Encoder
+
+    made = Encoder(tokenizer_path())
+    asked, whole = [], made.whole
+    monkeypatch.setattr(made, "whole", lambda text: asked.append(text) or whole(text))
+    stems = ["moss", "ñandú", "don", "中文", "x", "I", "relly"]
+    tails = [",%%%", "'", ".)", "...", "_", "'\"", "&&&"]
+    texts = [" ".join(stem + tail for stem in stems) for tail in tails]
+    for _ in range(3):
+        for text in texts:
+            assert made.encode(text) == as_bytes(plain(text)), text
+    assert sorted(asked) == sorted(tails)
+
+
+def test_marks_of_many_kinds_are_forgotten(plain, monkeypatch):
+    from starflow.llm import tokens
+
+    monkeypatch.setattr(tokens, "_CACHE_TAILS", 3)
+    made = tokens.Encoder(tokenizer_path())
+    text = " ".join("word" + "!" * n + "?" for n in range(1, 20))
+    assert made.encode(text) == as_bytes(plain(text))
+    assert len(made.tails) <= 3
+
+
 def check_plan(counts, size, lines):
     used = Counter()
     for line in lines:
