@@ -11,8 +11,9 @@ the rare rest, which has too few bigrams to be placed, tied by its ending (ENDIN
 so every word has a class. EXCHANGED bounds what the driver and the tasks hold; if more words are
 frequent enough, the rarest of them are tied too, and ``tied_words`` says how many. All counts cover the
 whole training text: word counts are an ordinary aggregation, and unit bigrams are counted in
-each task as they occur and summed. They are then dealt by unit and packed into arrays, so
-that a round of the exchange reads bytes, not rows.
+each task as they occur, dealt by a hash of the pair as arrays and summed there. They are then dealt by unit and packed
+into arrays, five bytes a neighbour, so that a round of the exchange reads bytes, not rows. The two halves of the units are
+stored apart, and a round that moves one half reads that half only.
 
 Emission uses the exact count of each word: the KNOWN most frequent words of all texts, held-out
 ones too, are broadcast. The others are joined by shuffle, where none of them can hold more than 1/KNOWN of
@@ -25,6 +26,7 @@ the smoothing alone. An empty table gives an empty result. Other columns are ign
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -56,6 +58,7 @@ _FLUSH_PAIRS = 2_000_000
 _PACKED = 500_000  # pairs packed together, and then the rest of a unit
 _ROWS = 16_000  # rows of class counts whose gains are computed at once
 _SLOT_CACHE = 400_000
+_RARE_SLOTS = 200_000
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -147,8 +150,50 @@ class Units(dict):
         return np.fromiter(map(self.__getitem__, tokens), dtype=np.int64, count=len(tokens))
 
 
-def unit_pairs(training: DataFrame, exchanged: list[bytes]) -> DataFrame:
-    """(a, b, n): how often unit b follows unit a. A text starts behind an end token."""
+_COUNTED = "bucket int, a binary, b binary, n binary"
+_DEALT = "bucket int, side binary, u binary, v binary, n binary"
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _dealt(bucket: np.ndarray, columns: list[np.ndarray], names: str) -> pa.RecordBatch:
+    """One row per bucket with its part of each column as bytes, in the order given."""
+    order = np.argsort(bucket, kind="stable")
+    sizes = np.bincount(bucket)
+    held = np.flatnonzero(sizes)
+    ends = np.append(0, np.cumsum(sizes[held]))
+    arrays = [pa.array(held.astype(np.int32))]
+    for column in columns:
+        offsets = (ends * column.itemsize).astype(np.int32)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(column[order])]
+        arrays.append(pa.Array.from_buffers(pa.binary(), len(held), buffers))
+    return pa.RecordBatch.from_arrays(arrays, re.findall(r"(\w+) (?:int|binary)", names))
+
+
+def _joined(batches, kinds: list) -> list[np.ndarray]:
+    """The byte columns behind the bucket, each as one array over all rows."""
+    parts = [[np.zeros(0, dtype=kind)] for kind in kinds]
+    for batch in batches:
+        for i in range(batch.num_rows):
+            for k, kind in enumerate(kinds):
+                parts[k].append(np.frombuffer(batch.column(k + 1)[i].as_buffer(), kind))
+    return [np.concatenate(part) for part in parts]
+
+
+def _summed(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes in order, each with the sum of its ``n``."""
+    order = np.argsort(codes)
+    codes = codes[order]
+    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else order
+    return codes[first], np.add.reduceat(n[order], first) if len(codes) else n
+
+
+def counted_pairs(training: DataFrame, exchanged: list[bytes]) -> DataFrame:
+    """How often unit b follows unit a, counted in each task and dealt by a hash of the pair.
+
+    A row holds the pairs of one bucket as bytes (``a``, ``b``, ``n``); those of a bucket are not summed yet,
+    and lie in one partition. A text starts behind an end token.
+    """
+    buckets = _buckets(training)
 
     def count(batches) -> Iterator[pa.RecordBatch]:
         units = Units(exchanged)
@@ -156,22 +201,20 @@ def unit_pairs(training: DataFrame, exchanged: list[bytes]) -> DataFrame:
         fresh, held = [], 0
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
-            some, times = np.unique(np.concatenate(fresh), return_counts=True) if fresh else (codes[:0], counts[:0])
-            every, at = np.unique(np.concatenate([codes, some]), return_inverse=True)
-            sums = np.zeros(len(every), dtype=np.int64)
-            np.add.at(sums, at, np.concatenate([counts, times]))
-            return every, sums
+            some, times = np.unique(np.concatenate([codes[:0], *fresh]), return_counts=True)
+            if not len(codes):
+                return some, times.astype(np.int64)
+            return _summed(np.concatenate([codes, some]), np.concatenate([counts, times]))
 
         def emit() -> Iterator[pa.RecordBatch]:
-            for start in range(0, len(codes), 100_000):
-                some, n = codes[start : start + 100_000], counts[start : start + 100_000]
-                arrays = [pa.array((some // units.n).astype(np.int32)), pa.array((some % units.n).astype(np.int32)), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "n"])
+            if len(codes):
+                bucket = _bucket(codes.astype(np.uint64) * _MIX >> np.uint64(32), buckets)
+                yield _dealt(bucket, [(codes >> 32).astype(np.int32), codes.astype(np.int32), counts], _COUNTED)
 
         for batch in slices(batches):
             units.trim()
             at = units.of(utf8(batch.column(0)))
-            fresh.append(at[:-1] * units.n + at[1:])
+            fresh.append(at[:-1] << 32 | at[1:])
             held += len(fresh[-1])
             if held > _FLUSH_PAIRS:
                 codes, counts = merged()
@@ -182,8 +225,32 @@ def unit_pairs(training: DataFrame, exchanged: list[bytes]) -> DataFrame:
         codes, counts = merged()
         yield from emit()
 
-    pairs = training.mapInArrow(count, "a int, b int, n bigint")
-    return pairs.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return training.mapInArrow(count, _COUNTED).repartitionById(buckets, F.col("bucket"))
+
+
+def _buckets(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _bucket(mixed: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of mixed numbers; two bytes where they suffice, which sort faster."""
+    return (mixed % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+
+
+def _sum_of_bucket(batches) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """a, b, n of a partition of ``counted_pairs``, each pair once."""
+    a, b, n = _joined(batches, [np.int32, np.int32, np.int64])
+    codes, n = _summed(a.astype(np.int64) << 32 | b, n)
+    return (codes >> 32).astype(np.int32), codes.astype(np.int32), n
+
+
+def unit_pairs(training: DataFrame, exchanged: list[bytes]) -> DataFrame:
+    """(a, b, n): how often unit b follows unit a. A text starts behind an end token."""
+
+    def rows(batches) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _sum_of_bucket(batches)], ["a", "b", "n"])
+
+    return counted_pairs(training, exchanged).mapInArrow(rows, "a int, b int, n bigint")
 
 
 def _log(x: np.ndarray) -> np.ndarray:
@@ -251,14 +318,21 @@ def best_moves(left: np.ndarray, right: np.ndarray, loops: np.ndarray, own: np.n
 
 
 _PACK = "units binary, loops binary, at0 binary, v0 binary, n0 binary, at1 binary, v1 binary, n1 binary"
-_KINDS = [np.int32, np.float64, np.int32, np.int32, np.int32, np.int32, np.int32, np.int32]
-_MOST_COUNT = (1 << 31) - 1
+_KINDS = [np.int32, np.float64, np.int32, np.int32, np.uint8, np.int32, np.int32, np.uint8]
+_MOST_COUNT = 255
+HALF = "half"
+
+
+def half_of(units: np.ndarray) -> np.ndarray:
+    """The half that a unit is in, 0 or 1; the halves move in turn."""
+    return (units.astype(np.int64) * 2654435761 >> 7) % 2
 
 
 def _packed_row(units: np.ndarray, loops: np.ndarray, sides: list) -> pa.RecordBatch:
     """One row of ``_PACK``; a side is (place among the units, the other unit, count), in order of places.
 
-    Places become the ends of each unit's entries. A count too large for its four bytes takes several entries.
+    Places become the ends of each unit's entries. A count too large for its byte takes several entries, of
+    which there cannot be more than a 255th of the tokens.
     """
     row = [units.astype(np.int32), loops.astype(np.float64)]
     for at, v, n in sides:
@@ -267,7 +341,7 @@ def _packed_row(units: np.ndarray, loops: np.ndarray, sides: list) -> pa.RecordB
             at, v, whole = np.repeat(at, more), np.repeat(v, more), np.repeat(n, more)
             step = np.arange(len(at)) - np.repeat(np.cumsum(more) - more, more)
             n = np.minimum(whole - step * _MOST_COUNT, _MOST_COUNT)
-        row += [np.searchsorted(at, np.arange(len(units)), side="right").astype(np.int32), v.astype(np.int32), n.astype(np.int32)]
+        row += [np.searchsorted(at, np.arange(len(units)), side="right").astype(np.int32), v.astype(np.int32), n.astype(np.uint8)]
     return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in row], _PACK.replace(" binary", "").split(", "))
 
 
@@ -282,37 +356,60 @@ def _unpacked(batches, kinds: list) -> Iterator[list[np.ndarray]]:
 
 
 def pack_pairs(pairs: DataFrame) -> DataFrame:
-    """Arrays of the pairs (a, b, n), dealt by unit, whole units together.
+    """Arrays of the pairs of ``unit_pairs`` or ``counted_pairs``, dealt by unit, whole units together.
 
-    A row holds ``units`` and their ``loops``; side 0 has what stands before them and side 1 what stands
-    behind: where each unit's entries end, the other unit, count.
+    A row holds ``units`` of one half and their ``loops``; side 0 has what stands before them and side 1 what
+    stands behind: where each unit's entries end, the other unit, count.
     """
-    a, b, n = F.col("a"), F.col("b"), F.col("n")
-
-    def side(number: int, u, v):
-        return F.struct(u.alias("u"), F.lit(number).alias("side"), v.alias("v"), n.alias("n"))
-
-    both = F.when(a == b, F.array(side(2, a, b))).otherwise(F.array(side(0, b, a), side(1, a, b)))
-    dealt = pairs.select(F.inline(both)).repartition("u")
+    counted, buckets = "bucket" in pairs.columns, _buckets(pairs)
+
+    def sides(batches) -> Iterator[pa.RecordBatch]:
+        held = [_sum_of_bucket(batches)] if counted else ([batch.column(k).to_numpy() for k in range(3)] for batch in batches)
+        for a, b, n in (tuple(x[i : i + _FLUSH_PAIRS] for x in part) for part in held for i in range(0, len(part[0]), _FLUSH_PAIRS)):
+            loop = a == b
+            other = ~loop
+            u = np.concatenate([a[loop], b[other], a[other]])
+            v = np.concatenate([a[loop], a[other], b[other]])
+            which = np.repeat(np.array([2, 0, 1], dtype=np.uint8), [loop.sum(), other.sum(), other.sum()])
+            times = np.concatenate([n[loop], n[other], n[other]])
+            bucket = _bucket(u.astype(np.uint64) * _MIX >> np.uint64(32), buckets)
+            yield _dealt(bucket, [which, u, v, times], _DEALT)
+
+    dealt = pairs.mapInArrow(sides, _DEALT).repartitionById(buckets, F.col("bucket"))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        held = [batch for batch in batches if batch.num_rows]
-        if not held:
+        side, u, v, n = _joined(batches, [np.uint8, np.int32, np.int32, np.int64])
+        if not len(u):
             return
-        u, side, v, n = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in range(4))
-        del held
-        order = np.argsort(u, kind="stable")
+        half = half_of(u).astype(np.int8)
+        order = np.lexsort((u, half))
         starts = np.flatnonzero(np.append(True, np.diff(u[order]) != 0))
-        # Cut before the unit that a place lies in.
-        cuts = np.unique(starts[np.searchsorted(starts, np.arange(0, len(u), _PACKED), side="right") - 1])
+        # Cut before the unit that a place lies in, and between the halves.
+        border = np.count_nonzero(half == 0)
+        cuts = starts[np.searchsorted(starts, np.arange(0, len(u), _PACKED), side="right") - 1]
+        cuts = np.unique(np.append(cuts, border))
         for low, high in zip(cuts, [*cuts[1:], len(u)]):
+            if low == high:
+                continue
             some = order[low:high]
             units, at = np.unique(u[some], return_inverse=True)
             here = [side[some] == which for which in range(3)]
             loops = np.bincount(at[here[2]], n[some][here[2]], minlength=len(units))
-            yield _packed_row(units, loops, [(at[h], v[some][h], n[some][h]) for h in here[:2]])
+            row = _packed_row(units, loops, [(at[h], v[some][h], n[some][h]) for h in here[:2]])
+            yield _with_half(row, int(half[some[0]]))
+
+    return dealt.mapInArrow(run, f"{_PACK}, {HALF} int")
 
-    return dealt.mapInArrow(run, _PACK)
+
+def _with_half(row: pa.RecordBatch, half: int) -> pa.RecordBatch:
+    return row.append_column(HALF, pa.array([half], pa.int32()))
+
+
+def store_by_half(packed: DataFrame, name: str, workspace: Workspace) -> DataFrame:
+    """Stored with a folder per half, so that a filter on it opens the files of one half."""
+    path = workspace.folder(name)
+    packed.write.partitionBy(HALF).parquet(path)
+    return packed.sparkSession.read.schema(packed.schema).parquet(path)
 
 
 def head_pairs(packed: DataFrame, most: int) -> DataFrame:
@@ -330,9 +427,9 @@ def head_pairs(packed: DataFrame, most: int) -> DataFrame:
                 at = place[_places(ends)]
                 some = (at >= 0) & (v <= most)
                 out.append((at[some], v[some], n[some].astype(np.int64)))
-            yield _packed_row(units[kept], loops[kept], out)
+            yield _with_half(_packed_row(units[kept], loops[kept], out), int(half_of(units[:1])[0]))
 
-    return packed.mapInArrow(run, _PACK)
+    return packed.mapInArrow(run, f"{_PACK}, {HALF} int")
 
 
 def exchange(
@@ -340,16 +437,16 @@ def exchange(
 ) -> tuple[np.ndarray, np.ndarray]:
     """The class of each unit, and the counts of class bigrams. Class 0 is the end token's alone.
 
-    ``pairs`` are those of ``unit_pairs``, whose units come by frequency.
+    ``pairs`` are those of ``unit_pairs`` or ``counted_pairs``, whose units come by frequency.
     """
     n = len(totals)
     order = np.argsort(-totals, kind="stable")
     order = order[order != 0]
     own = np.zeros(n, dtype=np.uint8 if classes <= 256 else np.int32)
     own[order] = 1 + np.arange(n - 1) % (classes - 1)
-    packed = workspace.store(pack_pairs(pairs), "packed")
+    packed = store_by_half(pack_pairs(pairs), "packed", workspace)
     if n > 2 * head:
-        first = workspace.store(head_pairs(packed, head), "head")
+        first = store_by_half(head_pairs(packed, head), "head", workspace)
         own, _ = exchange_packed(first, own, classes, rounds)
     return exchange_packed(packed, own, classes, rounds)
 
@@ -376,15 +473,20 @@ def exchange_packed(
                 code = of[v] * np.int64(classes) + np.repeat(mine, np.diff(ends, prepend=0))
                 table += np.bincount(code, count, minlength=classes * classes)
                 table += np.bincount(mine * (classes + 1), loops, minlength=classes * classes)
-            code = np.flatnonzero(table)
-            arrays = [pa.array(code.astype(np.int32)), pa.array(table[code].astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(arrays, ["code", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([table.astype(np.int64).tobytes()], pa.binary())], ["joint"])
+
+        def total(batches) -> Iterator[pa.RecordBatch]:
+            table = np.zeros(classes * classes, dtype=np.int64)
+            for (some,) in _unpacked(batches, [np.int64]):
+                table += some
+            yield pa.RecordBatch.from_arrays([pa.array([table.tobytes()], pa.binary())], ["joint"])
 
         before = packed.select("units", "loops", "at0", "v0", "n0")
-        summed = before.mapInArrow(run, "code int, n bigint").groupBy("code").agg(F.sum("n"))
+        # One table of classes x classes per task, summed in one place.
+        summed = before.mapInArrow(run, "joint binary").repartition(1).mapInArrow(total, "joint binary")
         out = np.zeros(classes * classes)
-        for code, count in summed.collect():
-            out[code] = count
+        for row in summed.collect():
+            out += np.frombuffer(row["joint"], np.int64)
         return out.reshape(classes, classes)
 
     def likelihood(joint: np.ndarray) -> float:
@@ -395,9 +497,9 @@ def exchange_packed(
     enough = LEAST_GAIN * joint.sum()
     gained, turn = [np.inf, np.inf], 0
     while sum(gained) > enough and (rounds is None or turn < rounds):
-        def moves(batches, of=own, joint=joint, turn=turn) -> Iterator[pa.RecordBatch]:
+        def moves(batches, of=own, joint=joint) -> Iterator[pa.RecordBatch]:
             for units, loops, *sides in _unpacked(batches, _KINDS):
-                mine = np.flatnonzero((units != 0) & ((units.astype(np.int64) * 2654435761 >> 7) % 2 == turn % 2))
+                mine = np.flatnonzero(units)
                 tables = []
                 for ends, v, count in (sides[:3], sides[3:]):
                     place = _places(ends) * classes + of[v]
@@ -412,7 +514,8 @@ def exchange_packed(
                     arrays = [pa.array(units[some][keep]), pa.array(best[keep].astype(np.int32)), pa.array(gain[keep])]
                     yield pa.RecordBatch.from_arrays(arrays, ["u", "class", "gain"])
 
-        found = packed.mapInArrow(moves, "u int, class int, gain double").toArrow()
+        movers = packed.where(F.col(HALF) == turn % 2)
+        found = movers.mapInArrow(moves, "u int, class int, gain double").toArrow()
         unit, to = found["u"].to_numpy(), found["class"].to_numpy()
         order = np.lexsort((unit, -found["gain"].to_numpy()))
         tried, gain = len(order), 0.0
@@ -472,7 +575,7 @@ def train_class_model(training: DataFrame, counts: DataFrame, workspace: Workspa
     per_unit = per_unit.toDF("u", "c", "v").toArrow()  # one row per unit
     at = per_unit["u"].to_numpy()
     totals[at], words[at] = per_unit["c"].to_numpy(), per_unit["v"].to_numpy()
-    own, joint = exchange(unit_pairs(training, names), totals, workspace, classes, rounds)
+    own, joint = exchange(counted_pairs(training, names), totals, workspace, classes, rounds)
     class_totals = np.bincount(own, totals, minlength=classes)
     class_words = np.bincount(own, words, minlength=classes)
     share = (class_totals + 0.5) / (class_totals + 0.5).sum()
@@ -496,12 +599,13 @@ def score_texts(docs: DataFrame, model: ClassModel, counts: DataFrame, workspace
     spark = docs.sparkSession
     # KNOWN short words of all texts at most, and the end token in any case.
     frequent = frequent_words(counts, known, "t").union(counts.where(F.length("word") == 0)).toArrow()
-    table = dict(zip(frequent["word"].to_pylist(), frequent["c"].to_pylist()))
-    shared = spark.sparkContext.broadcast(table)
+    slots = Slots.of(dict(zip(frequent["word"].to_pylist(), frequent["c"].to_pylist())), model)
+    del frequent
+    shared, transition = spark.sparkContext.broadcast(slots), model.transition
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        memo = _Slots(shared.value, model)
+        memo, table = _SlotCache(shared.value), shared.value
         for batch in slices(batches):
             memo.trim()
             tokens, sizes = [_END], []
@@ -510,20 +614,20 @@ def score_texts(docs: DataFrame, model: ClassModel, counts: DataFrame, workspace
                 tokens += words
                 tokens.append(_END)
                 sizes.append(len(words) + 1)
-            slot = memo.slots(tokens)
-            classes, known = memo.classes[slot], memo.known[slot[1:]]
-            step = model.transition[classes[:-1], classes[1:]]
+            slot = np.fromiter(map(memo.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+            classes, known = table.classes[slot], table.known[slot[1:]]
+            step = transition[classes[:-1], classes[1:]]
             ends = np.cumsum(sizes)
             starts = ends - sizes
-            rare = np.flatnonzero(memo.rare[slot[1:]])
+            rare = np.flatnonzero(table.rare[slot[1:]])
             # One entry per rare token; the texts they belong to follow from their places.
             upto = np.searchsorted(rare, np.append(0, ends)).astype(np.int32)
             words = pa.array([tokens[i + 1] for i in rare.tolist()], pa.binary())
             arrays = [
                 batch.column(0), batch.column(1), pa.array(np.array(sizes, dtype=np.int64)),
                 pa.array(np.add.reduceat(known.astype(np.int64), starts)),
-                pa.array(np.add.reduceat(memo.base[slot[1:]], starts)),
-                pa.array(np.add.reduceat(memo.emission[slot[1:]] + step, starts)),
+                pa.array(np.add.reduceat(table.base[slot[1:]], starts)),
+                pa.array(np.add.reduceat(table.emission[slot[1:]] + step, starts)),
                 pa.ListArray.from_arrays(pa.array(upto, pa.int32()), words),
             ]
             names = ["row", "id", "n_tokens", "n_known", "base", "score", "rare"]
@@ -552,45 +656,49 @@ def score_texts(docs: DataFrame, model: ClassModel, counts: DataFrame, workspace
     )
 
 
-class _Slots(dict):
-    """Word to a place in arrays: class, base log, emission log, whether training has it, whether it must
-    be looked up."""
-
-    def __init__(self, counts: dict[bytes, int], model: ClassModel):
-        self.counts, self.units, self.model = counts, Units(model.exchanged), model
-        self.new: list[tuple[int, int]] = []
-        self.reset()
-
-    def reset(self) -> None:
-        self.clear()
-        self.classes = np.zeros(0, dtype=np.int64)
-        self.base, self.emission = np.zeros(0), np.zeros(0)
-        self.known = np.zeros(0, dtype=bool)
-        self.rare = np.zeros(0, dtype=bool)
+@dataclass
+class Slots:
+    """A place for each word that is broadcast or has a unit of its own, and one for each ending, which any
+    other word takes. By place: class, base log, emission log, whether training has it, whether it must be looked up."""
+
+    places: dict[bytes, int]
+    endings: int  # the place of ending 0
+    classes: np.ndarray
+    base: np.ndarray
+    emission: np.ndarray
+    known: np.ndarray
+    rare: np.ndarray
+
+    @classmethod
+    def of(cls, counts: dict[bytes, int], model: ClassModel) -> "Slots":
+        units = Units(model.exchanged)
+        words = [*counts, *(w for w in units.fixed if w not in counts)]
+        found = np.array([*(counts.get(w, -1) for w in words), *[-1] * ENDINGS], dtype=np.int64)
+        unit = np.array([*map(units.unit, words), *range(units.base, units.n)], dtype=np.int64)
+        count, classes = np.maximum(found, 0), model.unit_class[unit]
+        return cls(
+            {w: i for i, w in enumerate(words)}, len(words), classes.astype(np.int64),
+            np.log10(count + BASE_ADD) - model.base_log,
+            np.log10(count + ADD) - model.emission[classes],
+            count > 0, found < 0,
+        )
+
+
+class _SlotCache(dict):
+    """Word to its place; of the words without one of their own some are remembered."""
+
+    def __init__(self, slots: Slots):
+        super().__init__(slots.places)
+        self.slots = slots
 
     def __missing__(self, word: bytes) -> int:
-        self.new.append((self.counts.get(word, -1), self.units.unit(word)))
-        slot = self[word] = len(self)
+        slot = self[word] = self.slots.endings + ending_of(word)
         return slot
 
-    def slots(self, tokens: list[bytes]) -> np.ndarray:
-        at = np.fromiter(map(self.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-        if self.new:
-            found, unit = np.array(self.new, dtype=np.int64).T
-            count = np.maximum(found, 0)
-            classes = self.model.unit_class[unit]
-            emission = np.log10(count + ADD) - self.model.emission[classes]
-            self.classes = np.concatenate([self.classes, classes])
-            self.base = np.concatenate([self.base, np.log10(count + BASE_ADD) - self.model.base_log])
-            self.emission = np.concatenate([self.emission, emission])
-            self.known = np.concatenate([self.known, count > 0])
-            self.rare = np.concatenate([self.rare, found < 0])
-            self.new = []
-        return at
-
     def trim(self) -> None:
-        if len(self) > _SLOT_CACHE:
-            self.reset()
+        if len(self) > len(self.slots.places) + _RARE_SLOTS:
+            self.clear()
+            self.update(self.slots.places)
 
 
 def score_documents(

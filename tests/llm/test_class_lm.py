@@ -233,3 +233,69 @@ def test_words_beyond_the_bound_are_reported(documents, workspace):
     rows = [(i, " ".join(f"w{k}" for k in range(30)), "s") for i in range(40)]
     found = class_lm.score_documents(documents(rows), workspace=workspace, **{**OPTIONS, "exchanged": 10}).first()
     assert found["tied_words"] == 20
+
+
+def test_a_round_reads_one_half_at_five_bytes_a_neighbour(documents, workspace, monkeypatch):
+    monkeypatch.setattr(class_lm, "_PACKED", 30)
+    rnd = random.Random(9)
+    rows = [(i, " ".join(rnd.choice("abcdefgh") * rnd.randint(1, 3) for _ in range(40)), "s") for i in range(60)]
+    names = [c.encode() * n for c in "abcdefgh" for n in (1, 2)]
+    pairs = class_lm.unit_pairs(documents(rows).select("text").repartition(3), names)
+    packed = class_lm.store_by_half(class_lm.pack_pairs(pairs), "packed", workspace)
+    units = {0: set(), 1: set()}
+    for r in packed.collect():
+        held = np.frombuffer(r["units"], np.int32)
+        assert (class_lm.half_of(held) == r["half"]).all() and not units[r["half"]] & set(held.tolist())
+        units[r["half"]] |= set(held.tolist())
+        assert len(r["v0"]) == 4 * len(r["n0"]) and len(r["v1"]) == 4 * len(r["n1"])
+    assert units[0] and units[1]
+    for half in (0, 1):
+        files = packed.where(packed["half"] == half).select("_metadata.file_path").distinct().collect()
+        assert files and all(f"/half={half}/" in f[0] for f in files)
+
+
+def test_words_without_a_place_take_that_of_their_ending_and_frequent_ones_stay(monkeypatch):
+    monkeypatch.setattr(class_lm, "_RARE_SLOTS", 2)
+    n = class_lm.Units([b"own"]).n
+    model = class_lm.ClassModel([b"own"], np.arange(n) % 5, np.zeros((5, 5)), np.zeros(5), 10, 3)
+    slots = class_lm.Slots.of({b"": 4, b"seen": 3, b"heldout": 0}, model)
+    memo = class_lm._SlotCache(slots)
+    rare = [b"rare%d" % i for i in range(9)]
+    for word in rare:
+        assert memo[word] == slots.endings + class_lm.ending_of(word)
+    memo.trim()
+    assert set(memo) == {b"", b"seen", b"heldout", b"own"}
+    units = class_lm.Units(model.exchanged)
+    for word, known, look_up in ((b"", True, False), (b"seen", True, False), (b"heldout", False, False), (b"own", False, True), (rare[0], False, True)):
+        at = memo[word]
+        assert (slots.known[at], slots.rare[at], slots.classes[at]) == (known, look_up, units.unit(word) % 5)
+        assert slots.base[at] == np.log10({b"": 4, b"seen": 3}.get(word, 0) + class_lm.BASE_ADD) - model.base_log
+
+
+def test_pairs_move_as_arrays_and_are_summed_once(documents, workspace):
+    """One row per task and bucket is shuffled, not one per pair; both forms pack to the same neighbours."""
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice("abcdefgh") * rnd.randint(1, 9) for _ in range(60)), "s") for i in range(80)]
+    names = [c.encode() * n for c in "abcdefgh" for n in range(1, 10)]
+    training = documents(rows).select("text").repartition(3)
+    counted, pairs = class_lm.counted_pairs(training, names), class_lm.unit_pairs(training, names)
+    buckets = int(training.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    assert counted.count() <= 3 * buckets and pairs.count() == pairs.select("a", "b").distinct().count()
+    assert pairs.agg({"n": "sum"}).first()[0] == 80 * 61
+
+    def neighbours(packed):
+        found = set()
+        for r in packed.collect():
+            units, loops = np.frombuffer(r["units"], np.int32), np.frombuffer(r["loops"], np.float64)
+            found |= {(u, 2, u, n) for u, n in zip(units.tolist(), loops.tolist()) if n}
+            for side in (0, 1):
+                at = class_lm._places(np.frombuffer(r[f"at{side}"], np.int32))
+                v, n = np.frombuffer(r[f"v{side}"], np.int32), np.frombuffer(r[f"n{side}"], np.uint8)
+                found |= set(zip(units[at].tolist(), [side] * len(at), v.tolist(), n.tolist()))
+        return found
+
+    expected = set()
+    for r in pairs.collect():
+        same = r["a"] == r["b"]
+        expected |= {(r["a"], 2, r["a"], r["n"])} if same else {(r["b"], 0, r["a"], r["n"]), (r["a"], 1, r["b"], r["n"])}
+    assert neighbours(class_lm.pack_pairs(counted)) == neighbours(class_lm.pack_pairs(pairs)) == expected
