@@ -13,7 +13,8 @@ frequent enough, the rarest of them are tied too, and ``tied_words`` says how ma
 whole training text: word counts are an ordinary aggregation, and unit bigrams are counted in
 each task as they occur, dealt by a hash of the pair as arrays and summed there. They are then dealt by unit and packed
 into arrays, five bytes a neighbour, so that a round of the exchange reads bytes, not rows. The two halves of the units are
-stored apart, and a round that moves one half reads that half only.
+stored apart, and a round that moves one half reads that half only; the pairs of the head units lie in a few files. The logs
+that gains are made of are looked up where counts are small.
 
 Emission uses the exact count of each word: the KNOWN most frequent words of all texts, held-out
 ones too, are broadcast. The others are joined by shuffle, where none of them can hold more than 1/KNOWN of
@@ -27,12 +28,12 @@ the smoothing alone. An empty table gives an empty result. Other columns are ign
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,10 +54,13 @@ BASE_ADD = 0.5  # fixed value: smoothing of the base score
 ADD = 0.1  # of emissions
 BACK_OFF = 20.0  # weight of the class shares in a transition
 _END = b""  # the end token; no word is empty
-_FLUSH = 200_000
+_COUNT_BYTES = 32 * 1024 * 1024  # text whose words are counted at once
 _FLUSH_PAIRS = 2_000_000
 _PACKED = 500_000  # pairs packed together, and then the rest of a unit
 _ROWS = 16_000  # rows of class counts whose gains are computed at once
+_HEAD_PARTS = 64  # shuffle partitions whose pairs of the head units are stored together
+_MOST_LOGS = 1 << 18  # logs of a table with small counts added that a task keeps
+_LARGEST_LOG = 1_000
 _SLOT_CACHE = 400_000
 _RARE_SLOTS = 200_000
 
@@ -70,6 +74,26 @@ def ending_of(word: bytes) -> int:
     return xxhash.xxh32_intdigest(word[-3:]) % ENDINGS
 
 
+def _counted_words(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """(word, c, t) of some batches of (text, trains). No word becomes an object of Python."""
+    text = pa.concat_arrays([batch.column(0) for batch in batches])
+    if (binary := pa.types.is_binary(text.type)) or pa.types.is_large_binary(text.type):
+        text = text.view(pa.string() if binary else pa.large_string())
+    trains = np.concatenate([batch.column(1).to_numpy(zero_copy_only=False) for batch in batches])
+    # The same words as ``words_of``, and empty ones for white space before the first or behind the last.
+    words = pc.ascii_split_whitespace(pc.ascii_lower(text))
+    sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+    found = words.flatten().dictionary_encode()
+    index, word = found.indices.to_numpy(), found.dictionary.cast(pa.binary())
+    t = np.bincount(index, minlength=len(word))
+    c = np.bincount(index[np.repeat(trains, sizes)], minlength=len(word))
+    full = pc.greater(pc.binary_length(word), 0)
+    kept = full.to_numpy(zero_copy_only=False)
+    word = pa.concat_arrays([word.filter(full), pa.array([_END], pa.binary())])
+    counts = [pa.array(np.append(n[kept], ends).astype(np.int64)) for n, ends in ((c, trains.sum()), (t, len(text)))]
+    return pa.RecordBatch.from_arrays([word, *counts], ["word", "c", "t"])
+
+
 def word_counts(rows: DataFrame) -> DataFrame:
     """(word, c, t) over the tokens of ``rows`` (text, trains), the end token as the empty word.
 
@@ -79,23 +103,15 @@ def word_counts(rows: DataFrame) -> DataFrame:
         rows = rows.withColumn("trains", F.lit(True))
 
     def count(batches) -> Iterator[pa.RecordBatch]:
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
-
-        def emit() -> Iterator[pa.RecordBatch]:
-            for trains, some in enumerate(counts):
-                if some:
-                    n = pa.array(list(some.values()), pa.int64())
-                    c = n if trains else pa.array(np.zeros(len(some), dtype=np.int64))
-                    yield pa.RecordBatch.from_arrays([pa.array(list(some), pa.binary()), c, n], ["word", "c", "t"])
-                some.clear()
-
+        held, size = [], 0
         for batch in slices(batches):
-            for trains, text in zip(batch.column(1).to_pylist(), utf8(batch.column(0))):
-                counts[trains].update(words_of(text))
-                counts[trains][_END] += 1
-            if len(counts[0]) + len(counts[1]) > _FLUSH:
-                yield from emit()
-        yield from emit()
+            held.append(batch)
+            size += batch.column(0).nbytes
+            if size > _COUNT_BYTES:
+                yield _counted_words(held)
+                held, size = [], 0
+        if held:
+            yield _counted_words(held)
 
     found = rows.select("text", "trains").mapInArrow(count, "word binary, c bigint, t bigint")
     return found.groupBy("word").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
@@ -258,11 +274,53 @@ def _log(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.where(x > 0, x, 1))
 
 
-def _part_gains(counts: np.ndarray, other: np.ndarray, loops: np.ndarray, own: np.ndarray, joint: np.ndarray, logs: np.ndarray) -> np.ndarray:
+class Logs:
+    """``_log(base + n)`` for counts n: the small ones, which most are, are computed once and looked up.
+
+    ``base`` is any table of whole numbers; a lookup gives the same numbers as the formula does.
+    """
+
+    def __init__(self, base: np.ndarray):
+        self.base = base
+        kept = min(_MOST_LOGS // max(1, base.size), _LARGEST_LOG)
+        self.small = _log(base[None] + np.arange(kept + 1.0).reshape(-1, *[1] * base.ndim))
+        self.none = self.small[0]
+        self.gains = self.small - self.none
+
+    def plus(self, n: np.ndarray, *at: np.ndarray) -> np.ndarray:
+        """``_log(base[at] + n)`` for each n with its own ``at``; without one, n is added to all of ``base``."""
+        return self._found(self.small, n, at)
+
+    def gain(self, n: np.ndarray, *at: np.ndarray) -> np.ndarray:
+        """``plus`` less ``_log(base[at])``."""
+        return self._found(self.gains, n, at)
+
+    def _found(self, table: np.ndarray, n: np.ndarray, at: tuple) -> np.ndarray:
+        small = n < len(table)
+        out = table[np.where(small, n, 0).astype(np.intp), *at]
+        large = np.flatnonzero(~small)
+        if len(large):
+            some = tuple(x[large] for x in at)
+            logs = _log(self.base[some] + n[large].reshape(-1, *[1] * (self.base.ndim - len(at))))
+            out[large] = logs if table is self.small else logs - self.none[some]
+        return out
+
+
+class JointLogs:
+    """The class bigrams of a round, and the logs that the gains of all its moves are made of."""
+
+    def __init__(self, joint: np.ndarray):
+        self.joint = joint
+        self.sides = [Logs(joint), Logs(joint.T.copy())]
+        self.diagonal = Logs(np.diag(joint).copy())
+        self.margins = [Logs(joint.sum(axis=1)), Logs(joint.sum(axis=0))]
+
+
+def _part_gains(counts: np.ndarray, other: np.ndarray, loops: np.ndarray, own: np.ndarray, logs: Logs) -> np.ndarray:
     """(unit, class): what the bigrams of each unit with the classes before it gain by its going to a class.
 
-    ``counts[u, c]`` counts class c before u, ``other`` behind it; ``joint`` is without regard to any
-    unit, so each unit's own part is taken out of it where it stands. Only classes with a count matter.
+    ``counts[u, c]`` counts class c before u, ``other`` behind it; ``logs`` are of the joint table without regard
+    to any unit, so each unit's own part is taken out of it where it stands. Only classes with a count matter.
     For the classes behind, give the transposed joint table and swap the counts.
     """
     unit, before = np.nonzero(counts)
@@ -271,24 +329,31 @@ def _part_gains(counts: np.ndarray, other: np.ndarray, loops: np.ndarray, own: n
         return out
     n, at = counts[unit, before], np.arange(len(unit))
     mine = own[unit]
-    rest, rest_logs = joint[before], logs[before]
-    rest[at, mine] -= n
+    gain = logs.gain(n, before)
+    # In its own class a unit is counted already.
+    whole = logs.base[before, mine]
+    gain[at, mine] = logs.none[before, mine] - _log(whole - n)
     self_ = np.flatnonzero(before == mine)
-    rest[self_] -= other[unit[self_]]
-    rest[self_, mine[self_]] -= loops[unit[self_]]
-    rest_logs[at, mine] = _log(rest[at, mine])
-    rest_logs[self_] = _log(rest[self_])
-    gain = _log(rest + n[:, None]) - rest_logs
+    rest = logs.base[before[self_]] - other[unit[self_]]
+    rest[np.arange(len(self_)), mine[self_]] -= n[self_] + loops[unit[self_]]
+    gain[self_] = _log(rest + n[self_, None]) - _log(rest)
+    # Row by row of all units that have as many; reduceat takes several times as long.
     first = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
-    out[unit[first]] = np.add.reduceat(gain, first, axis=0)
+    sizes = np.diff(first, append=len(unit))
+    order = np.argsort(-sizes, kind="stable")
+    starts = first[order]
+    total = np.zeros((len(first), counts.shape[1]))
+    for i, held in enumerate(len(sizes) - np.cumsum(np.bincount(sizes))[:-1]):
+        total[:held] += gain[starts[:held] + i]
+    out[unit[starts]] = total
     return out
 
 
-def best_moves(left: np.ndarray, right: np.ndarray, loops: np.ndarray, own: np.ndarray, joint: np.ndarray, first: int = 0):
+def best_moves(left: np.ndarray, right: np.ndarray, loops: np.ndarray, own: np.ndarray, joint: np.ndarray | JointLogs, first: int = 0):
     """Per unit the best class and the gain in log-likelihood of moving there.
 
     ``left[u, c]`` counts class c before u, ``right[u, c]`` behind it, ``loops`` u behind
-    itself; both leave the loops out. ``joint`` are the class bigrams, ``own`` the classes.
+    itself; both leave the loops out. ``joint`` are the class bigrams, or their logs, ``own`` the classes.
     Classes below ``first`` take no unit. Likelihood up to terms that no move changes: bigrams less both margins.
     """
     best, gain = own.copy(), np.zeros(len(own))
@@ -296,27 +361,37 @@ def best_moves(left: np.ndarray, right: np.ndarray, loops: np.ndarray, own: np.n
     used = np.flatnonzero(before + behind + loops)
     if not len(used):
         return best, gain
+    logs = joint if isinstance(joint, JointLogs) else JointLogs(joint)
     left, right, loops, own = left[used], right[used], loops[used].astype(float), own[used]
     before, behind = before[used], behind[used]
-    logs = _log(joint)
-    gains = _part_gains(left, right, loops, own, joint, logs)
-    gains += _part_gains(right, left, loops, own, joint.T.copy(), logs.T.copy())
+    gains = _part_gains(left, right, loops, own, logs.sides[0])
+    gains += _part_gains(right, left, loops, own, logs.sides[1])
     at = np.arange(len(own))
     # Where the unit meets itself in a class, both parts above have counted the same cell.
-    diagonal = np.broadcast_to(np.diag(joint), left.shape).copy()
-    diagonal[at, own] -= left[at, own] + right[at, own] + loops
-    none = _log(diagonal)
-    gains += _log(diagonal + left + right + loops[:, None]) - _log(diagonal + left) - _log(diagonal + right) + none
+    both = left + right + loops[:, None]
+    unit, c = np.nonzero(both)
+    x, y, z = both[unit, c], left[unit, c], right[unit, c]
+    gains[unit, c] += _diagonal(logs.diagonal, own[unit] == c, c, x, y, z)
     # Wherever the unit goes, its neighbours' own margins get its counts back.
-    for margin, whole in ((joint.sum(axis=1), behind + loops), (joint.sum(axis=0), before + loops)):
-        rest = np.broadcast_to(margin, left.shape).copy()
-        rest[at, own] -= whole
-        gains -= _log(rest + whole[:, None]) - _log(rest)
+    for margin, whole in zip(logs.margins, (behind + loops, before + loops)):
+        found, place = np.unique(whole, return_inverse=True)
+        part = margin.gain(found)[place]
+        part[at, own] = margin.none[own] - _log(margin.base[own] - whole)
+        gains -= part
     to = first + gains[:, first:].argmax(axis=1)
     best[used], gain[used] = to, gains[at, to] - gains[at, own]
     return best, gain
 
 
+def _diagonal(logs: Logs, mine: np.ndarray, c: np.ndarray, both: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """What the cell of class c with itself gains beyond its two parts; ``mine`` marks the unit's own class."""
+    out = logs.plus(both, c) - logs.plus(left, c) - logs.plus(right, c) + logs.none[c]
+    own = np.flatnonzero(mine)
+    rest = logs.base[c[own]] - both[own]
+    out[own] = _log(rest + both[own]) - _log(rest + left[own]) - _log(rest + right[own]) + _log(rest)
+    return out
+
+
 _PACK = "units binary, loops binary, at0 binary, v0 binary, n0 binary, at1 binary, v1 binary, n1 binary"
 _KINDS = [np.int32, np.float64, np.int32, np.int32, np.uint8, np.int32, np.int32, np.uint8]
 _MOST_COUNT = 255
@@ -446,7 +521,9 @@ def exchange(
     own[order] = 1 + np.arange(n - 1) % (classes - 1)
     packed = store_by_half(pack_pairs(pairs), "packed", workspace)
     if n > 2 * head:
-        first = store_by_half(head_pairs(packed, head), "head", workspace)
+        # A bounded table: a few files, not one per shuffle partition, since every round opens them all.
+        few = 1 + _buckets(packed) // _HEAD_PARTS
+        first = store_by_half(head_pairs(packed, head).repartition(few), "head", workspace)
         own, _ = exchange_packed(first, own, classes, rounds)
     return exchange_packed(packed, own, classes, rounds)
 
@@ -498,6 +575,7 @@ def exchange_packed(
     gained, turn = [np.inf, np.inf], 0
     while sum(gained) > enough and (rounds is None or turn < rounds):
         def moves(batches, of=own, joint=joint) -> Iterator[pa.RecordBatch]:
+            logs = JointLogs(joint)
             for units, loops, *sides in _unpacked(batches, _KINDS):
                 mine = np.flatnonzero(units)
                 tables = []
@@ -509,7 +587,7 @@ def exchange_packed(
                     some = mine[low : low + step]
                     left, right = (t[low : low + step] for t in tables)
                     old = of[units[some]].astype(np.int64)
-                    best, gain = best_moves(left, right, loops[some], old, joint, first=1)
+                    best, gain = best_moves(left, right, loops[some], old, logs, first=1)
                     keep = gain > 1e-6
                     arrays = [pa.array(units[some][keep]), pa.array(best[keep].astype(np.int32)), pa.array(gain[keep])]
                     yield pa.RecordBatch.from_arrays(arrays, ["u", "class", "gain"])

@@ -1,9 +1,11 @@
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starflow.llm import class_lm
 
@@ -299,3 +301,45 @@ def test_pairs_move_as_arrays_and_are_summed_once(documents, workspace):
         same = r["a"] == r["b"]
         expected |= {(r["a"], 2, r["a"], r["n"])} if same else {(r["b"], 0, r["a"], r["n"]), (r["a"], 1, r["b"], r["n"])}
     assert neighbours(class_lm.pack_pairs(counted)) == neighbours(class_lm.pack_pairs(pairs)) == expected
+
+
+def test_logs_that_are_looked_up_are_those_of_the_formula(monkeypatch):
+    monkeypatch.setattr(class_lm, "_MOST_LOGS", 400)
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 50, (8, 8)).astype(float)
+    n, at = rng.integers(0, 30, 200).astype(float), rng.integers(0, 8, 200)
+    logs = class_lm.Logs(base)
+    assert 0 < len(logs.small) < 30
+    want = class_lm._log(base[at] + n[:, None])
+    assert (logs.plus(n, at) == want).all()
+    assert (logs.gain(n, at) == want - class_lm._log(base[at])).all()
+    assert (class_lm.Logs(base[0]).plus(n) == class_lm._log(base[0] + n[:, None])).all()
+
+
+def test_words_are_counted_as_they_are_split(documents, monkeypatch):
+    monkeypatch.setattr(class_lm, "_COUNT_BYTES", 30)
+    texts = ["  A b\tB \x0b\x0c\r\nc ", None, "", "\n", "x\x1cy x\x85y   É é", "b " * 30, "a\x00 a"]
+    rows = documents([(i, t, "s") for i, t in enumerate(texts)]).select("text", (F.col("doc_id") % 2 == 1).alias("trains"))
+    found = {bytes(r["word"]): (r["c"], r["t"]) for r in class_lm.word_counts(rows.coalesce(1)).collect()}
+    want = {}
+    for i, text in enumerate(texts):
+        for word in [*class_lm.words_of((text or "").encode()), b""]:
+            c, t = want.get(word, (0, 0))
+            want[word] = c + i % 2, t + 1
+    assert found == want
+
+
+def test_the_head_is_stored_in_few_files(spark, documents, workspace):
+    """A bounded table; a file per shuffle partition would make every round cost more as the input grows."""
+    rnd = random.Random(8)
+    names = [f"w{i}".encode() for i in range(60)]
+    docs = documents([(i, " ".join(f"w{rnd.randrange(60)}" for _ in range(80)), "s") for i in range(40)]).select("text")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        totals = np.arange(class_lm.Units(names).n, 0, -1)
+        class_lm.exchange(class_lm.counted_pairs(docs, names), totals, workspace, 3, 2, head=20)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    (head,) = Path(workspace.path).glob("head-*")
+    assert 0 < len(list(head.rglob("*.parquet"))) <= 2
