@@ -205,3 +205,47 @@ def test_texts_of_the_extract_are_not_shuffled_before_its_joins(spark, sf_dir):
     plan = flat_sales(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     joins = plan[plan.index("Join") :]
     assert not any(name in joins for name in ("batch_number", "store_id", "supplier_id", "value_sales", "product_id"))
+
+
+def test_dropping_repeats_shuffles_hashes_in_place_of_rows(spark, workspace):
+    """Before, every row was shuffled with all its columns."""
+    rows = [(i, f"text {i}") for i in range(500)] + [(7, "text 7")] * 4 + [(8, None)] * 2 + [(8, "")]
+    df = spark.createDataFrame(rows, "`a.b` int, row string").repartition(4)
+    got = drop_duplicate_rows(df, workspace=workspace)
+    assert got.schema == df.schema
+    assert sorted(map(str, got.collect())) == sorted(map(str, set(df.collect())))
+    alone = got._jdf.queryExecution().sparkPlan().toString().split("HashAggregate")[0]
+    assert "Union" in alone and "BroadcastHashJoin" in alone  # rows that occur once come without an aggregation
+
+
+def test_dropping_repeats_does_not_rest_on_the_hash(spark, workspace, monkeypatch):
+    monkeypatch.setattr(cleaning, "_row_hash", lambda names: F.coalesce(F.col(names[0]) % 5, F.lit(0)).cast("bigint"))
+    df = spark.createDataFrame([(i % 40, i % 4) for i in range(120)] + [(None, 1)] * 2, "a int, b int")
+    for limit in (1 << 20, 0):
+        got = drop_duplicate_rows(df, workspace=workspace, broadcast_bytes=limit)
+        assert sorted(map(str, got.collect())) == sorted(map(str, df.dropDuplicates().collect()))
+
+
+def test_dropping_repeats_of_odd_types(spark, workspace):
+    zeros = spark.createDataFrame([(0.0, "a"), (-0.0, "a"), (float("nan"), "b"), (float("nan"), "b")], "x double, y string")
+    assert drop_duplicate_rows(zeros, workspace=workspace).count() == 2
+    lists = spark.createDataFrame([([0.0],), ([-0.0],), (None,), (None,)], "x array<double>")
+    assert drop_duplicate_rows(lists, workspace=workspace).count() == lists.dropDuplicates().count() == 2
+
+
+def test_small_numbers_are_moved_as_one(spark, tmp_path, sf_dir):
+    """Numbers of any size come out of the extract as they went in; only small ones share a column."""
+    from starflow.sources import flat_sales as source
+
+    values = [(1, 2, 3), (0, 0, 0), (1023, 63, -1), (1024, 1, 1), (-5, 64, 2), (None, 1, 1), (None, None, None), (1 << 40, 1, 0)]
+    df = spark.createDataFrame(values, "a bigint, b int, c int")
+    numbers = {"a": (F.col("a"), 10), "b": (F.col("b"), 6), "c": (F.col("c"), 2)}
+    packed, plain = source._pack(numbers)
+    moved = df.select(packed.alias(source._PACKED), plain.alias(source._PLAIN))
+    assert moved.where(F.col(source._PACKED).isNotNull()).count() == 2
+    assert moved.where(F.col(source._PLAIN).isNotNull()).count() == len(values) - 2
+    got = moved.withColumns(source._unpack(numbers)).select("a", "b", "c")
+    assert sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
+    plan = flat_sales(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    joins = plan[plan.index("Join") :].split("Relation")[0]
+    assert "l_extendedprice" not in joins.split("\n")[0]
