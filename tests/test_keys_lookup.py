@@ -113,3 +113,48 @@ def test_idle_rows_are_spread_by_a_row_id(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
     assert sum(sizes) == 4000 and max(sizes) < 2000
+
+
+@pytest.fixture
+def no_small_broadcast(spark):
+    """Spark broadcasts nothing by itself, so every lookup counts as large."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("mode", [m for m in MODES if m != "broadcast"])
+def test_a_large_lookup_shuffles_no_row(spark, workspace, no_small_broadcast, mode, null_safe):
+    rows, table = lookup_case()
+    df = spark.createDataFrame(rows, "id int, `k #` string")
+    lookup = spark.createDataFrame(table, "`k #` string, w bigint, v bigint")
+    limits = {**MODES[mode], "spread_by": ["id"], "workspace": workspace}
+    got = attach(df, lookup, ["k #"], ["v"], null_safe=null_safe, **limits)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert got.columns == ["id", "k #", "v"]
+    values = {k: v for k, _, v in table if null_safe or k is not None}
+    assert sorted((r["id"], r["v"]) for r in got.collect()) == [(i, values.get(k)) for i, k in rows]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Sort" not in plan  # the lookup's, not the rows'
+    assert "ShuffledHashJoin" in plan
+
+
+def test_a_large_lookup_by_numbers(spark, workspace, no_small_broadcast):
+    """-0.0 is 0.0 and NaN is NaN, as in any join; a NULL part is compared too."""
+    keys = [(0.0, 1), (-0.0, None), (float("nan"), 1), (None, 1), (None, None), (2.5, 7)]
+    df = spark.createDataFrame([(i, *k) for i, k in enumerate(keys)], "id int, x double, y int")
+    table = [(-0.0, 1, "a"), (0.0, None, "b"), (float("nan"), 1, "c"), (None, 1, "d"), (None, None, "e")]
+    lookup = spark.createDataFrame(table, "x double, y int, v string")
+    for null_safe, want in ((True, ["a", "b", "c", "d", "e", None]), (False, ["a", None, "c", None, None, None])):
+        got = attach(df, lookup, ["x", "y"], ["v"], null_safe=null_safe, broadcast_bytes=0, hot_keys=1, workspace=workspace)
+        assert [r["v"] for r in got.orderBy("id").collect()] == want
+
+
+def test_dealing_leaves_the_session_as_it_was(spark, workspace):
+    conf, tables = "spark.sql.maxConcurrentOutputFileWriters", spark.sql("SHOW TABLES").count()
+    before = spark.conf.get(conf)
+    df = spark.range(100).selectExpr("id % 7 AS `a b`", "id")
+    got = workspace.deal(df, "dealt", ["a b"], 3)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
+    assert spark.conf.get(conf) == before and spark.sql("SHOW TABLES").count() == tables

@@ -161,3 +161,44 @@ def test_broadcast_budget_is_shared(spark, rows, workspace):
     plan = fact._jdf.queryExecution().optimizedPlan().toString()
     assert "_spread" in plan
     assert fact.count() == len(ROWS)
+
+
+def test_derived_columns_come_behind_the_lookups(spark, rows, workspace):
+    """They are not moved with the rows, and the keys by order are the same as if they were."""
+    def derive(df):
+        return df.withColumn("per", F.col("v") / F.col("u"))
+
+    many = rows.union(rows.withColumn("rid", F.col("rid") + 100)).union(rows.withColumn("v", F.lit(-0.0)))
+    dims = build_star(many, SPEC, row_id="rid", workspace=workspace)
+    dims = {d.name: dims[d.name] for d in SPEC.dimensions}
+    first, last = (("per", "per"), ("v", "value"), ("u", "units")), (("v", "value"), ("u", "units"), ("per", "per"))
+    for columns in (first, last, (("per", "per"), ("u", "units"))):
+        spec = FactSpec("fact", "sale_key", columns)
+        for ordered in (False, True):
+            options = {"row_id": "rid", "ordered_key": ordered, "workspace": workspace}
+            plain = build_fact(derive(many), dims, SPEC.dimensions, spec, **options)
+            late = build_fact(
+                many, dims, SPEC.dimensions, spec, derive=derive, derived={"per": ("v", "u")}, **options
+            )
+            assert late.columns == plain.columns
+            assert sorted(map(str, late.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_large_dimensions_give_the_same_fact(spark, rows, workspace):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for null_safe in (False, True):
+            options = {"row_id": "rid", "workspace": workspace, "null_safe_keys": null_safe}
+            small = build_star(rows, SPEC, **options)["fact"]
+            large = build_star(rows, SPEC, broadcast_bytes=0, hot_keys=2, **options)["fact"]
+            assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, large.collect()), key=str)
+            plan = large._jdf.queryExecution().executedPlan().toString()
+            assert "Bucketed: true" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_join_star_takes_only_the_columns_asked_for(rows, workspace):
+    tables = build_star(rows, SPEC, row_id="rid", workspace=workspace)
+    assert join_star(tables, SPEC, ["dim_store"], ["units"]).columns == ["store_key", "units", "store", "kind"]
