@@ -192,3 +192,26 @@ def test_known_rows_moves_hashes_and_no_row(spark, tmp_path, workspace):
     assert {r["a"] for r in rows.where(F.col("at").isin(*ids)).collect()} == set(range(450, 500))
     moved = [line for line in plan.splitlines() if "Exchange" in line]
     assert len(moved) == 1 and "a#" not in plan.split("Exchange")[1].split("Scan")[0]
+
+
+def test_added_hashes_are_dealt_where_they_lie(spark, tmp_path, workspace, monkeypatch):
+    """Before, a load shuffled the hashes of all its rows to store them."""
+    from starflow.sources import commits
+
+    monkeypatch.setattr(commits, "write_bucketed", None)
+    store = TableSet(spark, str(tmp_path))
+    buckets = {"h": Buckets(HASH, 4)}
+    for start in (0, 300):
+        rows = spark.range(start, start + 300).selectExpr("id AS a")
+        store.publish(add={"h": rows.select(*row_hash(rows))}, buckets=buckets)
+    parts = store.parts("h")
+    rows = spark.range(500, 700).selectExpr("id AS a")
+    rows = workspace.store(rows.select("*", *row_hash(rows)), "rows", row_id="at")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = incremental.known_rows(rows, parts, 4, "at")
+        assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+        assert found.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
